@@ -233,3 +233,55 @@ def notes_lookup(grid: DataFrame, keys: Sequence[str] = ("sheet_id",), header_ma
     cells = promote_header(grid, header, ks)
     wide = to_wide(cells, ks, "header", [number, text])
     return wide.select(*ks, F.col(f"`{number}`").alias("note_ref"), F.col(f"`{text}`").alias("note_text")).where(F.col("note_ref").isNotNull())
+
+
+def title_and_source(grid: DataFrame, prefix: str = "Source:", keys: Sequence[str] = ("sheet_id",), col_idx: int = 0, min_row: int = 0) -> DataFrame:
+    """C11 both sheet facts in ONE aggregation: ``title`` (first cell of the sheet) and
+    ``source`` (first cell in column ``col_idx`` starting with ``prefix``; NULL when none)."""
+    cells = grid.where(F.col(VAL).isNotNull())
+    is_src = cell_startswith(prefix, col_idx) & (F.col(ROW) >= min_row)
+    return cells.groupBy(*_k(keys)).agg(
+        F.min_by(F.col(VAL), F.struct(F.col(ROW), F.col(COL))).alias("title"),
+        F.min_by(F.col(VAL), F.when(is_src, F.col(ROW))).alias("source"),
+    )
+
+
+NOTE_TAG = r"\[(note \d+)\]"
+
+
+def apply_notes(df: DataFrame, notes: DataFrame, row_col: str, notes_col: str = "Notes", tag: str = NOTE_TAG) -> DataFrame:
+    """C13 resolve ``[note n]`` tags against a notes table (note_ref, note_text).
+
+    Column-level tags (first tag of each column name): the note text is appended to
+    ``notes_col`` on every row and the tag is removed from the name.  Only the notes
+    referenced by column names are fetched (bounded by the number of columns).
+    Row-level tags in ``row_col``: the first tag's text is appended to that row and all
+    tags are stripped from the value (left join on the note reference, so the notes
+    table may be of any size).  ``notes_col`` starts empty and every append adds a
+    leading blank, as the source tables do.
+    """
+    import re
+
+    refs: list[tuple[str, str | None]] = []
+    for c in df.columns:
+        m = re.search(tag, c)
+        refs.append((c, m.group(1) if m else None))
+    wanted = sorted({r for _, r in refs if r})
+    lookup: dict[str, str] = {}
+    if wanted:
+        lookup = {r["note_ref"]: r["note_text"] for r in notes.where(F.col("note_ref").isin(wanted)).select("note_ref", "note_text").collect()}
+    prefix = "".join(" " + (lookup.get(r) or "") for _, r in refs if r)
+    renamed = df.select(*[F.col(f"`{c}`").alias(c.replace(f"[{r}]", "").strip() if r else c) for c, r in refs])
+    dedup = notes.groupBy("note_ref").agg(F.first("note_text").alias("__note_text"))
+    with_ref = renamed.withColumn("__ref", F.regexp_extract(F.col(f"`{row_col}`"), tag, 1))
+    joined = with_ref.join(dedup, with_ref["__ref"] == dedup["note_ref"], "left")
+    stripped = F.regexp_replace(F.regexp_replace(F.col(f"`{row_col}`"), r"\[note \d+\]", ""), r"^\s+|\s+$", "")
+    out = joined.withColumn(notes_col, F.concat(F.lit(prefix + " "), F.coalesce(F.col("__note_text"), F.lit("")))).withColumn(row_col, stripped)
+    return out.drop("__ref", "note_ref", "__note_text")
+
+
+def require_any_nonblank(df: DataFrame, col: str = "Notes") -> None:
+    """C14 raise when every value of ``col`` is blank (one aggregation)."""
+    ok = df.agg(F.bool_or(F.length(F.regexp_replace(F.col(f"`{col}`"), r"^\s+|\s+$", "")) > 0).alias("ok")).first()["ok"]
+    if not ok:
+        raise GridError(f"column '{col}' is entirely empty: the notes lookup may have failed to match")
