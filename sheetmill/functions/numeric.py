@@ -37,7 +37,7 @@ def inf_to_null(c: Column | str) -> Column:
 
 def to_number(c: Column | str) -> Column:
     """E9 coerce text to DOUBLE; anything unparseable (or NaN) becomes NULL."""
-    return no_nan(F.try_cast(_col(c).cast("string"), "double"))
+    return no_nan(_col(c).cast("string").try_cast("double"))
 
 
 def round_half_even(c: Column | str, decimals: int) -> Column:
