@@ -51,13 +51,13 @@ def _fail_if_null(value: Column, source: Column, message: str) -> Column:
 
 def parse_day_month_year(text: Column) -> Column:
     """'1 April 2026' or '1 Apr 2026' -> DATE, NULL when it does not parse."""
-    return F.coalesce(F.try_to_date(text, F.lit("d MMMM yyyy")), F.try_to_date(text, F.lit("d MMM yyyy")))
+    return F.coalesce(F.try_to_date(text, "d MMMM yyyy"), F.try_to_date(text, "d MMM yyyy"))
 
 
 def parse_month_year(text: Column) -> Column:
     """'April 2026', 'Apr 2026' or 'Sept 2026' -> first day of the month, NULL when unparseable."""
     fixed = F.regexp_replace(text, r"(?i)^sept\b", "Sep")
-    return F.coalesce(F.try_to_date(fixed, F.lit("MMMM yyyy")), F.try_to_date(fixed, F.lit("MMM yyyy")))
+    return F.coalesce(F.try_to_date(fixed, "MMMM yyyy"), F.try_to_date(fixed, "MMM yyyy"))
 
 
 def end_of_day(d: Column) -> Column:
@@ -94,10 +94,10 @@ def cap_period_key(text: Column | str, strict: bool = False) -> Column:
     parts = F.split(s, " to ")
     two = F.size(parts) == 2
     start_txt, end_txt = F.element_at(parts, 1), F.element_at(parts, 2)
-    end = F.try_to_date(end_txt, F.lit("d MMMM yyyy"))
+    end = F.try_to_date(end_txt, "d MMMM yyyy")
     n_spaces = F.length(start_txt) - F.length(F.regexp_replace(start_txt, " ", ""))
     start_full = F.when(n_spaces == 1, F.concat_ws(" ", start_txt, F.year(end).cast("string"))).otherwise(start_txt)
-    start = F.try_to_date(start_full, F.lit("d MMMM yyyy"))
+    start = F.try_to_date(start_full, "d MMMM yyyy")
     key = F.when(two & start.isNotNull() & end.isNotNull(), F.concat(F.date_format(start, "yyyy-MM-dd"), F.lit("_to_"), F.date_format(end, "yyyy-MM-dd")))
     return _fail_if_null(key, s, "period does not parse as 'd Month [yyyy] to d Month yyyy'") if strict else key
 
@@ -121,7 +121,7 @@ def normalise_months(text: Column | str) -> Column:
 def normalise_date(text: Column | str, strict: bool = False) -> Column:
     """J5 '21 November 2025' -> '2025-11-21'."""
     s = _col(text)
-    d = F.try_to_date(F.trim(s), F.lit("d MMMM yyyy"))
+    d = F.try_to_date(F.trim(s), "d MMMM yyyy")
     out = F.date_format(d, "yyyy-MM-dd")
     return _fail_if_null(out, s, "date does not parse as 'd Month yyyy'") if strict else out
 
@@ -129,7 +129,7 @@ def normalise_date(text: Column | str, strict: bool = False) -> Column:
 def iso_to_human(ts: Column | str) -> Column:
     """J6 ISO timestamp (string ending in Z, or a timestamp) -> 'DD Month YYYY'."""
     c = _col(ts)
-    parsed = F.coalesce(F.try_to_timestamp(c.cast("string"), F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")), F.try_to_timestamp(c.cast("string")))
+    parsed = F.coalesce(F.try_to_timestamp(c.cast("string"), "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.try_to_timestamp(c.cast("string")))
     return F.date_format(parsed, "dd MMMM yyyy")
 
 
@@ -147,7 +147,7 @@ def quarter_bounds(text: Column | str) -> tuple[Column, Column]:
 def parse_iso_date(text: Column | str, strict: bool = True) -> Column:
     """J8 exact 'yyyy-MM-dd' -> TIMESTAMP_NTZ midnight (raises on bad input when strict)."""
     s = _col(text)
-    d = F.try_to_date(s, F.lit("yyyy-MM-dd"))
+    d = F.try_to_date(s, "yyyy-MM-dd")
     out = d.cast("timestamp_ntz")
     return _fail_if_null(out, s, "date does not parse as yyyy-MM-dd") if strict else out
 

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheetmill.operators.contracts import _sql_string
+
 
 def group_sum(df: DataFrame, keys: Sequence[str], value: str, out: str = "value", drop_null_keys: bool = True) -> DataFrame:
     """G1 group sum; NULLs skipped, all-NULL group -> 0, NULL keys dropped (tool semantics)."""
@@ -66,7 +68,7 @@ def empty_groups(df: DataFrame, col: str, expected: Sequence[str], out: str = "r
     tags), then a literal unpivot; no join.
     """
     counts = df.agg(*[F.count_if(F.col(col) == F.lit(t)).alias(f"c{i}") for i, t in enumerate(expected)])
-    stack = ", ".join(f"'{t}', c{i}" for i, t in enumerate(expected))
+    stack = ", ".join(f"{_sql_string(t)}, c{i}" for i, t in enumerate(expected))
     return counts.selectExpr(f"stack({len(expected)}, {stack}) as ({col}, {out})").withColumn("is_empty", F.col(out) == 0)
 
 

@@ -145,12 +145,17 @@ def check_schema(df: DataFrame, contract: Contract) -> DataFrame:
     return df.select(*cols)
 
 
+def _sql_string(text: str) -> str:
+    """A Spark SQL string literal (backslashes and quotes escaped)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def violation_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Lazy (rule, violations) table computed in a single aggregation pass."""
     if not rules:
         return df.sparkSession.createDataFrame([], "rule string, violations bigint")
     agg = df.agg(*[F.count_if(F.coalesce(r.violation, F.lit(False))).alias(f"r{i}") for i, r in enumerate(rules)])
-    stack = ", ".join(f"'{r.name.replace(chr(39), chr(39) * 2)}', r{i}" for i, r in enumerate(rules))
+    stack = ", ".join(f"{_sql_string(r.name)}, r{i}" for i, r in enumerate(rules))
     return agg.selectExpr(f"stack({len(rules)}, {stack}) as (rule, violations)")
 
 

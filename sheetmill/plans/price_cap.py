@@ -305,21 +305,23 @@ def period_dates(df: DataFrame, period_col: str = C.PERIOD_COL, strict: bool = T
     )
 
 
-SILVER_CONTRACT = Contract(
-    "silver consumption adjusted levels",
-    (
-        Field(PAYMENT, None, checks=(isin(PAYMENT, C.PAYMENT_METHODS),)),
-        Field(FUEL, None),
-        Field(CONSUMPTION, None, checks=(isin(CONSUMPTION, [C.NIL, C.TYPICAL]),)),
-        Field(COMPONENT, None, checks=(isin(COMPONENT, [c for c in C.COMPONENT_CATEGORY if c != "VAT"] + [C.TOTAL_INC_VAT]),)),
-        Field(C.PERIOD_COL, None, checks=(matches(C.PERIOD_COL, C.NORMALISED_PERIOD_PATTERN),)),
-        Field(VALUE, None, nullable=True),
-        Field(START, None),
-        Field(END, None),
-        Field(INTERVAL, None),
-        Field("metadata", None),
-    ),
-)
+def silver_contract() -> Contract:
+    """Contract of the silver levels table (built on demand: rules are Columns)."""
+    return Contract(
+        "silver consumption adjusted levels",
+        (
+            Field(PAYMENT, None, checks=(isin(PAYMENT, C.PAYMENT_METHODS),)),
+            Field(FUEL, None),
+            Field(CONSUMPTION, None, checks=(isin(CONSUMPTION, [C.NIL, C.TYPICAL]),)),
+            Field(COMPONENT, None, checks=(isin(COMPONENT, [c for c in C.COMPONENT_CATEGORY if c != "VAT"] + [C.TOTAL_INC_VAT]),)),
+            Field(C.PERIOD_COL, None, checks=(matches(C.PERIOD_COL, C.NORMALISED_PERIOD_PATTERN),)),
+            Field(VALUE, None, nullable=True),
+            Field(START, None),
+            Field(END, None),
+            Field(INTERVAL, None),
+            Field("metadata", None),
+        ),
+    )
 
 
 def silver_levels(grid: DataFrame, metadata: dict[str, str], sheet_name: str, validate: bool = True) -> DataFrame:
@@ -328,5 +330,6 @@ def silver_levels(grid: DataFrame, metadata: dict[str, str], sheet_name: str, va
     out = period_dates(tidy).withColumn(VALUE, to_number(VALUE))
     out = attach_metadata(out, {**metadata, "excel_sheet_name": sheet_name})
     if validate:
-        validate_rules(out, SILVER_CONTRACT.row_rules(), SILVER_CONTRACT.name)
+        contract = silver_contract()
+        validate_rules(out, contract.row_rules(), contract.name)
     return out
