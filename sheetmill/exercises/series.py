@@ -10,7 +10,7 @@ from sheetmill.functions import dates as J
 from sheetmill.functions.numeric import round_half_even
 from sheetmill.functions.text import ends_with_ci, extract_or_null, starts_with_ci, strip
 from sheetmill.operators import contracts as I
-from sheetmill.operators.joins import union_all
+from sheetmill.operators.joins import literal_table, union_all
 from sheetmill.operators.timeseries import diff, pct_change, period_over_period
 from sheetmill.plans import config as C
 from sheetmill.plans import price_cap as K
@@ -188,7 +188,7 @@ def i7_period_known(spark, sf):
     """Order quarters as period labels, checked against the publication calendar by
     parsed interval (anti join against the fixed 20-row calendar, broadcast)."""
     periods = _quarter_periods(spark, sf).withColumn("iv", J.parse_cap_period("period"))
-    cal = spark.createDataFrame([(p,) for p in C.PERIOD_PUBLICATION_DATES], "cal string").select(J.parse_cap_period("cal").alias("iv"))
+    cal = literal_table(spark, [(p,) for p in C.PERIOD_PUBLICATION_DATES], ["cal"]).select(J.parse_cap_period("cal").alias("iv"))
     return periods.join(F.broadcast(cal), on="iv", how="left_anti").select("period")
 
 

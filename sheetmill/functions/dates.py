@@ -66,8 +66,16 @@ def end_of_day(d: Column) -> Column:
 
 
 def interval_struct(left: Column, right: Column) -> Column:
-    """Closed interval [left, right]; Spark has no interval-range type, so a struct."""
-    return F.when(left.isNull() | right.isNull(), F.lit(None)).otherwise(F.struct(left.alias("left"), right.alias("right")))
+    """Closed interval [left, right]; Spark has no interval-range type, so a struct.
+    NULL when either end is NULL."""
+    return F.when(left.isNotNull() & right.isNotNull(), F.struct(left.alias("left"), right.alias("right")))
+
+
+def _tokens(s: Column, pattern: str) -> Column:
+    """Whitespace tokens of the part of ``s`` matching ``pattern`` (empty array when no
+    match): one regex evaluation per row, then cheap element lookups."""
+    m = F.regexp_extract(s, pattern, 0)
+    return F.when(m != "", F.split(m, r"\s+"))
 
 
 def parse_cap_period(text: Column | str, strict: bool = False) -> Column:
@@ -77,11 +85,10 @@ def parse_cap_period(text: Column | str, strict: bool = False) -> Column:
     start of the string only.
     """
     s = _col(text)
-    ok = s.rlike(CAP_PERIOD_PATTERN)
-    g = [F.regexp_extract(s, CAP_PERIOD_PATTERN, i) for i in range(1, 6)]
-    start = parse_day_month_year(F.concat_ws(" ", g[0], g[1], g[4]))
-    end = parse_day_month_year(F.concat_ws(" ", g[2], g[3], g[4]))
-    out = F.when(ok, interval_struct(start.cast("timestamp_ntz"), end_of_day(end)))
+    t = _tokens(s, CAP_PERIOD_PATTERN)  # [start day, start month, 'to', end day, end month, year]
+    start = parse_day_month_year(F.concat_ws(" ", t[0], t[1], t[5]))
+    end = parse_day_month_year(F.concat_ws(" ", t[3], t[4], t[5]))
+    out = interval_struct(start.cast("timestamp_ntz"), end_of_day(end))
     return _fail_if_null(out, s, "period does not match expected pattern") if strict else out
 
 
@@ -105,11 +112,12 @@ def cap_period_key(text: Column | str, strict: bool = False) -> Column:
 def parse_month_range(text: Column | str, strict: bool = False) -> Column:
     """J3 'Apr 2026 - Jun 2026' / 'April 2026 to June 2026' -> struct(first day, last second of last month)."""
     s = F.trim(_col(text))
-    ok = s.rlike(MONTH_RANGE_PATTERN)
-    g = [F.regexp_extract(s, MONTH_RANGE_PATTERN, i) for i in range(1, 5)]
-    start = parse_month_year(F.concat_ws(" ", g[0], g[1]))
-    end_month = parse_month_year(F.concat_ws(" ", g[2], g[3]))
-    out = F.when(ok, interval_struct(start.cast("timestamp_ntz"), end_of_day(F.last_day(end_month))))
+    m = F.regexp_extract(s, MONTH_RANGE_PATTERN, 0)
+    # "Apr 2026 - Jun 2026" / "April 2026to June 2026" -> [month, year, month, year]
+    t = F.when(m != "", F.split(F.regexp_replace(m, r"(?i)^([A-Za-z]+\s+\d{4})\s*(?:-|to)\s*", "$1 "), r"\s+"))
+    start = parse_month_year(F.concat_ws(" ", t[0], t[1]))
+    end_month = parse_month_year(F.concat_ws(" ", t[2], t[3]))
+    out = interval_struct(start.cast("timestamp_ntz"), end_of_day(F.last_day(end_month)))
     return _fail_if_null(out, _col(text), "month range does not match expected pattern") if strict else out
 
 

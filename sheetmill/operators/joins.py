@@ -18,11 +18,21 @@ from pyspark.sql import functions as F
 MAX_LITERAL_LOOKUP = 10_000
 
 
+def literal_table(spark: SparkSession, rows: Sequence[Sequence[object]], columns: Sequence[str], types: Sequence[str] | None = None) -> DataFrame:
+    """A small fixed table built JVM-side (an inline array of literal structs), so no
+    Python worker or RDD is involved; size-checked and hinted for broadcast."""
+    if len(rows) > MAX_LITERAL_LOOKUP:
+        raise ValueError(f"literal table with {len(rows)} rows; store it as a table instead")
+    types = list(types) if types is not None else ["string"] * len(columns)
+    structs = [F.struct(*[F.lit(v).cast(t).alias(c) for v, c, t in zip(r, columns, types, strict=True)]) for r in rows]
+    row_type = "struct<" + ",".join(f"`{c}`:{t}" for c, t in zip(columns, types, strict=True)) + ">"
+    arr = F.array(*structs) if structs else F.array_compact(F.array(F.lit(None).cast(row_type)))
+    return F.broadcast(spark.range(1).select(F.inline(arr)))
+
+
 def lookup_table(spark: SparkSession, mapping: dict, key: str, value: str, key_type: str = "string", value_type: str = "string") -> DataFrame:
     """A broadcast-safe lookup DataFrame from a fixed dict (size checked)."""
-    if len(mapping) > MAX_LITERAL_LOOKUP:
-        raise ValueError(f"literal lookup with {len(mapping)} entries; store it as a table instead")
-    return F.broadcast(spark.createDataFrame(list(mapping.items()), f"`{key}` {key_type}, `{value}` {value_type}"))
+    return literal_table(spark, list(mapping.items()), [key, value], [key_type, value_type])
 
 
 def map_values(col: Column | str, mapping: dict, default: object | None = None) -> Column:

@@ -42,17 +42,26 @@ def melt(
 
 
 def require_values(df: DataFrame, column: str, expected: Sequence[str], what: str = "value") -> None:
-    """D4/F6 fail when an expected value is absent from ``column``.
+    """D4/F6 fail when an expected value is absent from ``column``."""
+    require_values_in(df, {column: (list(expected), what)})
 
-    One aggregate job that returns only the expected values that were seen
-    (bounded by ``len(expected)``), never the column's distinct values.
+
+def require_values_in(df: DataFrame, checks: dict[str, tuple[Sequence[str], str]]) -> None:
+    """Several "expected values present" checks in ONE aggregation job.
+
+    ``checks`` maps column -> (expected values, label).  The job returns one boolean per
+    (column, value) pair, never the column's distinct values.
     """
-    seen_arr = df.agg(
-        F.array_compact(F.array(*[F.max(F.when(F.col(column) == F.lit(v), F.lit(v))) for v in expected])).alias("seen")
-    ).first()["seen"]
-    missing = sorted(set(expected) - set(seen_arr or []))
+    pairs = [(c, v) for c, (vals, _) in checks.items() for v in vals]
+    if not pairs:
+        return
+    row = df.agg(*[F.max(F.col(f"`{c}`") == F.lit(v)).alias(f"s{i}") for i, (c, v) in enumerate(pairs)]).first()
+    missing: dict[str, list[str]] = {}
+    for i, (c, v) in enumerate(pairs):
+        if not row[f"s{i}"]:
+            missing.setdefault(c, []).append(v)
     if missing:
-        raise ReshapeError(f"expected {what}(s) not found in '{column}': {missing}")
+        raise ReshapeError("; ".join(f"expected {checks[c][1]}(s) not found in '{c}': {sorted(vs)}" for c, vs in missing.items()))
 
 
 def pivot_mean(

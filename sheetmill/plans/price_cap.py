@@ -24,8 +24,8 @@ from sheetmill.functions.numeric import ratio, to_number
 from sheetmill.operators import grid as G
 from sheetmill.operators.columns import attach_metadata
 from sheetmill.operators.contracts import Contract, Field, isin, matches, validate_rules
-from sheetmill.operators.joins import map_values
-from sheetmill.operators.reshape import melt, pivot_mean, require_values
+from sheetmill.operators.joins import literal_table, map_values
+from sheetmill.operators.reshape import melt, pivot_mean, require_values, require_values_in
 from sheetmill.operators.timeseries import period_over_period
 from sheetmill.plans import config as C
 
@@ -96,10 +96,10 @@ def levels_with_vat(
 
 
 def _pivot_consumption(with_vat: DataFrame, fuels: Sequence[str], index_cols: Sequence[str], fuel_col: str, consumption_col: str, value_col: str, require: bool) -> DataFrame:
-    if require:
-        require_values(with_vat, fuel_col, list(fuels), what="fuel")
+    if require:  # fuels and both consumption levels checked in one job
+        require_values_in(with_vat, {fuel_col: (list(fuels), "fuel"), consumption_col: ([C.NIL, C.TYPICAL], "consumption level")})
     src = with_vat.where(q(fuel_col).isin(list(fuels)))
-    return pivot_mean(src, list(index_cols), consumption_col, value_col, [C.NIL, C.TYPICAL], require=require)
+    return pivot_mean(src, list(index_cols), consumption_col, value_col, [C.NIL, C.TYPICAL])
 
 
 def component_rates(
@@ -196,7 +196,7 @@ def price_ratio(
 
 
 def _specs(spark: SparkSession, name: str, values: Sequence[str]) -> DataFrame:
-    return F.broadcast(spark.createDataFrame([(v,) for v in values], f"`{name}` string"))
+    return literal_table(spark, [(v,) for v in values], [name])
 
 
 def tidy_tariff_tables(
