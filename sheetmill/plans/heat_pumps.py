@@ -22,6 +22,7 @@ from sheetmill.operators.columns import attach_metadata
 from sheetmill.operators.contracts import Contract, ContractError, Field, ge, isin, validate_rules
 from sheetmill.operators.joins import map_values
 from sheetmill.plans import config as C
+from sheetmill.session import materialize
 
 TAG = r"\[(note \d+)\]"
 ANY_TAG = r"\[note \d+\]"
@@ -47,7 +48,7 @@ def tidy_deployment_table(
     Tidy rows: sheet, Installation quarter, start, end, Notes, ``var_name``, value (text).
     """
     ks = [sheet]
-    cells = grid.where(F.col(G.VAL).isNotNull())
+    cells = materialize(grid.where(F.col(G.VAL).isNotNull()).select(sheet, G.ROW, G.COL, G.VAL))
     # C11 title = cell (0, 0) (the first header of the sheet); source = first 'Source:' cell of column 0 below it.
     facts = cells.groupBy(sheet).agg(
         F.max(F.when((F.col(G.ROW) == 0) & (F.col(G.COL) == 0), F.col(G.VAL))).alias("title"),
@@ -95,6 +96,7 @@ def _finish(headed, heads, col_notes, notes_d, facts, value_vars, var_name, requ
         end.alias(f"{C.QUARTER_HEADER} end"),
         F.concat(F.coalesce("__col_notes", F.lit("")), F.lit(" "), F.coalesce("__note", F.lit(""))).alias("Notes"),
     )
+    ids = materialize(ids)
     bad_q = ids.where(F.col(f"{C.QUARTER_HEADER} start").isNull()).limit(3).collect()
     if bad_q:
         raise ContractError("quarters", {"unparseable installation quarter": [r[C.QUARTER_HEADER] for r in bad_q]})
@@ -142,7 +144,7 @@ def _silver_contract(var: str, values: Sequence[str], extra: Sequence[Field] = (
 def heat_pumps_by_type(grid: DataFrame, notes: DataFrame, metadata: dict[str, str], sheet: str = "sheet_id", validate: bool = True) -> DataFrame:
     """K10 Table 1.1: installations per quarter and heat-pump type."""
     tidy, facts = tidy_deployment_table(grid, notes, "Table 1.1", C.TYPE_VALUE_VARS, "Type", require_notes=True, sheet=sheet)
-    out = _standardise(_silver(tidy, facts, metadata, sheet), [C.QUARTER_HEADER, f"{C.QUARTER_HEADER} start", f"{C.QUARTER_HEADER} end", "Notes", "Type", "value", "metadata"])
+    out = materialize(_standardise(_silver(tidy, facts, metadata, sheet), [C.QUARTER_HEADER, f"{C.QUARTER_HEADER} start", f"{C.QUARTER_HEADER} end", "Notes", "Type", "value", "metadata"]))
     if validate:
         contract = _silver_contract("type", C.TYPE_VALUE_VARS)
         validate_rules(out, contract.row_rules(), contract.name)
@@ -155,7 +157,7 @@ def heat_pumps_by_region(grid: DataFrame, notes: DataFrame, metadata: dict[str,
     tidy, facts = tidy_deployment_table(grid, notes, "Table 1.2", C.REGION_VALUE_VARS, "country_or_region", require_notes=False, sheet=sheet)
     out = _silver(tidy, facts, metadata, sheet)
     out = out.withColumn("area_code", map_values("country_or_region", C.AREA_CODES, default="N/A")).withColumn("geographic_level", map_values("country_or_region", C.GEOGRAPHIC_LEVEL))
-    out = _standardise(out, [C.QUARTER_HEADER, f"{C.QUARTER_HEADER} start", f"{C.QUARTER_HEADER} end", "Notes", "country_or_region", "value", "metadata", "area_code", "geographic_level"])
+    out = materialize(_standardise(out, [C.QUARTER_HEADER, f"{C.QUARTER_HEADER} start", f"{C.QUARTER_HEADER} end", "Notes", "country_or_region", "value", "metadata", "area_code", "geographic_level"]))
     if validate:
         extra = (
             Field("area_code", T.StringType(), checks=(isin("area_code", sorted(set(C.AREA_CODES.values()))),)),

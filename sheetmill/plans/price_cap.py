@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sheetmill.functions.dates import normalise_months, parse_month_range
 from sheetmill.functions.numeric import ratio, to_number
@@ -28,6 +29,7 @@ from sheetmill.operators.joins import literal_table, map_values
 from sheetmill.operators.reshape import melt, pivot_mean, require_values, require_values_in
 from sheetmill.operators.timeseries import period_over_period
 from sheetmill.plans import config as C
+from sheetmill.session import materialize
 
 PAYMENT, FUEL, CONSUMPTION, COMPONENT, VALUE = "Payment method", "Fuel", "Consumption", "Tariff component", "value"
 START, END, INTERVAL = f"{C.PERIOD_COL} start", f"{C.PERIOD_COL} end", f"{C.PERIOD_COL} interval"
@@ -218,7 +220,7 @@ def tidy_tariff_tables(
     C8 header cells; D1 long form; E3 drop rows without a component; J4 month names.
     """
     spark = grid.sparkSession
-    g = grid.where(F.col(G.VAL).isNotNull())
+    g = materialize(grid.where(F.col(G.VAL).isNotNull()).select(sheet, G.ROW, G.COL, G.VAL))
     pays = _specs(spark, PAYMENT, payment_methods)
     starts = (
         g.where((F.col(G.COL) == label_col) & (F.col(G.ROW) > 0))
@@ -238,7 +240,7 @@ def tidy_tariff_tables(
     bounds = ends.where(F.col("end_row").isNotNull()).select(sheet, PAYMENT, "start_row", "end_row")
     section = G.slice_rows(g, bounds, [sheet]).select(sheet, PAYMENT, G.ROW, G.COL, G.VAL)
     keys = [sheet, PAYMENT]
-    dense = G.ffill_right(G.drop_empty(section, keys), keys)
+    dense = materialize(G.ffill_right(G.drop_empty(section, keys), keys))
 
     fuel_specs = _specs(spark, FUEL, fuels)
     fuel_cols = dense.join(fuel_specs, F.col(G.VAL) == q(FUEL)).groupBy(*keys, FUEL).agg(F.min(G.COL).alias("fuel_col"), F.collect_set(G.COL).alias("fuel_cols"))
@@ -316,9 +318,9 @@ def silver_contract() -> Contract:
             Field(COMPONENT, None, checks=(isin(COMPONENT, [c for c in C.COMPONENT_CATEGORY if c != "VAT"] + [C.TOTAL_INC_VAT]),)),
             Field(C.PERIOD_COL, None, checks=(matches(C.PERIOD_COL, C.NORMALISED_PERIOD_PATTERN),)),
             Field(VALUE, None, nullable=True),
-            Field(START, None),
-            Field(END, None),
-            Field(INTERVAL, None),
+            Field(START, T.TimestampNTZType()),
+            Field(END, T.TimestampNTZType()),
+            Field(INTERVAL, T.StructType([T.StructField("left", T.TimestampNTZType()), T.StructField("right", T.TimestampNTZType())])),
             Field("metadata", None),
         ),
     )
@@ -327,8 +329,10 @@ def silver_contract() -> Contract:
 def silver_levels(grid: DataFrame, metadata: dict[str, str], sheet_name: str, validate: bool = True) -> DataFrame:
     """K8 + K9 + E9 + E11: the validated silver table from the sheet's cell grid."""
     tidy = tidy_tariff_tables(grid)
-    out = period_dates(tidy).withColumn(VALUE, to_number(VALUE))
-    out = attach_metadata(out, {**metadata, "excel_sheet_name": sheet_name})
+    # Lenient parse here; unparseable periods fail the contract's not-null rules below
+    # (a raise inside a lazy column could fire on rows a later filter would remove).
+    out = period_dates(tidy, strict=False).withColumn(VALUE, to_number(VALUE))
+    out = materialize(attach_metadata(out, {**metadata, "excel_sheet_name": sheet_name}))
     if validate:
         contract = silver_contract()
         validate_rules(out, contract.row_rules(), contract.name)

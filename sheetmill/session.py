@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "sheetmill") -> SparkSession:
@@ -68,3 +68,12 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and return a DataFrame reading
+    it back (lineage cut).  Used where a deep plan feeds several actions (eager checks
+    followed by the build): the plan runs once, and a lost executor recomputes from the
+    checkpoint files instead of from the sources.  Never a machine-local checkpoint."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
