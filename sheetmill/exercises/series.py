@@ -193,12 +193,13 @@ def i7_period_known(spark, sf):
 
 
 def _monthly_calendar(spark, sf):
+    """(period, publication_date) per month + the latest publication at or before the
+    as-of date: a one-row aggregate, read back as a scalar (bounded)."""
     o = table(spark, sf, "orders")
     cal = o.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("period")).agg(F.min("o_orderdate").alias("publication_date"))
     asof = F.lit(ASOF).cast("timestamp_ntz")
-    # The calendar has one row per month: a global window over it is bounded.
-    latest = F.max(F.when(F.col("publication_date") <= asof, F.col("publication_date"))).over(Window.partitionBy())
-    return cal.withColumn("latest", latest)
+    latest = cal.agg(F.max(F.when(F.col("publication_date") <= asof, F.col("publication_date"))).alias("latest")).first()["latest"]
+    return cal, latest
 
 
 @exercise(
@@ -208,8 +209,9 @@ def _monthly_calendar(spark, sf):
 )
 def i8_period_is_latest(spark, sf):
     """Monthly publication calendar derived from orders; which period is the latest published as of a date."""
-    cal = _monthly_calendar(spark, sf)
-    return cal.select("period", "publication_date", F.coalesce(F.col("publication_date") == F.col("latest"), F.lit(False)).alias("is_latest"))
+    cal, latest = _monthly_calendar(spark, sf)
+    is_latest = F.lit(False) if latest is None else F.col("publication_date") == F.lit(latest).cast("timestamp_ntz")
+    return cal.select("period", "publication_date", F.coalesce(is_latest, F.lit(False)).alias("is_latest"))
 
 
 @exercise(
@@ -221,13 +223,11 @@ def i8_period_is_latest(spark, sf):
 )
 def i9_url_month_is_latest(spark, sf):
     """File URLs stamped with the order month: does the URL month equal the month of the latest publication?"""
-    cal = _monthly_calendar(spark, sf)
-    latest_month = cal.agg(F.date_format(F.max("latest"), "yyyy-MM").alias("m"))
+    _, latest = _monthly_calendar(spark, sf)
+    latest_month = None if latest is None else latest.strftime("%Y-%m")
     o = table(spark, sf, "orders").select(F.concat(F.lit("https://example.org/files/"), F.date_format("o_orderdate", "yyyy-MM"), F.lit("/annex.xlsx")).alias("url"))
-    months = o.select(F.regexp_extract("url", r"(\d{4}-\d{2})", 1).alias("url_month")).groupBy("url_month").agg(F.count(F.lit(1)).alias("n"))
-    # Both sides are aggregates (one row per month / one row): the join is bounded.
-    j = months.join(F.broadcast(latest_month), how="left", on=F.lit(True))
-    return j.groupBy((F.col("url_month") == F.col("m")).alias("ok")).agg(F.sum("n").alias("n"))
+    url_month = F.regexp_extract("url", r"(\d{4}-\d{2})", 1)
+    return o.groupBy((url_month == F.lit(latest_month)).alias("ok")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @exercise(

@@ -148,14 +148,36 @@ def slice_rows(grid: DataFrame, bounds: DataFrame, keys: Sequence[str] = ("sheet
     return j.where((F.col(ROW) >= F.col(start)) & (F.col(end).isNull() | upper))
 
 
-def drop_empty(grid: DataFrame, keys: Sequence[str] = ("sheet_id",)) -> DataFrame:
+def dense_renumber(df: DataFrame, keys: Sequence[str], col: str, bucket: int = 4096) -> DataFrame:
+    """(keys, col, new) where ``new`` = 0-based dense rank of ``col`` within ``keys``.
+
+    Only the distinct values are ranked, and in buckets of ``bucket`` consecutive
+    values: a window ranks inside each (keys, bucket) and a per-bucket count table (one
+    row per bucket) gives each bucket's offset.  A key with a huge number of distinct
+    values is therefore spread over many tasks instead of one window partition.
+    """
+    ks = _k(keys)
+    d = df.select(*ks, col).where(F.col(col).isNotNull()).distinct().withColumn("__b", F.floor(F.col(col) / bucket))
+    within = d.withColumn("__r", F.row_number().over(Window.partitionBy(*ks, "__b").orderBy(col)) - 1)
+    counts = d.groupBy(*ks, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(Window.partitionBy(*ks).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return within.join(offsets.select(*ks, "__b", "__off"), on=[*ks, "__b"]).select(*ks, col, (F.col("__off") + F.col("__r")).cast("int").alias("__new"))
+
+
+def drop_empty(grid: DataFrame, keys: Sequence[str] = ("sheet_id",), bucket: int = 4096) -> DataFrame:
     """C6 drop blank rows and columns and renumber both from 0 (dense ranks of the
-    surviving row and column numbers per key).  Blank = absent or NULL."""
+    surviving row and column numbers per key).  Blank = absent or NULL.
+
+    Ranks are computed on the distinct row / column numbers only (see
+    ``dense_renumber``) and joined back on (keys, row) and (keys, col), so the cells
+    themselves are shuffled by row, never gathered per sheet.
+    """
     ks = _k(keys)
     cells = grid.where(F.col(VAL).isNotNull())
-    wr = Window.partitionBy(*ks).orderBy(ROW)
-    wc = Window.partitionBy(*ks).orderBy(COL)
-    return cells.withColumn(ROW, (F.dense_rank().over(wr) - 1).cast("int")).withColumn(COL, (F.dense_rank().over(wc) - 1).cast("int"))
+    rows = dense_renumber(cells, ks, ROW, bucket).withColumnRenamed("__new", "__row")
+    cols = dense_renumber(cells, ks, COL, bucket).withColumnRenamed("__new", "__col")
+    out = cells.join(rows, on=[*ks, ROW]).join(cols, on=[*ks, COL])
+    return out.select(*[c for c in grid.columns if c not in (ROW, COL)], F.col("__row").alias(ROW), F.col("__col").alias(COL)).select(*grid.columns)
 
 
 def ffill_right(grid: DataFrame, keys: Sequence[str] = ("sheet_id",)) -> DataFrame:
