@@ -188,8 +188,10 @@ def i7_period_known(spark, sf):
     """Order quarters as period labels, checked against the publication calendar by
     parsed interval (anti join against the fixed 20-row calendar, broadcast)."""
     periods = _quarter_periods(spark, sf).withColumn("iv", J.parse_cap_period("period"))
-    cal = literal_table(spark, [(p,) for p in C.PERIOD_PUBLICATION_DATES], ["cal"]).select(J.parse_cap_period("cal").alias("iv"))
-    return periods.join(F.broadcast(cal), on="iv", how="left_anti").select("period")
+    cal = literal_table(spark, [(p,) for p in C.PERIOD_PUBLICATION_DATES], ["cal"]).select(J.parse_cap_period("cal").alias("iv"), F.lit(True).alias("known"))
+    # Left join + IS NULL rather than left_anti: the optimizer pushes an anti join below
+    # the distinct, which would parse every input row instead of every distinct label.
+    return periods.join(F.broadcast(cal), on="iv", how="left").where(F.col("known").isNull()).select("period")
 
 
 def _monthly_calendar(spark, sf):
@@ -585,3 +587,25 @@ def k5_price_ratio(spark, sf):
 def k9_period_dates(spark, sf):
     out = K.period_dates(_month_ranges(spark, sf), period_col="period")
     return out.select("period", F.col("period start").alias("period_start"), F.col("period end").alias("period_end"), F.col("period interval.left").alias("interval_left"), F.col("period interval.right").alias("interval_right"))
+
+
+@exercise(
+    "H4_nth_in_group",
+    """SELECT o_custkey, o_orderkey, o_orderdate FROM (
+         SELECT o_custkey, o_orderkey, o_orderdate, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) t
+       WHERE rn = 2""",
+)
+def h4_nth_in_group(spark, sf):
+    """The 2nd order of every customer (nth occurrence per group)."""
+    from sheetmill.operators.timeseries import nth_in_group
+
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    return nth_in_group(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], 2)
+
+
+@exercise("I13_required_key", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+def i13_required_key(spark, sf):
+    """A required key read in strict mode (a missing key fails the job, naming the path)."""
+    from sheetmill.sources.manifest import nested_get
+
+    return table(spark, sf, "events").select("event_id", nested_get("props", ["k"], strict=True).alias("k"))

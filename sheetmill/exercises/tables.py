@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sheetmill.exercises._registry import exercise, table
-from sheetmill.functions.numeric import inf_to_null, ratio, strict_cast, to_number
+from sheetmill.functions.numeric import ratio, strict_cast, to_number
 from sheetmill.functions.text import citation
 from sheetmill.operators import aggregate as A
 from sheetmill.operators import columns as E
@@ -333,5 +333,38 @@ def g12_empty_groups(spark, sf):
     return A.empty_groups(table(spark, sf, "events"), "event_type", EVENT_TYPES)
 
 
-def _unused():  # keep linters quiet about helpers used only in some exercises
-    return inf_to_null
+# ------------------------------------------------------------------ rows used inside other operators, exercised directly
+
+
+@exercise("D6_rename_reorder", "SELECT n_regionkey AS region, n_name AS nation FROM nation")
+def d6_rename_reorder(spark, sf):
+    """Rename (names not present are ignored), drop and reorder."""
+    nation = D.rename_columns(table(spark, sf, "nation"), {"n_name": "nation", "n_regionkey": "region", "no_such_column": "x"})
+    return nation.drop("n_nationkey").select("region", "nation")
+
+
+@exercise("E8_constant_column", "SELECT r_regionkey, 'Nil consumption' AS consumption, CAST(1 AS INTEGER) AS version FROM region")
+def e8_constant_column(spark, sf):
+    return table(spark, sf, "region").select("r_regionkey").withColumns({"consumption": F.lit("Nil consumption"), "version": F.lit(1)})
+
+
+@exercise("E12_split_columns", "SELECT o_orderkey, o_orderdate AS start, o_totalprice AS value FROM orders")
+def e12_split_columns(spark, sf):
+    """Several derived columns exposed from one computed frame (a projection)."""
+    o = table(spark, sf, "orders")
+    return o.select("o_orderkey", F.col("o_orderdate").alias("start"), F.col("o_totalprice").alias("value"))
+
+
+@exercise(
+    "G2_group_mean",
+    "SELECT l_returnflag, round(avg(l_quantity), 6) AS avg_qty FROM lineitem WHERE l_returnflag IS NOT NULL GROUP BY l_returnflag",
+)
+def g2_group_mean(spark, sf):
+    li = table(spark, sf, "lineitem").where(F.col("l_returnflag").isNotNull())
+    return li.groupBy("l_returnflag").agg(F.round(F.avg("l_quantity"), 6).alias("avg_qty"))
+
+
+@exercise("G8_sort_by_period", "SELECT o_orderdate, o_orderkey, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey")
+def g8_sort_by_period(spark, sf):
+    """Sort by period start with every key as a tie-break (range-partitioned global sort)."""
+    return table(spark, sf, "orders").select("o_orderdate", "o_orderkey", "o_totalprice").orderBy("o_orderdate", "o_orderkey")
