@@ -201,19 +201,6 @@ def ffill_right(grid: DataFrame, keys: Sequence[str] = ("sheet_id",)) -> DataFra
     return out.where(F.col(VAL).isNotNull())
 
 
-def carry_down(grid: DataFrame, keys: Sequence[str] = ("sheet_id",), split_rows: int | None = None) -> DataFrame:
-    """Vertical fill (a cell takes the last value above it in its column), densified per
-    column over the rows present.  ``split_rows`` spreads one huge sheet over tasks."""
-    from sheetmill.operators.timeseries import carry_forward
-
-    ks = _k(keys)
-    rows = grid.select(*ks, ROW).distinct()
-    cols = grid.select(*ks, COL).distinct()
-    dense = rows.join(cols, on=ks).join(grid, on=[*ks, ROW, COL], how="left")
-    split = None if split_rows is None else F.floor(F.col(ROW) / split_rows)
-    return carry_forward(dense, [*ks, COL], [ROW], VAL, split_by=split).where(F.col(VAL).isNotNull())
-
-
 # ---------------------------------------------------------------- headers
 
 

@@ -153,3 +153,11 @@ def test_apply_notes(spark):
     out = {r["Installation quarter"]: r["Notes"] for r in G.apply_notes(df, notes, "Installation quarter").collect()}
     assert out == {"2024 Q1": " Col note. Row note.", "2024 Q2": " Col note. "}
     assert "Total" in G.apply_notes(df, notes, "Installation quarter").columns
+
+
+def test_dense_renumber_across_buckets(spark):
+    rnd = random.Random(3)
+    rows = sorted({rnd.randint(0, 500) for _ in range(120)})
+    df = spark.createDataFrame([("s", r) for r in rows] + [("t", 7), ("t", 3)], "sheet_id string, row_idx int")
+    got = {(r["sheet_id"], r["row_idx"]): r["__new"] for r in G.dense_renumber(df, ["sheet_id"], "row_idx", bucket=16).collect()}
+    assert got == {**{("s", r): i for i, r in enumerate(rows)}, ("t", 3): 0, ("t", 7): 1}
