@@ -40,15 +40,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
     Reads ``spark.checkpoint.dir`` (or the directory already registered on the
-    SparkContext).  When neither is set, as in local tests, a fresh folder is
-    created and registered so ``DataFrame.checkpoint()`` works.
+    SparkContext).  When neither is set: in local mode (tests) a fresh folder is
+    created and registered so ``DataFrame.checkpoint()`` works; on a cluster this is an
+    error, because a machine-local folder would not survive executor loss.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="sheetmill-ckpt-")
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS / object store): checkpoints and staged tables must survive executor loss")
+        root = tempfile.mkdtemp(prefix="sheetmill-ckpt-")  # local mode only (tests)
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
