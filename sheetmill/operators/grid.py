@@ -164,19 +164,32 @@ def dense_renumber(df: DataFrame, keys: Sequence[str], col: str, bucket: int = 4
     return within.join(offsets.select(*ks, "__b", "__off"), on=[*ks, "__b"]).select(*ks, col, (F.col("__off") + F.col("__r")).cast("int").alias("__new"))
 
 
+def _rank_cells_by_buckets(cells: DataFrame, ks: list[str], col: str, bucket: int, out: str) -> DataFrame:
+    """Dense rank of ``col`` per key, computed on the cells themselves: a window per
+    (key, bucket of ``col``) gives the rank inside the bucket and the bucket's count of
+    distinct values (same shuffle), and a one-row-per-bucket offsets table is joined back."""
+    b = F.floor(F.col(col) / bucket)
+    w = Window.partitionBy(*ks, "__b").orderBy(col)
+    ranked = cells.withColumn("__b", b).withColumn("__lr", F.dense_rank().over(w) - 1)
+    counts = ranked.groupBy(*ks, "__b").agg((F.max("__lr") + 1).alias("__n"))
+    offsets = counts.select(*ks, "__b", F.coalesce(F.sum("__n").over(Window.partitionBy(*ks).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    return ranked.join(offsets, on=[*ks, "__b"]).withColumn(out, (F.col("__off") + F.col("__lr")).cast("int")).drop("__b", "__lr", "__off")
+
+
 def drop_empty(grid: DataFrame, keys: Sequence[str] = ("sheet_id",), bucket: int = 4096) -> DataFrame:
     """C6 drop blank rows and columns and renumber both from 0 (dense ranks of the
     surviving row and column numbers per key).  Blank = absent or NULL.
 
-    Ranks are computed on the distinct row / column numbers only (see
-    ``dense_renumber``) and joined back on (keys, row) and (keys, col), so the cells
-    themselves are shuffled by row, never gathered per sheet.
+    Skew-safe: rows are ranked in windows per (key, bucket of rows), so one huge
+    sheet is spread over many tasks; per-bucket offsets come from a one-row-per-bucket
+    table.  Columns are ranked on the distinct (key, column) set (small after
+    partial aggregation, see ``dense_renumber``) and joined back.
     """
     ks = _k(keys)
     cells = grid.where(F.col(VAL).isNotNull())
-    rows = dense_renumber(cells, ks, ROW, bucket).withColumnRenamed("__new", "__row")
+    rows = _rank_cells_by_buckets(cells, ks, ROW, bucket, "__row")
     cols = dense_renumber(cells, ks, COL, bucket).withColumnRenamed("__new", "__col")
-    out = cells.join(rows, on=[*ks, ROW]).join(cols, on=[*ks, COL])
+    out = rows.join(cols, on=[*ks, COL])
     return out.select(*[c for c in grid.columns if c not in (ROW, COL)], F.col("__row").alias(ROW), F.col("__col").alias(COL)).select(*grid.columns)
 
 

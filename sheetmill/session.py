@@ -18,8 +18,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
     """Build (or reuse) a session with the settings every operator here assumes.
 
     AQE is on so joins against derived tables pick broadcast or sort-merge at run time
-    from measured sizes, skewed shuffle partitions are split, and small partitions are
-    coalesced.  The session time zone is pinned to UTC so date formatting is stable.
+    from measured sizes (static size-estimate broadcasts are off), skewed shuffle
+    partitions are split, and small partitions are coalesced.  The session time zone is pinned to UTC so date formatting is stable.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -29,6 +29,13 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Broadcast decisions on MEASURED sizes only: static estimates of derived tables
+        # (e.g. after explode) can be orders of magnitude low, and a statically planned
+        # broadcast cannot be undone at run time.  AQE broadcasts a join side whose
+        # actual shuffle output is below the adaptive threshold; explicit hints on
+        # fixed literal tables still broadcast.
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
