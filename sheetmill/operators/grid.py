@@ -291,7 +291,8 @@ def apply_notes(df: DataFrame, notes: DataFrame, row_col: str, notes_col: str =
     wanted = sorted({r for _, r in refs if r})
     lookup: dict[str, str] = {}
     if wanted:
-        lookup = {r["note_ref"]: r["note_text"] for r in notes.where(F.col("note_ref").isin(wanted)).select("note_ref", "note_text").collect()}
+        hits = notes.where(F.col("note_ref").isin(wanted)).groupBy("note_ref").agg(F.first("note_text").alias("note_text"))
+        lookup = {r["note_ref"]: r["note_text"] for r in hits.collect()}  # at most len(wanted) rows
     prefix = "".join(" " + (lookup.get(r) or "") for _, r in refs if r)
     renamed = df.select(*[F.col(f"`{c}`").alias(c.replace(f"[{r}]", "").strip() if r else c) for c, r in refs])
     dedup = notes.groupBy("note_ref").agg(F.first("note_text").alias("__note_text"))
