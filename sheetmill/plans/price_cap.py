@@ -337,3 +337,47 @@ def silver_levels(grid: DataFrame, metadata: dict[str, str], sheet_name: str, va
         contract = silver_contract()
         validate_rules(out, contract.row_rules(), contract.name)
     return out
+
+
+def gold_contracts() -> dict[str, Contract]:
+    """Strict contracts of the four gold tables (built on demand: rules are Columns)."""
+    s, d, ts, meta = T.StringType(), T.DoubleType(), T.TimestampNTZType(), T.MapType(T.StringType(), T.StringType())
+    interval = T.StructType([T.StructField("left", ts), T.StructField("right", ts)])
+    components = list(C.COMPONENT_CATEGORY)
+    categories = sorted(set(C.COMPONENT_CATEGORY.values()))
+    benchmark_fuels = list(C.BENCHMARK_CONSUMPTION)
+
+    def common(fuels: list[str] | None) -> tuple[Field, ...]:
+        return (
+            Field(PAYMENT, s, checks=(isin(PAYMENT, C.PAYMENT_METHODS),)),
+            Field(FUEL, s, checks=(isin(FUEL, fuels),) if fuels else ()),
+            Field(COMPONENT, s, checks=(isin(COMPONENT, components),)),
+            Field("Component category", s, checks=(isin("Component category", categories),)),
+            Field(C.PERIOD_COL, s),
+            Field(START, ts),
+            Field(END, ts),
+        )
+
+    changes = (Field("change_from_previous_period", d, nullable=True), Field("pct_change_from_previous_period", d, nullable=True))
+    rates = common(benchmark_fuels) + (Field("Type", s), Field("Unit", s), Field(VALUE, d), Field("metadata", meta)) + changes
+    return {
+        "1c_consumption_adjusted_levels_with_vat": Contract(
+            "gold levels with VAT",
+            common(None) + (Field(CONSUMPTION, s, checks=(isin(CONSUMPTION, [C.NIL, C.TYPICAL]),)), Field(VALUE, d, nullable=True), Field(INTERVAL, interval), Field("metadata", meta)) + changes,
+        ),
+        "tariff_component_rates": Contract("gold component rates", rates),
+        "annual_bill_fixed_and_variable_component_contributions": Contract("gold annual bill contributions", rates),
+        "price_ratios": Contract(
+            "gold price ratios",
+            (
+                Field(PAYMENT, s, checks=(isin(PAYMENT, C.PAYMENT_METHODS),)),
+                Field(C.PERIOD_COL, s),
+                Field(START, ts),
+                Field(END, ts),
+                Field("Variable", s, checks=(isin("Variable", ["Electricity to gas price ratio"]),)),
+                Field(VALUE, d, nullable=True),
+                Field("metadata", meta),
+            )
+            + changes,
+        ),
+    }

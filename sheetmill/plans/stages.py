@@ -85,7 +85,8 @@ def price_cap_gold(spark: SparkSession, root: str, sheet_name: str = LEVELS_SHEE
         "price_ratios": K.price_ratio(K.total_unit_rates(rates), metadata=metadata),
         "annual_bill_fixed_and_variable_component_contributions": K.gold_rates(bill, metadata),
     }
-    return {name: medallion.publish(df, root, "gold", PRICE_CAP, name, "period", key) for name, df in outputs.items()}
+    contracts = K.gold_contracts()
+    return {name: medallion.publish(df, root, "gold", PRICE_CAP, name, "period", key, contract=contracts[name]) for name, df in outputs.items()}
 
 
 def heat_pumps_silver(spark: SparkSession, root: str) -> dict[str, dict[str, str]]:
