@@ -239,3 +239,19 @@ def require_components_sum(df: DataFrame, group_cols: Sequence[str], **kw) -> No
     examples = bad.limit(5).collect()
     if examples:
         raise ContractError("components_sum_to_total", {"groups": [r.asDict() for r in examples]})
+
+
+def fresh_within_months(col: str, asof: Column, months: int = 3) -> Rule:
+    """I10 (year*12 + month) of the as-of date minus that of the value must be <= ``months``;
+    NULL or unparseable dates fail.  Future dates pass (negative difference)."""
+    c = F.col(f"`{col}`")
+    idx = lambda d: F.year(d) * 12 + F.month(d)
+    return Rule(f"{col} within {months} months", c.isNull() | ((idx(asof) - idx(c)) > months), c.cast("string"))
+
+
+def url_month_is(col: str, month: Column) -> Rule:
+    """I9 the first yyyy-MM in the URL must equal ``month`` (e.g. the latest publication
+    month as of a date); a URL without one fails."""
+    c = F.col(f"`{col}`")
+    found = F.regexp_extract(c, r"(\d{4}-\d{2})", 1)
+    return Rule(f"{col} month", (found == "") | (found != month), c)

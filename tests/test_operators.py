@@ -161,3 +161,15 @@ def test_dense_renumber_across_buckets(spark):
     df = spark.createDataFrame([("s", r) for r in rows] + [("t", 7), ("t", 3)], "sheet_id string, row_idx int")
     got = {(r["sheet_id"], r["row_idx"]): r["__new"] for r in G.dense_renumber(df, ["sheet_id"], "row_idx", bucket=16).collect()}
     assert got == {**{("s", r): i for i, r in enumerate(rows)}, ("t", 3): 0, ("t", 7): 1}
+
+
+def test_freshness_and_url_month_rules(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame(
+        [(dt.datetime(2025, 8, 1), "https://x.org/2025-11/f.xlsx"), (dt.datetime(2025, 7, 31), "https://x.org/2025-10/f.xlsx"), (None, "https://x.org/f.xlsx"), (dt.datetime(2026, 3, 1), None)],
+        "d timestamp_ntz, url string",
+    )
+    asof = F.lit("2025-11-21 00:00:00").cast("timestamp_ntz")
+    counts = {r["rule"]: r["violations"] for r in I.violation_counts(df, [I.fresh_within_months("d", asof), I.url_month_is("url", F.lit("2025-11"))]).collect()}
+    assert counts == {"d within 3 months": 2, "url month": 2}
