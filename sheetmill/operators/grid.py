@@ -149,47 +149,40 @@ def slice_rows(grid: DataFrame, bounds: DataFrame, keys: Sequence[str] = ("sheet
 
 
 def dense_renumber(df: DataFrame, keys: Sequence[str], col: str, bucket: int = 4096) -> DataFrame:
-    """(keys, col, new) where ``new`` = 0-based dense rank of ``col`` within ``keys``.
-
-    Only the distinct values are ranked, and in buckets of ``bucket`` consecutive
-    values: a window ranks inside each (keys, bucket) and a per-bucket count table (one
-    row per bucket) gives each bucket's offset.  A key with a huge number of distinct
-    values is therefore spread over many tasks instead of one window partition.
+    """(keys, col, __new) where ``__new`` = 0-based dense rank of ``col`` within ``keys``.
+
+    Only the distinct values are ranked (partial aggregation first, so a key with many
+    cells per value costs one row per value and task), and in buckets of ``bucket``
+    consecutive values: one window per (keys, bucket) gives the rank inside the bucket
+    and the bucket's size, and a one-row-per-bucket table gives each bucket's offset.
+    A key with a huge number of distinct values is therefore spread over many tasks
+    instead of one window partition.
     """
     ks = _k(keys)
     d = df.select(*ks, col).where(F.col(col).isNotNull()).distinct().withColumn("__b", F.floor(F.col(col) / bucket))
-    within = d.withColumn("__r", F.row_number().over(Window.partitionBy(*ks, "__b").orderBy(col)) - 1)
-    counts = d.groupBy(*ks, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(Window.partitionBy(*ks).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return within.join(offsets.select(*ks, "__b", "__off"), on=[*ks, "__b"]).select(*ks, col, (F.col("__off") + F.col("__r")).cast("int").alias("__new"))
-
-
-def _rank_cells_by_buckets(cells: DataFrame, ks: list[str], col: str, bucket: int, out: str) -> DataFrame:
-    """Dense rank of ``col`` per key, computed on the cells themselves: a window per
-    (key, bucket of ``col``) gives the rank inside the bucket and the bucket's count of
-    distinct values (same shuffle), and a one-row-per-bucket offsets table is joined back."""
-    b = F.floor(F.col(col) / bucket)
-    w = Window.partitionBy(*ks, "__b").orderBy(col)
-    ranked = cells.withColumn("__b", b).withColumn("__lr", F.dense_rank().over(w) - 1)
-    counts = ranked.groupBy(*ks, "__b").agg((F.max("__lr") + 1).alias("__n"))
-    offsets = counts.select(*ks, "__b", F.coalesce(F.sum("__n").over(Window.partitionBy(*ks).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    return ranked.join(offsets, on=[*ks, "__b"]).withColumn(out, (F.col("__off") + F.col("__lr")).cast("int")).drop("__b", "__lr", "__off")
+    wb = Window.partitionBy(*ks, "__b")
+    within = d.withColumn("__r", F.row_number().over(wb.orderBy(col)) - 1).withColumn("__n", F.count(F.lit(1)).over(wb))
+    counts = within.groupBy(*ks, "__b").agg(F.max("__n").alias("__n"))
+    before = Window.partitionBy(*ks).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*ks, "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    return within.join(offsets, on=[*ks, "__b"]).select(*ks, col, (F.col("__off") + F.col("__r")).cast("int").alias("__new"))
 
 
 def drop_empty(grid: DataFrame, keys: Sequence[str] = ("sheet_id",), bucket: int = 4096) -> DataFrame:
     """C6 drop blank rows and columns and renumber both from 0 (dense ranks of the
     surviving row and column numbers per key).  Blank = absent or NULL.
 
-    Skew-safe: rows are ranked in windows per (key, bucket of rows), so one huge
-    sheet is spread over many tasks; per-bucket offsets come from a one-row-per-bucket
-    table.  Columns are ranked on the distinct (key, column) set (small after
-    partial aggregation, see ``dense_renumber``) and joined back.
+    Only the distinct (key, row) and (key, column) values are ranked (``dense_renumber``:
+    partial aggregation, then bucketed windows, so one huge sheet is spread over many
+    tasks), and the two rank tables are joined back to the cells on equi-keys.  When a
+    rank table is small, AQE broadcasts it on its measured size and the cells are not
+    shuffled at all; otherwise both joins are sort-merge joins, skew-split by AQE.
     """
     ks = _k(keys)
     cells = grid.where(F.col(VAL).isNotNull())
-    rows = _rank_cells_by_buckets(cells, ks, ROW, bucket, "__row")
+    rows = dense_renumber(cells, ks, ROW, bucket).withColumnRenamed("__new", "__row")
     cols = dense_renumber(cells, ks, COL, bucket).withColumnRenamed("__new", "__col")
-    out = rows.join(cols, on=[*ks, COL])
+    out = cells.join(rows, on=[*ks, ROW]).join(cols, on=[*ks, COL])
     return out.select(*[c for c in grid.columns if c not in (ROW, COL)], F.col("__row").alias(ROW), F.col("__col").alias(COL)).select(*grid.columns)
 
 
@@ -197,21 +190,24 @@ def ffill_right(grid: DataFrame, keys: Sequence[str] = ("sheet_id",)) -> DataFra
     """C7 fill every blank cell from the nearest non-blank cell to its LEFT in the same row,
     over the columns present in the section (merged headers become repeated labels).
 
-    Output is dense from each row's first value to the section's last column.  Per row
-    the cells are gathered into a map (bounded by the sheet width); the fill is a
-    higher-order expression over the section's column list.  One shuffle by
-    (keys, row), plus a per-key column list joined on the keys.
+    Output is dense from each row's first value to the section's last column.  A
+    skeleton of the output positions (per row: the section's columns from the row's
+    first value on; per-key column list bounded by the sheet width) is unioned with the
+    cells, and ``last(value, ignorenulls)`` runs over a window per (keys, row) ordered by
+    column: O(W log W) per row of width W, one row per window partition (never a whole
+    sheet), and no per-row lookups.
     """
     ks = _k(keys)
+    cells = grid.where(F.col(VAL).isNotNull())
     cols = grid.groupBy(*ks).agg(F.sort_array(F.collect_set(COL)).alias("__cols"))
-    rows = grid.where(F.col(VAL).isNotNull()).groupBy(*ks, ROW).agg(F.map_from_entries(F.collect_list(F.struct(COL, VAL))).alias("__m"))
-    j = rows.join(cols, on=ks, how="inner")
-    filled = F.transform(
-        F.col("__cols"),
-        lambda c: F.struct(c.alias(COL), F.element_at(F.col("__m"), F.array_max(F.filter(F.map_keys(F.col("__m")), lambda k: k <= c))).alias(VAL)),
+    firsts = cells.groupBy(*ks, ROW).agg(F.min(COL).alias("__first"))
+    skeleton = firsts.join(cols, on=ks).select(
+        *ks, ROW, F.explode(F.filter("__cols", lambda c: c >= F.col("__first"))).alias(COL), F.lit(None).cast("string").alias(VAL), F.lit(1).alias("__sk")
     )
-    out = j.select(*ks, ROW, F.explode(filled).alias("__c")).select(*ks, ROW, "__c.*")
-    return out.where(F.col(VAL).isNotNull())
+    both = cells.select(*ks, ROW, COL, VAL, F.lit(0).alias("__sk")).unionByName(skeleton)
+    w = Window.partitionBy(*ks, ROW).orderBy(COL, "__sk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = both.withColumn(VAL, F.last(VAL, ignorenulls=True).over(w))
+    return filled.where((F.col("__sk") == 1) & F.col(VAL).isNotNull()).select(*ks, ROW, COL, VAL)
 
 
 # ---------------------------------------------------------------- headers
