@@ -168,20 +168,32 @@ def dense_renumber(df: DataFrame, keys: Sequence[str], col: str, bucket: int = 4
     return within.join(offsets, on=[*ks, "__b"]).select(*ks, col, (F.col("__off") + F.col("__r")).cast("int").alias("__new"))
 
 
+def width_renumber(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
+    """(keys, col, __new): dense rank of ``col`` within ``keys`` for a column whose
+    distinct values per key are bounded by the sheet width (the same bound as the
+    per-key column list of ``ffill_right``).  One partial aggregate gathers the sorted
+    distinct values per key; ``posexplode`` gives the ranks.  No window, no join."""
+    ks = _k(keys)
+    sets = df.where(F.col(col).isNotNull()).groupBy(*ks).agg(F.sort_array(F.collect_set(col)).alias("__v"))
+    return sets.select(*ks, F.posexplode("__v").alias("__new", col)).select(*ks, col, F.col("__new").cast("int").alias("__new"))
+
+
 def drop_empty(grid: DataFrame, keys: Sequence[str] = ("sheet_id",), bucket: int = 4096) -> DataFrame:
     """C6 drop blank rows and columns and renumber both from 0 (dense ranks of the
     surviving row and column numbers per key).  Blank = absent or NULL.
 
-    Only the distinct (key, row) and (key, column) values are ranked (``dense_renumber``:
-    partial aggregation, then bucketed windows, so one huge sheet is spread over many
-    tasks), and the two rank tables are joined back to the cells on equi-keys.  When a
+    Only the distinct (key, row) values are ranked (``dense_renumber``: partial
+    aggregation, then bucketed windows, so a sheet with a huge number of rows is spread
+    over many tasks); the distinct columns of a key are bounded by the sheet width and
+    ranked in one aggregate (``width_renumber``).  Both rank tables are joined back to the
+    cells on equi-keys.  When a
     rank table is small, AQE broadcasts it on its measured size and the cells are not
     shuffled at all; otherwise both joins are sort-merge joins, skew-split by AQE.
     """
     ks = _k(keys)
     cells = grid.where(F.col(VAL).isNotNull())
     rows = dense_renumber(cells, ks, ROW, bucket).withColumnRenamed("__new", "__row")
-    cols = dense_renumber(cells, ks, COL, bucket).withColumnRenamed("__new", "__col")
+    cols = width_renumber(cells, ks, COL).withColumnRenamed("__new", "__col")
     out = cells.join(rows, on=[*ks, ROW]).join(cols, on=[*ks, COL])
     return out.select(*[c for c in grid.columns if c not in (ROW, COL)], F.col("__row").alias(ROW), F.col("__col").alias(COL)).select(*grid.columns)
 

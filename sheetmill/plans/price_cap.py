@@ -234,9 +234,11 @@ def tidy_tariff_tables(
     cand = totals.join(starts, on=sheet).where(F.col(G.ROW) > F.col("start_row"))
     w = Window.partitionBy(sheet, PAYMENT).orderBy(G.ROW)
     ranked = cand.withColumn("__rn", F.row_number().over(w)).withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(sheet, PAYMENT)))
-    ends = ranked.groupBy(sheet, PAYMENT, "start_row").agg(F.min(F.when(F.col("__rn") == 2, F.col(G.ROW))).alias("end_row"), F.max("__n").alias("found"))
+    nth = ranked.groupBy(sheet, PAYMENT, "start_row").agg(F.min(F.when(F.col("__rn") == 2, F.col(G.ROW))).alias("end_row"), F.max("__n").alias("found"))
+    # Every section start is kept: one without any total row after it reports found = 0.
+    ends = starts.join(nth, on=[sheet, PAYMENT, "start_row"], how="left")
     if strict:
-        _require_sections(starts, ends, len(payment_methods), sheet, g)
+        _require_sections(ends, len(payment_methods), sheet, g)
     bounds = ends.where(F.col("end_row").isNotNull()).select(sheet, PAYMENT, "start_row", "end_row")
     section = G.slice_rows(g, bounds, [sheet]).select(sheet, PAYMENT, G.ROW, G.COL, G.VAL)
     keys = [sheet, PAYMENT]
@@ -275,16 +277,27 @@ def tidy_tariff_tables(
     return tidy
 
 
-def _require_sections(starts: DataFrame, ends: DataFrame, n_payments: int, sheet: str, g: DataFrame) -> None:
-    found = g.select(sheet).distinct().join(starts.groupBy(sheet).agg(F.collect_set(PAYMENT).alias("found")), on=sheet, how="left")
-    missing = found.where(F.coalesce(F.size("found"), F.lit(0)) < n_payments).limit(5).collect()
+def _require_sections(ends: DataFrame, n_payments: int, sheet: str, g: DataFrame) -> None:
+    """Every sheet has all payment sections, each with a 2nd total row: ONE job, and a
+    report bounded to 5 sheets (the per-sheet lists are bounded by the payment methods)."""
+    per_sheet = ends.groupBy(sheet).agg(
+        F.collect_set(PAYMENT).alias("found"),
+        F.collect_list(F.when(F.col("end_row").isNull(), F.struct(PAYMENT, "start_row", F.coalesce("found", F.lit(0)).alias("n")))).alias("short"),
+    )
+    bad = (
+        g.select(sheet).distinct().join(per_sheet, on=sheet, how="left")
+        .where((F.coalesce(F.size("found"), F.lit(0)) < n_payments) | (F.coalesce(F.size("short"), F.lit(0)) > 0))
+        .limit(5)
+        .collect()
+    )
+    missing = [(r[sheet], r["found"]) for r in bad if len(r["found"] or []) < n_payments]
     if missing:
-        raise G.GridError(f"could not find every payment method header; found {[(r[sheet], r['found']) for r in missing]}")
-    short = ends.where(F.col("end_row").isNull()).limit(5).collect()
+        raise G.GridError(f"could not find every payment method header; found {missing}")
+    short = [x for r in bad for x in (r["short"] or [])]
     if short:
         raise G.GridError(
             f"expected at least 2 '{C.TOTAL_INC_VAT}' rows after "
-            + ", ".join(f"{r[PAYMENT]} at row {r['start_row']} but found only {r['found'] or 0}" for r in short)
+            + ", ".join(f"{x[PAYMENT]} at row {x['start_row']} but found only {x['n']}" for x in short)
         )
 
 

@@ -80,10 +80,14 @@ def local_path(path: str) -> str:
     return os.path.abspath(path)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and return a DataFrame reading
-    it back (lineage cut).  Used where a deep plan feeds several actions (eager checks
-    followed by the build): the plan runs once, and a lost executor recomputes from the
-    checkpoint files instead of from the sources.  Never a machine-local checkpoint."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a parquet table under the shared checkpoint folder and return
+    a DataFrame reading it back (lineage cut).  Used where a deep plan feeds several
+    actions (eager checks followed by the build): the plan runs exactly once (an eager
+    RDD checkpoint would run it twice: once to count, once to write), a lost executor
+    recomputes from the written files instead of from the sources, and AQE plans the
+    reads from real file sizes.  Never a machine-local checkpoint."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

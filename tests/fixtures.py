@@ -41,6 +41,8 @@ def tariff_sheet(payments=C.PAYMENT_METHODS, fuels=C.FUELS, total_inc_vat_rows=2
                         continue
                     if comp == C.TOTAL_INC_VAT and cons == C.TYPICAL and total_inc_vat_rows < 2:
                         continue
+                    if comp == C.TOTAL_INC_VAT and cons == C.NIL and total_inc_vat_rows < 1:
+                        continue
                     c0 = 1 + fi * 4
                     cells[(r, c0)] = comp
                     for k in range(len(PERIODS)):

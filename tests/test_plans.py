@@ -72,6 +72,13 @@ def test_single_total_inc_vat_raises(spark, tmp_path):
         K.tidy_tariff_tables(workbook.sheet_grid(cells, "s"))
 
 
+def test_no_total_inc_vat_rows_raises(spark, tmp_path):
+    """A section start with no total row at all after it is reported (found only 0), not dropped."""
+    cells = workbook_cells(spark, tmp_path, {"s": tariff_sheet(total_inc_vat_rows=0)})
+    with pytest.raises(G.GridError, match="found only 0"):
+        K.tidy_tariff_tables(workbook.sheet_grid(cells, "s"))
+
+
 def test_missing_section_raises(spark, tmp_path):
     cells = workbook_cells(spark, tmp_path, {"s": tariff_sheet(payments=C.PAYMENT_METHODS[:2])})
     with pytest.raises(G.GridError, match="payment method"):
