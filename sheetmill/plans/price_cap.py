@@ -236,7 +236,9 @@ def tidy_tariff_tables(
     ranked = cand.withColumn("__rn", F.row_number().over(w)).withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(sheet, PAYMENT)))
     nth = ranked.groupBy(sheet, PAYMENT, "start_row").agg(F.min(F.when(F.col("__rn") == 2, F.col(G.ROW))).alias("end_row"), F.max("__n").alias("found"))
     # Every section start is kept: one without any total row after it reports found = 0.
-    ends = starts.join(nth, on=[sheet, PAYMENT, "start_row"], how="left")
+    # A few rows per sheet, written once: the check and the slice read it instead of
+    # re-running the marker joins and windows.
+    ends = materialize(starts.join(nth, on=[sheet, PAYMENT, "start_row"], how="left"), "tariff-sections")
     if strict:
         _require_sections(ends, len(payment_methods), sheet, g)
     bounds = ends.where(F.col("end_row").isNotNull()).select(sheet, PAYMENT, "start_row", "end_row")
@@ -252,7 +254,7 @@ def tidy_tariff_tables(
         F.min(F.when(F.col(G.VAL) == C.TYPICAL, F.col(G.ROW))).alias("typ_row"),
     )
     last_row = dense.groupBy(*keys).agg(F.max(G.ROW).alias("last_row"))
-    blocks = heads.join(fuel_cols, on=[*keys, FUEL]).join(last_row, on=keys)
+    blocks = materialize(heads.join(fuel_cols, on=[*keys, FUEL]).join(last_row, on=keys), "tariff-blocks")
     if strict:
         _require_blocks(blocks, fuel_specs, keys)
     nil_b = blocks.select(*keys, FUEL, "fuel_col", "fuel_cols", F.lit(C.NIL).alias(CONSUMPTION), F.col("nil_row").alias("h"), (F.col("typ_row") - 1).alias("e"))
