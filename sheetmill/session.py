@@ -14,19 +14,28 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "sheetmill") -> SparkSession:
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "sheetmill") -> SparkSession:
     """Build (or reuse) a session with the settings every operator here assumes.
 
     AQE is on so joins against derived tables pick broadcast or sort-merge at run time
     from measured sizes (static size-estimate broadcasts are off), skewed shuffle
     partitions are split, and small partitions are coalesced.  The session time zone is pinned to UTC so date formatting is stable.
+
+    ``shuffle_partitions`` is only set when given, or (8) for a local master.  On a
+    cluster the cluster's own setting is kept: AQE can coalesce shuffle partitions but
+    never create more, so the initial number must be sized for the data there (for
+    100 TB, tens of thousands, e.g. through
+    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``), not for a laptop.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if shuffle_partitions is None and master and master.startswith("local"):
+        shuffle_partitions = 8
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return (
-        builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
+        builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # Broadcast decisions on MEASURED sizes only: static estimates of derived tables
