@@ -163,6 +163,15 @@ def test_dense_renumber_across_buckets(spark):
     assert got == {**{("s", r): i for i, r in enumerate(rows)}, ("t", 3): 0, ("t", 7): 1}
 
 
+def test_width_renumber_dense_per_key(spark):
+    """Duplicate and NULL column numbers; ranks are dense per key and agree with dense_renumber."""
+    cells = [("s", 9), ("s", 2), ("s", 9), ("s", 40), ("t", 5), ("t", None), ("u", 0)]
+    df = spark.createDataFrame(cells, "sheet_id string, col_idx int")
+    got = {(r["sheet_id"], r["col_idx"]): r["__new"] for r in G.width_renumber(df, ["sheet_id"], "col_idx").collect()}
+    assert got == {("s", 2): 0, ("s", 9): 1, ("s", 40): 2, ("t", 5): 0, ("u", 0): 0}
+    assert got == {(r["sheet_id"], r["col_idx"]): r["__new"] for r in G.dense_renumber(df, ["sheet_id"], "col_idx", bucket=8).collect()}
+
+
 def test_freshness_and_url_month_rules(spark):
     import datetime as dt
 
