@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from sheetmill.exercises._registry import exercise, table
 from sheetmill.functions import dates as J
 from sheetmill.functions.numeric import round_half_even
-from sheetmill.functions.text import ends_with_ci, extract_or_null, starts_with_ci, strip
+from sheetmill.functions.text import ends_with_ci, extract_or_null, slugify_col, starts_with_ci, strip
 from sheetmill.operators import contracts as I
 from sheetmill.operators.joins import literal_table, union_all
-from sheetmill.operators.timeseries import diff, pct_change, period_over_period
+from sheetmill.operators.timeseries import carry_forward, diff, pct_change, period_over_period
 from sheetmill.plans import config as C
 from sheetmill.plans import price_cap as K
 
@@ -608,3 +608,24 @@ def i13_required_key(spark, sf):
     from sheetmill.sources.manifest import nested_get
 
     return table(spark, sf, "events").select("event_id", nested_get("props", ["k"], strict=True).alias("k"))
+
+
+@exercise(
+    "H3_carry_forward",
+    """SELECT event_id, user_id,
+              last_value(CASE WHEN event_type = 'error' THEN NULL ELSE value END IGNORE NULLS)
+                OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value_filled
+       FROM events""",
+)
+def h3_carry_forward(spark, sf):
+    """Values of error events blanked, then carried forward per user in time order; the
+    skew-safe plan (window per user and day, carries across days from a per-day summary)."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", "ts", F.when(F.col("event_type") != "error", F.col("value")).alias("value_filled"))
+    filled = carry_forward(ev, ["user_id"], ["ts", "event_id"], "value_filled", split_by=F.to_date("ts"))
+    return filled.select("event_id", "user_id", "value_filled")
+
+
+@exercise("J11_slugify", "SELECT page_id, replace(replace(lower(url), '.', '_'), ' ', '_') AS slug FROM pages")
+def j11_slugify(spark, sf):
+    """Table-name slug rule applied to every page URL."""
+    return table(spark, sf, "pages").select("page_id", slugify_col("url").alias("slug"))

@@ -368,3 +368,36 @@ def g2_group_mean(spark, sf):
 def g8_sort_by_period(spark, sf):
     """Sort by period start with every key as a tie-break (range-partitioned global sort)."""
     return table(spark, sf, "orders").select("o_orderdate", "o_orderkey", "o_totalprice").orderBy("o_orderdate", "o_orderkey")
+
+
+# ------------------------------------------------------------------ F3 / F4
+
+
+@exercise(
+    "F3_lookup_join",
+    """SELECT c_custkey, c_nationkey, struct_extract(x.e, 'n') AS nation, struct_extract(x.e, 'r') AS region_key
+       FROM customer LEFT JOIN (SELECT n_nationkey, min({'n': n_name, 'r': n_regionkey}) AS e FROM nation GROUP BY n_nationkey) x
+            ON c_nationkey = x.n_nationkey""",
+)
+def f3_lookup_join(spark, sf):
+    """Nation name and region key of every customer, looked up like a dict (missing -> NULL)."""
+    cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf, "nation")
+    out = J.lookup_join(cust, nation, "c_nationkey", "n_nationkey", ["n_name", "n_regionkey"])
+    return out.select("c_custkey", "c_nationkey", F.col("n_name").alias("nation"), F.col("n_regionkey").alias("region_key"))
+
+
+@exercise(
+    "F4_between_join",
+    """SELECT l_orderkey, l_linenumber, l_partkey,
+              CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS BIGINT) AS days_to_ship
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+       WHERE l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL 30 DAY""",
+)
+def f4_between_join(spark, sf):
+    """Line items shipped within 30 days (inclusive) of their order date: equi-join on the
+    order key, then the range filter."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    bounds = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").alias("lo"), (F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("hi"))
+    out = J.between_join(li, bounds, [("l_orderkey", "o_orderkey")], "l_shipdate", "lo", "hi")
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", F.datediff(F.to_date("l_shipdate"), F.to_date("lo")).cast("bigint").alias("days_to_ship"))

@@ -57,6 +57,11 @@ def slugify(name: str) -> str:
     return name.lower().replace(".", "_").replace(" ", "_")
 
 
+def slugify_col(c: Column | str) -> Column:
+    """J11 the same slug as a column expression (for tables of names, e.g. landed files)."""
+    return F.translate(F.lower(_col(c)), ". ", "__")
+
+
 def starts_with_ci(c: Column | str, prefix: str) -> Column:
     """I11 case-insensitive prefix test."""
     return F.startswith(F.lower(_col(c)), F.lit(prefix.lower()))

@@ -45,6 +45,31 @@ def map_values(col: Column | str, mapping: dict, default: object | None = None)
     return out if default is None else F.coalesce(out, F.lit(default))
 
 
+def lookup_join(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, values: Sequence[str]) -> DataFrame:
+    """F3 dict-style lookup: a left join adding ``values`` looked up by ``key``; a missing
+    key gives NULL and the row count never changes.  Like a dict, the lookup holds one
+    entry per key: duplicates collapse to the smallest (values) struct, a partial
+    aggregate on the lookup side only.  No hint: AQE broadcasts the lookup when its
+    measured size is small, otherwise both sides are shuffled on the key."""
+    entry = F.min(F.struct(*[F.col(v) for v in values])).alias("__e")
+    one = lookup.where(F.col(lookup_key).isNotNull()).groupBy(F.col(lookup_key).alias("__k")).agg(entry)
+    joined = df.join(one, df[key] == one["__k"], "left")
+    return joined.select(*[df[c] for c in df.columns], *[F.col(f"__e.{v}").alias(v) for v in values])
+
+
+def between_join(
+    df: DataFrame, bounds: DataFrame, on: Sequence[tuple[str, str]], col: str, lo: str, hi: str, hi_inclusive: bool = True
+) -> DataFrame:
+    """F4 range join: rows of ``df`` whose ``col`` lies in [``lo``, ``hi``] (or [lo, hi)) of
+    the ``bounds`` row with the same equi-keys ``on`` = [(df column, bounds column)].  The
+    range is a filter after an equi-join, so Spark plans a hash or sort-merge join on
+    the keys (never a nested-loop theta join); a NULL ``hi`` means unbounded above."""
+    cond = [df[a] == bounds[b] for a, b in on]
+    j = df.join(bounds, cond, "inner")
+    upper = (F.col(col) <= F.col(hi)) if hi_inclusive else (F.col(col) < F.col(hi))
+    return j.where((F.col(col) >= F.col(lo)) & (F.col(hi).isNull() | upper))
+
+
 def full_outer_fill(
     left: DataFrame,
     right: DataFrame,

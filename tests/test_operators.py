@@ -182,3 +182,21 @@ def test_freshness_and_url_month_rules(spark):
     asof = F.lit("2025-11-21 00:00:00").cast("timestamp_ntz")
     counts = {r["rule"]: r["violations"] for r in I.violation_counts(df, [I.fresh_within_months("d", asof), I.url_month_is("url", F.lit("2025-11"))]).collect()}
     assert counts == {"d within 3 months": 2, "url month": 2}
+
+
+def test_lookup_join_is_dict_like(spark):
+    """Missing key -> NULL, duplicate lookup keys collapse to one entry, row count unchanged."""
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, k string")
+    lk = spark.createDataFrame([("a", "x", 1), ("a", "w", 9), ("b", "y", 2), (None, "z", 3)], "key string, v string, n int")
+    out = J.lookup_join(df, lk, "k", "key", ["v", "n"])
+    assert out.columns == ["id", "k", "v", "n"]
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "a", "w", 9), (2, "b", "y", 2), (3, None, None, None)]
+
+
+def test_between_join_bounds(spark):
+    df = spark.createDataFrame([(1, 0), (1, 5), (1, 10), (1, 11), (2, 100)], "k int, x int")
+    b = spark.createDataFrame([(1, 5, 10), (2, 50, None)], "bk int, lo int, hi int")
+    inc = J.between_join(df, b, [("k", "bk")], "x", "lo", "hi")
+    assert sorted((r["k"], r["x"]) for r in inc.collect()) == [(1, 5), (1, 10), (2, 100)]
+    half = J.between_join(df, b, [("k", "bk")], "x", "lo", "hi", hi_inclusive=False)
+    assert sorted((r["k"], r["x"]) for r in half.collect()) == [(1, 5), (2, 100)]
