@@ -10,7 +10,8 @@ coarse bucket that does not decrease along the ordering (e.g. the year of a
 monthly period, or ``floor(row_idx / 10000)``).  The window then runs per
 (key, bucket), so a hot key is spread over many tasks.  Values that cross bucket
 edges (the previous row, the last non-null value) come from a per-bucket summary
-with one row per (key, bucket), which is small and joined back on (key, bucket).
+with one row per (key, bucket), built from partial aggregates and unioned in as the
+first row of the next bucket's window, so the data itself is shuffled only once.
 """
 
 from __future__ import annotations
@@ -58,39 +59,35 @@ def with_previous(
                 out = out.withColumn(prev_filled_col, F.lag(filled_col).over(w))
         return out
 
+    # One row per (key, bucket), from partial aggregates of the input: the bucket's last
+    # value and last non-null value; a small window over the buckets of each key turns
+    # them into what enters each bucket from the left.
     parts = [*keys, _B]
-    w = Window.partitionBy(*parts).orderBy(*ordering)
-    inb = (
-        df.withColumn(_B, split_by)
-        .withColumn("__first", F.row_number().over(w) == 1)
-        .withColumn("__prev_in", F.lag(value).over(w))
-        .withColumn("__f_in", F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("__pf_in", F.lag("__f_in").over(w))
-    )
-    # One row per (key, bucket): the last value and the last non-null value in the bucket.
+    data = df.withColumn(_B, split_by)
     order_key = ordering[0] if len(ordering) == 1 else F.struct(*ordering)
-    summary = inb.groupBy(*parts).agg(
+    summary = data.groupBy(*parts).agg(
         F.max_by(F.col(value), order_key).alias("__last"),
         F.max_by(F.col(value), F.when(F.col(value).isNotNull(), order_key)).alias("__last_nn"),
     )
     wb = Window.partitionBy(*keys).orderBy(_B)
     carry = summary.select(
         *parts,
-        F.lag("__last").over(wb).alias("__carry_prev"),
-        F.last("__last_nn", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("__carry_f"),
+        F.lag("__last").over(wb).alias("__vp"),
+        F.last("__last_nn", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("__vf"),
+        F.lit(0).alias("__is_data"),
     )
-    joined = inb.alias("a").join(
-        carry.alias("b"), on=[F.col(f"a.`{p}`").eqNullSafe(F.col(f"b.`{p}`")) for p in parts], how="left"
-    ).select("a.*", "b.__carry_prev", "b.__carry_f")
-    out = joined.withColumn(prev_col, F.when(F.col("__first"), F.col("__carry_prev")).otherwise(F.col("__prev_in")))
+    # The carry row sorts first in its bucket, so one window per (key, bucket) reads it as
+    # the row before the bucket's first row: no join back, the data is shuffled once, and
+    # NULL keys group exactly as in the single-window plan.
+    rows = data.withColumns({"__vp": F.col(value), "__vf": F.col(value), "__is_data": F.lit(1)})
+    both = rows.unionByName(carry, allowMissingColumns=True)
+    w = Window.partitionBy(*parts).orderBy("__is_data", *ordering)
+    out = both.withColumn(prev_col, F.lag("__vp").over(w))
     if filled_col:
-        out = out.withColumn(filled_col, F.coalesce(F.col("__f_in"), F.col("__carry_f")))
+        out = out.withColumn(filled_col, F.last("__vf", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
         if prev_filled_col:
-            out = out.withColumn(
-                prev_filled_col,
-                F.when(F.col("__first"), F.col("__carry_f")).otherwise(F.coalesce(F.col("__pf_in"), F.col("__carry_f"))),
-            )
-    return out.drop(_B, "__first", "__prev_in", "__f_in", "__pf_in", "__carry_prev", "__carry_f")
+            out = out.withColumn(prev_filled_col, F.lag(filled_col).over(w))
+    return out.where(F.col("__is_data") == 1).drop(_B, "__vp", "__vf", "__is_data")
 
 
 def period_over_period(
