@@ -37,15 +37,26 @@ def land_new_files(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     layer: str = "bronze",
     table: str = "file",
+    max_files_per_trigger: int = 1000,
 ) -> None:
     """Land every file that arrived in ``landing_dir`` since the last run.
 
     Without ``transform`` the raw bytes are landed as a payload table (filename,
     content, size_bytes) in ``layer``; with it, ``transform`` maps the micro-batch of
     (path, content) rows to the table to publish (e.g. decode + build silver).
-    Runs until all available files are processed, then returns.
+    Runs until all available files are processed, then returns.  A backlog is split
+    into micro-batches of at most ``max_files_per_trigger`` files (``availableNow``
+    honours the limit), so one run over a large backlog never lands everything in one
+    batch.
     """
-    stream = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob).load(landing_dir).select("path", "content")
+    stream = (
+        spark.readStream.format("binaryFile")
+        .schema(BINARY_FILE_SCHEMA)
+        .option("pathGlobFilter", glob)
+        .option("maxFilesPerTrigger", str(max_files_per_trigger))
+        .load(landing_dir)
+        .select("path", "content")
+    )
 
     def publish_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():

@@ -30,3 +30,15 @@ def test_stream_to_silver(spark, tmp_path, root):
     (landing / "a.json").write_text(json.dumps(SAMPLE_HOLIDAYS))
     land_new_files(spark, str(landing), root, "example", glob="*.json", checkpoint_location=str(tmp_path / "c2"), transform=bank_holidays_from_payload, layer="silver", table="bank_holidays")
     assert files.read_latest(spark, root, "silver", "example", "bank_holidays").count() == 3
+
+
+def test_backlog_is_split_into_bounded_batches(spark, tmp_path, root):
+    """Three waiting files with at most one per trigger: three batches, every file landed once."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for name in ("a", "b", "c"):
+        (landing / f"{name}.json").write_text(json.dumps(SAMPLE_HOLIDAYS))
+    land_new_files(spark, str(landing), root, "backlog", glob="*.json", checkpoint_location=str(tmp_path / "c3"), max_files_per_trigger=1)
+    hist = files.read_historical(spark, root, "bronze", "backlog", "file")
+    assert sorted(r["filename"] for r in hist.collect()) == ["a.json", "b.json", "c.json"]
+    assert hist.select("batch").distinct().count() == 3
