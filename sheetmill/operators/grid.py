@@ -117,15 +117,18 @@ def nth_marker_after(
     plus ``found`` = how many matching rows follow the start.  Keys with fewer than n
     matches get ``marker_row`` NULL (``require_nth`` turns that into an error).
 
-    Only marker rows take part in the window, never the whole grid.
+    Only marker rows take part, never the whole grid, and a sheet with a huge number of
+    marker rows is never gathered into one task: ``found`` is a partial-aggregate count,
+    and the n-th row comes from ``row_number() == n``, which Spark plans with a partial
+    ``WindowGroupLimit`` below the shuffle (at most n rows per key and map task).
     """
     ks = _k(keys)
     hits = grid.where(match).select(*ks, ROW).distinct()
     if starts is not None:
         hits = hits.join(starts.select(*ks, start_col), on=ks, how="inner").where(F.col(ROW) > F.col(start_col)).drop(start_col)
-    w = Window.partitionBy(*ks).orderBy(ROW)
-    ranked = hits.withColumn("__rn", F.row_number().over(w)).withColumn("found", F.count(F.lit(1)).over(Window.partitionBy(*ks)))
-    return ranked.groupBy(*ks).agg(F.min(F.when(F.col("__rn") == n, F.col(ROW))).alias(out), F.max("found").alias("found"))
+    found = hits.groupBy(*ks).agg(F.count(F.lit(1)).alias("found"))
+    nth = hits.withColumn("__rn", F.row_number().over(Window.partitionBy(*ks).orderBy(ROW))).where(F.col("__rn") == n).select(*ks, F.col(ROW).alias(out))
+    return found.join(nth, on=ks, how="left").select(*ks, out, "found")
 
 
 def require_nth(found: DataFrame, n: int, what: str, out: str = "marker_row") -> None:
