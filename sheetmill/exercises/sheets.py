@@ -18,6 +18,9 @@ from sheetmill.exercises._registry import exercise, table
 from sheetmill.functions.numeric import to_number
 from sheetmill.operators.joins import literal_table, map_values
 from sheetmill.plans import config as C
+from sheetmill.exercises.grids import _notes_grid
+from sheetmill.operators import grid as G
+from sheetmill.plans import heat_pumps as HP
 from sheetmill.plans import price_cap as K
 from sheetmill.session import materialize
 
@@ -146,3 +149,76 @@ def k8_tidy_tariff_tables(spark, sf):
         F.col(f"`{C.PERIOD_COL}`").alias("period"),
         to_number(K.VALUE).alias("value"),
     )
+
+
+# ------------------------------------------------------------------ K10 (Table 1.1 from orders)
+
+HP_TITLE = "Table 1.1 Installations by type, orders of priority "
+# Fixed cells of every sheet: (row, column, text).  Row 3 is a fully blank separator row.
+HP_FIXED = [
+    (1, 0, "Quarterly counts derived from the orders table."),
+    (2, 0, "Source: orders table"),
+    (4, 0, f"{C.QUARTER_HEADER}\n"),
+    (4, 1, f"{C.TYPE_VALUE_VARS[0]} [note 1]"),
+    (4, 2, C.TYPE_VALUE_VARS[1]),
+    (4, 3, " Total heat pump \ninstallations"),
+]
+HP_META = {"publisher": "test tables", "filename": "orders.parquet", "publication_date": "2026-01-01", "page_url": "local"}
+
+
+def _installations_grid(spark, sf):
+    """One Table 1.1 sheet per order priority: a row per order quarter (tagged [note 2] in
+    Q1), counts of status F / O orders as the two technologies, and their total."""
+    orders = table(spark, sf, "orders")
+    counts = orders.groupBy(F.col("o_orderpriority").alias("sheet_id"), F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q")).agg(
+        F.count_if(F.col("o_orderstatus") == "F").alias("a"), F.count_if(F.col("o_orderstatus") == "O").alias("g")
+    )
+    label = F.concat(F.col("y").cast("string"), F.lit(" Q"), F.col("q").cast("string"), F.when(F.col("q") == 1, F.lit(" [note 2]")).otherwise(F.lit("")))
+    row = (F.lit(5) + F.col("y") * 4 + F.col("q")).cast("int")
+    values = [label, F.col("a").cast("string"), F.col("g").cast("string"), (F.col("a") + F.col("g")).cast("string")]
+    body = counts.select("sheet_id", row.alias("row_idx"), F.inline(F.array(*[F.struct(F.lit(i).alias("col_idx"), v.alias("value")) for i, v in enumerate(values)])))
+    sheets = counts.select("sheet_id").distinct()
+    fixed = [F.struct(F.lit(0).alias("row_idx"), F.lit(0).alias("col_idx"), F.concat(F.lit(HP_TITLE), F.col("sheet_id")).alias("value"))]
+    fixed += [F.struct(F.lit(r).alias("row_idx"), F.lit(c).alias("col_idx"), F.lit(v).alias("value")) for r, c, v in HP_FIXED]
+    return body.unionByName(sheets.select("sheet_id", F.inline(F.array(*fixed))))
+
+
+K10_SQL = f"""
+WITH c AS (
+  SELECT o_orderpriority AS pr, year(o_orderdate) AS y, quarter(o_orderdate) AS q,
+         count(*) FILTER (WHERE o_orderstatus = 'F') AS a, count(*) FILTER (WHERE o_orderstatus = 'O') AS g
+  FROM orders GROUP BY ALL),
+r AS (
+  SELECT '{HP_TITLE}' || pr AS table_name,
+         CAST(y AS VARCHAR) || ' Q' || CAST(q AS VARCHAR) AS installation_quarter,
+         CAST(make_date(y, q * 3 - 2, 1) AS TIMESTAMP) AS installation_quarter_start,
+         CAST(last_day(make_date(y, q * 3, 1)) AS TIMESTAMP) AS installation_quarter_end,
+         ' ' || (SELECT r_name FROM region WHERE r_regionkey = 1) || ' '
+             || CASE WHEN q = 1 THEN (SELECT r_name FROM region WHERE r_regionkey = 2) ELSE '' END AS notes,
+         a, g
+  FROM c)
+SELECT table_name, installation_quarter, installation_quarter_start, installation_quarter_end, notes,
+       '{C.TYPE_VALUE_VARS[0]}' AS type, CAST(a AS BIGINT) AS value FROM r
+UNION ALL SELECT table_name, installation_quarter, installation_quarter_start, installation_quarter_end, notes,
+       '{C.TYPE_VALUE_VARS[1]}', CAST(g AS BIGINT) FROM r
+UNION ALL SELECT table_name, installation_quarter, installation_quarter_start, installation_quarter_end, notes,
+       '{C.TYPE_VALUE_VARS[2]}', CAST(a + g AS BIGINT) FROM r
+"""
+
+
+@exercise("K10_heat_pumps_by_type", K10_SQL)
+def k10_heat_pumps_by_type(spark, sf):
+    """Table 1.1 sheets laid out from orders (one per priority, all tidied in one plan):
+    title/source facts, header promotion and cleaning, column and row note tags resolved
+    from the notes sheet built from region, quarter bounds, melt, contract."""
+    notes = G.notes_lookup(_notes_grid(spark, sf)).drop("sheet_id")
+    out = HP.heat_pumps_by_type(_installations_grid(spark, sf), notes, HP_META)
+    return out.select(
+        F.col("metadata")["table_name"].alias("table_name"),
+        "installation_quarter",
+        "installation_quarter_start",
+        "installation_quarter_end",
+        "notes",
+        "type",
+        "value",
+    )
