@@ -222,3 +222,70 @@ def k10_heat_pumps_by_type(spark, sf):
         "type",
         "value",
     )
+
+
+# ------------------------------------------------------------------ K11 (Table 1.2 from orders)
+
+HP_REGION_TITLE = "Table 1.2 Installations by region, orders of priority "
+N_AREAS = len(C.REGION_VALUE_VARS)
+
+
+def _regions_grid(spark, sf):
+    """One Table 1.2 sheet per order priority: a row per order quarter (tagged [note 3] in
+    Q4) and one column per area, counting the orders whose customer key falls in that
+    area's bucket (customer key modulo the number of areas)."""
+    orders = table(spark, sf, "orders")
+    k = F.col("o_custkey") % N_AREAS
+    counts = orders.groupBy(F.col("o_orderpriority").alias("sheet_id"), F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q")).agg(
+        *[F.count_if(k == j).alias(f"n{j}") for j in range(N_AREAS)]
+    )
+    label = F.concat(F.col("y").cast("string"), F.lit(" Q"), F.col("q").cast("string"), F.when(F.col("q") == 4, F.lit(" [note 3]")).otherwise(F.lit("")))
+    row = (F.lit(4) + F.col("y") * 4 + F.col("q")).cast("int")
+    values = [label, *[F.col(f"n{j}").cast("string") for j in range(N_AREAS)]]
+    body = counts.select("sheet_id", row.alias("row_idx"), F.inline(F.array(*[F.struct(F.lit(i).alias("col_idx"), v.alias("value")) for i, v in enumerate(values)])))
+    fixed = [F.struct(F.lit(0).alias("row_idx"), F.lit(0).alias("col_idx"), F.concat(F.lit(HP_REGION_TITLE), F.col("sheet_id")).alias("value"))]
+    cells = [(1, 0, "Source: orders table"), (3, 0, C.QUARTER_HEADER)] + [(3, 1 + j, name) for j, name in enumerate(C.REGION_VALUE_VARS)]
+    fixed += [F.struct(F.lit(r).alias("row_idx"), F.lit(c).alias("col_idx"), F.lit(v).alias("value")) for r, c, v in cells]
+    sheets = counts.select("sheet_id").distinct()
+    return body.unionByName(sheets.select("sheet_id", F.inline(F.array(*fixed))))
+
+
+def _areas_sql() -> str:
+    rows = [f"({j}, '{n}', '{C.AREA_CODES.get(n, 'N/A')}', '{C.GEOGRAPHIC_LEVEL[n]}')" for j, n in enumerate(C.REGION_VALUE_VARS)]
+    return "VALUES " + ", ".join(rows)
+
+
+K11_SQL = f"""
+WITH b AS (SELECT o_orderpriority AS pr, year(o_orderdate) AS y, quarter(o_orderdate) AS q, o_custkey % {N_AREAS} AS k FROM orders),
+g AS (SELECT DISTINCT pr, y, q FROM b),
+cnt AS (SELECT pr, y, q, k, count(*) AS n FROM b GROUP BY ALL),
+areas AS (SELECT * FROM ({_areas_sql()}) t(k, name, code, lvl))
+SELECT '{HP_REGION_TITLE}' || g.pr AS table_name,
+       CAST(g.y AS VARCHAR) || ' Q' || CAST(g.q AS VARCHAR) AS installation_quarter,
+       CAST(make_date(g.y, g.q * 3 - 2, 1) AS TIMESTAMP) AS installation_quarter_start,
+       CAST(last_day(make_date(g.y, g.q * 3, 1)) AS TIMESTAMP) AS installation_quarter_end,
+       ' ' || CASE WHEN g.q = 4 THEN (SELECT r_name FROM region WHERE r_regionkey = 3) ELSE '' END AS notes,
+       areas.name AS country_or_region, CAST(COALESCE(cnt.n, 0) AS BIGINT) AS value,
+       areas.code AS area_code, areas.lvl AS geographic_level
+FROM g JOIN areas ON true
+LEFT JOIN cnt ON cnt.pr = g.pr AND cnt.y = g.y AND cnt.q = g.q AND cnt.k = areas.k
+"""
+
+
+@exercise("K11_heat_pumps_by_region", K11_SQL)
+def k11_heat_pumps_by_region(spark, sf):
+    """Table 1.2 sheets laid out from orders (one per priority): as K10 plus area code
+    (default 'N/A') and geographic level from the fixed area tables."""
+    notes = G.notes_lookup(_notes_grid(spark, sf)).drop("sheet_id")
+    out = HP.heat_pumps_by_region(_regions_grid(spark, sf), notes, HP_META)
+    return out.select(
+        F.col("metadata")["table_name"].alias("table_name"),
+        "installation_quarter",
+        "installation_quarter_start",
+        "installation_quarter_end",
+        "notes",
+        "country_or_region",
+        "value",
+        "area_code",
+        "geographic_level",
+    )
