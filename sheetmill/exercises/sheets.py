@@ -1,4 +1,5 @@
-"""The tariff-sheet build on a sheet Spark lays out from ``lineitem`` aggregates.
+"""The tariff-sheet build on a sheet Spark lays out from ``lineitem`` aggregates;
+K10 / K11: deployment tables laid out from ``orders``; K12: nested documents built from ``events``.
 
 Line items become tariff levels: return flag -> payment method, part key -> fuel,
 line status -> consumption level, discount -> component, ship year -> period; value =
@@ -15,11 +16,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sheetmill.exercises._registry import exercise, table
+from sheetmill.exercises.grids import _notes_grid
 from sheetmill.functions.numeric import to_number
+from sheetmill.operators import grid as G
 from sheetmill.operators.joins import literal_table, map_values
+from sheetmill.plans import bank_holidays as HP_BH
 from sheetmill.plans import config as C
-from sheetmill.exercises.grids import _notes_grid
-from sheetmill.operators import grid as G
 from sheetmill.plans import heat_pumps as HP
 from sheetmill.plans import price_cap as K
 from sheetmill.session import materialize
@@ -289,3 +291,45 @@ def k11_heat_pumps_by_region(spark, sf):
         "area_code",
         "geographic_level",
     )
+
+
+# ------------------------------------------------------------------ K12 (bank-holiday documents from events)
+
+DIVISION_OF_TYPE = {"purchase": "england-and-wales", "view": "scotland", "click": "northern-ireland"}
+
+
+def _holiday_documents(spark, sf):
+    """Nested documents shaped like the bank-holiday feed, built from events: one document
+    per (user, day, block of 16 event ids), so no document holds more than 16 events even
+    for a hot user; map key = division, the scotland entries leave ``division`` out (it
+    defaults to the key), notes and bunting are sometimes absent (defaults "" / false)."""
+    ev = table(spark, sf, "events").where(F.col("event_type").isin(list(DIVISION_OF_TYPE)))
+    div = map_values("event_type", DIVISION_OF_TYPE)
+    doc_key = [F.col("user_id"), F.to_date("ts").alias("day"), F.floor(F.col("event_id") / 16).alias("blk")]
+    event = F.struct(
+        F.concat(F.lit("Event "), F.col("event_id").cast("string")).alias("title"),
+        F.date_format("ts", "yyyy-MM-dd").alias("date"),
+        F.when(F.col("value") > 50, F.lit("high")).alias("notes"),
+        F.when(F.col("value") > 80, F.lit(True)).alias("bunting"),
+    )
+    per_div = ev.groupBy(*doc_key, div.alias("key")).agg(F.collect_list(event).alias("events"))
+    entry = F.struct(F.col("key"), F.struct(F.when(F.col("key") != "scotland", F.col("key")).alias("division"), F.col("events")))
+    return per_div.groupBy("user_id", "day", "blk").agg(F.map_from_entries(F.collect_list(entry)).alias("doc"))
+
+
+K12_SQL = """
+SELECT CASE event_type WHEN 'purchase' THEN 'england-and-wales' WHEN 'view' THEN 'scotland' WHEN 'click' THEN 'northern-ireland' END AS division,
+       'Event ' || CAST(event_id AS VARCHAR) AS title,
+       CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date,
+       CASE WHEN value > 50 THEN 'high' ELSE '' END AS notes,
+       COALESCE(value > 80, false) AS bunting,
+       CAST(year(ts) AS BIGINT) AS year
+FROM events WHERE event_type IN ('purchase', 'view', 'click')
+"""
+
+
+@exercise("K12_bank_holidays", K12_SQL)
+def k12_bank_holidays(spark, sf):
+    """Nested documents -> flatten (map key default, notes/bunting defaults) -> exact date
+    parse -> strict contract."""
+    return HP_BH.silver_bank_holidays(_holiday_documents(spark, sf))
