@@ -28,10 +28,23 @@ TAG = r"\[(note \d+)\]"
 ANY_TAG = r"\[note \d+\]"
 
 
-def _require_start(facts: DataFrame, col: str, prefix: str) -> None:
-    bad = facts.where(F.col(col).isNull() | ~F.startswith(F.lower(F.col(col)), F.lit(prefix.lower()))).limit(5).collect()
-    if bad:
-        raise ContractError("sheet facts", {col: f"expected a value starting with {prefix!r}, got {[r[col] for r in bad]}"})
+def _require_starts(facts: DataFrame, checks: dict[str, str]) -> None:
+    """Every ``col`` of the sheet facts starts with its prefix (case-insensitive): all
+    checks in ONE job, at most 5 offending sheets reach the driver."""
+    def bad(col: str, prefix: str):
+        return F.col(col).isNull() | ~F.startswith(F.lower(F.col(col)), F.lit(prefix.lower()))
+
+    any_bad = F.lit(False)
+    for col, prefix in checks.items():
+        any_bad = any_bad | bad(col, prefix)
+    rows = facts.where(any_bad).limit(5).collect()
+    if rows:
+        errors = {}
+        for col, prefix in checks.items():
+            got = [r[col] for r in rows if r[col] is None or not r[col].lower().startswith(prefix.lower())]
+            if got:
+                errors[col] = f"expected a value starting with {prefix!r}, got {got}"
+        raise ContractError("sheet facts", errors)
 
 
 def tidy_deployment_table(
@@ -54,8 +67,7 @@ def tidy_deployment_table(
         F.max(F.when((F.col(G.ROW) == 0) & (F.col(G.COL) == 0), F.col(G.VAL))).alias("title"),
         F.min_by(F.col(G.VAL), F.when((F.col(G.COL) == 0) & (F.col(G.ROW) >= 1) & F.startswith(F.col(G.VAL), F.lit("Source:")), F.col(G.ROW))).alias("source"),
     )
-    _require_start(facts, "title", title_prefix)
-    _require_start(facts, "source", "Source:")
+    _require_starts(facts, {"title": title_prefix, "source": "Source:"})
     # C1 header row: first row below the title whose first cell contains the quarter label.
     header_rows = G.find_marker_row(cells, G.cell_contains(C.QUARTER_HEADER, 0), ks, out="header_row", after=F.col(G.ROW) >= 1)
     headed = G.promote_header(cells, header_rows, ks)

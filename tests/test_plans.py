@@ -218,3 +218,15 @@ def test_publish_fails_closed_and_versions(spark, root):
     assert medallion.read_version(spark, root, "gold", "d", "t", "period", "p3").count() == 0
     with pytest.raises(files.SourceNotFound):
         files.read_latest(spark, root, "gold", "d", "missing")
+
+
+def test_sheet_facts_checked_in_one_job(spark):
+    """Bad title and missing source are both reported by the one facts check."""
+    from sheetmill.operators.contracts import ContractError
+    from sheetmill.plans import heat_pumps as HP
+
+    facts = spark.createDataFrame([("a", "Table 1.1 x", "Source: y"), ("b", "Table 9", None)], "sheet_id string, title string, source string")
+    with pytest.raises(ContractError) as e:
+        HP._require_starts(facts, {"title": "Table 1.1", "source": "Source:"})
+    assert "Table 9" in str(e.value) and "source" in str(e.value)
+    HP._require_starts(facts.where("sheet_id = 'a'"), {"title": "table 1.1", "source": "Source:"})
