@@ -13,6 +13,7 @@ from sheetmill.operators.joins import literal_table, union_all
 from sheetmill.operators.timeseries import carry_forward, diff, pct_change, period_over_period
 from sheetmill.plans import config as C
 from sheetmill.plans import price_cap as K
+from sheetmill.session import materialize
 
 ASOF = "1998-08-02 00:00:00"
 
@@ -469,7 +470,9 @@ def _tariff_like(spark, sf):
     ms = F.date_trunc("month", "l_shipdate").cast("timestamp_ntz")
     from sheetmill.operators.joins import map_values
 
-    return li.groupBy(
+    # A few thousand rows, written once (as the gold stage run does with its input): the
+    # required-values check and the build then read it instead of aggregating lineitem twice.
+    levels = li.groupBy(
         F.lit("All").alias(K.PAYMENT),
         map_values("l_returnflag", FUEL_OF_FLAG).alias(K.FUEL),
         F.concat(F.lit("L"), F.col("l_linenumber").cast("string")).alias(K.COMPONENT),
@@ -478,6 +481,7 @@ def _tariff_like(spark, sf):
         F.last_day(ms).cast("timestamp_ntz").alias(K.END),
         map_values("l_linestatus", {"F": C.NIL, "O": C.TYPICAL}).alias(K.CONSUMPTION),
     ).agg(F.round(F.sum("l_extendedprice") / 1000, 2).alias(K.VALUE))
+    return materialize(levels, "tariff-like-levels")
 
 
 TARIFF_SQL = f"""
