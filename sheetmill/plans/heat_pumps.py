@@ -117,11 +117,20 @@ def _finish(headed, heads, col_notes, notes_d, facts, value_vars, var_name, requ
         F.concat(F.coalesce("__col_notes", F.lit("")), F.lit(" "), F.coalesce("__note", F.lit(""))).alias("Notes"),
     )
     ids = materialize(ids)
-    bad_q = ids.where(F.col(f"{C.QUARTER_HEADER} start").isNull()).limit(3).collect()
-    if bad_q:
-        raise ContractError("quarters", {"unparseable installation quarter": [r[C.QUARTER_HEADER] for r in bad_q]})
-    if require_notes:
-        G.require_any_nonblank(ids, "Notes")
+    # Quarter parsing and (Table 1.1) non-blank notes judged in ONE aggregation; only a
+    # count and two example quarters reach the driver.
+    bad = F.col(f"{C.QUARTER_HEADER} start").isNull()
+    chk = ids.agg(
+        F.count_if(bad).alias("n_bad"),
+        F.min(F.when(bad, F.col(C.QUARTER_HEADER))).alias("lo"),
+        F.max(F.when(bad, F.col(C.QUARTER_HEADER))).alias("hi"),
+        F.bool_or(F.length(strip("Notes")) > 0).alias("notes_ok"),
+    ).first()
+    if chk["n_bad"]:
+        examples = sorted({chk["lo"], chk["hi"]} - {None})
+        raise ContractError("quarters", {"unparseable installation quarter": f"{chk['n_bad']} row(s), e.g. {examples}"})
+    if require_notes and not chk["notes_ok"]:
+        raise G.GridError("column 'Notes' is entirely empty: the notes lookup may have failed to match")
     value_cols = heads.where(F.col("name").isin(list(value_vars))).select(sheet, G.COL, F.col("name").alias(var_name))
     values = named.select(sheet, G.ROW, G.COL, G.VAL)
     # D2 melt: every (data row, value column) pair of the sheet, blanks kept as NULL.

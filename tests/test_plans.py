@@ -181,6 +181,19 @@ def test_heat_pumps_wrong_header_fails(spark, tmp_path):
         H.heat_pumps_by_type(workbook.sheet_grid(cells, "Table 1.1"), notes, META)
 
 
+
+def test_heat_pumps_bad_quarter_and_blank_notes_fail(spark, tmp_path):
+    """An unparseable quarter is reported with the row count; a Table 1.1 whose notes all
+    stay blank (no tag resolves) fails the non-blank check."""
+    cells = workbook_cells(spark, tmp_path, {"Notes": notes_sheet(), "Table 1.1": type_sheet(values=((2024, 1, 10, 5), (2024, 2, 12, 6)))})
+    grid = workbook.sheet_grid(cells, "Table 1.1").withColumn("value", F.regexp_replace("value", "^2024 Q2$", "2024 Q7"))
+    notes = G.notes_lookup(workbook.sheet_grid(cells, "Notes")).drop("sheet_id")
+    with pytest.raises(ContractError, match=r"1 row\(s\), e.g. \['2024 Q7'\]"):
+        H.heat_pumps_by_type(grid, notes, META)
+    no_notes = notes.where(F.lit(False))
+    with pytest.raises(G.GridError, match="entirely empty"):
+        H.heat_pumps_by_type(workbook.sheet_grid(cells, "Table 1.1"), no_notes, META)
+
 # ------------------------------------------------------------------ K12 + medallion
 
 
