@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sheetmill.llm.licenses import license_sql
 from sheetmill.llm.quality import RULES, RiskControl
 
 _C = RiskControl()
@@ -9,8 +10,8 @@ _STRATA = ", ".join(f"'{s}'" for s in _C.strata)
 
 QUALITY_CTES = f"""
 d AS (SELECT doc_id, coalesce(text, '') AS t, CASE WHEN lang IN ({_STRATA}) THEN lang ELSE 'other' END AS stratum FROM documents),
-w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws,
-             list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
+w AS (SELECT *, [x FOR x IN regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+') IF x <> ''] AS ws,
+             [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS ls FROM d),
 tri AS (SELECT doc_id, i, ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3] AS g FROM (SELECT doc_id, ws, unnest(range(len(ws) - 2)) AS i FROM w)),
 dup AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c > 1),
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM dup) GROUP BY doc_id),
@@ -36,7 +37,7 @@ counts AS (SELECT stratum, rule, c, count(*) FILTER (quality = 1) AS n_good, cou
     count(*) FILTER (quality = 1 AND bin > c) AS k, count(*) FILTER (quality = 0 AND bin > c) AS b
     FROM long, range(1, {_C.steps + 1}) AS g(c) GROUP BY ALL),
 tested AS (SELECT *, n_good > 0 AND k <= n_good * {_C.alpha_rule!r}::DOUBLE AND
-    list_sum(list_transform(range(k + 1), i -> exp(lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1) + i * ln({_C.alpha_rule!r}::DOUBLE) + (n_good - i) * ln(1 - {_C.alpha_rule!r}::DOUBLE)))) <= {_C.level!r}::DOUBLE AS passes,
+    list_sum([exp(lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1) + i * ln({_C.alpha_rule!r}::DOUBLE) + (n_good - i) * ln(1 - {_C.alpha_rule!r}::DOUBLE)) FOR i IN range(k + 1)]) <= {_C.level!r}::DOUBLE AS passes,
     CASE WHEN n_bad > 0 THEN b::DOUBLE / n_bad ELSE 0 END - {_C.penalty}::DOUBLE * CASE WHEN n_good > 0 THEN k::DOUBLE / n_good ELSE 0 END AS gain FROM counts),
 certified AS (SELECT * FROM (SELECT *, bool_and(passes) OVER (PARTITION BY stratum, rule ORDER BY c DESC) AS ok FROM tested) WHERE ok AND gain > 1e-9),
 cut AS (SELECT stratum, rule, c FROM certified QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY round(gain, 9) DESC, c DESC) = 1),
@@ -46,4 +47,19 @@ verdict AS (SELECT m.*, NOT base_failed AND NOT EXISTS (SELECT 1 FROM cut WHERE
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": f"WITH {QUALITY_CTES} SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, stratum, {', '.join(RULES)} FROM verdict",
+    "op10_exact_topk": """
+WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)])::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, rank, vec_id, score FROM (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s) WHERE rank <= 5""",
+    "op1_chat_formatting": """
+WITH t AS (SELECT DISTINCT conv_id, coalesce(turn, -1) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list([turn::VARCHAR, role, text] ORDER BY turn, role, text) AS l FROM t GROUP BY conv_id),
+p AS (SELECT DISTINCT l[1:k] AS l FROM (SELECT l, unnest(range(1, len(l))) AS k FROM c)),
+kept AS (SELECT min(conv_id) AS conv_id, count(*) AS n_copies FROM c WHERE l NOT IN (SELECT l FROM p) GROUP BY l)
+SELECT conv_id, (turn // 1024)::BIGINT AS block, 0::BIGINT AS part, count(*) AS n_turns, n_copies,
+       string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY turn, role, text) AS text
+FROM t JOIN kept USING (conv_id) GROUP BY conv_id, turn // 1024, n_copies""",
+    "op3_license_scans": license_sql(),
 }

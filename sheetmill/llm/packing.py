@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetmill.llm.common import quoted, text_of
+from sheetmill.llm.common import gather, quoted, text_of
 from sheetmill.session import materialize
 
 SIZE = 2048
@@ -97,18 +97,6 @@ class ChunkEncoder:
         return np.concatenate(ids), np.r_[0, np.cumsum(np.concatenate(sizes))]
 
 
-def gather(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Concatenation of the variable-length rows ``which`` of (flat, sizes), and their sizes."""
-    starts = np.r_[0, np.cumsum(sizes)][:-1]
-    lengths = sizes[which]
-    total = int(lengths.sum())
-    if not total:
-        return flat[:0], lengths
-    ends = np.cumsum(lengths)
-    index = np.arange(total) - np.repeat(ends - lengths, lengths) + np.repeat(starts[which], lengths)
-    return flat[index], lengths
-
-
 def _token_batches(spec: str, end_id: int):
     """mapInArrow: (id, text) -> (id, part, local, n, ids as little-endian unsigned integers)."""
 
