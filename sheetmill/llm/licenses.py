@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetmill.llm.common import quoted, text_of
+from sheetmill.operators.joins import literal_table
 
 #: Lines that only state who holds the copyright (tested on lower case).
 COPYRIGHT = r"^[\s*#/;-]*(copyright|\(c\)|©|all rights reserved)"
@@ -113,7 +114,7 @@ def registry(spark, texts: dict[str, tuple[str, ...]]) -> list[tuple[str, str]]:
     flat = [(name, text) for name, variants in sorted(texts.items()) for text in variants]
     if not flat:
         return []
-    rows = spark.createDataFrame(flat, "name string, text string").select("name", canonical(F.col("text")).alias("c")).filter("c <> ''")
+    rows = literal_table(spark, flat, ["name", "text"]).select("name", canonical(F.col("text")).alias("c")).filter("c <> ''")
     return [(r["digest"], r["name"]) for r in rows.select(F.sha2("c", 256).alias("digest"), "name").groupBy("digest").agg(F.min("name").alias("name")).orderBy("name", "digest").collect()]
 
 
@@ -121,7 +122,7 @@ def scan_licenses(docs: DataFrame, licenses: dict[str, tuple[str, ...]] = LICENS
     """(doc_id, digest, license, notices): the digest of the canonical form, the licence that
     the entire text is (NULL if none), and the notices on its lines (sorted, comma-joined)."""
     spark = docs.sparkSession
-    known = spark.createDataFrame(registry(spark, licenses), "known string, license string")
+    known = literal_table(spark, registry(spark, licenses), ["known", "license"])
     lines = registry(spark, notices)
     t = text_of(text_col)
     about = F.filter(F.split(t, "\n"), lambda line: line.rlike("(?i)licen[sc]e"))
@@ -129,7 +130,7 @@ def scan_licenses(docs: DataFrame, licenses: dict[str, tuple[str, ...]] = LICENS
     named = F.create_map(*[F.lit(x) for pair in lines for x in pair]) if lines else F.create_map().cast("map<string,string>")
     found = F.filter(F.transform(F.col("found"), lambda d: F.element_at(named, d)), lambda n: n.isNotNull())
     df = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.sha2(canonical(t), 256).alias("digest"), digests.alias("found"))
-    df = df.join(F.broadcast(known), F.col("digest") == F.col("known"), "left")  # the registry's size is fixed by its parameter
+    df = df.join(known, F.col("digest") == F.col("known"), "left")  # the registry's size is fixed by its parameter
     return df.select("doc_id", "digest", "license", F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("notices"))
 
 

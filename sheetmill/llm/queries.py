@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheetmill.llm import bpe, chat, licenses, packing, quality, secrets, simhash, topk, toxicity
+from sheetmill.llm import bpe, chat, licenses, packing, pii, quality, secrets, simhash, topk, toxicity
 from sheetmill.llm.common import table
 from sheetmill.llm.oracles import ORACLES
 
@@ -30,6 +30,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,6 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_quality_rules, op3_license_scans, op4_packing, op6_secret_scans, op7_byte_bpe, op8_toxicity, op9_simhash, op10_exact_topk)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_quality_rules, op3_license_scans, op4_packing, op5_pii, op6_secret_scans, op7_byte_bpe, op8_toxicity, op9_simhash, op10_exact_topk)}
 
 __all__ = ["ORACLES", "QUERIES"]
