@@ -114,6 +114,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, dtype=np.int32)), pa.array(k.astype(np.int64)), pa.array(v.astype(np.int64))], names=["kind", "key", "value"])
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (kind, key, n) of a partition as one pair of arrays per kind."""
+    columns = [[batch.column(i).to_numpy().astype(np.int64) for i in range(3)] for batch in batches]
+    if columns:
+        kind, key, n = (np.concatenate(c) for c in zip(*columns, strict=True))
+        for k in np.unique(kind):
+            mine = kind == k
+            yield pa.RecordBatch.from_arrays([pa.array([int(k)], pa.int32()), pa.array([key[mine].tobytes()], pa.binary()), pa.array([n[mine].tobytes()], pa.binary())], names=["kind", "keys", "counts"])
+
+
 @dataclass
 class Model:
     """Tables of fixed size: word probabilities and backoff weights per class, pair counts."""
@@ -174,8 +184,11 @@ def build_model(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text
     rows = docs.select(F.col(quoted(id_col)).alias("id"), word_slots(text_of(text_col)).alias("w")).join(fit, F.col("id") == F.col("__id"), "left").select("y", "w")
     counted = rows.mapInArrow(_count, "kind int, key long, value long").groupBy("kind", "key").agg(F.sum("value").alias("n"))
     # at most 3 x WORDS rows, and the pairs that the bounded sample has more than PAIR_DISCOUNT times
-    got = counted.filter(~F.col("kind").isin(2, 3) | (F.col("n") > PAIR_DISCOUNT)).select("kind", "key", F.col("n").alias("v")).toPandas()
-    table = {kind: (g["key"].to_numpy(), g["v"].to_numpy()) for kind, g in got.groupby("kind")}
+    few = counted.filter(~F.col("kind").isin(2, 3) | (F.col("n") > PAIR_DISCOUNT)).select("kind", "key", "n")
+    parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    for r in few.mapInArrow(_packed, "kind int, keys binary, counts binary").toLocalIterator():
+        parts.setdefault(r["kind"], []).append((np.frombuffer(r["keys"], dtype=np.int64), np.frombuffer(r["counts"], dtype=np.int64)))
+    table = {kind: tuple(np.concatenate(x) for x in zip(*arrays, strict=True)) for kind, arrays in parts.items()}
     none = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
     count, shared = np.zeros((2, WORDS)), np.zeros(WORDS, dtype=np.int64)
     total, kept = np.zeros((2, WORDS + 1)), np.zeros((2, WORDS + 1))
@@ -240,6 +253,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, id_col: s
             yield pa.RecordBatch.from_arrays([batch.column("y"), *[pa.array(c) for c in f.T]], names=["y", *names])
 
     seen = rows.select("y", word_slots(F.col("t")).alias("w")).mapInArrow(features, "y int, " + ", ".join(f"{n} double" for n in names)).toPandas()  # a quarter of the bounded sample (repeated rows count each)
+    shared.destroy()
     if seen["y"].nunique() == 2:
         model.curve = fit_curve(seen[names].to_numpy(), seen["y"].to_numpy())
     else:
