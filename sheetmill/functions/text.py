@@ -32,8 +32,9 @@ def extract_or_null(c: Column | str, pattern: str, idx: int = 0) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Strip leading and trailing whitespace (tabs and newlines too, not only blanks)."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    """Strip leading and trailing whitespace (tabs and newlines too, not only blanks); one scan
+    from either end."""
+    return F.trim(_col(c), F.lit(" \t\n\x0b\f\r"))
 
 
 def clean_header(c: Column | str) -> Column:

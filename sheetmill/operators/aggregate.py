@@ -39,14 +39,17 @@ def latest_at_or_before(df: DataFrame, keys: Sequence[str], date_col: str, asof:
     return df.groupBy(*keys).agg(F.max(F.when(F.col(date_col) <= asof, F.col(date_col))).alias(out))
 
 
-def first_by(df: DataFrame, keys: Sequence[str], order: Column | str, cols: Sequence[str], descending: bool = False, where: Column | None = None) -> DataFrame:
-    """G9 / A8 / A9 the row with the smallest (or largest) ordering value per group.
+def first_by(df: DataFrame, keys: Sequence[str], order: Column | str, cols: Sequence[str], descending: bool = False, where: Column | None = None, ties: Sequence[str] = ()) -> DataFrame:
+    """G9 / A8 / A9 the row with the smallest (or largest) ordering value per group; among equal
+    ordering values the one that comes first (last, if descending) by the columns ``ties``.
 
     ``min_by``/``max_by`` over a struct: a partial aggregate, so no group is ever
     collected into one task and no window sort is needed.
     """
     src = df if where is None else df.where(where)
     o = F.col(order) if isinstance(order, str) else order
+    if ties:
+        o = F.when(o.isNotNull(), F.struct(o, *[F.col(c) for c in ties]))
     payload = F.struct(*[F.col(c) for c in cols])
     pick = F.max_by(payload, o) if descending else F.min_by(payload, o)
     return src.groupBy(*keys).agg(pick.alias("__pick")).select(*keys, *[F.col(f"__pick.{c}").alias(c) for c in cols])

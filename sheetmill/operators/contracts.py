@@ -219,18 +219,19 @@ def components_sum_to_total(
 ) -> DataFrame:
     """I5 per group: sum of non-total components vs the total, both rounded.
 
-    Missing side counts as 0 and an all-NULL sum is 0 (spreadsheet-tool sum).  A
+    Missing side counts as 0 and an all-NULL sum is 0 (spreadsheet-tool sum).  A row with a
+    NULL component is a component; several totals of a group are summed; halves round to even.  A
     single aggregation with conditional sums does the work of the sum + outer join
     + fill: one shuffle on the group keys, partial aggregation map-side.
     Returns (group_cols, components, total, ok).
     """
-    is_total = F.col(f"`{component_col}`") == F.lit(total_label)
+    is_total = F.coalesce(F.col(f"`{component_col}`") == F.lit(total_label), F.lit(False))
     v = F.col(f"`{value_col}`")
     grouped = df.groupBy(*[F.col(f"`{g}`") for g in group_cols]).agg(
         F.coalesce(F.sum(F.when(~is_total, v)), F.lit(0.0)).alias("components"),
         F.coalesce(F.sum(F.when(is_total, v)), F.lit(0.0)).alias("total"),
     )
-    return grouped.withColumn("ok", F.round("components", decimals) == F.round("total", decimals))
+    return grouped.withColumn("ok", F.bround("components", decimals) == F.bround("total", decimals))
 
 
 def require_components_sum(df: DataFrame, group_cols: Sequence[str], **kw) -> None:

@@ -327,11 +327,11 @@ def silver_contract() -> Contract:
     return Contract(
         "silver consumption adjusted levels",
         (
-            Field(PAYMENT, None, checks=(isin(PAYMENT, C.PAYMENT_METHODS),)),
-            Field(FUEL, None),
-            Field(CONSUMPTION, None, checks=(isin(CONSUMPTION, [C.NIL, C.TYPICAL]),)),
-            Field(COMPONENT, None, checks=(isin(COMPONENT, [c for c in C.COMPONENT_CATEGORY if c != "VAT"] + [C.TOTAL_INC_VAT]),)),
-            Field(C.PERIOD_COL, None, checks=(matches(C.PERIOD_COL, C.NORMALISED_PERIOD_PATTERN),)),
+            Field(PAYMENT, T.StringType(), checks=(isin(PAYMENT, C.PAYMENT_METHODS),)),
+            Field(FUEL, T.StringType()),
+            Field(CONSUMPTION, T.StringType(), checks=(isin(CONSUMPTION, [C.NIL, C.TYPICAL]),)),
+            Field(COMPONENT, T.StringType(), checks=(isin(COMPONENT, [c for c in C.COMPONENT_CATEGORY if c != "VAT"] + [C.TOTAL_INC_VAT]),)),
+            Field(C.PERIOD_COL, T.StringType(), checks=(matches(C.PERIOD_COL, C.NORMALISED_PERIOD_PATTERN),)),
             Field(VALUE, None, nullable=True),
             Field(START, T.TimestampNTZType()),
             Field(END, T.TimestampNTZType()),

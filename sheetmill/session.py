@@ -80,6 +80,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/sheetmill/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a table or folder that this library wrote, through Spark's own file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python file APIs can use the path."""
     if path.startswith("file:"):

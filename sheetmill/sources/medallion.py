@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetmill.operators.contracts import Contract, observe_contract, raise_observed
+from sheetmill.session import remove_path
 from sheetmill.sources.files import layer_path, read_table
 
 
@@ -55,8 +56,11 @@ def publish(
     version_key: str,
     version: str,
     contract: Contract | None = None,
+    set_latest: bool = True,
 ) -> dict[str, str]:
-    """B2 publish a table: historical partition ``<version_key>=<version>`` + latest copy."""
+    """B2 publish a table: historical partition ``<version_key>=<version>`` + latest copy
+    (``set_latest=False`` leaves ``latest`` alone: a run of several versions sets it once at its
+    end).  The staged copy is removed once both are written."""
     spark: SparkSession = df.sparkSession
     staged = stage(df, root, layer, dataset, table, contract)
     data = spark.read.parquet(staged)
@@ -69,11 +73,20 @@ def publish(
         .partitionBy(version_key)
         .parquet(hist)
     )
-    data.write.mode("overwrite").parquet(latest)
-    return {"historical": hist, "latest": latest, "staged": staged}
+    if set_latest:
+        data.write.mode("overwrite").parquet(latest)
+    remove_path(spark, staged)
+    return {"historical": hist, "latest": latest}
 
 
-def land_raw(files: DataFrame, root: str, dataset: str, version_key: str, version: str, layer: str = "bronze") -> dict[str, str]:
+def set_latest_versions(spark: SparkSession, root: str, layer: str, dataset: str, table: str, version_key: str, versions: list[str]) -> None:
+    """Replace ``latest`` once by the rows of several historical versions together."""
+    hist = read_table(spark, layer_path(root, layer, dataset, "historical", table))
+    rows = hist.where(F.col(version_key).isin(versions)).drop(version_key)
+    write_table(rows, layer_path(root, layer, dataset, "latest", table))
+
+
+def land_raw(files: DataFrame, root: str, dataset: str, version_key: str, version: str, layer: str = "bronze", set_latest: bool = True) -> dict[str, str]:
     """B3 land raw source files as a payload table (filename, content BINARY, metadata MAP).
 
     ``files`` has ``path`` and ``content`` (e.g. from ``binaryFile``) and optionally a
@@ -82,7 +95,7 @@ def land_raw(files: DataFrame, root: str, dataset: str, version_key: str, versio
     cols = [F.regexp_extract("path", r"([^/]*)/*$", 1).alias("filename"), F.col("content"), F.length("content").cast("bigint").alias("size_bytes")]
     if "metadata" in files.columns:
         cols.append(F.col("metadata"))
-    return publish(files.select(*cols), root, layer, dataset, "file", version_key, version)
+    return publish(files.select(*cols), root, layer, dataset, "file", version_key, version, set_latest=set_latest)
 
 
 def read_version(spark: SparkSession, root: str, layer: str, dataset: str, table: str, version_key: str, version: str) -> DataFrame:

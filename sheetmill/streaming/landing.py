@@ -6,11 +6,16 @@ files were already processed in the checkpoint (under the shared checkpoint fold
 so a restarted or failed run resumes without re-landing or skipping files.
 ``trigger(availableNow=True)`` processes everything that has arrived and stops,
 which is how a scheduled batch job uses it.  Each micro-batch is published as one
-version (``batch=<id>``) through the same publish operator as batch jobs.
+historical version (``batch=<stream id>-<batch id>``) through the same publish operator as
+batch jobs.  The stream id lives beside the checkpoint: a replayed batch overwrites its own
+version, and a new or lost checkpoint cannot reuse the versions of an older one.  ``latest``
+is replaced once, at the end of the run, by all versions landed since it was last set (those
+of an earlier run that failed half-way included).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +32,21 @@ def _checkpoint(spark: SparkSession, name: str, location: str | None) -> str:
     return location or f"{checkpoint_root(spark)}/sheetmill-streams/{name}"
 
 
+def _read_state(spark: SparkSession, checkpoint: str) -> tuple[str, int]:
+    """(stream id, last batch that ``latest`` has) of a checkpoint; a new id if it has none."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        row = spark.read.schema("stream string, published long").json(f"{checkpoint}/_landing").orderBy(F.desc("published")).first()
+    except AnalysisException:  # a new checkpoint
+        row = None
+    return (row["stream"], row["published"]) if row else (uuid.uuid4().hex[:12], -1)
+
+
+def _write_state(spark: SparkSession, checkpoint: str, stream: str, published: int) -> None:
+    spark.range(1).select(F.lit(stream).alias("stream"), F.lit(published).cast("long").alias("published")).write.mode("append").json(f"{checkpoint}/_landing")
+
+
 def land_new_files(
     spark: SparkSession,
     landing_dir: str,
@@ -58,22 +78,34 @@ def land_new_files(
         .select("path", "content")
     )
 
+    checkpoint = _checkpoint(spark, f"{dataset}-{layer}-{table}", checkpoint_location)
+    stream_id, published = _read_state(spark, checkpoint)
+    if published < 0:
+        _write_state(spark, checkpoint, stream_id, published)
+    last = published
+
     def publish_batch(batch: DataFrame, batch_id: int) -> None:
+        nonlocal last
         if batch.isEmpty():
             return
-        version = f"{batch_id:08d}"
+        version = f"{stream_id}-{batch_id:08d}"
         if transform is None:
-            medallion.land_raw(batch, root, dataset, "batch", version, layer=layer)
+            medallion.land_raw(batch, root, dataset, "batch", version, layer=layer, set_latest=False)
         else:
-            medallion.publish(transform(batch), root, layer, dataset, table, "batch", version)
+            medallion.publish(transform(batch), root, layer, dataset, table, "batch", version, set_latest=False)
+        last = max(last, batch_id)
 
     query = (
         stream.writeStream.foreachBatch(publish_batch)
-        .option("checkpointLocation", _checkpoint(spark, f"{dataset}-{layer}-{table}", checkpoint_location))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    if last > published:
+        versions = [f"{stream_id}-{b:08d}" for b in range(published + 1, last + 1)]  # one per micro-batch of the run
+        medallion.set_latest_versions(spark, root, layer, dataset, table if transform else "file", "batch", versions)
+        _write_state(spark, checkpoint, stream_id, last)
 
 
 def bank_holidays_from_payload(batch: DataFrame) -> DataFrame:

@@ -205,7 +205,7 @@ def test_bank_holidays_end_to_end(spark, tmp_path, root):
     assert out["historical"].endswith("historical/bank_holidays")
     latest = files.read_latest(spark, root, "silver", "example", "bank_holidays")
     rows = latest.collect()
-    assert len(rows) == 3 and {r["year"] for r in rows} == {2025}
+    assert len(rows) == 3 and {r["year"] for r in rows} == {2031}
     assert latest.columns == ["division", "title", "date", "notes", "bunting", "year"]
     hist = files.read_historical(spark, root, "silver", "example", "bank_holidays")
     assert {r["ingested"] for r in hist.select("ingested").distinct().collect()} == {"2025-06-01T09-30-00Z"}

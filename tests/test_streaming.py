@@ -42,3 +42,22 @@ def test_backlog_is_split_into_bounded_batches(spark, tmp_path, root):
     hist = files.read_historical(spark, root, "bronze", "backlog", "file")
     assert sorted(r["filename"] for r in hist.collect()) == ["a.json", "b.json", "c.json"]
     assert hist.select("batch").distinct().count() == 3
+    latest = files.read_latest(spark, root, "bronze", "backlog", "file")
+    assert sorted(r["filename"] for r in latest.collect()) == ["a.json", "b.json", "c.json"]
+
+
+def test_lost_checkpoint_cannot_overwrite_older_versions(spark, tmp_path, root):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "a.json").write_text(json.dumps(SAMPLE_HOLIDAYS))
+    for n in range(2):
+        land_new_files(spark, str(landing), root, "lost", glob="*.json", checkpoint_location=str(tmp_path / f"lost{n}"))
+    assert files.read_historical(spark, root, "bronze", "lost", "file").select("batch").distinct().count() == 2
+
+
+def test_publish_removes_its_staged_copy(spark, tmp_path, root):
+    from sheetmill.sources import medallion
+
+    medallion.publish(spark.range(3), root, "silver", "d", "t", "v", "1")
+    staging = [p for p in (tmp_path / "lake").rglob("*.parquet") if "_staging" in str(p)]
+    assert not staging
