@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from sheetmill.llm.common import quoted, text_of
 from sheetmill.operators.joins import literal_table
 
-#: Lines that only state who holds the copyright (tested on lower case).
+#: Lines that only state who holds the copyright (tested on lower case), and the beginnings of
+#: wrapped lines of a licence's own sentences, which stay wherever the text is wrapped.
 COPYRIGHT = r"^[\s*#/;-]*(copyright|\(c\)|©|all rights reserved)"
+SENTENCE = r"^[\s*#/;-]*copyright (and|disclaimer|holder|interest|law|licen[cs]e|notice|owner|statement)"
 #: Equivalent spellings, applied in this order to the blank-separated form.
 SPELLINGS = (("licence", "license"), ("sub license", "sublicense"), ("non commercial", "noncommercial"), ("organis", "organiz"), ("authoris", "authoriz"), ("whilst", "while"))
 
@@ -101,7 +103,7 @@ NOTICES: dict[str, tuple[str, ...]] = {
 
 
 def canonical(text: Column) -> Column:
-    lines = F.filter(F.split(F.lower(text), "\n"), lambda line: ~line.rlike(COPYRIGHT))
+    lines = F.filter(F.split(F.lower(text), "\n"), lambda line: ~line.rlike(COPYRIGHT) | line.rlike(SENTENCE))
     plain = F.trim(F.regexp_replace(F.array_join(lines, "\n"), r"[^\p{L}\p{N}]+", " "))
     for variant, usual in SPELLINGS:
         plain = F.replace(plain, F.lit(variant), F.lit(usual))
@@ -139,7 +141,7 @@ def license_sql() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
 
     def canon(column: str) -> str:
-        lines = f"array_to_string([x FOR x IN string_split(lower({column}), chr(10)) IF NOT regexp_matches(x, {quote(COPYRIGHT)})], chr(10))"
+        lines = f"array_to_string([x FOR x IN string_split(lower({column}), chr(10)) IF NOT regexp_matches(x, {quote(COPYRIGHT)}) OR regexp_matches(x, {quote(SENTENCE)})], chr(10))"
         out = f"trim(regexp_replace({lines}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
         for variant, usual in SPELLINGS:
             out = f"replace({out}, {quote(variant)}, {quote(usual)})"

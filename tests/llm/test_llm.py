@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -106,6 +107,9 @@ def test_license_texts_and_notices(spark, empty):
     df = spark.createDataFrame([(1, mit), (2, mit + " extra"), (3, "text\nreleased under the MIT licence\nmore"), (4, None), (5, mit)], "doc_id long, text string")
     got = {r["doc_id"]: (r["license"], r["notices"]) for r in licenses.scan_licenses(df).collect()}
     assert got == {1: ("MIT", ""), 2: (None, ""), 3: (None, "MIT"), 4: (None, ""), 5: ("MIT", "")}
+    wraps = [(w, textwrap.fill(" ".join(text[0].split()), w, break_on_hyphens=False), name) for name, text in licenses.LICENSES.items() for w in range(30, 121, 3)]
+    wrapped = spark.createDataFrame(wraps, "doc_id long, text string, expected string")
+    assert licenses.scan_licenses(wrapped).filter("license is null").count() == 0
     assert licenses.scan_licenses(df, {}, {}).filter("license is not null or notices <> ''").count() == 0
     assert licenses.scan_licenses(empty).count() == 0
 
