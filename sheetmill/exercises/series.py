@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from sheetmill.exercises._registry import exercise, table
 from sheetmill.functions import dates as J
 from sheetmill.functions.numeric import round_half_even
-from sheetmill.functions.text import ends_with_ci, extract_or_null, slugify_col, starts_with_ci, strip
+from sheetmill.functions.text import extract_or_null, slugify_col, strip
 from sheetmill.operators import contracts as I
-from sheetmill.operators.joins import literal_table, union_all
+from sheetmill.operators.calendar import mark_latest, unknown_periods, url_month_is_latest
+from sheetmill.operators.joins import union_all
 from sheetmill.operators.timeseries import carry_forward, diff, pct_change, period_over_period
 from sheetmill.plans import config as C
 from sheetmill.plans import price_cap as K
@@ -185,23 +186,17 @@ CALENDAR_LIST = ", ".join("'" + p + "'" for p in C.PERIOD_PUBLICATION_DATES)
 
 @exercise("I7_period_known", f"SELECT period FROM {QUARTER_SQL} q WHERE period NOT IN ({CALENDAR_LIST})")
 def i7_period_known(spark, sf):
-    """Order quarters as period labels, checked against the publication calendar by
-    parsed interval (anti join against the fixed 20-row calendar, broadcast)."""
-    periods = _quarter_periods(spark, sf).withColumn("iv", J.parse_cap_period("period"))
-    cal = literal_table(spark, [(p,) for p in C.PERIOD_PUBLICATION_DATES], ["cal"]).select(J.parse_cap_period("cal").alias("iv"), F.lit(True).alias("known"))
-    # Left join + IS NULL rather than left_anti: the optimizer pushes an anti join below
-    # the distinct, which would parse every input row instead of every distinct label.
-    return periods.join(F.broadcast(cal), on="iv", how="left").where(F.col("known").isNull()).select("period")
+    """Order quarters as period labels that the publication calendar does not have."""
+    return unknown_periods(_quarter_periods(spark, sf), C.publication_calendar(spark))
 
 
 def _monthly_calendar(spark, sf):
-    """(period, publication_date) per month + the latest publication at or before the
-    as-of date: a one-row aggregate, read back as a scalar (bounded)."""
-    o = table(spark, sf, "orders")
-    cal = o.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("period")).agg(F.min("o_orderdate").alias("publication_date"))
-    asof = F.lit(ASOF).cast("timestamp_ntz")
-    latest = cal.agg(F.max(F.when(F.col("publication_date") <= asof, F.col("publication_date"))).alias("latest")).first()["latest"]
-    return cal, latest
+    """(period, publication_date) per month, from orders."""
+    return table(spark, sf, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("period")).agg(F.min("o_orderdate").alias("publication_date"))
+
+
+def _asof():
+    return F.lit(ASOF).cast("timestamp_ntz")
 
 
 @exercise(
@@ -211,9 +206,7 @@ def _monthly_calendar(spark, sf):
 )
 def i8_period_is_latest(spark, sf):
     """Monthly publication calendar derived from orders; which period is the latest published as of a date."""
-    cal, latest = _monthly_calendar(spark, sf)
-    is_latest = F.lit(False) if latest is None else F.col("publication_date") == F.lit(latest).cast("timestamp_ntz")
-    return cal.select("period", "publication_date", F.coalesce(is_latest, F.lit(False)).alias("is_latest"))
+    return mark_latest(_monthly_calendar(spark, sf), _asof())
 
 
 @exercise(
@@ -225,11 +218,9 @@ def i8_period_is_latest(spark, sf):
 )
 def i9_url_month_is_latest(spark, sf):
     """File URLs stamped with the order month: does the URL month equal the month of the latest publication?"""
-    _, latest = _monthly_calendar(spark, sf)
-    latest_month = None if latest is None else latest.strftime("%Y-%m")
     o = table(spark, sf, "orders").select(F.concat(F.lit("https://example.org/files/"), F.date_format("o_orderdate", "yyyy-MM"), F.lit("/annex.xlsx")).alias("url"))
-    url_month = F.regexp_extract("url", r"(\d{4}-\d{2})", 1)
-    return o.groupBy((url_month == F.lit(latest_month)).alias("ok")).agg(F.count(F.lit(1)).alias("n"))
+    rule = url_month_is_latest("url", _monthly_calendar(spark, sf), _asof())
+    return o.select((~rule.violation).alias("ok")).groupBy("ok").agg(F.count(F.lit(1)).alias("n"))
 
 
 @exercise(
@@ -237,20 +228,18 @@ def i9_url_month_is_latest(spark, sf):
     f"""SELECT o_orderpriority, ({1998 * 12 + 8} - (year(o_orderdate) * 12 + month(o_orderdate))) <= 3 AS fresh, count(*) AS n FROM orders GROUP BY ALL""",
 )
 def i10_fresh_within_months(spark, sf):
-    o = table(spark, sf, "orders")
-    asof_idx = J.month_index(F.lit(ASOF).cast("timestamp_ntz"))
-    fresh = (asof_idx - J.month_index(F.col("o_orderdate"))) <= 3
-    return o.groupBy("o_orderpriority", fresh.alias("fresh")).agg(F.count(F.lit(1)).alias("n"))
+    rule = I.fresh_within_months("o_orderdate", _asof(), 3)
+    return table(spark, sf, "orders").groupBy("o_orderpriority", (~rule.violation).alias("fresh")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@exercise("I11_starts_with", "SELECT doc_id, starts_with(lower(text), 'the') AS starts FROM documents")
+@exercise("I11_starts_with", "SELECT doc_id, coalesce(starts_with(lower(text), 'the'), false) AS starts FROM documents")
 def i11_starts_with(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", starts_with_ci("text", "The").alias("starts"))
+    return table(spark, sf, "documents").select("doc_id", (~I.starts_with("text", "The").violation).alias("starts"))
 
 
-@exercise("I12_has_extension", "SELECT page_id, ends_with(lower(url), '.html') AS is_html FROM pages")
+@exercise("I12_has_extension", "SELECT page_id, coalesce(ends_with(lower(url), '.html'), false) AS is_html FROM pages")
 def i12_has_extension(spark, sf):
-    return table(spark, sf, "pages").select("page_id", ends_with_ci("url", ".HTML").alias("is_html"))
+    return table(spark, sf, "pages").select("page_id", (~I.has_extension("url", ".HTML").violation).alias("is_html"))
 
 
 # ------------------------------------------------------------------ J

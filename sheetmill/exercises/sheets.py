@@ -1,9 +1,10 @@
 """The tariff-sheet build on a sheet Spark lays out from ``lineitem`` aggregates;
 K10 / K11: deployment tables laid out from ``orders``; K12: nested documents built from ``events``.
 
-Line items become tariff levels: return flag -> payment method, part key -> fuel,
-line status -> consumption level, discount -> component, ship year -> period; value =
-shipped value in thousands.  The sheet is laid out like the published workbook (one
+Line items become tariff levels, one sheet per block of suppliers (their number grows with
+the data): return flag -> payment method, part key -> fuel, line status -> consumption
+level, discount -> component, ship year -> period; value = shipped value in thousands.
+Every sheet is laid out like the published workbook (one
 section per payment method, four fuel blocks side by side, nil and typical tables with
 period headings, total-inc-VAT rows in the dual-fuel block) and then tidied by
 ``tidy_tariff_tables``.  Blank cells (a level with no line items in a year) are filled
@@ -19,7 +20,7 @@ from sheetmill.exercises._registry import exercise, table
 from sheetmill.exercises.grids import _notes_grid
 from sheetmill.functions.numeric import to_number
 from sheetmill.operators import grid as G
-from sheetmill.operators.joins import literal_table, map_values
+from sheetmill.operators.joins import map_values
 from sheetmill.plans import bank_holidays as HP_BH
 from sheetmill.plans import config as C
 from sheetmill.plans import heat_pumps as HP
@@ -30,22 +31,26 @@ PAY_OF_FLAG = {"A": C.PAYMENT_METHODS[0], "N": C.PAYMENT_METHODS[1], "R": C.PAYM
 CONS_OF_STATUS = {"F": C.NIL, "O": C.TYPICAL}
 COMPONENTS = ["DF", "NC", C.TOTAL, C.TOTAL_INC_VAT]
 SECTION_ROWS = 14
+SUPPLIERS = 10  # suppliers to a sheet
 
 
 def _levels(spark, sf):
     li = table(spark, sf, "lineitem")
     base = li.select(
+        F.concat(F.lit("suppliers "), F.floor(F.col("l_suppkey") / SUPPLIERS).cast("string")).alias("sheet_id"),
         map_values("l_returnflag", PAY_OF_FLAG).alias("pay"),
         F.element_at(F.array(*[F.lit(f) for f in C.FUELS]), (F.col("l_partkey") % 4 + 1).cast("int")).alias("fuel"),
         map_values("l_linestatus", CONS_OF_STATUS).alias("cons"),
         F.when(F.col("l_discount") < 0.05, F.lit("DF")).otherwise(F.lit("NC")).alias("comp"),
         F.year("l_shipdate").alias("y"),
-        "l_extendedprice",
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
     ).where(F.col("pay").isNotNull() & F.col("cons").isNotNull() & F.col("y").isNotNull())
     # Component and total levels in ONE aggregation (grouping sets: one scan, one shuffle);
-    # the result is a few hundred rows, written once so the layout steps never rescan lineitem.
-    sums = base.groupingSets([["pay", "fuel", "cons", "comp", "y"], ["pay", "fuel", "cons", "y"]], "pay", "fuel", "cons", "comp", "y").agg(
-        F.round(F.sum("l_extendedprice") / 1000, 2).alias("value"), F.grouping("comp").alias("__total")
+    # the result is a few hundred rows a sheet, written once so the layout steps never rescan
+    # lineitem.  Decimal sums: exact, whatever the order of the rows.
+    level = ["sheet_id", "pay", "fuel", "cons", "comp", "y"]
+    sums = base.groupingSets([level, [c for c in level if c != "comp"]], *level).agg(
+        (F.sum("price").cast("double") / 1000).alias("value"), F.grouping("comp").alias("__total")
     )
     parts = sums.where(F.col("__total") == 0).drop("__total")
     totals = sums.where(F.col("__total") == 1).withColumn("comp", F.lit(C.TOTAL)).drop("__total")
@@ -55,8 +60,8 @@ def _levels(spark, sf):
 
 def _tariff_grid(spark, sf):
     levels = _levels(spark, sf)
-    span = levels.agg(F.min("y").alias("lo"), F.max("y").alias("hi")).first()  # two scalars
-    lo, width = span["lo"], span["hi"] - span["lo"] + 1
+    years = sorted(r["y"] for r in levels.select("y").distinct().collect())  # calendar years: a few
+    lo, width = (years[0], years[-1] - years[0] + 1) if years else (0, 0)
 
     def block_col(fi):  # first column of a fuel block
         return 1 + fi * (width + 1)
@@ -78,17 +83,11 @@ def _tariff_grid(spark, sf):
                 for ci, comp in enumerate(COMPONENTS):
                     if comp != C.TOTAL_INC_VAT or fuel == C.DUAL_FUEL:
                         labels.append((s + off + 1 + ci, block_col(fi), comp))
-    fixed = literal_table(spark, labels, ["row_idx", "col_idx", "value"], ["int", "int", "string"])
     # Period headings: one per (payment, fuel, consumption) block and year present in the data.
     blocks = [(section(pi) + off, block_col(fi)) for pi in range(3) for fi in range(4) for off in (3, 8)]
-    years = levels.select("y").distinct()
-    headings = years.select(
-        "y", F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r, c in blocks])).alias("b")
-    ).select(
-        F.col("b.r").alias("row_idx"),
-        (F.col("b.c") + 1 + F.col("y") - lo).cast("int").alias("col_idx"),
-        F.concat(F.lit("January "), F.col("y").cast("string"), F.lit(" - December "), F.col("y").cast("string")).alias("value"),
-    )
+    labels += [(r, c + 1 + y - lo, f"January {y} - December {y}") for r, c in blocks for y in years]
+    cells = F.array(*[F.struct(F.lit(r).alias("row_idx"), F.lit(c).alias("col_idx"), F.lit(v).alias("value")) for r, c, v in labels])
+    fixed = levels.select("sheet_id").distinct().select("sheet_id", F.inline(cells))
     comp_idx = {c: i for i, c in enumerate(COMPONENTS)}
     row = (
         F.lit(2)
@@ -98,8 +97,8 @@ def _tariff_grid(spark, sf):
         + map_values("comp", comp_idx)
     )
     col = 1 + map_values("fuel", fuel_idx) * (width + 1) + 1 + F.col("y") - lo
-    values = levels.select(row.cast("int").alias("row_idx"), col.cast("int").alias("col_idx"), F.col("value").cast("string").alias("value"))
-    return fixed.unionByName(headings).unionByName(values).withColumn("sheet_id", F.lit("lineitem"))
+    values = levels.select("sheet_id", row.cast("int").alias("row_idx"), col.cast("int").alias("col_idx"), F.col("value").cast("string").alias("value"))
+    return fixed.unionByName(values)
 
 
 def _combos_sql() -> str:
@@ -118,22 +117,23 @@ FUEL_CASE = "CASE l_partkey % 4 " + " ".join(f"WHEN {i} THEN '{f}'" for i, f in
 PAY_CASE = "CASE l_returnflag " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PAY_OF_FLAG.items()) + " END"
 K8_SQL = f"""
 WITH base AS (
-  SELECT {PAY_CASE} AS pay, {FUEL_CASE} AS fuel,
+  SELECT 'suppliers ' || CAST(l_suppkey // {SUPPLIERS} AS VARCHAR) AS sheet_id, {PAY_CASE} AS pay, {FUEL_CASE} AS fuel,
          CASE l_linestatus WHEN 'F' THEN 'Nil consumption' WHEN 'O' THEN 'Typical consumption' END AS cons,
          CASE WHEN l_discount < 0.05 THEN 'DF' ELSE 'NC' END AS comp,
-         year(l_shipdate) AS y, l_extendedprice
+         year(l_shipdate) AS y, CAST(l_extendedprice AS DECIMAL(18,2)) AS price
   FROM lineitem),
 b AS (SELECT * FROM base WHERE pay IS NOT NULL AND cons IS NOT NULL AND y IS NOT NULL),
-tot AS (SELECT pay, fuel, cons, y, round(sum(l_extendedprice) / 1000, 2) AS value FROM b GROUP BY ALL),
-v AS (SELECT pay, fuel, cons, comp, y, round(sum(l_extendedprice) / 1000, 2) AS value FROM b GROUP BY ALL
-      UNION ALL SELECT pay, fuel, cons, 'Total_GB average', y, value FROM tot
-      UNION ALL SELECT pay, fuel, cons, 'Total inc VAT', y, value * 1.05 FROM tot WHERE fuel = 'Dual fuel (implied)'),
+tot AS (SELECT sheet_id, pay, fuel, cons, y, CAST(sum(price) AS DOUBLE) / 1000 AS value FROM b GROUP BY ALL),
+v AS (SELECT sheet_id, pay, fuel, cons, comp, y, CAST(sum(price) AS DOUBLE) / 1000 AS value FROM b GROUP BY ALL
+      UNION ALL SELECT sheet_id, pay, fuel, cons, 'Total_GB average', y, value FROM tot
+      UNION ALL SELECT sheet_id, pay, fuel, cons, 'Total inc VAT', y, value * 1.05::DOUBLE FROM tot WHERE fuel = 'Dual fuel (implied)'),
+sheets AS (SELECT DISTINCT sheet_id FROM b),
 combos AS (SELECT * FROM ({_combos_sql()}) t(pay, fuel, cons, comp)),
 years AS (SELECT DISTINCT y FROM b),
-cells AS (SELECT c.pay, c.fuel, c.cons, c.comp, years.y, v.value
-          FROM combos c JOIN years ON true LEFT JOIN v ON v.pay = c.pay AND v.fuel = c.fuel AND v.cons = c.cons AND v.comp = c.comp AND v.y = years.y),
-filled AS (SELECT *, last_value(value IGNORE NULLS) OVER (PARTITION BY pay, fuel, cons, comp ORDER BY y ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS f FROM cells)
-SELECT pay AS payment_method, fuel, cons AS consumption, comp AS tariff_component,
+cells AS (SELECT sheets.sheet_id, c.pay, c.fuel, c.cons, c.comp, years.y, v.value
+          FROM combos c JOIN years ON true JOIN sheets ON true LEFT JOIN v ON v.sheet_id = sheets.sheet_id AND v.pay = c.pay AND v.fuel = c.fuel AND v.cons = c.cons AND v.comp = c.comp AND v.y = years.y),
+filled AS (SELECT *, last_value(value IGNORE NULLS) OVER (PARTITION BY sheet_id, pay, fuel, cons, comp ORDER BY y ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS f FROM cells)
+SELECT sheet_id, pay AS payment_method, fuel, cons AS consumption, comp AS tariff_component,
        'Jan ' || CAST(y AS VARCHAR) || ' - Dec ' || CAST(y AS VARCHAR) AS period, f AS value
 FROM filled
 """
@@ -141,9 +141,10 @@ FROM filled
 
 @exercise("K8_tidy_tariff_tables", K8_SQL)
 def k8_tidy_tariff_tables(spark, sf):
-    """Sheet laid out from lineitem levels -> sections -> blocks -> tidy levels."""
+    """Sheets laid out from lineitem levels -> sections -> blocks -> tidy levels."""
     tidy = K.tidy_tariff_tables(_tariff_grid(spark, sf))
     return tidy.select(
+        "sheet_id",
         F.col(f"`{K.PAYMENT}`").alias("payment_method"),
         F.col(K.FUEL).alias("fuel"),
         F.col(K.CONSUMPTION).alias("consumption"),
@@ -155,7 +156,8 @@ def k8_tidy_tariff_tables(spark, sf):
 
 # ------------------------------------------------------------------ K10 (Table 1.1 from orders)
 
-HP_TITLE = "Table 1.1 Installations by type, orders of priority "
+HP_TITLE = "Table 1.1 Installations by type, orders of "
+CUSTOMERS = 10  # customers to a Table 1.1 sheet
 # Fixed cells of every sheet: (row, column, text).  Row 3 is a fully blank separator row.
 HP_FIXED = [
     (1, 0, "Quarterly counts derived from the orders table."),
@@ -168,16 +170,30 @@ HP_FIXED = [
 HP_META = {"publisher": "test tables", "filename": "orders.parquet", "publication_date": "2026-01-01", "page_url": "local"}
 
 
+def _customer_block(size):
+    return F.concat(F.lit("customers "), F.floor(F.col("o_custkey") / size).cast("string"))
+
+
+def _order_notes(spark, sf):
+    """A notes sheet per block of customers: its first and its last order date."""
+    day = lambda d: F.date_format(d, "yyyy-MM-dd")
+    dates = table(spark, sf, "orders").groupBy(_customer_block(CUSTOMERS).alias("sheet_id")).agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
+    texts = [F.concat(F.lit("First order "), day("lo")), F.lit("A superseded text"), F.concat(F.lit("Last order "), day("hi"))]
+    lines = [F.struct(F.lit(i + 2).alias("r"), F.lit(n).alias("Note number"), t.alias("Note text")) for i, (n, t) in enumerate(zip(("note 1", "note 2", "note 2"), texts, strict=True))]
+    return G.grid_from_table(dates.select("sheet_id", F.inline(F.array(*lines))), "sheet_id", "r", ["Note number", "Note text"], header_row=1)
+
+
 def _installations_grid(spark, sf):
-    """One Table 1.1 sheet per order priority: a row per order quarter (tagged [note 2] in
-    Q1), counts of status F / O orders as the two technologies, and their total."""
+    """One Table 1.1 sheet per block of customers (their number grows with the data): a row
+    per order quarter (tagged [note 2] in Q1), counts of status F / O orders as the two
+    technologies, and of all orders as the total."""
     orders = table(spark, sf, "orders")
-    counts = orders.groupBy(F.col("o_orderpriority").alias("sheet_id"), F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q")).agg(
-        F.count_if(F.col("o_orderstatus") == "F").alias("a"), F.count_if(F.col("o_orderstatus") == "O").alias("g")
+    counts = orders.groupBy(_customer_block(CUSTOMERS).alias("sheet_id"), F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q")).agg(
+        F.count_if(F.col("o_orderstatus") == "F").alias("a"), F.count_if(F.col("o_orderstatus") == "O").alias("g"), F.count(F.lit(1)).alias("t")
     )
     label = F.concat(F.col("y").cast("string"), F.lit(" Q"), F.col("q").cast("string"), F.when(F.col("q") == 1, F.lit(" [note 2]")).otherwise(F.lit("")))
     row = (F.lit(5) + F.col("y") * 4 + F.col("q")).cast("int")
-    values = [label, F.col("a").cast("string"), F.col("g").cast("string"), (F.col("a") + F.col("g")).cast("string")]
+    values = [label, F.col("a").cast("string"), F.col("g").cast("string"), F.col("t").cast("string")]
     body = counts.select("sheet_id", row.alias("row_idx"), F.inline(F.array(*[F.struct(F.lit(i).alias("col_idx"), v.alias("value")) for i, v in enumerate(values)])))
     sheets = counts.select("sheet_id").distinct()
     fixed = [F.struct(F.lit(0).alias("row_idx"), F.lit(0).alias("col_idx"), F.concat(F.lit(HP_TITLE), F.col("sheet_id")).alias("value"))]
@@ -187,35 +203,39 @@ def _installations_grid(spark, sf):
 
 K10_SQL = f"""
 WITH c AS (
-  SELECT o_orderpriority AS pr, year(o_orderdate) AS y, quarter(o_orderdate) AS q,
-         count(*) FILTER (WHERE o_orderstatus = 'F') AS a, count(*) FILTER (WHERE o_orderstatus = 'O') AS g
+  SELECT 'customers ' || CAST(o_custkey // {CUSTOMERS} AS VARCHAR) AS sheet_id, year(o_orderdate) AS y, quarter(o_orderdate) AS q,
+         count(*) FILTER (WHERE o_orderstatus = 'F') AS a, count(*) FILTER (WHERE o_orderstatus = 'O') AS g, count(*) AS t
   FROM orders GROUP BY ALL),
+n AS (
+  SELECT 'customers ' || CAST(o_custkey // {CUSTOMERS} AS VARCHAR) AS sheet_id, 'First order ' || strftime(min(o_orderdate), '%Y-%m-%d') AS n1,
+         'Last order ' || strftime(max(o_orderdate), '%Y-%m-%d') AS n2
+  FROM orders GROUP BY 1),
 r AS (
-  SELECT '{HP_TITLE}' || pr AS table_name,
+  SELECT sheet_id, '{HP_TITLE}' || sheet_id AS table_name,
          CAST(y AS VARCHAR) || ' Q' || CAST(q AS VARCHAR) AS installation_quarter,
          CAST(make_date(y, q * 3 - 2, 1) AS TIMESTAMP) AS installation_quarter_start,
          CAST(last_day(make_date(y, q * 3, 1)) AS TIMESTAMP) AS installation_quarter_end,
-         ' ' || (SELECT r_name FROM region WHERE r_regionkey = 1) || ' '
-             || CASE WHEN q = 1 THEN (SELECT r_name FROM region WHERE r_regionkey = 2) ELSE '' END AS notes,
-         a, g
-  FROM c)
-SELECT table_name, installation_quarter, installation_quarter_start, installation_quarter_end, notes,
+         ' ' || n1 || ' ' || CASE WHEN q = 1 THEN n2 ELSE '' END AS notes,
+         a, g, t
+  FROM c JOIN n USING (sheet_id))
+SELECT sheet_id, table_name, installation_quarter, installation_quarter_start, installation_quarter_end, notes,
        '{C.TYPE_VALUE_VARS[0]}' AS type, CAST(a AS BIGINT) AS value FROM r
-UNION ALL SELECT table_name, installation_quarter, installation_quarter_start, installation_quarter_end, notes,
+UNION ALL SELECT sheet_id, table_name, installation_quarter, installation_quarter_start, installation_quarter_end, notes,
        '{C.TYPE_VALUE_VARS[1]}', CAST(g AS BIGINT) FROM r
-UNION ALL SELECT table_name, installation_quarter, installation_quarter_start, installation_quarter_end, notes,
-       '{C.TYPE_VALUE_VARS[2]}', CAST(a + g AS BIGINT) FROM r
+UNION ALL SELECT sheet_id, table_name, installation_quarter, installation_quarter_start, installation_quarter_end, notes,
+       '{C.TYPE_VALUE_VARS[2]}', CAST(t AS BIGINT) FROM r
 """
 
 
 @exercise("K10_heat_pumps_by_type", K10_SQL)
 def k10_heat_pumps_by_type(spark, sf):
-    """Table 1.1 sheets laid out from orders (one per priority, all tidied in one plan):
-    title/source facts, header promotion and cleaning, column and row note tags resolved
-    from the notes sheet built from region, quarter bounds, melt, contract."""
-    notes = G.notes_lookup(_notes_grid(spark, sf)).drop("sheet_id")
-    out = HP.heat_pumps_by_type(_installations_grid(spark, sf), notes, HP_META)
+    """Table 1.1 sheets laid out from orders (one per block of customers, all tidied in one
+    plan): title/source facts, header promotion and cleaning, column and row note tags
+    resolved from each workbook's own notes sheet, quarter bounds, melt, contract."""
+    notes = G.notes_lookup(_order_notes(spark, sf))
+    out = HP.heat_pumps_by_type(_installations_grid(spark, sf), notes, HP_META, keep_sheet=True)
     return out.select(
+        "sheet_id",
         F.col("metadata")["table_name"].alias("table_name"),
         "installation_quarter",
         "installation_quarter_start",
@@ -228,17 +248,18 @@ def k10_heat_pumps_by_type(spark, sf):
 
 # ------------------------------------------------------------------ K11 (Table 1.2 from orders)
 
-HP_REGION_TITLE = "Table 1.2 Installations by region, orders of priority "
+HP_REGION_TITLE = "Table 1.2 Installations by region, orders of "
+REGION_CUSTOMERS = 50  # customers to a Table 1.2 sheet
 N_AREAS = len(C.REGION_VALUE_VARS)
 
 
 def _regions_grid(spark, sf):
-    """One Table 1.2 sheet per order priority: a row per order quarter (tagged [note 3] in
+    """One Table 1.2 sheet per block of customers: a row per order quarter (tagged [note 3] in
     Q4) and one column per area, counting the orders whose customer key falls in that
     area's bucket (customer key modulo the number of areas)."""
     orders = table(spark, sf, "orders")
     k = F.col("o_custkey") % N_AREAS
-    counts = orders.groupBy(F.col("o_orderpriority").alias("sheet_id"), F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q")).agg(
+    counts = orders.groupBy(_customer_block(REGION_CUSTOMERS).alias("sheet_id"), F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q")).agg(
         *[F.count_if(k == j).alias(f"n{j}") for j in range(N_AREAS)]
     )
     label = F.concat(F.col("y").cast("string"), F.lit(" Q"), F.col("q").cast("string"), F.when(F.col("q") == 4, F.lit(" [note 3]")).otherwise(F.lit("")))
@@ -258,11 +279,11 @@ def _areas_sql() -> str:
 
 
 K11_SQL = f"""
-WITH b AS (SELECT o_orderpriority AS pr, year(o_orderdate) AS y, quarter(o_orderdate) AS q, o_custkey % {N_AREAS} AS k FROM orders),
+WITH b AS (SELECT 'customers ' || CAST(o_custkey // {REGION_CUSTOMERS} AS VARCHAR) AS pr, year(o_orderdate) AS y, quarter(o_orderdate) AS q, o_custkey % {N_AREAS} AS k FROM orders),
 g AS (SELECT DISTINCT pr, y, q FROM b),
 cnt AS (SELECT pr, y, q, k, count(*) AS n FROM b GROUP BY ALL),
 areas AS (SELECT * FROM ({_areas_sql()}) t(k, name, code, lvl))
-SELECT '{HP_REGION_TITLE}' || g.pr AS table_name,
+SELECT g.pr AS sheet_id, '{HP_REGION_TITLE}' || g.pr AS table_name,
        CAST(g.y AS VARCHAR) || ' Q' || CAST(g.q AS VARCHAR) AS installation_quarter,
        CAST(make_date(g.y, g.q * 3 - 2, 1) AS TIMESTAMP) AS installation_quarter_start,
        CAST(last_day(make_date(g.y, g.q * 3, 1)) AS TIMESTAMP) AS installation_quarter_end,
@@ -276,11 +297,12 @@ LEFT JOIN cnt ON cnt.pr = g.pr AND cnt.y = g.y AND cnt.q = g.q AND cnt.k = areas
 
 @exercise("K11_heat_pumps_by_region", K11_SQL)
 def k11_heat_pumps_by_region(spark, sf):
-    """Table 1.2 sheets laid out from orders (one per priority): as K10 plus area code
-    (default 'N/A') and geographic level from the fixed area tables."""
+    """Table 1.2 sheets laid out from orders (one per block of customers): as K10, with one
+    notes sheet for all, plus area code (default 'N/A') and geographic level."""
     notes = G.notes_lookup(_notes_grid(spark, sf)).drop("sheet_id")
-    out = HP.heat_pumps_by_region(_regions_grid(spark, sf), notes, HP_META)
+    out = HP.heat_pumps_by_region(_regions_grid(spark, sf), notes, HP_META, keep_sheet=True)
     return out.select(
+        "sheet_id",
         F.col("metadata")["table_name"].alias("table_name"),
         "installation_quarter",
         "installation_quarter_start",
@@ -296,6 +318,7 @@ def k11_heat_pumps_by_region(spark, sf):
 # ------------------------------------------------------------------ K12 (bank-holiday documents from events)
 
 DIVISION_OF_TYPE = {"purchase": "england-and-wales", "view": "scotland", "click": "northern-ireland"}
+OTHER_DIVISION = "england-and-wales"  # of every other event type
 
 
 def _holiday_documents(spark, sf):
@@ -303,8 +326,8 @@ def _holiday_documents(spark, sf):
     per (user, day, block of 16 event ids), so no document holds more than 16 events even
     for a hot user; map key = division, the scotland entries leave ``division`` out (it
     defaults to the key), notes and bunting are sometimes absent (defaults "" / false)."""
-    ev = table(spark, sf, "events").where(F.col("event_type").isin(list(DIVISION_OF_TYPE)))
-    div = map_values("event_type", DIVISION_OF_TYPE)
+    ev = table(spark, sf, "events")
+    div = map_values("event_type", DIVISION_OF_TYPE, default=OTHER_DIVISION)
     doc_key = [F.col("user_id"), F.to_date("ts").alias("day"), F.floor(F.col("event_id") / 16).alias("blk")]
     event = F.struct(
         F.concat(F.lit("Event "), F.col("event_id").cast("string")).alias("title"),
@@ -318,13 +341,13 @@ def _holiday_documents(spark, sf):
 
 
 K12_SQL = """
-SELECT CASE event_type WHEN 'purchase' THEN 'england-and-wales' WHEN 'view' THEN 'scotland' WHEN 'click' THEN 'northern-ireland' END AS division,
+SELECT CASE event_type WHEN 'view' THEN 'scotland' WHEN 'click' THEN 'northern-ireland' ELSE 'england-and-wales' END AS division,
        'Event ' || CAST(event_id AS VARCHAR) AS title,
        CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date,
        CASE WHEN value > 50 THEN 'high' ELSE '' END AS notes,
        COALESCE(value > 80, false) AS bunting,
        CAST(year(ts) AS BIGINT) AS year
-FROM events WHERE event_type IN ('purchase', 'view', 'click')
+FROM events
 """
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from sheetmill.exercises._registry import exercise, table
 from sheetmill.functions.dates import date_stamp
-from sheetmill.functions.text import citation
 from sheetmill.operators.grid import grid_from_lines
 from sheetmill.session import scratch_path
 from sheetmill.sources import files, html, manifest, medallion
@@ -172,8 +171,8 @@ def a12_landing_manifest(spark, sf):
     """Manifest rows for pages treated as landed files: publisher (host), file name, citation."""
     pages = table(spark, sf, "pages")
     host = F.regexp_extract("url", r"^[A-Za-z]+://([^/?#]*)", 1)
-    name = manifest.file_name("url")
-    return pages.select("page_id", host.alias("publisher"), name.alias("filename"), citation("Source: ", host, ", ", name, ". ", F.col("url"), ".").alias("citation"))
+    rows = manifest.manifest_rows(pages, "url", host, F.col("url"), keep=["page_id"])
+    return rows.select("page_id", "publisher", "filename", "citation")
 
 
 @exercise("B1_write_table", "SELECT n_nationkey, n_name, n_regionkey FROM nation")

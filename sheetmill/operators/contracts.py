@@ -255,4 +255,4 @@ def url_month_is(col: str, month: Column) -> Rule:
     month as of a date); a URL without one fails."""
     c = F.col(f"`{col}`")
     found = F.regexp_extract(c, r"(\d{4}-\d{2})", 1)
-    return Rule(f"{col} month", (found == "") | (found != month), c)
+    return Rule(f"{col} month", (found == "") | month.isNull() | (found != month), c)

@@ -260,12 +260,14 @@ def first_cell_starting(grid: DataFrame, prefix: str, keys: Sequence[str] = ("sh
 
 def notes_lookup(grid: DataFrame, keys: Sequence[str] = ("sheet_id",), header_marker: str = "Note number", number: str = "Note number", text: str = "Note text") -> DataFrame:
     """C12 a notes sheet -> (keys, note_ref, note_text): header row = first row with a
-    cell containing ``header_marker`` in column 0; later rows give number -> text."""
+    cell containing ``header_marker`` in column 0; later rows give number -> text (the last row
+    of a repeated number counts)."""
     ks = _k(keys)
     header = find_marker_row(grid, cell_contains(header_marker, 0), ks, out="header_row")
     cells = promote_header(grid, header, ks)
     wide = to_wide(cells, ks, "header", [number, text])
-    return wide.select(*ks, F.col(f"`{number}`").alias("note_ref"), F.col(f"`{text}`").alias("note_text")).where(F.col("note_ref").isNotNull())
+    notes = wide.select(*ks, ROW, F.col(f"`{number}`").alias("note_ref"), F.col(f"`{text}`").alias("note_text")).where(F.col("note_ref").isNotNull())
+    return notes.groupBy(*ks, "note_ref").agg(F.max_by("note_text", ROW).alias("note_text"))
 
 
 def title_and_source(grid: DataFrame, prefix: str = "Source:", keys: Sequence[str] = ("sheet_id",), col_idx: int = 0, min_row: int = 0) -> DataFrame:
@@ -283,7 +285,8 @@ NOTE_TAG = r"\[(note \d+)\]"
 
 
 def apply_notes(df: DataFrame, notes: DataFrame, row_col: str, notes_col: str = "Notes", tag: str = NOTE_TAG) -> DataFrame:
-    """C13 resolve ``[note n]`` tags against a notes table (note_ref, note_text).
+    """C13 resolve ``[note n]`` tags against the notes table (note_ref, note_text) of ONE
+    workbook (``plans.heat_pumps`` resolves the tags of many, keyed by workbook).
 
     Column-level tags (first tag of each column name): the note text is appended to
     ``notes_col`` on every row and the tag is removed from the name.  Only the notes
@@ -302,11 +305,11 @@ def apply_notes(df: DataFrame, notes: DataFrame, row_col: str, notes_col: str =
     wanted = sorted({r for _, r in refs if r})
     lookup: dict[str, str] = {}
     if wanted:
-        hits = notes.where(F.col("note_ref").isin(wanted)).groupBy("note_ref").agg(F.first("note_text").alias("note_text"))
+        hits = notes.where(F.col("note_ref").isin(wanted)).groupBy("note_ref").agg(F.max("note_text").alias("note_text"))
         lookup = {r["note_ref"]: r["note_text"] for r in hits.collect()}  # at most len(wanted) rows
     prefix = "".join(" " + (lookup.get(r) or "") for _, r in refs if r)
     renamed = df.select(*[F.col(f"`{c}`").alias(c.replace(f"[{r}]", "").strip() if r else c) for c, r in refs])
-    dedup = notes.groupBy("note_ref").agg(F.first("note_text").alias("__note_text"))
+    dedup = notes.groupBy("note_ref").agg(F.max("note_text").alias("__note_text"))
     with_ref = renamed.withColumn("__ref", F.regexp_extract(F.col(f"`{row_col}`"), tag, 1))
     joined = with_ref.join(dedup, with_ref["__ref"] == dedup["note_ref"], "left")
     stripped = F.regexp_replace(F.regexp_replace(F.col(f"`{row_col}`"), r"\[note \d+\]", ""), r"^\s+|\s+$", "")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+
+from sheetmill.operators.joins import literal_table
+
 # ---- price-cap levels workbook -------------------------------------------------------
 PAYMENT_METHODS = ["Other Payment Method", "Standard Credit", "PPM"]
 FUELS = [
@@ -115,3 +119,8 @@ AREA_CODES = {
 
 # ---- bank holidays example ------------------------------------------------------------
 DIVISIONS = ["england-and-wales", "scotland", "northern-ireland"]
+
+
+def publication_calendar(spark: SparkSession) -> DataFrame:
+    """The fixed calendar as a table (period, publication_date); callers may pass their own."""
+    return literal_table(spark, list(PERIOD_PUBLICATION_DATES.items()), ["period", "publication_date"], ["string", "timestamp_ntz"])

@@ -59,6 +59,7 @@ def tidy_deployment_table(
     """Grid of one table sheet per workbook -> (tidy rows, sheet facts (sheet, title, source)).
 
     Tidy rows: sheet, Installation quarter, start, end, Notes, ``var_name``, value (text).
+    Notes that carry the ``sheet`` key belong to that workbook; others are shared by all.
     """
     ks = [sheet]
     cells = materialize(grid.where(F.col(G.VAL).isNotNull()).select(sheet, G.ROW, G.COL, G.VAL))
@@ -76,8 +77,9 @@ def tidy_deployment_table(
     heads = heads.withColumn("__ref", F.regexp_extract("header", TAG, 1)).withColumn(
         "name", F.when(F.col("__ref") != "", strip(F.replace(F.col("header"), F.concat(F.lit("["), F.col("__ref"), F.lit("]")), F.lit("")))).otherwise(F.col("header"))
     )
-    notes_d = notes.groupBy("note_ref").agg(F.first("note_text").alias("__note"))
-    heads = heads.join(notes_d, heads["__ref"] == notes_d["note_ref"], "left").drop("note_ref")
+    note_keys = [*([sheet] if sheet in notes.columns else []), "__ref"]
+    notes_d = notes.withColumnRenamed("note_ref", "__ref").groupBy(*note_keys).agg(F.max("note_text").alias("__note"))
+    heads = heads.join(notes_d, on=note_keys, how="left")
     col_notes = heads.where(F.col("__ref") != "").groupBy(sheet).agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(G.COL), F.coalesce("__note", F.lit("")).alias("t")))), lambda x: F.concat(F.lit(" "), x["t"])), "").alias("__col_notes")
     )
@@ -104,7 +106,7 @@ def _finish(headed, heads, col_notes, notes_d, facts, value_vars, var_name, requ
     named = headed.join(heads.select(sheet, G.COL, "name"), on=[sheet, G.COL])
     quarter = named.where(F.col("name") == C.QUARTER_HEADER).select(sheet, G.ROW, F.col(G.VAL).alias("__q"))
     quarter = quarter.withColumn("__ref", F.regexp_extract("__q", TAG, 1))
-    quarter = quarter.join(notes_d, quarter["__ref"] == notes_d["note_ref"], "left").drop("note_ref")
+    quarter = quarter.join(notes_d, on=[c for c in notes_d.columns if c != "__note"], how="left")
     quarter = quarter.join(col_notes, on=ks, how="left")
     clean_q = strip(F.regexp_replace("__q", ANY_TAG, ""))
     start, end = quarter_bounds(clean_q)
@@ -149,8 +151,18 @@ def _silver(tidy: DataFrame, facts: DataFrame, metadata: dict[str, str], sheet:
     return out.drop("title", "source")
 
 
-def _standardise(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`").alias(standardise_name(c)) for c in keep])
+def _standardise(df: DataFrame, keep: Sequence[str], sheet: str | None = None) -> DataFrame:
+    key = [] if sheet is None else [F.col(sheet)]
+    return df.select(*key, *[F.col(f"`{c}`").alias(standardise_name(c)) for c in keep])
+
+
+def _validated(out: DataFrame, contract: Contract, validate: bool) -> DataFrame:
+    """``out`` written once and judged, or left lazy for a publish that judges it."""
+    if not validate:
+        return out
+    out = materialize(out)
+    validate_rules(out, contract.row_rules(), contract.name)
+    return out
 
 
 def _silver_contract(var: str, values: Sequence[str], extra: Sequence[Field] = ()) -> Contract:
@@ -170,28 +182,31 @@ def _silver_contract(var: str, values: Sequence[str], extra: Sequence[Field] = (
     )
 
 
-def heat_pumps_by_type(grid: DataFrame, notes: DataFrame, metadata: dict[str, str], sheet: str = "sheet_id", validate: bool = True) -> DataFrame:
-    """K10 Table 1.1: installations per quarter and heat-pump type."""
+def type_contract() -> Contract:
+    return _silver_contract("type", C.TYPE_VALUE_VARS)
+
+
+def region_contract() -> Contract:
+    extra = (
+        Field("area_code", T.StringType(), checks=(isin("area_code", sorted(set(C.AREA_CODES.values()) | {"N/A"})),)),
+        Field("geographic_level", T.StringType(), checks=(isin("geographic_level", sorted(set(C.GEOGRAPHIC_LEVEL.values()))),)),
+    )
+    return _silver_contract("country_or_region", C.REGION_VALUE_VARS, extra)
+
+
+def heat_pumps_by_type(grid: DataFrame, notes: DataFrame, metadata: dict[str, str], sheet: str = "sheet_id", validate: bool = True, keep_sheet: bool = False) -> DataFrame:
+    """K10 Table 1.1: installations per quarter and heat-pump type.  ``keep_sheet`` puts the
+    workbook key in front (needed to tell several workbooks apart)."""
     tidy, facts = tidy_deployment_table(grid, notes, "Table 1.1", C.TYPE_VALUE_VARS, "Type", require_notes=True, sheet=sheet)
-    out = materialize(_standardise(_silver(tidy, facts, metadata, sheet), [C.QUARTER_HEADER, f"{C.QUARTER_HEADER} start", f"{C.QUARTER_HEADER} end", "Notes", "Type", "value", "metadata"]))
-    if validate:
-        contract = _silver_contract("type", C.TYPE_VALUE_VARS)
-        validate_rules(out, contract.row_rules(), contract.name)
-    return out
+    names = [C.QUARTER_HEADER, f"{C.QUARTER_HEADER} start", f"{C.QUARTER_HEADER} end", "Notes", "Type", "value", "metadata"]
+    return _validated(_standardise(_silver(tidy, facts, metadata, sheet), names, sheet if keep_sheet else None), type_contract(), validate)
 
 
-def heat_pumps_by_region(grid: DataFrame, notes: DataFrame, metadata: dict[str, str], sheet: str = "sheet_id", validate: bool = True) -> DataFrame:
+def heat_pumps_by_region(grid: DataFrame, notes: DataFrame, metadata: dict[str, str], sheet: str = "sheet_id", validate: bool = True, keep_sheet: bool = False) -> DataFrame:
     """K11 Table 1.2: installations per quarter and country or region, with area code
     (default 'N/A') and geographic level."""
     tidy, facts = tidy_deployment_table(grid, notes, "Table 1.2", C.REGION_VALUE_VARS, "country_or_region", require_notes=False, sheet=sheet)
     out = _silver(tidy, facts, metadata, sheet)
     out = out.withColumn("area_code", map_values("country_or_region", C.AREA_CODES, default="N/A")).withColumn("geographic_level", map_values("country_or_region", C.GEOGRAPHIC_LEVEL))
-    out = materialize(_standardise(out, [C.QUARTER_HEADER, f"{C.QUARTER_HEADER} start", f"{C.QUARTER_HEADER} end", "Notes", "country_or_region", "value", "metadata", "area_code", "geographic_level"]))
-    if validate:
-        extra = (
-            Field("area_code", T.StringType(), checks=(isin("area_code", sorted(set(C.AREA_CODES.values()))),)),
-            Field("geographic_level", T.StringType(), checks=(isin("geographic_level", sorted(set(C.GEOGRAPHIC_LEVEL.values()))),)),
-        )
-        contract = _silver_contract("country_or_region", C.REGION_VALUE_VARS, extra)
-        validate_rules(out, contract.row_rules(), contract.name)
-    return out
+    names = [C.QUARTER_HEADER, f"{C.QUARTER_HEADER} start", f"{C.QUARTER_HEADER} end", "Notes", "country_or_region", "value", "metadata", "area_code", "geographic_level"]
+    return _validated(_standardise(out, names, sheet if keep_sheet else None), region_contract(), validate)

@@ -209,7 +209,7 @@ def tidy_tariff_tables(
     label_col: int = 1,
     strict: bool = True,
 ) -> DataFrame:
-    """K8 cell grid of the tariff sheet(s) -> tidy (payment, fuel, consumption, component, period, value).
+    """K8 cell grid of the tariff sheet(s) -> tidy (sheet, payment, fuel, consumption, component, period, value).
 
     Steps (each one plan over all sheets, payment methods and fuels):
     C1 section start = first row whose cell in column ``label_col`` equals the payment
@@ -274,7 +274,7 @@ def tidy_tariff_tables(
         grid_rows.join(values, on=[*bk, G.ROW, G.COL], how="left")
         .join(labels, on=[*bk, G.ROW], how="left")
         .where(q(COMPONENT).isNotNull())
-        .select(q(PAYMENT), q(FUEL), q(CONSUMPTION), q(COMPONENT), normalise_months(F.col("__header")).alias(C.PERIOD_COL), q(VALUE))
+        .select(q(sheet), q(PAYMENT), q(FUEL), q(CONSUMPTION), q(COMPONENT), normalise_months(F.col("__header")).alias(C.PERIOD_COL), q(VALUE))
     )
     return tidy
 
@@ -332,25 +332,28 @@ def silver_contract() -> Contract:
             Field(CONSUMPTION, T.StringType(), checks=(isin(CONSUMPTION, [C.NIL, C.TYPICAL]),)),
             Field(COMPONENT, T.StringType(), checks=(isin(COMPONENT, [c for c in C.COMPONENT_CATEGORY if c != "VAT"] + [C.TOTAL_INC_VAT]),)),
             Field(C.PERIOD_COL, T.StringType(), checks=(matches(C.PERIOD_COL, C.NORMALISED_PERIOD_PATTERN),)),
-            Field(VALUE, None, nullable=True),
+            Field(VALUE, T.DoubleType(), nullable=True),
             Field(START, T.TimestampNTZType()),
             Field(END, T.TimestampNTZType()),
             Field(INTERVAL, T.StructType([T.StructField("left", T.TimestampNTZType()), T.StructField("right", T.TimestampNTZType())])),
-            Field("metadata", None),
+            Field("metadata", T.MapType(T.StringType(), T.StringType())),
         ),
     )
 
 
 def silver_levels(grid: DataFrame, metadata: dict[str, str], sheet_name: str, validate: bool = True) -> DataFrame:
-    """K8 + K9 + E9 + E11: the validated silver table from the sheet's cell grid."""
-    tidy = tidy_tariff_tables(grid)
+    """K8 + K9 + E9 + E11: the silver table from the cell grid of one workbook's sheet,
+    validated here or (``validate=False``, left lazy) by the publish that writes it."""
+    tidy = tidy_tariff_tables(grid).drop("sheet_id")
     # Lenient parse here; unparseable periods fail the contract's not-null rules below
     # (a raise inside a lazy column could fire on rows a later filter would remove).
     out = period_dates(tidy, strict=False).withColumn(VALUE, to_number(VALUE))
-    out = materialize(attach_metadata(out, {**metadata, "excel_sheet_name": sheet_name}))
-    if validate:
-        contract = silver_contract()
-        validate_rules(out, contract.row_rules(), contract.name)
+    out = attach_metadata(out, {**metadata, "excel_sheet_name": sheet_name})
+    if not validate:
+        return out
+    out = materialize(out)
+    contract = silver_contract()
+    validate_rules(out, contract.row_rules(), contract.name)
     return out
 
 

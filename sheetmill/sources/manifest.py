@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetmill.functions.text import basename
+from sheetmill.functions.text import basename, citation
 from sheetmill.operators.aggregate import first_by
 
 
@@ -50,6 +50,25 @@ def file_name(url: Column | str, strict: bool = False) -> Column:
     return out
 
 
+def manifest_rows(files: DataFrame, file_url: str, publisher: Column, page_url: Column, detail: Column | None = None, published: Column | None = None, extra: dict[str, Column] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """A12 one metadata row per file: ``keep``, publisher, page_url, file_url, filename, the
+    ``extra`` columns (period, ingest stamp, version, ...) and the citation, which names
+    ``detail`` (e.g. the period) after the file and the publication date before the page."""
+    name = file_name(file_url)
+    parts: list[Column | str] = ["Source: ", publisher, ", ", name]
+    parts += [", ", detail] if detail is not None else []
+    parts += [". Published ", published, ", ", page_url, "."] if published is not None else [". ", page_url, "."]
+    return files.select(
+        *keep,
+        publisher.alias("publisher"),
+        page_url.alias("page_url"),
+        F.col(file_url).alias("file_url"),
+        name.alias("filename"),
+        *[c.alias(n) for n, c in (extra or {}).items()],
+        citation(*parts).alias("citation"),
+    )
+
+
 def landing_manifest(spark: SparkSession, path: str, publisher: str, collection_url: str, pipeline_version: str, glob: str | None = None) -> DataFrame:
     """A12 one metadata row per landed file, from the file listing itself
     (``binaryFile`` columns; the content column is never read)."""
@@ -57,14 +76,9 @@ def landing_manifest(spark: SparkSession, path: str, publisher: str, collection_
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path).select("path", "length", "modificationTime")
-    name = basename("path")
-    return files.select(
-        F.lit(publisher).alias("publisher"),
-        F.lit(collection_url).alias("collection_url"),
-        F.col("path").alias("file_url"),
-        name.alias("filename"),
-        F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("bronze_ingest_timestamp"),
-        F.lit(pipeline_version).alias("pipeline_version"),
-        F.col("length").alias("size_bytes"),
-        F.concat(F.lit(f"Source: {publisher}, "), name, F.lit(f". {collection_url}.")).alias("citation"),
-    )
+    extra = {
+        "bronze_ingest_timestamp": F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        "pipeline_version": F.lit(pipeline_version),
+        "size_bytes": F.col("length"),
+    }
+    return manifest_rows(files, "path", F.lit(publisher), F.lit(collection_url), extra=extra).withColumnRenamed("page_url", "collection_url")

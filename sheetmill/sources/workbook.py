@@ -11,6 +11,7 @@ Output: ``path, sheet_name, row_idx, col_idx, value`` (value as text; blanks abs
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import re
 import zipfile
@@ -27,6 +28,8 @@ _REL_NS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}
 _PKG_REL = "{http://schemas.openxmlformats.org/package/2006/relationships}"
 _REF = re.compile(r"([A-Z]+)(\d+)")
 _BATCH = 50_000
+#: The built-in number formats that show a date.
+_DATE_FORMATS = {"14", "15", "16", "17", "22"}
 
 
 class WorkbookError(RuntimeError):
@@ -51,6 +54,38 @@ def _render_number(text: str) -> str:
     return repr(x)
 
 
+def _render_date(serial: str, base: dt.datetime) -> str:
+    """ISO date of a day serial; with the time when it has one.  Other text stays."""
+    try:
+        at = base + dt.timedelta(seconds=round(float(serial) * 86400))
+    except (ValueError, OverflowError):
+        return serial
+    return at.date().isoformat() if at.time() == dt.time() else at.isoformat(sep=" ")
+
+
+def _date_styles(zf: zipfile.ZipFile) -> set[str]:
+    """Indices of the cell styles that show a number as a date."""
+    if "xl/styles.xml" not in zf.namelist():
+        return set()
+    root = ET.fromstring(zf.read("xl/styles.xml"))
+    custom = {f.get("numFmtId"): f.get("formatCode", "") for f in root.iter(f"{_NS}numFmt")}
+    xfs = root.find(f"{_NS}cellXfs")
+
+    def shows_date(fmt: str) -> bool:
+        if fmt in custom:
+            return bool(re.search("[dy]", re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", custom[fmt].lower())))
+        return fmt in _DATE_FORMATS
+
+    return {str(i) for i, xf in enumerate([] if xfs is None else xfs) if shows_date(xf.get("numFmtId", "0"))}
+
+
+def _date_base(zf: zipfile.ZipFile) -> dt.datetime:
+    """Day 0 of the workbook's date system (1900, or 1904 where the workbook says so)."""
+    pr = ET.fromstring(zf.read("xl/workbook.xml")).find(f"{_NS}workbookPr")
+    mac = pr is not None and pr.get("date1904") in ("1", "true")
+    return dt.datetime(1904, 1, 1) if mac else dt.datetime(1899, 12, 30)
+
+
 def _shared_strings(zf: zipfile.ZipFile) -> list[str]:
     if "xl/sharedStrings.xml" not in zf.namelist():
         return []
@@ -80,17 +115,23 @@ def iter_cells(content: bytes, sheet_names: Sequence[str] | None = None) -> Iter
     zf = zipfile.ZipFile(io.BytesIO(content))
     strings = _shared_strings(zf)
     parts = _sheet_parts(zf)
+    dates, base = _date_styles(zf), _date_base(zf)
     wanted = list(parts) if sheet_names is None else list(sheet_names)
     for name in wanted:
         if name not in parts:
             raise WorkbookError(f"sheet '{name}' not found (sheets: {list(parts)})")
         with zf.open(parts[name]) as fh:
-            for _, el in ET.iterparse(fh):
+            data = None
+            for event, el in ET.iterparse(fh, events=("start", "end")):
+                if event == "start":
+                    data = el if el.tag == f"{_NS}sheetData" else data
+                    continue
+                if el.tag == f"{_NS}row" and data is not None:
+                    data.clear()  # finished rows leave the tree: memory holds one row
                 if el.tag != f"{_NS}c":
                     continue
                 m = _REF.fullmatch(el.get("r", ""))
                 if not m:
-                    el.clear()
                     continue
                 kind = el.get("t", "n")
                 v = el.find(f"{_NS}v")
@@ -104,11 +145,12 @@ def iter_cells(content: bytes, sheet_names: Sequence[str] | None = None) -> Iter
                     value = "True" if v.text == "1" else "False"
                 elif kind in ("str", "e", "d"):
                     value = v.text
+                elif el.get("s", "0") in dates:
+                    value = _render_date(v.text, base)
                 else:
                     value = _render_number(v.text)
                 if value is not None and value != "":
                     yield name, int(m.group(2)) - 1, column_number(m.group(1)), value
-                el.clear()
 
 
 def _decode_batches(sheet_names: Sequence[str] | None):

@@ -172,6 +172,60 @@ def test_heat_pumps_by_region(heat_cells):
     assert by[("2024 Q2", "Unknown")]["value"] == 100 + len(C.REGION_VALUE_VARS) - 1
 
 
+def test_notes_stay_with_their_workbook(spark, tmp_path):
+    """Two workbooks whose notes differ under the same numbers, one with a repeated number."""
+    notes = notes_sheet()
+    other = {k: "Other text." if isinstance(v, str) and v.endswith("provisional.") else v for k, v in notes.items()}
+    assert other != notes
+    write_xlsx(str(tmp_path / "a.xlsx"), {"Notes": notes, "Table 1.1": type_sheet()})
+    write_xlsx(str(tmp_path / "b.xlsx"), {"Notes": other, "Table 1.1": type_sheet()})
+    cells = workbook.read_workbook_cells(spark, str(tmp_path))
+    out = H.heat_pumps_by_type(workbook.sheet_grid(cells, "Table 1.1"), G.notes_lookup(workbook.sheet_grid(cells, "Notes")), META, keep_sheet=True)
+    got = {(r["sheet_id"][-6:], r["notes"]) for r in out.where("installation_quarter = '2024 Q2'").collect()}
+    assert got == {("a.xlsx", " Figures are provisional. "), ("b.xlsx", " Other text. ")}
+    grid = spark.createDataFrame([(0, 0, "Note number"), (0, 1, "Note text"), (1, 0, "note 1"), (1, 1, "old"), (2, 0, "note 1"), (2, 1, "new")], "row_idx int, col_idx int, value string")
+    assert [tuple(r) for r in G.notes_lookup(grid.withColumn("sheet_id", F.lit("s"))).collect()] == [("s", "note 1", "new")]
+
+
+def test_tariff_sheets_of_two_workbooks_stay_apart(spark, tmp_path):
+    for name in ("a.xlsx", "b.xlsx"):
+        write_xlsx(str(tmp_path / name), {"s": tariff_sheet()})
+    tidy = K.tidy_tariff_tables(workbook.sheet_grid(workbook.read_workbook_cells(spark, str(tmp_path)), "s"))
+    counts = {r["sheet_id"][-6:]: r["count"] for r in tidy.groupBy("sheet_id").count().collect()}
+    assert counts == {"a.xlsx": 234, "b.xlsx": 234}
+
+
+def test_date_cells_and_bounded_decoder(tmp_path):
+    """Date styles give ISO dates; the decoder holds one row, so its peak does not follow the sheet."""
+    import tracemalloc
+    import zipfile
+
+    def peak(rows):
+        path = str(tmp_path / f"{rows}.xlsx")
+        write_xlsx(path, {"s": {(r, c): r + 0.5 for r in range(rows) for c in range(4)}})
+        content = open(path, "rb").read()
+        tracemalloc.start()
+        n = sum(1 for _ in workbook.iter_cells(content))
+        top = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert n == 4 * rows
+        return top
+
+    assert peak(20_000) < 2 * peak(2_000)
+    path = str(tmp_path / "d.xlsx")
+    write_xlsx(path, {"s": {(0, 0): 45983, (0, 1): 45983.5, (0, 2): 45983}})
+    styles = '<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><numFmts><numFmt numFmtId="164" formatCode="[Red]dd/mm/yyyy"/><numFmt numFmtId="165" formatCode="&quot;day&quot; 0.0"/></numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="165"/></cellXfs></styleSheet>'
+    with zipfile.ZipFile(path) as zf:
+        parts = {n: zf.read(n) for n in zf.namelist()}
+    sheet = parts["xl/worksheets/sheet1.xml"]
+    for ref, style in ((b"A1", b"1"), (b"B1", b"2"), (b"C1", b"3")):
+        sheet = sheet.replace(b'r="' + ref + b'"', b'r="' + ref + b'" s="' + style + b'"')
+    with zipfile.ZipFile(path, "w") as zf:
+        for n, data in {**parts, "xl/worksheets/sheet1.xml": sheet, "xl/styles.xml": styles.encode()}.items():
+            zf.writestr(n, data)
+    assert [v for *_, v in workbook.iter_cells(open(path, "rb").read())] == ["2025-11-22", "2025-11-22 12:00:00", "45983"]
+
+
 def test_heat_pumps_wrong_header_fails(spark, tmp_path):
     sheet = type_sheet()
     sheet[(4, 2)] = "Hybrid installations"
