@@ -452,66 +452,102 @@ def k2_levels_with_vat(spark, sf):
     )
 
 
+COMPONENT_OF_LINE = dict(enumerate(list(C.COMPONENT_CATEGORY)[:7], 1))
+COMPONENT_CASE = "CASE l_linenumber " + " ".join(f"WHEN {n} THEN '{c}'" for n, c in COMPONENT_OF_LINE.items()) + " END"
+CATEGORY_CASE = "CASE component " + " ".join(f"WHEN '{c}' THEN '{C.COMPONENT_CATEGORY[c]}'" for c in COMPONENT_OF_LINE.values()) + " END"
+
+
 def _tariff_like(spark, sf):
-    """Line items shaped as a levels table: fuel <- return flag, consumption <- line status,
-    component <- line number, period <- ship month; value = shipped value in thousands."""
+    """Line items shaped as a levels table: payment <- block of suppliers, fuel <- return flag,
+    consumption <- line status, component <- line number, period <- ship month; value = shipped
+    value in thousands (decimal sums: exact in any order)."""
     li = table(spark, sf, "lineitem")
     ms = F.date_trunc("month", "l_shipdate").cast("timestamp_ntz")
     from sheetmill.operators.joins import map_values
 
-    # A few thousand rows, written once (as the gold stage run does with its input): the
+    # A few thousand rows a block, written once (as the gold stage run does with its input): the
     # required-values check and the build then read it instead of aggregating lineitem twice.
     levels = li.groupBy(
-        F.lit("All").alias(K.PAYMENT),
+        F.concat(F.lit("suppliers "), F.floor(F.col("l_suppkey") / 50).cast("string")).alias(K.PAYMENT),
         map_values("l_returnflag", FUEL_OF_FLAG).alias(K.FUEL),
-        F.concat(F.lit("L"), F.col("l_linenumber").cast("string")).alias(K.COMPONENT),
+        map_values("l_linenumber", COMPONENT_OF_LINE).alias(K.COMPONENT),
         F.date_format(ms, "yyyy-MM").alias(C.PERIOD_COL),
         ms.alias(K.START),
         F.last_day(ms).cast("timestamp_ntz").alias(K.END),
         map_values("l_linestatus", {"F": C.NIL, "O": C.TYPICAL}).alias(K.CONSUMPTION),
-    ).agg(F.round(F.sum("l_extendedprice") / 1000, 2).alias(K.VALUE))
+    ).agg((F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double") / 1000).alias(K.VALUE))
     return materialize(levels, "tariff-like-levels")
 
 
 TARIFF_SQL = f"""
 WITH agg AS (
-  SELECT {FUEL_CASE} AS fuel, 'L' || CAST(l_linenumber AS VARCHAR) AS component, strftime(l_shipdate, '%Y-%m') AS period,
+  SELECT 'suppliers ' || CAST(l_suppkey // 50 AS VARCHAR) AS payment, {FUEL_CASE} AS fuel, {COMPONENT_CASE} AS component, strftime(l_shipdate, '%Y-%m') AS period,
          CASE l_linestatus WHEN 'F' THEN 'Nil consumption' WHEN 'O' THEN 'Typical consumption' END AS consumption,
-         round(sum(l_extendedprice) / 1000, 2) AS value
+         CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / 1000 AS value
   FROM lineitem GROUP BY ALL),
-p AS (SELECT fuel, component, period,
+p AS (SELECT payment, fuel, component, period,
              avg(value) FILTER (WHERE consumption = 'Nil consumption') AS nil,
              avg(value) FILTER (WHERE consumption = 'Typical consumption') AS typ
       FROM agg WHERE fuel IS NOT NULL AND consumption IS NOT NULL GROUP BY ALL)
 """
 
 
-@exercise(
-    "K3_component_rates",
-    TARIFF_SQL
-    + f"""
-SELECT fuel, component, period, 'Standing charge' AS type, 'p/day' AS unit, round(COALESCE(nil * 100.0 / 365.0, 0), 6) AS value FROM p WHERE nil IS NOT NULL OR typ IS NOT NULL
+K3_RATES_SQL = f"""
+SELECT payment, fuel, component, period, 'Standing charge' AS type, 'p/day' AS unit, COALESCE(nil * 100.0::DOUBLE / 365.0::DOUBLE, 0) AS value FROM p WHERE nil IS NOT NULL OR typ IS NOT NULL
 UNION ALL
-SELECT fuel, component, period, 'Unit price', 'p/kWh', round(COALESCE((typ - COALESCE(nil, 0)) / {BENCH_CASE} * 0.1, 0), 6) FROM p WHERE nil IS NOT NULL OR typ IS NOT NULL
-""",
-)
+SELECT payment, fuel, component, period, 'Unit price', 'p/kWh', COALESCE((typ - COALESCE(nil, 0)) / {BENCH_CASE} * 0.1::DOUBLE, 0) FROM p WHERE nil IS NOT NULL OR typ IS NOT NULL
+"""
+K6_BILL_SQL = """
+SELECT payment, fuel, component, period, 'Standing charge' AS type, 'GBP/year' AS unit, COALESCE(nil, 0) AS value FROM p WHERE nil IS NOT NULL OR typ IS NOT NULL
+UNION ALL
+SELECT payment, fuel, component, period, 'Consumption-based cost', 'GBP/year', COALESCE(typ - COALESCE(nil, 0), 0) FROM p WHERE nil IS NOT NULL OR typ IS NOT NULL
+"""
+# The gold half: category, metadata, change per (component, fuel, payment, type); from 0 to x is infinite.
+GOLD_SQL = f"""
+, c AS (SELECT *, lag(value) OVER (PARTITION BY payment, fuel, component, type ORDER BY period) AS prev FROM r)
+SELECT payment, fuel, component, period, type, unit, round(value, 6) AS value, {CATEGORY_CASE} AS category, 'test tables' AS publisher,
+       round(value - prev, 6) AS change,
+       CASE WHEN prev <> 0 THEN round_even((value / prev - 1) * 100, 2) WHEN prev = 0 AND value > 0 THEN 'inf'::DOUBLE WHEN prev = 0 AND value < 0 THEN '-inf'::DOUBLE END AS pct
+FROM c
+"""
+
+
+def _long_rates(rates, *more):
+    names = {K.PAYMENT: "payment", K.FUEL: "fuel", K.COMPONENT: "component", C.PERIOD_COL: "period", "Type": "type", "Unit": "unit"}
+    return rates.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], F.round("value", 6).alias("value"), *more)
+
+
+def _gold(rates):
+    gold = K.gold_rates(rates, {"publisher": "test tables"})
+    return _long_rates(
+        gold,
+        F.col("Component category").alias("category"),
+        F.col("metadata")["publisher"].alias("publisher"),
+        F.round("change_from_previous_period", 6).alias("change"),
+        F.col("pct_change_from_previous_period").alias("pct"),
+    )
+
+
+@exercise("K3_component_rates", f"{TARIFF_SQL} SELECT * REPLACE (round(value, 6) AS value) FROM ({K3_RATES_SQL})")
 def k3_component_rates(spark, sf):
-    rates = K.component_rates(_tariff_like(spark, sf))
-    return rates.select(F.col(K.FUEL).alias("fuel"), F.col(f"`{K.COMPONENT}`").alias("component"), F.col(f"`{C.PERIOD_COL}`").alias("period"), F.col("Type").alias("type"), F.col("Unit").alias("unit"), F.round("value", 6).alias("value"))
+    return _long_rates(K.component_rates(_tariff_like(spark, sf)))
 
 
-@exercise(
-    "K6_annual_bill_contributions",
-    TARIFF_SQL
-    + """
-SELECT fuel, component, period, 'Standing charge' AS type, 'GBP/year' AS unit, round(COALESCE(nil, 0), 6) AS value FROM p WHERE nil IS NOT NULL OR typ IS NOT NULL
-UNION ALL
-SELECT fuel, component, period, 'Consumption-based cost', 'GBP/year', round(COALESCE(typ - COALESCE(nil, 0), 0), 6) FROM p WHERE nil IS NOT NULL OR typ IS NOT NULL
-""",
-)
+@exercise("K3_gold_rates", f"{TARIFF_SQL}, r AS ({K3_RATES_SQL}) {GOLD_SQL}")
+def k3_gold_rates(spark, sf):
+    """Rates with category, metadata and the change from the previous period."""
+    return _gold(K.component_rates(_tariff_like(spark, sf)))
+
+
+@exercise("K6_annual_bill_contributions", f"{TARIFF_SQL} SELECT * REPLACE (round(value, 6) AS value) FROM ({K6_BILL_SQL})")
 def k6_annual_bill_contributions(spark, sf):
-    bill = K.annual_bill_contributions(_tariff_like(spark, sf))
-    return bill.select(F.col(K.FUEL).alias("fuel"), F.col(f"`{K.COMPONENT}`").alias("component"), F.col(f"`{C.PERIOD_COL}`").alias("period"), F.col("Type").alias("type"), F.col("Unit").alias("unit"), F.round("value", 6).alias("value"))
+    return _long_rates(K.annual_bill_contributions(_tariff_like(spark, sf)))
+
+
+@exercise("K6_gold_contributions", f"{TARIFF_SQL}, r AS ({K6_BILL_SQL}) {GOLD_SQL}")
+def k6_gold_contributions(spark, sf):
+    """Contributions with category, metadata and the change from the previous period."""
+    return _gold(K.annual_bill_contributions(_tariff_like(spark, sf)))
 
 
 def _event_unit_rates(spark, sf):

@@ -42,11 +42,6 @@ def clean_header(c: Column | str) -> Column:
     return F.regexp_replace(strip(c), "\n", "")
 
 
-def clean_header_name(name: str) -> str:
-    """C9 for a column name (driver-side schema)."""
-    return name.strip().replace("\n", "")
-
-
 def standardise_name(name: str) -> str:
     """D7 strip, lower case, whitespace runs -> '_', any other non-word character -> '_'."""
     out = re.sub(r"\s+", "_", name.strip().lower())

@@ -73,9 +73,3 @@ def empty_groups(df: DataFrame, col: str, expected: Sequence[str], out: str = "r
     counts = df.agg(*[F.count_if(F.col(col) == F.lit(t)).alias(f"c{i}") for i, t in enumerate(expected)])
     stack = ", ".join(f"{_sql_string(t)}, c{i}" for i, t in enumerate(expected))
     return counts.selectExpr(f"stack({len(expected)}, {stack}) as ({col}, {out})").withColumn("is_empty", F.col(out) == 0)
-
-
-def require_nonempty(df: DataFrame, what: str = "input") -> None:
-    """G12 eager check: raise when a table has no rows (reads at most one row)."""
-    if df.isEmpty():
-        raise ValueError(f"{what} is empty")

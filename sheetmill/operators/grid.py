@@ -97,13 +97,6 @@ def find_marker_row(grid: DataFrame, match: Column, keys: Sequence[str] = ("shee
     return grid.where(cond).groupBy(*_k(keys)).agg(F.min(ROW).alias(out))
 
 
-def require_markers(found: DataFrame, expected_keys: DataFrame, keys: Sequence[str], what: str) -> None:
-    """Raise when some key has no marker (bounded report: at most 5 keys)."""
-    missing = expected_keys.join(found, on=_k(keys), how="left_anti").limit(5).collect()
-    if missing:
-        raise GridError(f"could not find {what} for {[r.asDict() for r in missing]}")
-
-
 def find_marker_columns(grid: DataFrame, match: Column, keys: Sequence[str] = ("sheet_id",)) -> DataFrame:
     """C2 columns (per key) having any cell satisfying ``match``: ``first_col`` and the
     sorted ``cols`` array (bounded by the sheet width)."""
@@ -246,18 +239,6 @@ def to_wide(cells: DataFrame, keys: Sequence[str], header: str, columns: Sequenc
     return cells.groupBy(*ks, ROW).pivot(header, list(columns)).agg(F.first(value))
 
 
-def sheet_title(grid: DataFrame, keys: Sequence[str] = ("sheet_id",), out: str = "title") -> DataFrame:
-    """C11 title = first cell of the sheet (row 0, smallest column)."""
-    first = grid.where(F.col(VAL).isNotNull()).groupBy(*_k(keys)).agg(F.min_by(F.struct(F.col(COL), F.col(VAL)), F.struct(F.col(ROW), F.col(COL))).alias("__f"))
-    return first.select(*_k(keys), F.col("__f.value").alias(out))
-
-
-def first_cell_starting(grid: DataFrame, prefix: str, keys: Sequence[str] = ("sheet_id",), col_idx: int | None = 0, out: str = "source", min_row: int = 0) -> DataFrame:
-    """C11 first cell (by row) in column ``col_idx`` whose text starts with ``prefix``."""
-    cond = cell_startswith(prefix, col_idx) & (F.col(ROW) >= min_row)
-    return grid.where(cond).groupBy(*_k(keys)).agg(F.min_by(F.col(VAL), F.col(ROW)).alias(out))
-
-
 def notes_lookup(grid: DataFrame, keys: Sequence[str] = ("sheet_id",), header_marker: str = "Note number", number: str = "Note number", text: str = "Note text") -> DataFrame:
     """C12 a notes sheet -> (keys, note_ref, note_text): header row = first row with a
     cell containing ``header_marker`` in column 0; later rows give number -> text (the last row

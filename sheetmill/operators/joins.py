@@ -4,7 +4,7 @@ Joins against derived tables carry no broadcast hint: with AQE on, Spark measure
 build side at run time and broadcasts it only when it is below
 ``spark.sql.autoBroadcastJoinThreshold``, otherwise it sort-merge joins (and splits
 skewed partitions).  Explicit ``broadcast`` is used only for literal lookup tables
-built from fixed configuration, whose size is known up front (``lookup_table``).
+built from fixed configuration, whose size is known up front (``literal_table``).
 """
 
 from __future__ import annotations
@@ -30,11 +30,6 @@ def literal_table(spark: SparkSession, rows: Sequence[Sequence[object]], columns
     return F.broadcast(spark.range(1).select(F.inline(arr)))
 
 
-def lookup_table(spark: SparkSession, mapping: dict, key: str, value: str, key_type: str = "string", value_type: str = "string") -> DataFrame:
-    """A broadcast-safe lookup DataFrame from a fixed dict (size checked)."""
-    return literal_table(spark, list(mapping.items()), [key, value], [key_type, value_type])
-
-
 def map_values(col: Column | str, mapping: dict, default: object | None = None) -> Column:
     """E7 value lookup through a literal map (JVM-side); missing key -> NULL or ``default``."""
     if len(mapping) > MAX_LITERAL_LOOKUP:

@@ -185,13 +185,14 @@ def price_ratio(
     order: str = START,
     variable: str = "Electricity to gas price ratio",
     metadata: dict[str, str] | Column | None = None,
+    split_by: Column | None = None,
 ) -> DataFrame:
     """K5 numerator / denominator (x/0 -> NULL), a ``Variable`` label, metadata and the
-    change from the previous period per ``keys``."""
+    change from the previous period per ``keys`` (``split_by`` spreads a hot key)."""
     out = unit_rates.select(*[q(c) for c in id_cols], ratio(q(numerator), q(denominator), inf_as_null=True).alias(VALUE)).withColumn("Variable", F.lit(variable))
     if metadata is not None:
         out = attach_metadata(out, metadata)
-    return period_over_period(out, list(keys), [order, *keys], VALUE)
+    return period_over_period(out, list(keys), [order, *keys], VALUE, split_by=split_by)
 
 
 # ---------------------------------------------------------------- K8 / K9 (silver from the cell grid)
@@ -233,8 +234,9 @@ def tidy_tariff_tables(
     # Section end: the 2nd total-inc-VAT row after each section start.
     cand = totals.join(starts, on=sheet).where(F.col(G.ROW) > F.col("start_row"))
     w = Window.partitionBy(sheet, PAYMENT).orderBy(G.ROW)
-    ranked = cand.withColumn("__rn", F.row_number().over(w)).withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(sheet, PAYMENT)))
-    nth = ranked.groupBy(sheet, PAYMENT, "start_row").agg(F.min(F.when(F.col("__rn") == 2, F.col(G.ROW))).alias("end_row"), F.max("__n").alias("found"))
+    # A row_number filter (partial top-n below the shuffle) and a partial count, no whole-key window.
+    second = cand.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 2).select(sheet, PAYMENT, F.col(G.ROW).alias("end_row"))
+    nth = cand.groupBy(sheet, PAYMENT, "start_row").agg(F.count(F.lit(1)).alias("found")).join(second, on=[sheet, PAYMENT], how="left")
     # Every section start is kept: one without any total row after it reports found = 0.
     # A few rows per sheet, written once: the check and the slice read it instead of
     # re-running the marker joins and windows.

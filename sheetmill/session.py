@@ -7,7 +7,6 @@ from the session; only when it is unset (local tests) do we pick a folder oursel
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -86,15 +85,6 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can use the path."""
-    if path.startswith("file:"):
-        path = path[len("file:") :]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as a parquet table under the shared checkpoint folder and return
     a DataFrame reading it back (lineage cut).  Used where a deep plan feeds several
