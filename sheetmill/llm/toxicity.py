@@ -2,26 +2,31 @@
 
 Two interpolated bigram models, one of toxic and one of ordinary text, share their lowest
 level: a word's shared backoff probability follows the number of distinct contexts it occurs
-in anywhere in the corpus (Kneser-Ney continuation counts; a context is a document, so the
-counts add up over tasks, and all documents count, labelled or not).  An expression neither class has really seen therefore costs both models the same and
-does not move the score.
+in anywhere in the corpus (Kneser-Ney continuation counts).  A context is a document, so the
+counts add up over tasks, and every document counts, labelled or not.  An expression neither
+class has really seen costs both models the same but for their freed mass.
 
     P_c(w)     = (max(n_c(w) - D, 0) + freed_c * P_shared(w)) / n_c
-    P_c(w | u) = (max(n_c(u w) - D', 0) + freed_c(u) * P_c(w)) / n_c(u)
+    P_c(w | u) = (max(n_c(u w) - D', 0)) / n_c(u) + freed_c(u) * P_c(w)
 
-Words are hashed into ``WORDS`` slots, and pairs are kept only above the discount, so memory
-and what reaches the driver do not grow with the corpus.  Class counts come from a bounded sample of labelled rows (``per_class``
-smallest hashes per class); the shared counts from every document.
+All counts are numbers of documents (a word repeated in one text is one piece of evidence).
+Words go by their 64-bit hash.  The counts of all words of all documents form one table, written
+once, that grows with the corpus.  Class counts come from a bounded sample of labelled rows
+(``per_class`` smallest hashes per class; equal texts once), so what models need of that
+table is bounded as well: the words and pairs that a class has above the discount.  Any other
+word has no class evidence, and its shared probability cancels out.
 
 A document is scored by the length-normalised difference of the two log-likelihoods, over the
 whole text and over its most toxic stretches of ``STRETCHES`` words, for the bigram and the
-backoff level; a logistic curve over these, fitted on labelled rows kept out of the counts, turns them into a score in 0..1.
+backoff level.  A logistic curve turns these into a score in 0..1.  The sample is dealt into
+``FOLDS`` parts by text; the curve is fitted on features from models that have not seen
+the part, the final models use all parts.
 
 Labels are learned only from rows with crc32(id as text) mod 3 <> 1.
 
 Defined results: NULL or wordless text scores like a text without evidence (all features
-zero); a NULL id is not held out and has no label; contradictory labels of one id count as
-toxic; without labels of both classes every score is 0; repeated rows score alike.
+zero); a NULL id is not held out and has no label; contradictory labels of one id or one text
+count as toxic; without labels of both classes every score is 0; repeated rows score alike.
 """
 
 from __future__ import annotations
@@ -36,9 +41,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetmill.llm.common import let, quoted, text_of, whole_row
+from sheetmill.session import materialize
 
-WORDS = 1 << 18
 FILTER = 1 << 22
+FOLDS = 4
+#: Stands for the start of a text where a pair names the word before.
+START = 0
+#: Most words that numpy handles at once.
+BLOCK = 1 << 21
 #: Lengths in words of the stretches whose best length-normalised difference is a feature.
 STRETCHES = (1, 3, 8)
 FEATURES = 2 * (1 + len(STRETCHES))
@@ -48,30 +58,33 @@ PAIR_DISCOUNT = 8.0
 THRESHOLD = 0.7
 
 
-def word_slots(text: Column) -> Column:
-    """Slot of every word (run of letters and digits, lower-cased)."""
+def word_hashes(text: Column) -> Column:
+    """Hash of every word (run of letters and digits, lower-cased)."""
     words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
-    return let(words, lambda ws: F.transform(ws, lambda w: F.pmod(F.xxhash64(w), F.lit(WORDS)).cast("int")))
+    return let(words, lambda ws: F.transform(ws, lambda w: F.xxhash64(w)))
 
 
 def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def label_sample(labels: DataFrame, per_class: int, id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
-    """(id, y, part): at most ``per_class`` learnable rows of each class; part "fit" or "tune"."""
+def label_sample(docs: DataFrame, labels: DataFrame, per_class: int, id_col: str = "doc_id", label_col: str = "toxic", text_col: str = "text") -> DataFrame:
+    """(id, y, fold): at most ``per_class`` learnable rows of each class, one per text."""
     known = labels.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(label_col)).alias("y")).filter(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
     known = known.groupBy("id").agg(F.max("y").cast("int").alias("y")).withColumn("h", F.xxhash64("id"))
     some = known.filter("y = 1").orderBy("h", "id").limit(per_class).unionByName(known.filter("y = 0").orderBy("h", "id").limit(per_class))
-    return some.select("id", "y", F.when(F.pmod("h", F.lit(4)) == 0, "tune").otherwise("fit").alias("part"))
+    texts = docs.select(F.col(quoted(id_col)).alias("id"), F.xxhash64(text_of(text_col)).alias("t"))
+    mine = texts.join(F.broadcast(some.select(F.col("id").alias("__id"), "y")), F.col("id") == F.col("__id"))  # at most 2 x per_class rows
+    one = mine.groupBy("t").agg(F.min("id").alias("id"), F.max("y").alias("y"))
+    return materialize(one.groupBy("id").agg(F.max("y").alias("y"), F.pmod(F.min("t"), F.lit(FOLDS)).cast("int").alias("fold")), "toxicity-sample")
 
 
-def neighbours(slots: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Slot of the word before each word; WORDS at the start of a text."""
-    before = np.empty(len(slots), dtype=np.int64)
-    before[1:] = slots[:-1]
+def neighbours(words: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
+    """The word before each word; ``start`` at the start of a text."""
+    before = np.empty_like(words)
+    before[1:] = words[:-1]
     ends = np.cumsum(lengths)
-    before[(ends - lengths)[lengths > 0]] = WORDS
+    before[(ends - lengths)[lengths > 0]] = start
     return before
 
 
@@ -85,81 +98,108 @@ def filter_slot(before: np.ndarray, word: np.ndarray) -> np.ndarray:
 def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     """Flat values and list lengths of an Arrow list column."""
     offsets = np.asarray(column.offsets, dtype=np.int64)
-    return column.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].astype(np.int64), np.diff(offsets)
+    return column.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].astype(np.int64, copy=False), np.diff(offsets)
+
+
+def _blocks(lengths: np.ndarray) -> Iterator[tuple[slice, slice]]:
+    """Slices of whole lists (and of their flat values) with about BLOCK values each."""
+    ends = np.r_[0, np.cumsum(lengths)]
+    at = 0
+    while at < len(lengths):
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] + BLOCK, side="right")) - 1)
+        yield slice(at, stop), slice(int(ends[at]), int(ends[stop]))
+        at = stop
+
+
+COUNTS = "before long, word long, kind int, n long"
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of one task: rows (kind, key, value); kinds 0/1 words and 2/3 pairs of the
-    ordinary/toxic class, 4 documents that have the word."""
-    words = np.zeros((2, WORDS), dtype=np.int64)
-    spread = np.zeros(WORDS, dtype=np.int64)
-    pairs: list[list[np.ndarray]] = [[], []]
+    """Documents that have a word (``before`` NULL) or pair, per kind: -1 all documents, else
+    2 * fold + class of the sample.  Words are counted for all documents, pairs for the sample."""
+
+    def rows(before: np.ndarray | None, word: np.ndarray, kind: int, n: np.ndarray) -> pa.RecordBatch:
+        first = pa.nulls(len(word), pa.int64()) if before is None else pa.array(before)
+        return pa.RecordBatch.from_arrays([first, pa.array(word), pa.array(np.full(len(word), kind, dtype=np.int32)), pa.array(n.astype(np.int64))], names=["before", "word", "kind", "n"])
+
     for batch in batches:
-        y = np.nan_to_num(batch.column("y").to_numpy(zero_copy_only=False).astype(float), nan=-1).astype(np.int64)
-        w, lengths = _lists(batch.column("w"))
-        u = neighbours(w, lengths)
-        once = np.unique(np.repeat(np.arange(len(lengths)), lengths) * WORDS + w) % WORDS
-        spread += np.bincount(once, minlength=WORDS)
-        owner = np.repeat(y, lengths)
-        for c in (0, 1):
-            mine = owner == c
-            words[c] += np.bincount(w[mine], minlength=WORDS)
-            pairs[c].append(u[mine] * WORDS + w[mine])
-    tables = [(c, np.flatnonzero(words[c]), words[c][words[c] > 0]) for c in (0, 1)]
-    tables += [(2 + c, *np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *pairs[c]]), return_counts=True)) for c in (0, 1)]
-    tables.append((4, np.flatnonzero(spread), spread[spread > 0]))
-    for kind, keys, values in tables:
-        for at in range(0, len(keys), 1 << 16):
-            k, v = keys[at : at + (1 << 16)], values[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, dtype=np.int32)), pa.array(k.astype(np.int64)), pa.array(v.astype(np.int64))], names=["kind", "key", "value"])
-
-
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows (kind, key, n) of a partition as one pair of arrays per kind."""
-    columns = [[batch.column(i).to_numpy().astype(np.int64) for i in range(3)] for batch in batches]
-    if columns:
-        kind, key, n = (np.concatenate(c) for c in zip(*columns, strict=True))
-        for k in np.unique(kind):
-            mine = kind == k
-            yield pa.RecordBatch.from_arrays([pa.array([int(k)], pa.int32()), pa.array([key[mine].tobytes()], pa.binary()), pa.array([n[mine].tobytes()], pa.binary())], names=["kind", "keys", "counts"])
+        kinds = batch.column("kind").to_numpy(zero_copy_only=False)
+        flat, sizes = _lists(batch.column("w"))
+        for docs, span in _blocks(sizes):
+            w, lengths = flat[span], sizes[docs]
+            if not len(w):
+                continue
+            keys, code = np.unique(w, return_inverse=True)
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            once = np.unique(owner * len(keys) + code)
+            word = once % len(keys)
+            yield rows(None, keys, -1, np.bincount(word, minlength=len(keys)))
+            kind = kinds[docs]
+            if (kind < 0).all():
+                continue
+            wide = len(keys) + 1
+            before = neighbours(code, lengths, len(keys))
+            names = np.r_[keys, START]
+            for k in np.unique(kind[kind >= 0]):
+                mine = word[kind[once // len(keys)] == k]
+                n = np.bincount(mine, minlength=len(keys))
+                yield rows(None, keys[n > 0], int(k), n[n > 0])
+                here = kind[owner] == k
+                # one row per document and pair, then documents per pair
+                _, dense = np.unique(before[here] * wide + code[here], return_inverse=True)
+                pair = np.unique(before[here] * wide + code[here])
+                of_doc = np.unique(owner[here] * max(1, len(pair)) + dense) % max(1, len(pair))
+                yield rows(names[pair // wide], keys[pair % wide], int(k), np.bincount(of_doc, minlength=len(pair)))
 
 
 @dataclass
 class Model:
-    """Tables of fixed size: word probabilities and backoff weights per class, pair counts."""
+    """Class models over the words that a class has above the discount.  Index V stands for
+    any other word, V + 1 for the start of a text."""
 
-    word: np.ndarray  # 2 x WORDS
-    total: np.ndarray  # 2 x (WORDS + 1): occurrences as the word before
-    weight: np.ndarray  # 2 x (WORDS + 1): share of the mass that backs off
+    vocabulary: np.ndarray  # sorted hashes of V words
+    word: np.ndarray  # 2 x (V + 1): probability (that of the unknown up to a shared factor)
+    total: np.ndarray  # 2 x (V + 2): pairs that begin with the word
+    weight: np.ndarray  # 2 x (V + 2): share of the mass that backs off
     pairs: list[tuple[np.ndarray, np.ndarray]]  # per class: sorted pair keys, counts above the discount
     known: np.ndarray  # bitmap over filter_slot of the pairs of either class
     curve: tuple[float, ...] = ()  # weight of each feature, then the constant
 
-    def log_ratios(self, slots: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def index(self, hashes: np.ndarray) -> np.ndarray:
+        return index_in(self.vocabulary, hashes)
+
+    def log_ratios(self, words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log P_toxic - log P_ordinary of every word: given the word before, and alone."""
-        before = neighbours(slots, lengths)
-        place = filter_slot(before, slots)
+        size = len(self.vocabulary)
+        before = neighbours(words, lengths, size + 1)
+        place = filter_slot(before, words)
         maybe = np.flatnonzero(self.known[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1)
-        key = before[maybe] * WORDS + slots[maybe]
+        key = before[maybe] * (size + 2) + words[maybe]
         logs = []
         for c in (0, 1):
-            seen = np.zeros(len(slots))
+            seen = np.zeros(len(words))
             keys, counts = self.pairs[c]
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
                 seen[maybe] = np.where(keys[at] == key, counts[at], 0) / np.maximum(self.total[c, before[maybe]], 1)
-            logs.append(np.log(np.minimum(seen, 1) + self.weight[c, before] * self.word[c, slots]))
+            logs.append(np.log(np.minimum(seen, 1) + self.weight[c, before] * self.word[c, words]))
         alone = np.log(self.word[1]) - np.log(self.word[0])
-        return logs[1] - logs[0], alone[slots]
+        return logs[1] - logs[0], alone[words]
 
-    def features(self, slots: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    def features(self, hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Mean difference over the text, and over its most toxic stretch of each length."""
+        parts = [self._features(self.index(hashes[span]), sizes[docs]) for docs, span in _blocks(sizes)]
+        return np.concatenate(parts) if parts else np.zeros((0, FEATURES))
+
+    def _features(self, words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         out = np.zeros((len(lengths), FEATURES))
+        if not len(words):
+            return out
         ends = np.cumsum(lengths)
         starts = ends - lengths
         some = lengths > 0
         column = 0
-        for ratio in self.log_ratios(slots, lengths):
+        for ratio in self.log_ratios(words, lengths):
             sums = np.r_[0.0, np.cumsum(ratio)]
             mean = column
             out[some, mean] = (sums[ends] - sums[starts])[some] / lengths[some]
@@ -178,44 +218,83 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(features @ np.array(self.curve[:-1]) + self.curve[-1], -40, 40)))
 
 
-def build_model(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
-    """Count every document once; NULL when a class has no text."""
-    fit = F.broadcast(sample.filter("part = 'fit'").select(F.col("id").alias("__id"), "y"))  # at most 2 x per_class rows
-    rows = docs.select(F.col(quoted(id_col)).alias("id"), word_slots(text_of(text_col)).alias("w")).join(fit, F.col("id") == F.col("__id"), "left").select("y", "w")
-    counted = rows.mapInArrow(_count, "kind int, key long, value long").groupBy("kind", "key").agg(F.sum("value").alias("n"))
-    # at most 3 x WORDS rows, and the pairs that the bounded sample has more than PAIR_DISCOUNT times
-    few = counted.filter(~F.col("kind").isin(2, 3) | (F.col("n") > PAIR_DISCOUNT)).select("kind", "key", "n")
-    parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-    for r in few.mapInArrow(_packed, "kind int, keys binary, counts binary").toLocalIterator():
-        parts.setdefault(r["kind"], []).append((np.frombuffer(r["keys"], dtype=np.int64), np.frombuffer(r["counts"], dtype=np.int64)))
-    table = {kind: tuple(np.concatenate(x) for x in zip(*arrays, strict=True)) for kind, arrays in parts.items()}
-    none = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
-    count, shared = np.zeros((2, WORDS)), np.zeros(WORDS, dtype=np.int64)
-    total, kept = np.zeros((2, WORDS + 1)), np.zeros((2, WORDS + 1))
-    pairs = []
-    shared[table.get(4, none)[0]] = table.get(4, none)[1]
-    for c in (0, 1):
-        keys, n = table.get(c, none)
-        count[c, keys] = n
-        total[c, keys] = n  # the start of a text has no total: it always backs off
-        keys, n = table.get(2 + c, none)
-        order = np.argsort(keys)
-        pairs.append((keys[order], (n[order] - PAIR_DISCOUNT).astype(np.float32)))
-        np.add.at(kept[c], keys // WORDS, n - PAIR_DISCOUNT)
-    n = count.sum(axis=1)
-    if (n == 0).any():
-        return None
-    p_shared = shared + 0.5
-    p_shared /= p_shared.sum()
-    freed = np.minimum(count, DISCOUNT).sum(axis=1)
-    word = (np.maximum(count - DISCOUNT, 0) + freed[:, None] * p_shared) / n[:, None]
-    kept[:, WORDS] = 0
-    weight = np.clip(1 - kept / np.maximum(total, 1), 1e-4, 1.0)
-    total[:, WORDS] = np.inf
-    known = np.zeros(FILTER, dtype=bool)
-    for keys, _ in pairs:
-        known[filter_slot(keys // WORDS, keys % WORDS)] = True
-    return Model(word.astype(np.float32), total.astype(np.float32), weight.astype(np.float32), pairs, np.packbits(known))
+def index_in(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Place of each hash in the sorted vocabulary; its size for any other."""
+    if not len(vocabulary):
+        return np.zeros(len(hashes), dtype=np.int64)
+    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+    return np.where(vocabulary[at] == hashes, at, len(vocabulary))
+
+
+@dataclass
+class Counts:
+    """What the models need of the count tables; the last axis of length FOLDS is the part."""
+
+    vocabulary: np.ndarray
+    shared: np.ndarray  # V: share of all (document, word) occurrences
+    words: np.ndarray  # V x 2 x FOLDS
+    rest: np.ndarray  # 2 x FOLDS: occurrences of all other words
+    before: np.ndarray  # P: vocabulary index of the first word of each pair
+    after: np.ndarray  # P
+    pairs: np.ndarray  # P x 2 x FOLDS
+    totals: np.ndarray  # (V + 2) x 2 x FOLDS: pairs beginning with the word
+
+    def model(self, without: int | None = None) -> Model | None:
+        """The two models from all parts, or all but one; None when a class has no word."""
+        use = [f for f in range(FOLDS) if f != without]
+        count, rest = self.words[..., use].sum(axis=-1).T, self.rest[:, use].sum(axis=-1)
+        n = count.sum(axis=1) + rest
+        if (n == 0).any():
+            return None
+        size = len(self.vocabulary)
+        freed = np.minimum(count, DISCOUNT).sum(axis=1) + rest  # other words never exceed the discount
+        word = np.ones((2, size + 1)) * freed[:, None] / n[:, None]
+        word[:, :size] = (np.maximum(count - DISCOUNT, 0) + freed[:, None] * self.shared) / n[:, None]
+        pair = np.maximum(self.pairs[..., use].sum(axis=-1).T - PAIR_DISCOUNT, 0)
+        total = self.totals[..., use].sum(axis=-1).T.astype(np.float64)
+        kept = np.zeros((2, size + 2))
+        key = self.before * (size + 2) + self.after
+        order = np.argsort(key)
+        pairs, known = [], np.zeros(FILTER, dtype=bool)
+        for c in (0, 1):
+            np.add.at(kept[c], self.before, pair[c])
+            some = order[pair[c, order] > 0]
+            pairs.append((key[some], pair[c, some].astype(np.float32)))
+            known[filter_slot(self.before[some], self.after[some])] = True
+        weight = np.clip(1 - kept / np.maximum(total, 1), 1e-4, 1.0)
+        floor = np.finfo(np.float32).tiny
+        return Model(self.vocabulary, np.maximum(word, floor).astype(np.float32), total.astype(np.float32), weight.astype(np.float32), pairs, np.packbits(known))
+
+
+def count_corpus(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Counts:
+    """Count every document once; the table of all words grows with the corpus, what reaches
+    the driver is bounded by the sample."""
+    part = F.broadcast(sample.select(F.col("id").alias("__id"), (2 * F.col("fold") + F.col("y")).cast("int").alias("kind")))  # at most 2 x per_class rows
+    rows = docs.select(F.col(quoted(id_col)).alias("id"), word_hashes(text_of(text_col)).alias("w")).join(part, F.col("id") == F.col("__id"), "left")
+    found = rows.select(F.coalesce("kind", F.lit(-1)).alias("kind"), "w").mapInArrow(_count, COUNTS)
+    kinds = range(2 * FOLDS)
+    names = [f"n{k}" for k in kinds]
+    of = lambda k: F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0))
+    counted = materialize(found.groupBy("before", "word").agg(of(-1).alias("docs"), *[of(k).cast("int").alias(f"n{k}") for k in kinds]), "toxicity-counts")
+    above = lambda d: F.greatest(*[sum(F.col(f"n{k}") for k in kinds if k % 2 == c) for c in (0, 1)]) > d
+    words, pairs = counted.filter("before is null"), counted.filter("before is not null")
+    by_class = lambda t: np.stack([t.column(n).to_numpy().astype(np.int64) for n in names], axis=-1).reshape(-1, FOLDS, 2).swapaxes(1, 2)
+
+    vocabulary = words.filter(above(DISCOUNT)).toArrow()
+    hashes = vocabulary.column("word").to_numpy()
+    order = np.argsort(hashes)
+    hashes, size = hashes[order], len(hashes)
+    sums = words.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("docs", *names)]).toArrow()
+    mine = by_class(vocabulary)[order]
+    shared = vocabulary.column("docs").to_numpy()[order] / max(1, sums.column("docs")[0].as_py())
+
+    kept = pairs.filter(above(PAIR_DISCOUNT))
+    firsts = pairs.groupBy("before").agg(*[F.sum(n).alias(n) for n in names]).join(kept.select("before").distinct(), "before", "left_semi").toArrow()
+    place = lambda column: np.where((h := column.to_numpy()) == START, size + 1, index_in(hashes, h))
+    totals = np.zeros((size + 2, 2, FOLDS), dtype=np.int64)
+    totals[place(firsts.column("before"))] = by_class(firsts)
+    kept = kept.toArrow()
+    return Counts(hashes, shared, mine, by_class(sums)[0] - mine.sum(axis=0), place(kept.column("before")), index_in(hashes, kept.column("word").to_numpy()), by_class(kept), totals)
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float, ...]:
@@ -237,25 +316,33 @@ def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float, .
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
-    sample = label_sample(labels, per_class, id_col)
-    model = build_model(docs, sample, id_col, text_col)
+    sample = label_sample(docs, labels, per_class, id_col, text_col=text_col)
+    counts = count_corpus(docs, sample, id_col, text_col)
+    model = counts.model()
     if model is None:
         return None
-    tune = F.broadcast(sample.filter("part = 'tune'").select(F.col("id").alias("__id"), "y"))
+    tune = F.broadcast(sample.select(F.col("id").alias("__id"), "y", "fold"))
     rows = docs.select(F.col(quoted(id_col)).alias("id"), text_of(text_col).alias("t")).join(tune, F.col("id") == F.col("__id"))
-    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    others = [counts.model(without=fold) for fold in range(FOLDS)]
+    shared = docs.sparkSession.sparkContext.broadcast([m and vars(m) for m in others])
 
     names = [f"f{j}" for j in range(FEATURES)]
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            f = Model(**shared.value).features(*_lists(batch.column("w")))
-            yield pa.RecordBatch.from_arrays([batch.column("y"), *[pa.array(c) for c in f.T]], names=["y", *names])
-
-    seen = rows.select("y", word_slots(F.col("t")).alias("w")).mapInArrow(features, "y int, " + ", ".join(f"{n} double" for n in names)).toPandas()  # a quarter of the bounded sample (repeated rows count each)
+            fold = batch.column("fold").to_numpy()
+            for k, tables in enumerate(shared.value):
+                mine = batch.filter(pa.array(fold == k))
+                if tables is None or not mine.num_rows:
+                    continue
+                f = Model(**tables).features(*_lists(mine.column("w")))
+                yield pa.RecordBatch.from_arrays([mine.column("y"), *[pa.array(c) for c in f.T]], names=["y", *names])
+
+    seen = rows.select("y", "fold", word_hashes(F.col("t")).alias("w")).mapInArrow(features, "y int, " + ", ".join(f"{n} double" for n in names)).toArrow()  # the bounded sample (repeated rows count each)
     shared.destroy()
-    if seen["y"].nunique() == 2:
-        model.curve = fit_curve(seen[names].to_numpy(), seen["y"].to_numpy())
+    y = seen.column("y").to_numpy()
+    if len(np.unique(y)) == 2:
+        model.curve = fit_curve(np.stack([seen.column(n).to_numpy() for n in names], axis=1), y)
     else:
         model.curve = (*[0.5] * FEATURES, -8.0)
     return model
@@ -263,18 +350,18 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, id_col: s
 
 def score_column(docs: DataFrame, model: Model | None, text_col: str = "text") -> Column:
     """Score of each document as a column: words are hashed by Spark, Arrow batches scored by
-    numpy against the broadcast tables (fixed size)."""
+    numpy against the broadcast tables (bounded by the sample)."""
     if model is None:
         return F.lit(0.0)
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def score(w: pd.Series) -> pd.Series:
         lengths = np.array([len(x) for x in w], dtype=np.int64)
-        slots = np.concatenate(w.to_list()).astype(np.int64) if lengths.sum() else np.zeros(0, dtype=np.int64)
+        hashes = np.concatenate(w.to_list()).astype(np.int64, copy=False) if lengths.sum() else np.zeros(0, dtype=np.int64)
         tables = Model(**shared.value)
-        return pd.Series(tables.scores(tables.features(slots, lengths)))
+        return pd.Series(tables.scores(tables.features(hashes, lengths)))
 
-    return F.pandas_udf(score, "double")(word_slots(text_of(text_col)))
+    return F.pandas_udf(score, "double")(word_hashes(text_of(text_col)))
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
