@@ -48,7 +48,7 @@ FOLDS = 4
 #: Stands for the start of a text where a pair names the word before.
 START = 0
 #: Most words that numpy handles at once.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 #: Lengths in words of the stretches whose best length-normalised difference is a feature.
 STRETCHES = (1, 3, 8)
 FEATURES = 2 * (1 + len(STRETCHES))
