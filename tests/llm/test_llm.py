@@ -312,6 +312,36 @@ def test_toxicity_on_planted_words(spark, empty, labels, docs):
     assert toxicity.reject_toxic(docs, labels).columns == docs.columns
 
 
+def test_toxicity_counts_are_exact(spark):
+    rng = np.random.default_rng(1)
+    texts = [None, ""] + [" ".join(rng.choice([f"w{i}" for i in range(5)], n)) for n in rng.integers(1, 40, 118)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    part = {i: (i % 2, i % toxicity.FOLDS) for i in range(0, 120, 3)}
+    sample = spark.createDataFrame([(i, y, f) for i, (y, f) in part.items()], "id long, y int, fold int")
+    names = sorted({w for t in texts for w in (t or "").split()})
+    hashes = {r["w"]: r["h"] for r in spark.createDataFrame([(w,) for w in names], "w string").selectExpr("w", "xxhash64(w) h").collect()}
+    every, of_class, of_pair, firsts = (collections.Counter() for _ in range(4))
+    for i, t in enumerate(texts):
+        ws = [hashes[w] for w in (t or "").split()]
+        every.update(set(ws))
+        if i in part:
+            pairs = set(zip([toxicity.START, *ws[:-1]], ws, strict=True)) if ws else set()
+            of_class.update((w, *part[i]) for w in set(ws))
+            of_pair.update((p, *part[i]) for p in pairs)
+            firsts.update((a, *part[i]) for a, _ in pairs)
+    got = toxicity.count_corpus(df, sample)
+    above = lambda counts, key, d: max(sum(counts[key, c, f] for f in range(toxicity.FOLDS)) for c in (0, 1)) > d
+    assert got.vocabulary.tolist() == sorted(w for w in hashes.values() if above(of_class, w, toxicity.DISCOUNT))
+    for j, w in enumerate(got.vocabulary.tolist()):
+        assert got.words[j].tolist() == [[of_class[w, c, f] for f in range(toxicity.FOLDS)] for c in (0, 1)]
+        assert got.shared[j] == pytest.approx(every[w] / sum(every.values()))
+    index = [*got.vocabulary.tolist(), None, toxicity.START]
+    found = {(index[a], index[b]): n.tolist() for a, b, n in zip(got.before, got.after, got.pairs, strict=True)}
+    assert found and found == {p: [[of_pair[p, c, f] for f in range(toxicity.FOLDS)] for c in (0, 1)] for p in {k[0] for k in of_pair} if above(of_pair, p, toxicity.PAIR_DISCOUNT)}
+    for a in {a for a, _ in found}:
+        assert got.totals[index.index(a)].tolist() == [[firsts[a, c, f] for f in range(toxicity.FOLDS)] for c in (0, 1)]
+
+
 # -- SimHash --------------------------------------------------------------------------------------
 
 
