@@ -6,19 +6,25 @@ in anywhere in the corpus (Kneser-Ney continuation counts).  A context is a docu
 counts add up over tasks, and every document counts, labelled or not.  An expression neither
 class has really seen costs both models the same but for their freed mass.
 
-    P_c(w)     = (max(n_c(w) - D, 0) + freed_c * P_shared(w)) / n_c
-    P_c(w | u) = (max(n_c(u w) - D', 0)) / n_c(u) + freed_c(u) * P_c(w)
+    P_c(w)     = (max(n_c(w) - D_c, 0) + freed_c * P_shared(w)) / n_c
+    P_c(w | u) = (max(n_c(u w) - D'_c, 0)) / n_c(u) + freed_c(u) * P_c(w)
 
 All counts are numbers of documents (a word repeated in one text is one piece of evidence).
+The absolute discounts lie between 0 and 1 and are estimated for each class and order from the
+numbers n1 and n2 of words or pairs with a count of one and two, as n1 / (n1 + 2 n2); so every
+word and pair that a class has, even once, is evidence for it.
+
 Words go by their 64-bit hash.  The counts of all words of all documents form one table, written
 once, that grows with the corpus.  Class counts come from a bounded sample of labelled rows
 (``per_class`` smallest hashes per class; equal texts once), so what models need of that
-table is bounded as well: the words and pairs that a class has above the discount.  Any other
-word has no class evidence, and its shared probability cancels out.
+table is bounded as well: the words and pairs of the sample, 12 bytes for each pair and class.
+Any other word has no class evidence, and its shared probability cancels out.
 
 A document is scored by the length-normalised difference of the two log-likelihoods, over the
 whole text and over its most toxic stretches of ``STRETCHES`` words, for the bigram and the
-backoff level.  A logistic curve turns these into a score in 0..1.  The sample is dealt into
+backoff level.  Rare evidence is noisy, so the same features are taken a second time from models
+with the discounts ``SUPPORTED``, as features next to those of all evidence, not in their
+place.  A logistic curve turns these into a score in 0..1.  The sample is dealt into
 ``FOLDS`` parts by text; the curve is fitted on features from models that have not seen
 the part, the final models use all parts.
 
@@ -43,7 +49,6 @@ from pyspark.sql import functions as F
 from sheetmill.llm.common import let, quoted, text_of, whole_row
 from sheetmill.session import materialize
 
-FILTER = 1 << 22
 FOLDS = 4
 #: Stands for the start of a text where a pair names the word before.
 START = 0
@@ -51,10 +56,13 @@ START = 0
 BLOCK = 1 << 19
 #: Lengths in words of the stretches whose best length-normalised difference is a feature.
 STRETCHES = (1, 3, 8)
-FEATURES = 2 * (1 + len(STRETCHES))
-#: Absolute discounts of word and pair counts: what occurs less often is left to the backoff.
-DISCOUNT = 2.0
-PAIR_DISCOUNT = 8.0
+#: Word and pair discount of the second reading, of well supported evidence only.
+SUPPORTED = (2.0, 8.0)
+#: Readings (all evidence, well supported evidence) x levels (pair, word) x (text, stretches).
+FEATURES = 2 * 2 * (1 + len(STRETCHES))
+#: Absolute discounts of word and pair counts where no count of one or no count of two occurs.
+DISCOUNT = 0.5
+PAIR_DISCOUNT = 0.5
 THRESHOLD = 0.7
 
 
@@ -88,13 +96,6 @@ def neighbours(words: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray
     return before
 
 
-def filter_slot(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Place of a pair in a bitmap of FILTER bits that spares most look-ups of unseen pairs."""
-    mixed = (before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (word.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-    mixed ^= mixed >> np.uint64(29)
-    return ((mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(42)).astype(np.int64)
-
-
 def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     """Flat values and list lengths of an Arrow list column."""
     offsets = np.asarray(column.offsets, dtype=np.int64)
@@ -154,36 +155,33 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
-    """Class models over the words that a class has above the discount.  Index V stands for
-    any other word, V + 1 for the start of a text."""
+    """Class models over the words of the sample.  Index V stands for any other word, V + 1 for
+    the start of a text.  Lists are by reading: all evidence, then well supported evidence."""
 
     vocabulary: np.ndarray  # sorted hashes of V words
-    word: np.ndarray  # 2 x (V + 1): probability (that of the unknown up to a shared factor)
     total: np.ndarray  # 2 x (V + 2): pairs that begin with the word
-    weight: np.ndarray  # 2 x (V + 2): share of the mass that backs off
-    pairs: list[tuple[np.ndarray, np.ndarray]]  # per class: sorted pair keys, counts above the discount
-    known: np.ndarray  # bitmap over filter_slot of the pairs of either class
+    word: list[np.ndarray]  # 2 x (V + 1): probability (that of the unknown up to a shared factor)
+    weight: list[np.ndarray]  # 2 x (V + 2): share of the mass that backs off
+    pairs: list[list[tuple[np.ndarray, np.ndarray]]]  # per class: sorted pair keys, counts less the discount
     curve: tuple[float, ...] = ()  # weight of each feature, then the constant
 
     def index(self, hashes: np.ndarray) -> np.ndarray:
         return index_in(self.vocabulary, hashes)
 
-    def log_ratios(self, words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def log_ratios(self, words: np.ndarray, lengths: np.ndarray, reading: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """log P_toxic - log P_ordinary of every word: given the word before, and alone."""
-        size = len(self.vocabulary)
+        size, word = len(self.vocabulary), self.word[reading]
         before = neighbours(words, lengths, size + 1)
-        place = filter_slot(before, words)
-        maybe = np.flatnonzero(self.known[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1)
-        key = before[maybe] * (size + 2) + words[maybe]
+        key = before * (size + 2) + words
         logs = []
         for c in (0, 1):
             seen = np.zeros(len(words))
-            keys, counts = self.pairs[c]
+            keys, counts = self.pairs[reading][c]
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                seen[maybe] = np.where(keys[at] == key, counts[at], 0) / np.maximum(self.total[c, before[maybe]], 1)
-            logs.append(np.log(np.minimum(seen, 1) + self.weight[c, before] * self.word[c, words]))
-        alone = np.log(self.word[1]) - np.log(self.word[0])
+                seen = np.where(keys[at] == key, counts[at], 0) / np.maximum(self.total[c, before], 1)
+            logs.append(np.log(np.minimum(seen, 1) + self.weight[reading][c, before] * word[c, words]))
+        alone = np.log(word[1]) - np.log(word[0])
         return logs[1] - logs[0], alone[words]
 
     def features(self, hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -199,7 +197,7 @@ class Model:
         starts = ends - lengths
         some = lengths > 0
         column = 0
-        for ratio in self.log_ratios(words, lengths):
+        for ratio in (r for reading in range(len(self.word)) for r in self.log_ratios(words, lengths, reading)):
             sums = np.r_[0.0, np.cumsum(ratio)]
             mean = column
             out[some, mean] = (sums[ends] - sums[starts])[some] / lengths[some]
@@ -226,44 +224,91 @@ def index_in(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.where(vocabulary[at] == hashes, at, len(vocabulary))
 
 
+def discount(counts: np.ndarray, default: float) -> float:
+    """Absolute discount of these counts, from how many of them are one and two."""
+    n1, n2 = int((counts == 1).sum()), int((counts == 2).sum())
+    return n1 / (n1 + 2 * n2) if n1 and n2 else default
+
+
 @dataclass
 class Counts:
-    """What the models need of the count tables; the last axis of length FOLDS is the part."""
+    """The count tables of the sample; the last axis of length FOLDS is the part."""
 
     vocabulary: np.ndarray
     shared: np.ndarray  # V: share of all (document, word) occurrences
     words: np.ndarray  # V x 2 x FOLDS
-    rest: np.ndarray  # 2 x FOLDS: occurrences of all other words
-    before: np.ndarray  # P: vocabulary index of the first word of each pair
-    after: np.ndarray  # P
-    pairs: np.ndarray  # P x 2 x FOLDS
-    totals: np.ndarray  # (V + 2) x 2 x FOLDS: pairs beginning with the word
+    kinds: list[tuple[np.ndarray, np.ndarray]]  # per kind (2 * fold + class): pair keys, counts
+
+    def _first(self, kind: int) -> np.ndarray:
+        keys, n = self.kinds[kind]
+        return np.bincount(keys // self.width, n, self.width).astype(np.int64)
+
+    @property
+    def width(self) -> int:
+        return len(self.vocabulary) + 2
+
+    @property
+    def keys(self) -> np.ndarray:
+        """P: every pair, as vocabulary index of its first word x (V + 2) + that of its second."""
+        return np.unique(np.concatenate([keys for keys, _ in self.kinds]))
+
+    @property
+    def before(self) -> np.ndarray:
+        return self.keys // self.width
+
+    @property
+    def after(self) -> np.ndarray:
+        return self.keys % self.width
+
+    @property
+    def pairs(self) -> np.ndarray:
+        """P x 2 x FOLDS."""
+        every = self.keys
+        out = np.zeros((len(every), 2, FOLDS), dtype=np.int64)
+        for kind, (keys, n) in enumerate(self.kinds):
+            out[np.searchsorted(every, keys), kind % 2, kind // 2] = n
+        return out
+
+    @property
+    def totals(self) -> np.ndarray:
+        """(V + 2) x 2 x FOLDS: pairs beginning with the word."""
+        return np.stack([self._first(kind) for kind in range(2 * FOLDS)], axis=-1).reshape(-1, FOLDS, 2).swapaxes(1, 2)
+
+    def class_pairs(self, c: int, use: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys of the pairs that a class has in the parts ``use``, and their counts."""
+        keys = np.concatenate([self.kinds[2 * f + c][0] for f in use])
+        n = np.concatenate([self.kinds[2 * f + c][1] for f in use])
+        order = np.argsort(keys)
+        keys, n = keys[order], n[order]
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+        return keys[starts], np.add.reduceat(n, starts) if len(starts) else n
 
     def model(self, without: int | None = None) -> Model | None:
         """The two models from all parts, or all but one; None when a class has no word."""
         use = [f for f in range(FOLDS) if f != without]
-        count, rest = self.words[..., use].sum(axis=-1).T, self.rest[:, use].sum(axis=-1)
-        n = count.sum(axis=1) + rest
+        count = self.words[..., use].sum(axis=-1).T
+        n = count.sum(axis=1)
         if (n == 0).any():
             return None
         size = len(self.vocabulary)
-        freed = np.minimum(count, DISCOUNT).sum(axis=1) + rest  # other words never exceed the discount
-        word = np.ones((2, size + 1)) * freed[:, None] / n[:, None]
-        word[:, :size] = (np.maximum(count - DISCOUNT, 0) + freed[:, None] * self.shared) / n[:, None]
-        pair = np.maximum(self.pairs[..., use].sum(axis=-1).T - PAIR_DISCOUNT, 0)
-        total = self.totals[..., use].sum(axis=-1).T.astype(np.float64)
-        kept = np.zeros((2, size + 2))
-        key = self.before * (size + 2) + self.after
-        order = np.argsort(key)
-        pairs, known = [], np.zeros(FILTER, dtype=bool)
-        for c in (0, 1):
-            np.add.at(kept[c], self.before, pair[c])
-            some = order[pair[c, order] > 0]
-            pairs.append((key[some], pair[c, some].astype(np.float32)))
-            known[filter_slot(self.before[some], self.after[some])] = True
-        weight = np.clip(1 - kept / np.maximum(total, 1), 1e-4, 1.0)
+        total = np.zeros((2, size + 2), dtype=np.float32)
+        word = [np.ones((2, size + 1), dtype=np.float32) for _ in range(2)]
+        weight = [np.ones((2, size + 2), dtype=np.float32) for _ in range(2)]
         floor = np.finfo(np.float32).tiny
-        return Model(self.vocabulary, np.maximum(word, floor).astype(np.float32), total.astype(np.float32), weight.astype(np.float32), pairs, np.packbits(known))
+        pairs: list[list] = [[], []]
+        for c in (0, 1):
+            keys, seen = self.class_pairs(c, use)
+            total[c] = np.bincount(keys // self.width, seen, size + 2)
+            for reading, (d, e) in enumerate(((discount(count[c], DISCOUNT), discount(seen, PAIR_DISCOUNT)), SUPPORTED)):
+                freed = np.minimum(count[c], d).sum()
+                word[reading][c] = freed / n[c]
+                word[reading][c, :size] = (np.maximum(count[c] - d, 0) + freed * self.shared) / n[c]
+                word[reading][c] = np.maximum(word[reading][c], floor)
+                some = seen > e  # all of them unless a reading of supported evidence
+                left = (seen[some] - e).astype(np.float32)
+                weight[reading][c] = np.clip(1 - np.bincount(keys[some] // self.width, left, size + 2) / np.maximum(total[c], 1), 1e-4, 1.0)
+                pairs[reading].append((keys[some], left))
+        return Model(self.vocabulary, total, word, weight, pairs)
 
 
 def count_corpus(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Counts:
@@ -276,38 +321,50 @@ def count_corpus(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", tex
     names = [f"n{k}" for k in kinds]
     of = lambda k: F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0))
     counted = materialize(found.groupBy("before", "word").agg(of(-1).alias("docs"), *[of(k).cast("int").alias(f"n{k}") for k in kinds]), "toxicity-counts")
-    above = lambda d: F.greatest(*[sum(F.col(f"n{k}") for k in kinds if k % 2 == c) for c in (0, 1)]) > d
     words, pairs = counted.filter("before is null"), counted.filter("before is not null")
-    by_class = lambda t: np.stack([t.column(n).to_numpy().astype(np.int64) for n in names], axis=-1).reshape(-1, FOLDS, 2).swapaxes(1, 2)
 
-    vocabulary = words.filter(above(DISCOUNT)).toArrow()
+    vocabulary = words.filter(F.greatest(*names) > 0).toArrow()
     hashes = vocabulary.column("word").to_numpy()
     order = np.argsort(hashes)
     hashes, size = hashes[order], len(hashes)
-    sums = words.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("docs", *names)]).toArrow()
-    mine = by_class(vocabulary)[order]
-    shared = vocabulary.column("docs").to_numpy()[order] / max(1, sums.column("docs")[0].as_py())
+    every = words.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]
+    mine = np.stack([vocabulary.column(n).to_numpy()[order] for n in names], axis=-1).reshape(-1, FOLDS, 2).swapaxes(1, 2)
+    shared = vocabulary.column("docs").to_numpy()[order] / max(1, every)
+    del vocabulary
+
+    place = docs.sparkSession.sparkContext.broadcast(hashes)
 
-    kept = pairs.filter(above(PAIR_DISCOUNT))
-    firsts = pairs.groupBy("before").agg(*[F.sum(n).alias(n) for n in names]).join(kept.select("before").distinct(), "before", "left_semi").toArrow()
-    place = lambda column: np.where((h := column.to_numpy()) == START, size + 1, index_in(hashes, h))
-    totals = np.zeros((size + 2, 2, FOLDS), dtype=np.int64)
-    totals[place(firsts.column("before"))] = by_class(firsts)
-    kept = kept.toArrow()
-    return Counts(hashes, shared, mine, by_class(sums)[0] - mine.sum(axis=0), place(kept.column("before")), index_in(hashes, kept.column("word").to_numpy()), by_class(kept), totals)
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per pair and kind that has it: key, and count * kinds + kind."""
+        for batch in batches:
+            before, word = (batch.column(n).to_numpy() for n in ("before", "word"))
+            key = np.where(before == START, size + 1, index_in(place.value, before)) * (size + 2) + index_in(place.value, word)
+            n = np.stack([batch.column(name).to_numpy() for name in names])
+            kind, row = np.nonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(key[row]), pa.array((n[kind, row].astype(np.int64) * len(names) + kind).astype(np.int32))], names=["key", "n"])
+
+    found = pairs.select("before", "word", *names).mapInArrow(packed, "key long, n int").toArrow()  # bounded by the sample: 12 bytes a row
+    place.destroy()
+    key, n = found.column("key").to_numpy(), found.column("n").to_numpy()
+    del found
+    return Counts(hashes, shared, mine, [(key[here], n[here] // len(names)) for here in (n % len(names) == k for k in kinds)])
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float, ...]:
-    """Logistic regression by Newton steps on standardised features; ridge 1 / (2 n)."""
+    """Logistic regression by Newton steps, halved until they improve it, on standardised features; ridge 1 / (2 n)."""
     mean, sd = x.mean(axis=0), x.std(axis=0) + 1e-9
     z = np.c_[(x - mean) / sd, np.ones(len(x))]
     penalty = 0.5 / len(y) * np.r_[np.ones(x.shape[1]), 1e-6]
+    loss = lambda b: (np.logaddexp(0, z @ b) - y * (z @ b)).mean() + (penalty * b * b).sum() / 2
     beta = np.zeros(z.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ beta, -40, 40)))
         grad = z.T @ (p - y) / len(y) + penalty * beta
-        hess = (z * (p * (1 - p) + 1e-9)[:, None]).T @ z / len(y) + np.diag(penalty)
-        step = np.clip(np.linalg.solve(hess, grad), -2, 2)
+        hess = (z * (p * (1 - p) + 1e-12)[:, None]).T @ z / len(y) + np.diag(penalty)
+        step = np.linalg.solve(hess, grad)
+        now = loss(beta)
+        while loss(beta - step) > now - 1e-4 * (grad @ step) and np.abs(step).max() > 1e-7:
+            step = step / 2
         beta -= step
         if np.abs(step).max() < 1e-7:
             break
@@ -318,29 +375,31 @@ def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float, .
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
     sample = label_sample(docs, labels, per_class, id_col, text_col=text_col)
     counts = count_corpus(docs, sample, id_col, text_col)
-    model = counts.model()
-    if model is None:
+    if (counts.words.sum(axis=(0, 2)) == 0).any():
         return None
     tune = F.broadcast(sample.select(F.col("id").alias("__id"), "y", "fold"))
     rows = docs.select(F.col(quoted(id_col)).alias("id"), text_of(text_col).alias("t")).join(tune, F.col("id") == F.col("__id"))
-    others = [counts.model(without=fold) for fold in range(FOLDS)]
-    shared = docs.sparkSession.sparkContext.broadcast([m and vars(m) for m in others])
-
+    rows = materialize(rows.select("y", "fold", word_hashes(F.col("t")).alias("w")), "toxicity-tune")  # the bounded sample (repeated rows count each)
     names = [f"f{j}" for j in range(FEATURES)]
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fold = batch.column("fold").to_numpy()
-            for k, tables in enumerate(shared.value):
-                mine = batch.filter(pa.array(fold == k))
-                if tables is None or not mine.num_rows:
-                    continue
-                f = Model(**tables).features(*_lists(mine.column("w")))
-                yield pa.RecordBatch.from_arrays([mine.column("y"), *[pa.array(c) for c in f.T]], names=["y", *names])
-
-    seen = rows.select("y", "fold", word_hashes(F.col("t")).alias("w")).mapInArrow(features, "y int, " + ", ".join(f"{n} double" for n in names)).toArrow()  # the bounded sample (repeated rows count each)
-    shared.destroy()
-    y = seen.column("y").to_numpy()
+    parts = []
+    for fold in range(FOLDS):  # one at a time: a model holds all pairs of the sample
+        part = counts.model(without=fold)
+        if part is None:
+            continue
+        shared = docs.sparkSession.sparkContext.broadcast(vars(part))
+        del part
+
+        def features(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                f = Model(**shared.value).features(*_lists(batch.column("w")))
+                yield pa.RecordBatch.from_arrays([batch.column("y"), *[pa.array(c) for c in f.T]], names=["y", *names])
+
+        mine = rows.filter(F.col("fold") == fold).select("y", "w")
+        parts.append(mine.mapInArrow(features, "y int, " + ", ".join(f"{n} double" for n in names)).toArrow())
+        shared.destroy()
+    model = counts.model()
+    seen = pa.concat_tables(parts) if parts else None
+    y = seen.column("y").to_numpy() if seen else np.zeros(0)
     if len(np.unique(y)) == 2:
         model.curve = fit_curve(np.stack([seen.column(n).to_numpy() for n in names], axis=1), y)
     else:

@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sheetmill.llm import bpe, chat, licenses, packing, pii, quality, secrets, simhash, topk, toxicity
 
@@ -342,6 +343,32 @@ def test_toxicity_counts_are_exact(spark):
         assert got.totals[index.index(a)].tolist() == [[firsts[a, c, f] for f in range(toxicity.FOLDS)] for c in (0, 1)]
 
 
+def test_toxicity_keeps_rare_words_and_pairs_as_evidence(spark):
+    """A word of one toxic text and a pair of common words in three toxic texts count for the class."""
+    rng = np.random.default_rng(2)
+    vocab = [f"w{i}" for i in range(40)]
+    texts = []
+    for i in range(400):
+        ws = [w for w in rng.choice(vocab, 30) if w != "w1"] + ["w1", "w0"]
+        if i in (0, 10, 20):
+            ws += ["w0", "w1"]  # the only texts with this pair
+        texts.append(" ".join(ws + (["rare"] if i == 30 else [])))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    sample = spark.createDataFrame([(i, int(i % 10 == 0), i % toxicity.FOLDS) for i in range(400)], "id long, y int, fold int")
+    counts = toxicity.count_corpus(df, sample)
+    hashes = [r["h"] for r in spark.createDataFrame([("w0 w1 rare w0 never",)], "t string").select(toxicity.word_hashes(F.col("t")).alias("h")).collect()][0]
+    model = counts.model()
+    known = model.index(np.array(hashes))
+    assert known[2] < len(model.vocabulary) and known[4] == len(model.vocabulary)
+    of_pair, of_word = model.log_ratios(known, np.array([len(known)]))
+    assert of_pair[1] > 1 and of_word[2] > 1  # "w1" after "w0"; "rare"
+    assert of_word[2] > of_word[4] + 1
+    seen = np.array([1, 1, 1, 2, 5])
+    assert toxicity.discount(seen, 0.5) == 3 / 5 and toxicity.discount(seen[3:], 0.5) == 0.5
+    keys, left = model.pairs[0][1]
+    assert len(keys) == np.count_nonzero(counts.pairs[:, 1].sum(axis=-1)) and (left > 0).all()
+
+
 # -- SimHash --------------------------------------------------------------------------------------
 
 
