@@ -6,8 +6,10 @@ hash-joined to the digests of known licence texts: a document is a licence when
 text is.  In the same way each line that speaks of a licence is looked up among the digests of
 known one-line notices.
 
-The registry is a bounded parameter (a list of texts, not data), so its side of the join is
-broadcast.
+The registry is a parameter, a dict or a table (name, text), canonicalised and hashed in Spark;
+only its digests reach the driver, and its side of the join is broadcast.  The default holds the
+short texts below, the full texts in ``license_texts`` and, as notices, SPDX identifiers and
+sentences that begin by ``OPENING`` and go on with one of ``NAMED`` or a Creative Commons name.
 
 Defined results: NULL text counts as empty; the empty canonical form matches nothing; NULL ids
 and repeated rows are scanned like any other; if two registry texts share a canonical form the
@@ -16,11 +18,14 @@ first name in order counts; an empty registry or table gives no matches or no ro
 
 from __future__ import annotations
 
+from functools import cache
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetmill.llm.common import quoted, text_of
-from sheetmill.operators.joins import literal_table
 
 #: Lines that only state who holds the copyright (tested on lower case), and the beginnings of
 #: wrapped lines of a licence's own sentences, which stay wherever the text is wrapped.
@@ -102,6 +107,72 @@ NOTICES: dict[str, tuple[str, ...]] = {
 }
 
 
+#: Names by which sentences speak of a licence.
+NAMED: dict[str, tuple[str, ...]] = {
+    "0BSD": ("BSD Zero Clause License",),
+    "AGPL-3.0": ("GNU Affero General Public License, version 3", "GNU Affero General Public License v3.0", "GNU AGPL v3", "AGPLv3 License", "AGPL-3.0 License"),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0 License"),
+    "Artistic-2.0": ("Artistic License 2.0",),
+    "BSD-2-Clause": ("BSD 2-Clause License", "Simplified BSD License", "FreeBSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "New BSD License", "Modified BSD License"),
+    "BSL-1.0": ("Boost Software License, Version 1.0", "Boost Software License 1.0"),
+    "CC0-1.0": ("CC0 1.0", "CC0 1.0 Universal License", "Creative Commons CC0 1.0 Universal License", "Creative Commons Zero v1.0 Universal License"),
+    "EPL-1.0": ("Eclipse Public License, Version 1.0", "Eclipse Public License 1.0", "Eclipse Public License v1.0"),
+    "EPL-2.0": ("Eclipse Public License, Version 2.0", "Eclipse Public License 2.0", "Eclipse Public License v2.0"),
+    "EUPL-1.2": ("European Union Public Licence, Version 1.2", "European Union Public Licence v1.2", "EUPL 1.2"),
+    "GFDL-1.2": ("GNU Free Documentation License, Version 1.2",),
+    "GFDL-1.3": ("GNU Free Documentation License, Version 1.3",),
+    "GPL-1.0": ("GNU General Public License, version 1",),
+    "GPL-2.0": ("GNU General Public License, version 2", "GNU General Public License v2.0", "GNU GPL v2", "GPLv2 License", "GPL-2.0 License"),
+    "GPL-3.0": ("GNU General Public License, version 3", "GNU General Public License v3.0", "GNU GPL v3", "GPLv3 License", "GPL-3.0 License"),
+    "ISC": ("ISC License",),
+    "LGPL-2.0": ("GNU Library General Public License, version 2",),
+    "LGPL-2.1": ("GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v2.1", "GNU LGPL v2.1", "LGPL-2.1 License"),
+    "LGPL-3.0": ("GNU Lesser General Public License, version 3", "GNU Lesser General Public License v3.0", "GNU LGPL v3", "LGPLv3 License", "LGPL-3.0 License"),
+    "MIT": ("MIT License", "MIT license (MIT)", "Expat License"),
+    "MPL-1.1": ("Mozilla Public License, Version 1.1", "Mozilla Public License 1.1"),
+    "MPL-2.0": ("Mozilla Public License, v. 2.0", "Mozilla Public License, Version 2.0", "Mozilla Public License 2.0", "MPL 2.0"),
+    "Unlicense": ("Unlicense",),
+    "WTFPL": ("WTFPL License",),
+    "Zlib": ("zlib License",),
+}
+#: How a sentence begins that names its licence next, and how it may end (canonical form).
+OPENING = r"^(?:(?:(?:this|the|all) (?:work|software|project|program|file|code|source code|document|text|content|package|library|repository) |content )(?:is |are )?)?(?:dual )?(?:licensed|released|distributed|published|available|provided|covered) (?:to you )?under (?:the terms of )?(?:the |a |an )?"
+ENDING = r"(?: or(?: at your option)?(?: any)? later(?: version)?| only)$"
+
+
+def _commons() -> dict[str, tuple[str, ...]]:
+    """Names of the Creative Commons licences."""
+    parts = {"BY": "Attribution", "SA": "ShareAlike", "NC": "NonCommercial", "ND": "NoDerivatives"}
+    out = {}
+    for kind in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND"):
+        full = "-".join(parts[x] for x in kind.split("-"))
+        for version, scope in (("1.0", "Generic"), ("2.0", "Generic"), ("2.5", "Generic"), ("3.0", "Unported"), ("4.0", "International")):
+            short = (f"CC {kind} {version}", f"Creative Commons {full} {version}", f"Creative Commons {full} {version} {scope}")
+            out[f"CC-{kind}-{version}"] = tuple(f"{n}{end}" for n in short for end in ("", " License"))
+    return out
+
+
+@cache
+def default_licenses() -> dict[str, tuple[str, ...]]:
+    """``LICENSES`` and the texts of the folder ``license_texts``."""
+    out = dict(LICENSES)
+    for path in sorted(Path(__file__).with_name("license_texts").glob("*.txt")):
+        out[path.stem] = (*out.get(path.stem, ()), path.read_text(encoding="utf-8"))
+    return out
+
+
+@cache
+def default_notices() -> dict[str, tuple[str, ...]]:
+    """``NOTICES``, and the SPDX line of every known licence.  "Only" and "or later" go by the
+    licence's version."""
+    out = {name: list(lines) for name, lines in NOTICES.items()}
+    for name in sorted({*NAMED, *_commons(), *default_licenses()}):
+        out.setdefault(name, []).extend(f"SPDX-License-Identifier: {name}{end}" for end in ("", "-only", "-or-later"))
+    out["MPL-2.0"].append("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.")
+    return {name: tuple(lines) for name, lines in out.items()}
+
+
 def canonical(text: Column) -> Column:
     lines = F.filter(F.split(F.lower(text), "\n"), lambda line: ~line.rlike(COPYRIGHT) | line.rlike(SENTENCE))
     plain = F.trim(F.regexp_replace(F.array_join(lines, "\n"), r"[^\p{L}\p{N}]+", " "))
@@ -110,34 +181,44 @@ def canonical(text: Column) -> Column:
     return plain
 
 
-def registry(spark, texts: dict[str, tuple[str, ...]]) -> list[tuple[str, str]]:
-    """(digest, name) of each canonical form, by name; the canonical forms come from the same
-    expressions as the documents'."""
-    flat = [(name, text) for name, variants in sorted(texts.items()) for text in variants]
-    if not flat:
-        return []
-    rows = literal_table(spark, flat, ["name", "text"]).select("name", canonical(F.col("text")).alias("c")).filter("c <> ''")
-    return [(r["digest"], r["name"]) for r in rows.select(F.sha2("c", 256).alias("digest"), "name").groupBy("digest").agg(F.min("name").alias("name")).orderBy("name", "digest").collect()]
+def registry(spark, texts: dict[str, tuple[str, ...]] | DataFrame) -> DataFrame:
+    """(digest, name) of each canonical form; the canonical forms come from the same expressions
+    as the documents'."""
+    if isinstance(texts, dict):
+        flat = [(name, text) for name, variants in sorted(texts.items()) for text in variants]
+        names = pa.array([n for n, _ in flat], pa.string()), pa.array([t for _, t in flat], pa.string())
+        texts = spark.createDataFrame(pa.table(names, names=["name", "text"]))
+    rows = texts.select("name", canonical(F.col("text")).alias("c")).filter("c <> ''")
+    return rows.select(F.sha2("c", 256).alias("digest"), "name").groupBy("digest").agg(F.min("name").alias("name"))
+
+
+def _digest_map(spark, texts: dict[str, tuple[str, ...]] | DataFrame) -> Column:
+    """Literal map from digest to name."""
+    rows = registry(spark, texts).orderBy("digest").collect()
+    return F.str_to_map(F.lit("\x02".join(f"{r['digest']}\x01{r['name']}" for r in rows)), F.lit("\x02"), F.lit("\x01")) if rows else F.create_map().cast("map<string,string>")
 
 
-def scan_licenses(docs: DataFrame, licenses: dict[str, tuple[str, ...]] = LICENSES, notices: dict[str, tuple[str, ...]] = NOTICES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, licenses: dict[str, tuple[str, ...]] | DataFrame | None = None, notices: dict[str, tuple[str, ...]] | DataFrame | None = None, named: dict[str, tuple[str, ...]] | DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, digest, license, notices): the digest of the canonical form, the licence that
-    the entire text is (NULL if none), and the notices on its lines (sorted, comma-joined)."""
+    the entire text is (NULL if none), and the notices on its lines (sorted, comma-joined).
+    Registries are dicts or tables (name, text): entire licences, entire lines, and what follows
+    ``OPENING`` in a line; by default the known ones (no names beside other notices)."""
     spark = docs.sparkSession
-    known = literal_table(spark, registry(spark, licenses), ["known", "license"])
-    lines = registry(spark, notices)
+    known = F.broadcast(registry(spark, default_licenses() if licenses is None else licenses).select(F.col("digest").alias("known"), F.col("name").alias("license")))
+    lines = _digest_map(spark, default_notices() if notices is None else notices)
+    titles = _digest_map(spark, named if named is not None else {**NAMED, **_commons()} if notices is None else {})
     t = text_of(text_col)
     about = F.filter(F.split(t, "\n"), lambda line: line.rlike("(?i)licen[sc]e"))
-    digests = F.array_distinct(F.transform(about, lambda line: F.sha2(canonical(line), 256)))
-    named = F.create_map(*[F.lit(x) for pair in lines for x in pair]) if lines else F.create_map().cast("map<string,string>")
-    found = F.filter(F.transform(F.col("found"), lambda d: F.element_at(named, d)), lambda n: n.isNotNull())
-    df = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.sha2(canonical(t), 256).alias("digest"), digests.alias("found"))
-    df = df.join(known, F.col("digest") == F.col("known"), "left")  # the registry's size is fixed by its parameter
+    title = lambda c: F.when(c.rlike(OPENING), F.sha2(F.regexp_replace(F.regexp_replace(c, OPENING, ""), ENDING, ""), 256))
+    looked_up = lambda c: F.coalesce(F.element_at(lines, F.sha2(c, 256)), F.element_at(titles, title(c)))
+    df = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.sha2(canonical(t), 256).alias("digest"), F.array_distinct(F.transform(about, canonical)).alias("about"))
+    df = df.join(known, F.col("digest") == F.col("known"), "left")  # the registry's size does not depend on the documents
+    found = F.filter(F.transform("about", looked_up), lambda n: n.isNotNull())
     return df.select("doc_id", "digest", "license", F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("notices"))
 
 
 def license_sql() -> str:
-    """DuckDB SQL of the scan with the default registry."""
+    """DuckDB SQL of the scan with the registries ``LICENSES`` and ``NOTICES``."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
 
     def canon(column: str) -> str:

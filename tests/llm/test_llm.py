@@ -115,6 +115,28 @@ def test_license_texts_and_notices(spark, empty):
     assert licenses.scan_licenses(empty).count() == 0
 
 
+def test_license_registry_covers_common_texts(spark):
+    """Full texts, SPDX lines and usual sentences are known; a table serves as registry."""
+    whole = {name: licenses.default_licenses()[name][-1] for name in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense", "BSL-1.0")}
+    lines = {
+        "// SPDX-License-Identifier: MIT": "MIT",
+        "SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0",
+        "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
+        "This program is licensed under the GNU Affero General Public License, version 3, or (at your option) any later version.": "AGPL-3.0",
+        "Distributed under the terms of the GNU Lesser General Public License v2.1.": "LGPL-2.1",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "MPL-2.0",
+        "no license is given": "",
+    }
+    rows = [*((t, n, "") for n, t in whole.items()), *((f"some text\n{t}\nmore", None, n) for t, n in lines.items())]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, a string, b string")
+    got = {r["doc_id"]: (r["license"], r["notices"]) for r in licenses.scan_licenses(df).collect()}
+    assert {i: got[i][0] for i in range(len(rows))} == {i: r[1] for i, r in enumerate(rows)}
+    assert {i: got[i][1] for i in range(len(whole), len(rows))} == {i: rows[i][2] for i in range(len(whole), len(rows))}
+    mine = spark.createDataFrame([("Own", "Our own\nlicense text")], "name string, text string")
+    one = licenses.scan_licenses(spark.createDataFrame([(1, "our OWN licence text")], "doc_id long, text string"), mine, mine).first()
+    assert (one["license"], one["notices"]) == ("Own", "Own")
+
+
 # -- chat -----------------------------------------------------------------------------------------
 
 
