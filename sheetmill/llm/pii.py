@@ -6,7 +6,7 @@ the usual prefix, spelled-out addresses and the like.
 
 * A text is cut into regions around digits, "@" and spelled-out at signs; the rest of it can
   only be "outside".  A region's tokens are runs of letters, digits, blanks, or single others.
-* A segment is up to ``MAX_TOKENS`` tokens of one type.  Its features look at the whole span:
+* A segment is up to ``MAX_TOKENS`` words and ``MAX_CHARS`` characters of one type.  Its features look at the whole span:
   counts of digits, letters, dots, blanks, checksums, octets, ends, and the words and
   characters next to it.
 * Viterbi over (position, segment length, type) chooses boundaries and types together; the
@@ -40,8 +40,9 @@ MAX_TOKENS = 16
 MAX_CHARS = 80
 SAMPLE = 160
 EPOCHS = 6
+#: Characters to either side of a digit, and of the regions trained on.
 MARGIN = 24
-TRIGGER = r"[0-9@]|[\[(]at[\])]"
+TRIGGER = r"(?i)[0-9@]|[\[({]\s?at\s?[\])}]|\bat\s[a-z0-9-]{1,63}\sdot\s"
 
 _AT = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -50,6 +51,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\s+|.", re.S)
 _TRIGGER = re.compile(TRIGGER)
+_SPELLED = re.compile(r"(?i)\s?[\[({]\s?(at|dot)\s?[\])}]\s?")
+_BARE = re.compile(r"(?i)(?<=\w)\s(at|dot)\s(?=\w)")
 
 Span = tuple[int, int, int]  # start, kind, stop
 
@@ -94,18 +97,37 @@ def base_spans(text: str) -> list[Span]:
 # -- regions and features ------------------------------------------------------------------------
 
 
-def regions(text: str) -> Iterator[tuple[int, int]]:
-    """Stretches around the triggers, MARGIN characters to either side, merged."""
-    at, stop = -1, -1
+def _same_token(a: str, b: str) -> bool:
+    return len(_TOKEN.findall(a + b)) == 1
+
+
+def regions(text: str, reach: int = MAX_CHARS) -> Iterator[tuple[int, int]]:
+    """Stretches around the triggers, merged: MARGIN characters to either side of a digit, and
+    ``reach`` to either side of an at sign, where they end between tokens (a token cut by the
+    bound is in no segment with the at sign)."""
+    spans: list[list[int]] = []
     for m in _TRIGGER.finditer(text):
-        if at < 0:
-            at = max(0, m.start() - MARGIN)
-        elif m.start() - MARGIN > stop:
-            yield at, min(len(text), stop)
-            at = max(0, m.start() - MARGIN)
-        stop = m.end() + MARGIN
-    if at >= 0:
-        yield at, min(len(text), stop)
+        digit = m[0].isdigit()
+        a, b = (m.start() - MARGIN, m.end() + MARGIN) if digit else (m.start() - reach, m.end() + reach)
+        a, b = max(0, a), min(len(text), b)
+        if not digit and reach > MARGIN:
+            while 0 < a < m.start() and _same_token(text[a - 1], text[a]):
+                a += 1
+            while m.end() < b < len(text) and _same_token(text[b - 1], text[b]):
+                b -= 1
+        while spans and a <= spans[-1][1]:
+            last = spans.pop()
+            a, b = min(a, last[0]), max(b, last[1])
+        spans.append([a, b])
+    yield from ((a, b) for a, b in spans)
+
+
+def plain(span: str) -> str:
+    """The span with spelled-out at signs and dots as characters."""
+    mark = lambda m: "@" if m[1].lower() == "at" else "."
+    out = _SPELLED.sub(mark, span)
+    low = out.lower()
+    return _BARE.sub(mark, out) if " at " in low and " dot " in low else out
 
 
 _CUES = ("tel", "phone", "call", "fax", "mobile", "cell", "mail", "email", "contact", "card", "visa", "credit", "ip", "host", "server", "address", "at", "order", "page", "year", "version")
@@ -118,10 +140,11 @@ def _bucket(n: int, *edges: int) -> int:
 
 def span_features(span: str, left: str, right: str, cue: str) -> list[str]:
     """Names of the binary features of a whole candidate span."""
+    spelled, span = span, plain(span)
     digits = "".join(c for c in span if "0" <= c <= "9")
     letters = sum(c.isalpha() for c in span)
     n = len(digits)
-    at = span.count("@") + span.count("(at)") + span.count("[at]")
+    at = span.count("@")
     dots, blanks, hyphens = span.count("."), sum(c.isspace() for c in span), span.count("-")
     others = len(span) - n - letters - dots - blanks - hyphens
     out = [
@@ -132,6 +155,7 @@ def span_features(span: str, left: str, right: str, cue: str) -> list[str]:
         f"blanks={min(blanks, 4)}",
         f"hyphens={min(hyphens, 4)}",
         f"others={min(others, 4)}",
+        f"spelled={spelled != span}",
         f"first={'d' if span[0].isdigit() else 'a' if span[0].isalpha() else span[0] if span[0] in '+(' else 'o'}",
         f"last={'d' if span[-1].isdigit() else 'a' if span[-1].isalpha() else 'o'}",
         f"left={'-' if not left else 'w' if left.isspace() else 'x' if left.isalnum() or left in '.@+-' else 'p'}",
@@ -146,7 +170,7 @@ def span_features(span: str, left: str, right: str, cue: str) -> list[str]:
         out.append(f"octets={octets(span)}")
     if at:
         tail = span.rsplit("@", 1)[-1]
-        out.append(f"domain={bool(re.search(r'[A-Za-z0-9-](?:[.]| ?[(]dot[)] ?)[A-Za-z]{2,}$', tail))},blanks={min(blanks, 2)}")
+        out.append(f"domain={bool(re.search(r'[A-Za-z0-9-][.][A-Za-z]{2,}$', tail))},blanks={min(blanks, 2)}")
     return out
 
 
@@ -159,13 +183,15 @@ def segments(tokens: list[str], before: str, after: str) -> list[tuple[int, int,
         if tokens[i].isspace() or not (tokens[i][0].isalnum() or tokens[i] in "+("):
             continue
         cue = next((w for w in reversed(words[max(0, i - 4) : i]) if w), "")
-        span, some = "", False
-        for j in range(i, min(n, i + MAX_TOKENS)):
+        span, some, count, at = "", False, 0, False
+        for j in range(i, n):
             token = tokens[j]
             span += token
-            if len(span) > MAX_CHARS or "\n" in token:
+            count += token[0].isalnum()
+            if len(span) > MAX_CHARS or count > MAX_TOKENS or "\n" in token:
                 break
-            some = some or token[0].isdigit() or token == "@" or (token == "at" and j > i and tokens[j - 1] in "([")
+            at = at or words[j] == "at"
+            some = some or token[0].isdigit() or token == "@" or (words[j] == "at" and j > i and ("".join(tokens[max(i, j - 2) : j]).rstrip()[-1:] or " ") in "([{") or (at and words[j] == "dot")
             if some and token[0].isalnum():
                 out.append((i, j + 1, span_features(span, tokens[i - 1][-1] if i else before, tokens[j + 1][0] if j + 1 < n else after, cue)))
     return out
@@ -313,6 +339,19 @@ def rewritten(text: str, spans: list[Span], seed: int) -> list[tuple[str, list[S
             size += len(s)
             at = b
         out.append(("".join(pieces) + text[at:], kept))
+    form = (" (at) ", " [AT] ", "{at}", " at ")[seed % 4]
+    mails = [x for x in spans if x[1] == 0]
+    if mails:  # one more copy with spelled-out dots
+        pieces, kept, at, size = [], [], 0, 0
+        for a, k, b in mails:
+            dot = form.lower().replace("at", "dot")
+            s = text[a:b].replace(".", dot).replace("@", form)
+            pieces += [text[at:a], s]
+            size += a - at
+            kept.append((size, k, size + len(s)))
+            size += len(s)
+            at = b
+        out.append(("".join(pieces) + text[at:], kept))
     return out
 
 
@@ -322,7 +361,7 @@ def _sample_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for text in batch.column("t").to_pylist():
             spans = base_spans(text)
             if spans:
-                found += [text[a:b] for a, b in regions(text) if b - a <= 240]
+                found += [text[a:b] for a, b in regions(text, MARGIN) if b - a <= 240]
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["region"])
 
 

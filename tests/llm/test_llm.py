@@ -259,6 +259,19 @@ def secret_base(t):
     return ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(out))
 
 
+def test_pii_finds_long_and_spelled_addresses(spark):
+    mails = [f"{a}.{b}@{c}.example.{d}" for a in ("ann", "bob", "carl") for b in ("lee", "stone") for c in ("mail", "post", "web") for d in ("com", "org")]
+    known = [f"Please write to {m} about the order or call +1 (269) 555-3{i:03d} today." for i, m in enumerate(mails)]
+    forms = ["alexandra.konstantinopoulou(at)example.org", "jane (at) informatik.uni-musterstadt-nord.example.de", "john (dot) smith (at) mail (dot) example (dot) org", "jane(AT)example.org", "jane{at}example.org", "jane at example dot org"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*known, *(f"please write to {f} today" for f in forms)])], "doc_id long, text string")
+    got = {r["id"]: [x for x in r["spans"] if not x["base"]] for r in pii.find_pii(df).collect()}
+    at = len("please write to ")
+    for i, f in enumerate(forms, len(known)):
+        assert [(x["kind"], x["start"], x["stop"]) for x in got[i]] == [("email", at, at + len(f))], (f, got[i])
+    text = "x" * 30 + " " + "y" * 60 + "(at)" + "z" * 100
+    assert list(pii.regions(text)) == [(30, 95)]
+
+
 def test_secret_linking(spark, docs, empty):
     got = secrets.secret_report(docs).collect()
     assert collections.Counter(r["base_sha256"] for r in got) == collections.Counter(hashlib.sha256(secret_base(t or "").encode()).hexdigest() for t in TEXTS)
