@@ -45,7 +45,40 @@ verdict AS (SELECT m.*, NOT base_failed AND NOT EXISTS (SELECT 1 FROM cut WHERE
     ceil(CASE cut.rule {" ".join(f"WHEN '{r}' THEN m.{r}" for r in RULES)} END / {_C.step}::DOUBLE) > cut.c) AS kept FROM m)
 """
 
+
+
+def _code_round(r: int) -> str:
+    """Assignment to the codebook b{r} and the codebook after it."""
+    return f"""
+a{r} AS (SELECT p.k, p.part, p.x, min(list_sum([(p.x[i] - b.x[i]) ** 2 FOR i IN range(1, len(p.x) + 1)])::BIGINT * 64 + b.e) AS best
+       FROM p JOIN b{r} b USING (part) GROUP BY p.k, p.part, p.x),
+c{r} AS (SELECT part, e, list(m ORDER BY i) AS x FROM (
+    SELECT part, best % 64 AS e, i, floor(sum(x[i])::DOUBLE / count(*))::BIGINT AS m FROM a{r}, (SELECT unnest(range(1, 1 + (SELECT any_value(len(x)) FROM p))) AS i) GROUP BY ALL) GROUP BY part, e),
+b{r + 1} AS (SELECT b.part, b.e, coalesce(c.x, b.x) AS x FROM b{r} b LEFT JOIN c{r} c ON c.part = b.part AND c.e = b.e),"""
+
+
+_CODES = f"""
+WITH v AS (SELECT row_number() OVER () AS k, vec_id, label, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (SELECT k, vec_id, part, v[(part * len(v) // 16 + 1)::INT : ((part + 1) * len(v) // 16)::INT] AS x FROM (SELECT *, unnest(range(16)) AS part FROM v)),
+b0 AS (SELECT part, e, x FROM (SELECT part, x, row_number() OVER (PARTITION BY part ORDER BY vec_id NULLS LAST, k) - 1 AS e FROM p) WHERE e < 64),{_code_round(0)}{_code_round(1)}{_code_round(2)}
+digest AS (SELECT sha256(string_agg(n::VARCHAR, ',' ORDER BY part, e, i)) AS d FROM (SELECT part, e, unnest(x) AS n, unnest(range(len(x))) AS i FROM b2)),
+r AS (SELECT k, string_agg(format('{{:02x}}', best % 64), '' ORDER BY part) AS code, sum(best // 64)::BIGINT AS error FROM a2 GROUP BY k),
+l AS (SELECT v.vec_id, v.label, r.code, r.error FROM v JOIN r USING (k))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT d FROM digest) AS codebooks_sha256 FROM l"""
+
 ORACLES: dict[str, str] = {
+    "op11_vector_codes": _CODES,
+    "op13_hard_negatives": """
+WITH v AS (SELECT row_number() OVER (ORDER BY vec_id, embedding, label) AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.k AS anchor, a.vec_id AS anchor_id, c.k, c.vec_id, c.label = a.label AS same, list_sum([a.v[i] * c.v[i] FOR i IN range(1, len(a.v) + 1)])::BIGINT AS score
+      FROM v a JOIN v c ON a.vec_id % 50 = 0 AND c.k <> a.k),
+p AS (SELECT anchor, k AS positive, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, k) <= 5),
+n AS (SELECT s.anchor_id, p.positive_id, (row_number() OVER (PARTITION BY anchor, positive ORDER BY score DESC, vec_id, s.k))::INTEGER AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+      FROM s JOIN p USING (anchor) WHERE NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT * FROM n WHERE rank <= 3""",
     "op2_quality_rules": f"WITH {QUALITY_CTES} SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, stratum, {', '.join(RULES)} FROM verdict",
     "op10_exact_topk": """
 WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
