@@ -206,19 +206,26 @@ def _placed(centers: np.ndarray, dim: int):
     return run, "key long, id long, label long, v array<bigint>, cluster int, angle double, norm double"
 
 
-def _listed(centers: np.ndarray, widest: np.ndarray, dim: int):
+def narrow(most: int) -> tuple[str, type]:
+    """The smallest SQL and numpy integer types that hold components up to ``most``."""
+    return next(t for bits, t in ((15, ("smallint", np.int16)), (31, ("int", np.int32)), (64, ("bigint", np.int64))) if most < 1 << bits)
+
+
+def _listed(centers: np.ndarray, widest: np.ndarray, dim: int, small: tuple[str, type]):
     """mapInArrow: one row per row and cluster, with its bound."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bound = bounds(*angles(matrix(batch.column("v"), dim).astype(np.float64), centers), widest)
+            x = matrix(batch.column("v"), dim)
+            bound = bounds(*angles(x.astype(np.float64), centers), widest)
+            columns = [*(batch.column(c) for c in ("key", "id", "label")), as_lists(x.astype(small[1]))]
             for c in range(len(centers)):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, c, dtype=np.int32)), pa.array(bound[:, c]), *batch.columns], names=["cluster", "bound", *batch.schema.names])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, c, dtype=np.int32)), pa.array(bound[:, c]), *columns], names=["cluster", "bound", "key", "id", "label", "v"])
 
-    return run, "cluster int, bound double, key long, id long, label long, v array<bigint>"
+    return run, f"cluster int, bound double, key long, id long, label long, v array<{small[0]}>"
 
 
-def _segments(dim: int, segment: int):
+def _segments(dim: int, segment: int, small: tuple[str, type]):
     """mapInArrow over sorted rows: rows of one cluster together, at most ``segment`` of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,11 +240,11 @@ def _segments(dim: int, segment: int):
             cuts = np.concatenate([np.arange(a, b, segment) for a, b in zip(edges, np.r_[edges[1:], len(cluster)], strict=True)])
             offsets = pa.array(np.r_[cuts, len(cluster)].astype(np.int32))
             lists = lambda c: pa.ListArray.from_arrays(offsets, batch.column(c))  # noqa: B023, E731
-            v = pa.ListArray.from_arrays(pa.array(np.r_[cuts, len(cluster)].astype(np.int32) * dim), pa.array(matrix(batch.column("v"), dim).ravel()))
+            v = pa.ListArray.from_arrays(pa.array(np.r_[cuts, len(cluster)].astype(np.int32) * dim), pa.array(matrix(batch.column("v"), dim).astype(small[1]).ravel()))
             columns = [pa.array(cluster[cuts]), pa.array(np.full(len(cuts), span, dtype=np.int32)), batch.column("bound").take(pa.array(cuts)), lists("bound"), lists("key"), lists("id"), lists("label"), v]
             yield pa.RecordBatch.from_arrays(columns, names=["cluster", "span", "top", "bounds", "keys", "ids", "labels", "vs"])
 
-    return run, "cluster int, span int, top double, bounds array<double>, keys array<bigint>, ids array<bigint>, labels array<bigint>, vs array<bigint>"
+    return run, f"cluster int, span int, top double, bounds array<double>, keys array<bigint>, ids array<bigint>, labels array<bigint>, vs array<{small[0]}>"
 
 
 def _few(df: DataFrame, rows: int) -> DataFrame:
@@ -276,7 +283,7 @@ def mine_hard_negatives(table: DataFrame, every: int = 50, mining: Mining = Mini
         return spark.createDataFrame([], schema)
     dim = max(1, facts["dim"])
     kind = exact_type(dim * (facts["most"] or 0) ** 2 * max(mining.high, 100))
-    k, per = mining.positives, mining.per_positive
+    k, per, small = mining.positives, mining.per_positive, narrow(facts["most"] or 0)
 
     sample = rows.filter(is_anchor).orderBy(F.xxhash64("id"), "key").limit(SAMPLE).select("v").toArrow()  # SAMPLE rows
     centers = centroids(matrix(sample.column("v"), dim).astype(np.float64), max(1, min(CLUSTERS, facts["anchors"] // MEMBERS)))
@@ -287,10 +294,10 @@ def mine_hard_negatives(table: DataFrame, every: int = 50, mining: Mining = Mini
     for c in clusters:
         widest[c["cluster"]], blocks[c["cluster"]] = c["widest"] + 1e-7, -(-c["n"] // BLOCK)
 
-    ordered = rows.mapInArrow(*_listed(centers, widest, dim)).withColumn("descending", -F.col("bound"))
+    ordered = rows.mapInArrow(*_listed(centers, widest, dim, small)).withColumn("descending", -F.col("bound"))
     order = ["cluster", "descending", "key"]
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-facts["n"] * len(centers) // SPAN))
-    lists = ordered.repartitionByRange(tasks, *order).sortWithinPartitions(*order).select("cluster", "bound", "key", "id", "label", "v").mapInArrow(*_segments(dim, SEGMENT))
+    lists = ordered.repartitionByRange(tasks, *order).sortWithinPartitions(*order).select("cluster", "bound", "key", "id", "label", "v").mapInArrow(*_segments(dim, SEGMENT, small))
     lists, _ = written(lists, "negatives-lists")
     spans, _ = written(lists.groupBy("cluster", "span").agg(F.max("top").alias("first")), "negatives-spans")
     n_spans, n_blocks = tasks + len(centers), int(blocks.sum())
