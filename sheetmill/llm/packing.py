@@ -41,7 +41,7 @@ SIZE = 2048
 END_ID = 1
 #: Words that go to the tokenizer together: lower-case letters that its normaliser leaves as
 #: they are, perhaps with one capital letter or trailing full stop or comma around them.
-PLAIN = r"([A-Za-zÀ-ÖØ-Þß-öø-ÿœ]+)([.,]?)"
+PLAIN = r"[A-Za-zÀ-ÖØ-Þß-öø-ÿœ]+[.,]?"
 
 
 def default_tokenizer() -> str:
@@ -50,35 +50,41 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _flags(mask: pa.BooleanArray) -> np.ndarray:
+    return mask.to_numpy(zero_copy_only=False).astype(bool)
+
+
 class ChunkEncoder:
     """Token ids of white-space-free chunks."""
 
     def __init__(self, spec: str):
-        import re
-
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
-        self.plain = re.compile(PLAIN)
 
     def one(self, chunk: str) -> list[int]:
         return self.tokenizer.encode(chunk, add_special_tokens=False).ids
 
-    def many(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def many(self, chunks: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all chunks, and the number of ids of each."""
-        stems: dict[str, int] = {}
-        parts = []
-        match, place = self.plain.fullmatch, stems.setdefault
-        marks = {".": np.array(self.one("."), dtype=np.uint32), ",": np.array(self.one(","), dtype=np.uint32), "": np.zeros(0, dtype=np.uint32)}
-        for chunk in chunks:
-            m = match(chunk)
-            parts.append((place(m[1].lower(), len(stems)), m[2]) if m else chunk)
-        ids, bounds = self.words(list(stems))
-        out = [np.concatenate((ids[bounds[p[0]] : bounds[p[0] + 1]], marks[p[1]])) if type(p) is tuple and p[1] else ids[bounds[p[0]] : bounds[p[0] + 1]] if type(p) is tuple else np.array(self.one(p), dtype=np.uint32) for p in parts]
-        return (np.concatenate(out) if out else np.zeros(0, dtype=np.uint32)), np.fromiter(map(len, out), dtype=np.int64, count=len(out))
+        plain = pc.match_substring_regex(chunks, f"^(?:{PLAIN})$")
+        some = chunks.filter(plain)
+        stems = pc.utf8_lower(pc.utf8_rtrim(some, characters=".,")).dictionary_encode()
+        mark = np.where(_flags(pc.ends_with(some, ".")), 1, np.where(_flags(pc.ends_with(some, ",")), 2, 0))
+        ids, bounds = self.words(stems.dictionary.to_pylist())
+        odd = chunks.filter(pc.invert(plain)).to_pylist()
+        other = [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)]
+        # every chunk is two rows of one table: stem and mark, or an odd chunk and nothing
+        rest = [np.zeros(0, dtype=np.uint32), *(np.array(self.one(m), dtype=np.uint32) for m in ".,"), *other]
+        n, is_plain = len(bounds) - 1, _flags(plain)
+        rows = np.full((len(chunks), 2), n, dtype=np.int64)
+        rows[is_plain, 0], rows[is_plain, 1] = stems.indices.to_numpy(zero_copy_only=False), n + mark
+        rows[~is_plain, 0] = n + 3 + np.arange(len(odd))
+        flat, lengths = gather(np.concatenate([ids, *rest]), np.r_[np.diff(bounds), [len(r) for r in rest]], rows.ravel())
+        return flat, lengths.reshape(-1, 2).sum(axis=1)
 
     def words(self, words: list[str], block: int = 4096) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of plain words and the bounds of each word in them."""
@@ -117,11 +123,8 @@ def _token_batches(spec: str, end_id: int):
                 lists = pc.ascii_split_whitespace(batch.column("text"))
                 offsets = np.asarray(lists.offsets, dtype=np.int64)
                 coded = lists.flatten().dictionary_encode()
-                flat, each = encoder.many(coded.dictionary.to_pylist())
+                flat, each = encoder.many(coded.dictionary)
                 which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-                empty = np.array([c == "" for c in coded.dictionary.to_pylist()], dtype=bool)
-                if empty.any():
-                    each = np.where(empty, 0, each)
                 ids, lengths = gather(flat, each, which)
                 bounds = np.r_[0, np.cumsum(lengths)][offsets - offsets[0]]
                 n = np.diff(bounds) + 1
