@@ -15,8 +15,9 @@ numbers n1 and n2 of words or pairs with a count of one and two, as n1 / (n1 + 2
 word and pair that a class has, even once, is evidence for it.
 
 Words go by their 64-bit hash.  The counts of all words of all documents form one table, written
-once, that grows with the corpus.  Class counts come from a bounded sample of labelled rows
-(``per_class`` smallest hashes per class; equal texts once), so what models need of that
+once, that grows with the corpus.  Class counts come from a sample of labelled texts, bounded in
+rows (``per_class`` smallest hashes of ids per class) and in words (``max_words`` per class);
+every text counts once, however often it or its id repeats.  So what models need of that
 table is bounded as well: the words and pairs of the sample, 12 bytes for each pair and class.
 Any other word has no class evidence, and its shared probability cancels out.
 
@@ -45,6 +46,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sheetmill.llm.common import let, quoted, text_of, whole_row
 from sheetmill.session import materialize
@@ -52,6 +54,8 @@ from sheetmill.session import materialize
 FOLDS = 4
 #: Stands for the start of a text where a pair names the word before.
 START = 0
+#: Most words of the labelled texts of each class: bounds the pairs that models hold.
+MAX_WORDS = 2_500_000
 #: Most words that numpy handles at once.
 BLOCK = 1 << 19
 #: Lengths in words of the stretches whose best length-normalised difference is a feature.
@@ -76,15 +80,21 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def label_sample(docs: DataFrame, labels: DataFrame, per_class: int, id_col: str = "doc_id", label_col: str = "toxic", text_col: str = "text") -> DataFrame:
-    """(id, y, fold): at most ``per_class`` learnable rows of each class, one per text."""
+def label_sample(docs: DataFrame, labels: DataFrame, per_class: int, id_col: str = "doc_id", label_col: str = "toxic", text_col: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
+    """(y, fold, w): learnable texts with their class, part and word hashes.  One row per text; of
+    each class at most ``per_class`` ids (smallest hashes), and texts of together at most
+    ``max_words`` words (in the order of their hashes; one text at least)."""
     known = labels.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(label_col)).alias("y")).filter(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
     known = known.groupBy("id").agg(F.max("y").cast("int").alias("y")).withColumn("h", F.xxhash64("id"))
     some = known.filter("y = 1").orderBy("h", "id").limit(per_class).unionByName(known.filter("y = 0").orderBy("h", "id").limit(per_class))
-    texts = docs.select(F.col(quoted(id_col)).alias("id"), F.xxhash64(text_of(text_col)).alias("t"))
-    mine = texts.join(F.broadcast(some.select(F.col("id").alias("__id"), "y")), F.col("id") == F.col("__id"))  # at most 2 x per_class rows
-    one = mine.groupBy("t").agg(F.min("id").alias("id"), F.max("y").alias("y"))
-    return materialize(one.groupBy("id").agg(F.max("y").alias("y"), F.pmod(F.min("t"), F.lit(FOLDS)).cast("int").alias("fold")), "toxicity-sample")
+    texts = docs.select(F.col(quoted(id_col)).alias("id"), text_of(text_col).alias("text"))
+    mine = texts.join(F.broadcast(some.select(F.col("id").alias("__id"), "y")), F.col("id") == F.col("__id"))  # at most 2 x per_class ids
+    once = mine.groupBy(F.xxhash64("text").alias("t")).agg(F.max("y").alias("y"), F.first(word_hashes(F.col("text"))).alias("w"))
+    one = materialize(once.select("t", "y", "w", F.size("w").alias("n")), "toxicity-texts")  # at most 2 x per_class rows
+    before = F.sum("n").over(Window.partitionBy("y").orderBy("t").rowsBetween(Window.unboundedPreceding, 0))
+    within = one.select("t", "y", "n", before.alias("until"), F.row_number().over(Window.partitionBy("y").orderBy("t")).alias("place")).filter((F.col("until") <= max_words) | (F.col("place") == 1))
+    kept = one.join(F.broadcast(within.select(F.col("t").alias("__t"))), F.col("t") == F.col("__t"))
+    return materialize(kept.select("y", F.pmod("t", F.lit(FOLDS)).cast("int").alias("fold"), "w"), "toxicity-sample")
 
 
 def neighbours(words: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
@@ -115,42 +125,47 @@ def _blocks(lengths: np.ndarray) -> Iterator[tuple[slice, slice]]:
 COUNTS = "before long, word long, kind int, n long"
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents that have a word (``before`` NULL) or pair, per kind: -1 all documents, else
-    2 * fold + class of the sample.  Words are counted for all documents, pairs for the sample."""
+def _counted(before: np.ndarray | None, word: np.ndarray, kind: int, n: np.ndarray) -> pa.RecordBatch:
+    first = pa.nulls(len(word), pa.int64()) if before is None else pa.array(before)
+    return pa.RecordBatch.from_arrays([first, pa.array(word), pa.array(np.full(len(word), kind, dtype=np.int32)), pa.array(n.astype(np.int64))], names=["before", "word", "kind", "n"])
 
-    def rows(before: np.ndarray | None, word: np.ndarray, kind: int, n: np.ndarray) -> pa.RecordBatch:
-        first = pa.nulls(len(word), pa.int64()) if before is None else pa.array(before)
-        return pa.RecordBatch.from_arrays([first, pa.array(word), pa.array(np.full(len(word), kind, dtype=np.int32)), pa.array(n.astype(np.int64))], names=["before", "word", "kind", "n"])
 
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents that have a word, as kind -1 (``before`` NULL)."""
     for batch in batches:
-        kinds = batch.column("kind").to_numpy(zero_copy_only=False)
         flat, sizes = _lists(batch.column("w"))
         for docs, span in _blocks(sizes):
             w, lengths = flat[span], sizes[docs]
             if not len(w):
                 continue
             keys, code = np.unique(w, return_inverse=True)
+            once = np.unique(np.repeat(np.arange(len(lengths)), lengths) * len(keys) + code)
+            yield _counted(None, keys, -1, np.bincount(once % len(keys), minlength=len(keys)))
+
+
+def _count_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of the sample that have a word or a pair, per kind: 2 * fold + class."""
+    for batch in batches:
+        kinds = batch.column("kind").to_numpy(zero_copy_only=False)
+        flat, sizes = _lists(batch.column("w"))
+        for docs, span in _blocks(sizes):
+            w, lengths, kind = flat[span], sizes[docs], kinds[docs]
+            if not len(w):
+                continue
+            keys, code = np.unique(w, return_inverse=True)
             owner = np.repeat(np.arange(len(lengths)), lengths)
             once = np.unique(owner * len(keys) + code)
-            word = once % len(keys)
-            yield rows(None, keys, -1, np.bincount(word, minlength=len(keys)))
-            kind = kinds[docs]
-            if (kind < 0).all():
-                continue
             wide = len(keys) + 1
             before = neighbours(code, lengths, len(keys))
             names = np.r_[keys, START]
-            for k in np.unique(kind[kind >= 0]):
-                mine = word[kind[once // len(keys)] == k]
-                n = np.bincount(mine, minlength=len(keys))
-                yield rows(None, keys[n > 0], int(k), n[n > 0])
+            for k in np.unique(kind):
+                n = np.bincount(once[kind[once // len(keys)] == k] % len(keys), minlength=len(keys))
+                yield _counted(None, keys[n > 0], int(k), n[n > 0])
                 here = kind[owner] == k
-                # one row per document and pair, then documents per pair
-                _, dense = np.unique(before[here] * wide + code[here], return_inverse=True)
-                pair = np.unique(before[here] * wide + code[here])
+                # one row per text and pair, then texts per pair
+                pair, dense = np.unique(before[here] * wide + code[here], return_inverse=True)
                 of_doc = np.unique(owner[here] * max(1, len(pair)) + dense) % max(1, len(pair))
-                yield rows(names[pair // wide], keys[pair % wide], int(k), np.bincount(of_doc, minlength=len(pair)))
+                yield _counted(names[pair // wide], keys[pair % wide], int(k), np.bincount(of_doc, minlength=len(pair)))
 
 
 @dataclass
@@ -311,12 +326,12 @@ class Counts:
         return Model(self.vocabulary, total, word, weight, pairs)
 
 
-def count_corpus(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Counts:
+def count_corpus(docs: DataFrame, sample: DataFrame, text_col: str = "text") -> Counts:
     """Count every document once; the table of all words grows with the corpus, what reaches
     the driver is bounded by the sample."""
-    part = F.broadcast(sample.select(F.col("id").alias("__id"), (2 * F.col("fold") + F.col("y")).cast("int").alias("kind")))  # at most 2 x per_class rows
-    rows = docs.select(F.col(quoted(id_col)).alias("id"), word_hashes(text_of(text_col)).alias("w")).join(part, F.col("id") == F.col("__id"), "left")
-    found = rows.select(F.coalesce("kind", F.lit(-1)).alias("kind"), "w").mapInArrow(_count, COUNTS)
+    every_text = docs.select(word_hashes(text_of(text_col)).alias("w")).mapInArrow(_count_words, COUNTS)
+    evidence = sample.select((2 * F.col("fold") + F.col("y")).cast("int").alias("kind"), "w").mapInArrow(_count_sample, COUNTS)
+    found = every_text.unionByName(evidence)
     kinds = range(2 * FOLDS)
     names = [f"n{k}" for k in kinds]
     of = lambda k: F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0))
@@ -372,14 +387,11 @@ def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float, .
     return (*map(float, weights), float(beta[-1] - weights @ mean))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
-    sample = label_sample(docs, labels, per_class, id_col, text_col=text_col)
-    counts = count_corpus(docs, sample, id_col, text_col)
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, id_col: str = "doc_id", text_col: str = "text", max_words: int = MAX_WORDS) -> Model | None:
+    sample = label_sample(docs, labels, per_class, id_col, text_col=text_col, max_words=max_words)
+    counts = count_corpus(docs, sample, text_col)
     if (counts.words.sum(axis=(0, 2)) == 0).any():
         return None
-    tune = F.broadcast(sample.select(F.col("id").alias("__id"), "y", "fold"))
-    rows = docs.select(F.col(quoted(id_col)).alias("id"), text_of(text_col).alias("t")).join(tune, F.col("id") == F.col("__id"))
-    rows = materialize(rows.select("y", "fold", word_hashes(F.col("t")).alias("w")), "toxicity-tune")  # the bounded sample (repeated rows count each)
     names = [f"f{j}" for j in range(FEATURES)]
     parts = []
     for fold in range(FOLDS):  # one at a time: a model holds all pairs of the sample
@@ -394,7 +406,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, id_col: s
                 f = Model(**shared.value).features(*_lists(batch.column("w")))
                 yield pa.RecordBatch.from_arrays([batch.column("y"), *[pa.array(c) for c in f.T]], names=["y", *names])
 
-        mine = rows.filter(F.col("fold") == fold).select("y", "w")
+        mine = sample.filter(F.col("fold") == fold).select("y", "w")
         parts.append(mine.mapInArrow(features, "y int, " + ", ".join(f"{n} double" for n in names)).toArrow())
         shared.destroy()
     model = counts.model()

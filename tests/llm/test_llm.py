@@ -9,6 +9,7 @@ import textwrap
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -196,7 +197,7 @@ def test_chunk_encoder_equals_the_tokenizer(parts):
     encoder = _ENCODERS.setdefault("e", packing.ChunkEncoder(spec))
     whole = _ENCODERS.setdefault("t", Tokenizer.from_str(spec))
     text = " ".join(parts)
-    flat, _ = encoder.many([c for c in text.split(" ") if c])
+    flat, _ = encoder.many(pa.array([c for c in text.split(" ") if c], pa.string()))
     assert flat.tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
@@ -348,12 +349,82 @@ def test_toxicity_on_planted_words(spark, empty, labels, docs):
     assert toxicity.reject_toxic(docs, labels).columns == docs.columns
 
 
+def sample_of(spark, rows):
+    df = spark.createDataFrame(rows, "y int, fold int, text string").repartition(3)
+    return df.select("y", "fold", toxicity.word_hashes(toxicity.text_of("text")).alias("w"))
+
+
+def brute_features(sample, every, readings, text):
+    """Features of one text by the formulas, from lists of words: sample is (class, words) rows."""
+    shared = collections.Counter(w for ws in every for w in set(ws))
+    counts, pairs = ([collections.Counter() for _ in range(2)] for _ in range(2))
+    for y, ws in sample:
+        counts[y].update(set(ws))
+        pairs[y].update(set(zip(["<s>", *ws[:-1]], ws, strict=False)))
+    known = {w for c in counts for w in c}
+    estimated = lambda c: (lambda n1, n2: n1 / (n1 + 2 * n2) if n1 and n2 else 0.5)(sum(n == 1 for n in c.values()), sum(n == 2 for n in c.values()))
+
+    def log_p(y, u, w, reading):
+        d, e = (estimated(counts[y]), estimated(pairs[y])) if reading == 0 else readings
+        n = sum(counts[y].values())
+        freed = sum(min(x, d) for x in counts[y].values())
+        alone = (max(counts[y][w] - d, 0) + freed * shared[w] / sum(shared.values())) / n if w in known else freed / n
+        begins = {p: x for p, x in pairs[y].items() if p[0] == u and (u in known or u == "<s>")}
+        total = max(1, sum(begins.values()))
+        weight = min(1, max(1e-4, 1 - sum(max(x - e, 0) for x in begins.values()) / total))
+        seen = max(begins.get((u, w), 0) - e, 0) / total if w in known else 0
+        return np.log(min(seen, 1) + weight * alone), np.log(alone)
+
+    out = []
+    for reading in (0, 1):
+        for level in (0, 1):
+            ratio = [log_p(1, u, w, reading)[level] - log_p(0, u, w, reading)[level] for u, w in zip(["<s>", *text[:-1]], text, strict=False)]
+            mean = sum(ratio) / len(ratio) if ratio else 0.0
+            out.append(mean)
+            out += [max(sum(ratio[i : i + n]) / n for i in range(len(ratio) - n + 1)) if len(ratio) > n else mean for n in toxicity.STRETCHES]
+    return out
+
+
+def test_toxicity_scores_by_the_formulas(spark):
+    """Class log-likelihoods, features and scores against plain Python over lists of words."""
+    rng = np.random.default_rng(4)
+    vocab = [f"w{i}" for i in range(12)]
+    texts = [list(rng.choice(vocab, n)) + (["bad", "w1"] if i % 3 == 0 else []) for i, n in enumerate(rng.integers(1, 25, 90))]
+    sample = [(int(i % 3 == 0), t) for i, t in enumerate(texts[:60])]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    model = toxicity.count_corpus(df, sample_of(spark, [(y, i % toxicity.FOLDS, " ".join(t)) for i, (y, t) in enumerate(sample)])).model()
+    model.curve = (*np.linspace(-0.5, 1, toxicity.FEATURES), -0.3)
+    tests = [*texts[55:70], [], ["never"], ["bad", "never", "w1", "w1"]]
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(tests)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in rows.select("doc_id", toxicity.score_column(rows, model).alias("score"), toxicity.word_hashes(F.col("text")).alias("w")).collect()}
+    for i, t in enumerate(tests):
+        want = brute_features(sample, texts, toxicity.SUPPORTED, t)
+        f = model.features(np.array(got[i]["w"], dtype=np.int64), np.array([len(t)]))[0]
+        assert np.allclose(f, want, rtol=1e-4, atol=1e-4)
+        assert got[i]["score"] == pytest.approx(1 / (1 + np.exp(-(np.dot(model.curve[:-1], want) + model.curve[-1]))), abs=1e-4)
+
+
+def test_toxicity_sample_is_bounded_and_counts_a_text_once(spark):
+    """Repeated rows of a labelled id and equal texts of several ids are one text of the sample."""
+    ids = [i for i in range(3, 200) if zlib.crc32(str(i).encode()) % 3 != 1]
+    docs = spark.createDataFrame([(i, f"t{i} " * 5) for i in ids] + [(ids[0], f"t{ids[0]} " * 5)] * 50 + [(ids[0], "another text")] + [(ids[1], f"t{ids[2]} " * 5)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] * 2, "doc_id long, toxic int")
+    sample = toxicity.label_sample(docs, labels, 1000)
+    assert sample.count() == len(ids) + 1
+    counts = toxicity.count_corpus(docs, sample)
+    assert counts.words.sum(axis=(1, 2)).max() == 1
+    few = toxicity.label_sample(docs, labels, 1000, max_words=20)
+    assert {r["y"]: r["count"] for r in few.groupBy("y").count().collect()} == {0: 4, 1: 4}
+    assert toxicity.label_sample(docs, labels, 1000, max_words=1).count() == 2
+    assert toxicity.label_sample(docs, labels, 7).count() <= 15
+
+
 def test_toxicity_counts_are_exact(spark):
     rng = np.random.default_rng(1)
     texts = [None, ""] + [" ".join(rng.choice([f"w{i}" for i in range(5)], n)) for n in rng.integers(1, 40, 118)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     part = {i: (i % 2, i % toxicity.FOLDS) for i in range(0, 120, 3)}
-    sample = spark.createDataFrame([(i, y, f) for i, (y, f) in part.items()], "id long, y int, fold int")
+    sample = sample_of(spark, [(y, f, texts[i]) for i, (y, f) in part.items()])
     names = sorted({w for t in texts for w in (t or "").split()})
     hashes = {r["w"]: r["h"] for r in spark.createDataFrame([(w,) for w in names], "w string").selectExpr("w", "xxhash64(w) h").collect()}
     every, of_class, of_pair, firsts = (collections.Counter() for _ in range(4))
@@ -389,7 +460,7 @@ def test_toxicity_keeps_rare_words_and_pairs_as_evidence(spark):
             ws += ["w0", "w1"]  # the only texts with this pair
         texts.append(" ".join(ws + (["rare"] if i == 30 else [])))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    sample = spark.createDataFrame([(i, int(i % 10 == 0), i % toxicity.FOLDS) for i in range(400)], "id long, y int, fold int")
+    sample = sample_of(spark, [(int(i % 10 == 0), i % toxicity.FOLDS, t) for i, t in enumerate(texts)])
     counts = toxicity.count_corpus(df, sample)
     hashes = [r["h"] for r in spark.createDataFrame([("w0 w1 rare w0 never",)], "t string").select(toxicity.word_hashes(F.col("t")).alias("h")).collect()][0]
     model = counts.model()
