@@ -8,7 +8,7 @@ from sheetmill.exercises._registry import exercise, table
 from sheetmill.functions.dates import date_stamp
 from sheetmill.operators.grid import grid_from_lines
 from sheetmill.session import scratch_path
-from sheetmill.sources import files, html, manifest, medallion
+from sheetmill.sources import files, html, manifest, medallion, workbook, xlsx_source
 
 # Shared SQL fragments for the oracle side (DuckDB dialect).
 ANCHOR_RE = r"""'(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>'"""
@@ -35,6 +35,50 @@ def a1_grid_from_text(spark, sf):
     return grid_from_lines(table(spark, sf, "documents"), "doc_id", "text")
 
 
+_BOOK_SQL = """
+WITH l AS (
+  SELECT l_orderkey, l_linenumber, max(l_quantity) AS q, max(l_extendedprice) AS p, max(l_returnflag) AS f, max(l_shipdate) AS d
+  FROM lineitem GROUP BY ALL),
+c AS (
+  SELECT l_orderkey, l_linenumber, unnest(range(4)) AS col_idx,
+         unnest([CASE WHEN q = floor(q) THEN CAST(CAST(q AS BIGINT) AS VARCHAR) ELSE CAST(q AS VARCHAR) END,
+                 CASE WHEN p = floor(p) THEN CAST(CAST(p AS BIGINT) AS VARCHAR) ELSE CAST(p AS VARCHAR) END,
+                 f, strftime(d, '%Y-%m-%d')]) AS value
+  FROM l)
+SELECT 'lines-' || lpad(CAST(l_orderkey // 16384 AS VARCHAR), 6, '0') || '.xlsx' AS workbook,
+       CAST(l_orderkey % 16384 * 8 + l_linenumber AS INTEGER) AS row_idx, CAST(col_idx AS INTEGER) AS col_idx, value
+FROM c WHERE value IS NOT NULL
+"""
+
+
+def _order_books(spark, sf):
+    """Cells of one workbook per block of 16,384 order keys: a sheet of order lines (numbers, shared
+    strings, date cells) and a sheet of line states."""
+    best = [F.max(c).alias(c) for c in ("l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate", "l_linestatus")]
+    lines = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(*best)
+    cell = lambda sheet, col, kind, value: F.struct(F.lit(sheet).alias("sheet_name"), F.lit(col).alias("col_idx"), F.lit(kind).alias("kind"), value.cast("string").alias("value"))
+    cells = F.array(
+        cell("Lines", 0, "n", F.col("l_quantity")),
+        cell("Lines", 1, "n", F.col("l_extendedprice")),
+        cell("Lines", 2, "s", F.col("l_returnflag")),
+        cell("Lines", 3, "d", F.date_format("l_shipdate", "yyyy-MM-dd")),
+        cell("State", 0, "s", F.col("l_linestatus")),
+    )
+    book = F.format_string("lines-%06d.xlsx", F.floor(F.col("l_orderkey") / 16384))
+    row = (F.col("l_orderkey") % 16384 * 8 + F.col("l_linenumber")).cast("int")
+    return lines.select(book.alias("path"), row.alias("row_idx"), F.inline(cells)).select("path", "sheet_name", "row_idx", "col_idx", "value", "kind")
+
+
+@exercise("A1_workbook_cells", _BOOK_SQL)
+def a1_workbook_cells(spark, sf):
+    """All order lines written as .xlsx files by tasks, then one sheet of every workbook decoded, a
+    large sheet by several tasks."""
+    folder = scratch_path(spark, "a1-books")
+    xlsx_source.write_workbooks(_order_books(spark, sf), folder)
+    cells = workbook.read_workbook_cells(spark, folder, range_bytes=4 << 20).where(F.col("sheet_name") == "Lines")
+    return cells.select(manifest.file_name("path").alias("workbook"), "row_idx", "col_idx", "value")
+
+
 @exercise("A2_read_nested_json", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def a2_read_nested_json(spark, sf):
     ev = table(spark, sf, "events")

@@ -1,10 +1,18 @@
 """A1: decode .xlsx workbooks into a long cell grid.
 
-Workbooks arrive as files (``spark.read.format("binaryFile")``) or as a landed payload
-table with a BINARY ``content`` column.  Decoding runs in ``mapInPandas``: each task
-decodes the workbooks of its partition with the standard library (an xlsx file is a
-zip of XML parts) and streams cells out in Arrow batches, so many workbooks decode in
-parallel and no workbook passes through the driver.  No Excel library is needed.
+An xlsx file is a zip of XML parts; the standard library decodes it, no Excel library is
+needed.  Two ways in:
+
+* ``read_workbook_cells`` reads files through the ``xlsx_cells`` data source
+  (``sources.xlsx_source``), which splits large sheets into row ranges for several tasks and
+  prunes sheets by filter.  It opens files itself, so they must be in a store that pyarrow reaches.
+* ``decode_workbooks`` decodes the BINARY ``content`` column of a table (landed payloads, or
+  ``binaryFile`` for any store that Spark reads), one workbook in one task.
+
+Both decode a sheet in ranges of its XML: the stream is inflated, and only the rows that begin in
+a range are parsed, so a task holds one range of cells (and the compressed workbook, in the
+second way), however long the sheet is.  Large shared-string tables are streamed for
+the strings that a range needs.
 
 Output: ``path, sheet_name, row_idx, col_idx, value`` (value as text; blanks absent).
 """
@@ -13,6 +21,7 @@ from __future__ import annotations
 
 import datetime as dt
 import io
+import json
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -28,6 +37,15 @@ _REL_NS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}
 _PKG_REL = "{http://schemas.openxmlformats.org/package/2006/relationships}"
 _REF = re.compile(r"([A-Z]+)(\d+)")
 _BATCH = 50_000
+#: Bytes of a sheet's XML that are parsed together.
+RANGE = 16 << 20
+#: Shared strings up to this many bytes of XML are read once per workbook.
+_STRINGS_IN_MEMORY = 8 << 20
+_READ = 1 << 18
+_ROW_TAG = re.compile(rb"<(?:[\w.-]+:)?row(?=[\s/>])")
+#: Longest piece of a row tag that a read may cut.
+_TAG = 128
+_CONTROL = re.compile("_x(00[01][0-9A-F])_")
 #: The built-in number formats that show a date.
 _DATE_FORMATS = {"14", "15", "16", "17", "22"}
 
@@ -86,16 +104,38 @@ def _date_base(zf: zipfile.ZipFile) -> dt.datetime:
     return dt.datetime(1904, 1, 1) if mac else dt.datetime(1899, 12, 30)
 
 
-def _shared_strings(zf: zipfile.ZipFile) -> list[str]:
-    if "xl/sharedStrings.xml" not in zf.namelist():
-        return []
-    out = []
-    with zf.open("xl/sharedStrings.xml") as fh:
-        for _, el in ET.iterparse(fh):
-            if el.tag == f"{_NS}si":
-                out.append("".join(t.text or "" for t in el.iter(f"{_NS}t")))
-                el.clear()
-    return out
+def _unescape(text: str) -> str:
+    """Control characters, which XML cannot hold, are written as ``_x000B_``."""
+    return _CONTROL.sub(lambda m: chr(int(m[1], 16)), text) if "_x00" in text else text
+
+
+class SharedStrings:
+    """The shared strings of a workbook: read once when small, else streamed per request."""
+
+    PART = "xl/sharedStrings.xml"
+
+    def __init__(self, zf: zipfile.ZipFile):
+        self.zf = zf
+        self.there = self.PART in zf.namelist()
+        self.known: dict[int, str] | None = None
+        if self.there and zf.getinfo(self.PART).file_size <= _STRINGS_IN_MEMORY:
+            self.known = dict(self._stream())
+
+    def _stream(self) -> Iterator[tuple[int, str]]:
+        with self.zf.open(self.PART) as fh:
+            n, root = 0, None
+            for event, el in ET.iterparse(fh, events=("start", "end")):
+                if event == "start":
+                    root = el if root is None else root
+                elif el.tag == f"{_NS}si":
+                    yield n, _unescape("".join(t.text or "" for t in el.iter(f"{_NS}t")))
+                    n += 1
+                    root.clear()  # finished strings leave the tree
+
+    def texts(self, wanted: set[int]) -> dict[int, str]:
+        if self.known is not None or not self.there or not wanted:
+            return self.known or {}
+        return {i: t for i, t in self._stream() if i in wanted}
 
 
 def _sheet_parts(zf: zipfile.ZipFile) -> dict[str, str]:
@@ -110,47 +150,118 @@ def _sheet_parts(zf: zipfile.ZipFile) -> dict[str, str]:
     return out
 
 
-def iter_cells(content: bytes, sheet_names: Sequence[str] | None = None) -> Iterator[tuple[str, int, int, str]]:
-    """Yield (sheet_name, row_idx, col_idx, value) for every non-blank cell, streaming."""
-    zf = zipfile.ZipFile(io.BytesIO(content))
-    strings = _shared_strings(zf)
-    parts = _sheet_parts(zf)
-    dates, base = _date_styles(zf), _date_base(zf)
-    wanted = list(parts) if sheet_names is None else list(sheet_names)
-    for name in wanted:
-        if name not in parts:
-            raise WorkbookError(f"sheet '{name}' not found (sheets: {list(parts)})")
-        with zf.open(parts[name]) as fh:
-            data = None
-            for event, el in ET.iterparse(fh, events=("start", "end")):
-                if event == "start":
-                    data = el if el.tag == f"{_NS}sheetData" else data
-                    continue
-                if el.tag == f"{_NS}row" and data is not None:
-                    data.clear()  # finished rows leave the tree: memory holds one row
-                if el.tag != f"{_NS}c":
-                    continue
-                m = _REF.fullmatch(el.get("r", ""))
-                if not m:
-                    continue
-                kind = el.get("t", "n")
-                v = el.find(f"{_NS}v")
-                if kind == "inlineStr":
-                    value = "".join(t.text or "" for t in el.iter(f"{_NS}t"))
-                elif v is None or v.text is None:
-                    value = None
-                elif kind == "s":
-                    value = strings[int(v.text)]
-                elif kind == "b":
-                    value = "True" if v.text == "1" else "False"
-                elif kind in ("str", "e", "d"):
-                    value = v.text
-                elif el.get("s", "0") in dates:
-                    value = _render_date(v.text, base)
-                else:
-                    value = _render_number(v.text)
-                if value is not None and value != "":
-                    yield name, int(m.group(2)) - 1, column_number(m.group(1)), value
+class Workbook:
+    """An open workbook; ``file`` is seekable and binary."""
+
+    def __init__(self, file):
+        self.zf = zipfile.ZipFile(file)
+        self.parts = _sheet_parts(self.zf)
+        self.dates, self.base = _date_styles(self.zf), _date_base(self.zf)
+        self.strings = SharedStrings(self.zf)
+
+    def chosen(self, sheet_names: Sequence[str] | None) -> list[str]:
+        wanted = list(self.parts) if sheet_names is None else list(sheet_names)
+        for name in wanted:
+            if name not in self.parts:
+                raise WorkbookError(f"sheet '{name}' not found (sheets: {list(self.parts)})")
+        return wanted
+
+    def ranges(self, sheet: str, size: int = RANGE) -> list[tuple[int, int]]:
+        """Ranges of the sheet's XML, in bytes; each row belongs to the range it begins in."""
+        total = self.zf.getinfo(self.parts[sheet]).file_size
+        return [(at, min(at + size, total)) for at in range(0, max(1, total), size)]
+
+    def cells(self, sheet: str, start: int, end: int) -> Iterator[tuple[int, int, str]]:
+        """(row_idx, col_idx, value) of the non-blank cells of the rows that begin in the range."""
+        found = []
+        with self.zf.open(self.parts[sheet]) as fh:
+            for row, col, value in _parsed_cells(_row_bytes(fh, start, end)):
+                found.append((row, col, *value))
+        texts = self.strings.texts({int(v) for _, _, kind, _, v in found if kind == "s"})
+        for row, col, kind, style, v in found:
+            if kind == "s":
+                value = texts[int(v)]
+            elif kind == "b":
+                value = "True" if v == "1" else "False"
+            elif kind in ("str", "e", "d", "inlineStr"):
+                value = _unescape(v)
+            elif style in self.dates:
+                value = _render_date(v, self.base)
+            else:
+                value = _render_number(v)
+            if value != "":
+                yield row, col, value
+
+
+def _row_bytes(fh, start: int, end: int) -> Iterator[bytes]:
+    """The part's bytes before its first row, then those of the rows whose tag begins in
+    [start, end).  A part that isn't in an ASCII-compatible encoding is one range."""
+    buffer, at = fh.read(_READ), 0
+    if buffer[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        while start == 0 and buffer:
+            yield buffer
+            buffer = fh.read(_READ)
+        return
+    head = b""
+    while not (first := _ROW_TAG.search(buffer)):
+        more = fh.read(_READ)
+        if not more:
+            return  # a sheet without rows
+        buffer += more  # what stands before the rows is small
+    head = buffer[: first.start()]
+    yield head
+    position = max(start, first.start())
+    while not (begin := _ROW_TAG.search(buffer, max(0, position - at))):
+        keep = buffer[-_TAG:]
+        at += len(buffer) - len(keep)
+        more = fh.read(_READ)
+        if not more:
+            return
+        buffer = keep + more
+    buffer, at = buffer[begin.start() :], at + begin.start()
+    while True:
+        stop = _ROW_TAG.search(buffer, max(0, end - at)) if at + len(buffer) > end else None
+        if stop:
+            if at + stop.start() > at:
+                yield buffer[: stop.start()]
+            return
+        more = fh.read(_READ)
+        if not more:
+            yield buffer
+            return
+        keep = buffer[-_TAG:] if len(buffer) > _TAG else b""  # may hold the start of a row tag
+        yield buffer[: len(buffer) - len(keep)] if keep else b""
+        at += len(buffer) - len(keep) if keep else 0
+        buffer = (keep or buffer) + more
+
+
+def _parsed_cells(pieces: Iterator[bytes]) -> Iterator[tuple[int, int, tuple[str, str, str]]]:
+    """(row_idx, col_idx, (type, style, raw text)) of every cell with a reference and a value."""
+    parser, data = ET.XMLPullParser(("start", "end")), None
+    for piece in pieces:
+        parser.feed(piece)
+        for event, el in parser.read_events():
+            if event == "start":
+                data = el if el.tag == f"{_NS}sheetData" else data
+                continue
+            if el.tag == f"{_NS}row" and data is not None:
+                data.clear()  # finished rows leave the tree
+            if el.tag != f"{_NS}c":
+                continue
+            m = _REF.fullmatch(el.get("r", ""))
+            kind, v = el.get("t", "n"), el.find(f"{_NS}v")
+            text = "".join(t.text or "" for t in el.iter(f"{_NS}t")) if kind == "inlineStr" else None if v is None else v.text
+            if m and text is not None:
+                yield int(m[2]) - 1, column_number(m[1]), (kind, el.get("s", "0"), text)
+
+
+def iter_cells(content: bytes, sheet_names: Sequence[str] | None = None, size: int = RANGE) -> Iterator[tuple[str, int, int, str]]:
+    """Yield (sheet_name, row_idx, col_idx, value) for every non-blank cell, range by range."""
+    book = Workbook(io.BytesIO(content))
+    for name in book.chosen(sheet_names):
+        for start, end in book.ranges(name, size):
+            for row, col, value in book.cells(name, start, end):
+                yield name, row, col, value
 
 
 def _decode_batches(sheet_names: Sequence[str] | None):
@@ -177,10 +288,16 @@ def decode_workbooks(files: DataFrame, sheet_names: Sequence[str] | None = None)
     return files.select("path", "content").mapInPandas(_decode_batches(sheet_names), CELL_SCHEMA)
 
 
-def read_workbook_cells(spark: SparkSession, path: str, sheet_names: Sequence[str] | None = None) -> DataFrame:
-    """A1 cell grid of one or many .xlsx files (a path, directory or glob)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path)
-    return decode_workbooks(files, sheet_names)
+def read_workbook_cells(spark: SparkSession, path: str, sheet_names: Sequence[str] | None = None, range_bytes: int = RANGE) -> DataFrame:
+    """A1 cell grid of one or many .xlsx files (a file or a directory): one partition per row
+    range of a large sheet.  Named sheets must be there."""
+    from sheetmill.sources.xlsx_source import register
+
+    register(spark)
+    reader = spark.read.format("xlsx_cells").option("rangeBytes", str(range_bytes))
+    if sheet_names is not None:
+        reader = reader.option("sheets", json.dumps(list(sheet_names)))
+    return reader.load(path)
 
 
 def sheet_grid(cells: DataFrame, sheet_name: str, sheet: str = "sheet_id") -> DataFrame:
