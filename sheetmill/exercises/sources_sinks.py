@@ -255,6 +255,25 @@ def b2b_publish_latest(spark, sf):
     return files.read_latest(spark, root, "silver", "tpch", "nation")
 
 
+@exercise(
+    "B2c_reader_during_publish",
+    """
+SELECT 'held' AS reader, o_orderpriority, count(*) AS n, sum(o_custkey)::BIGINT AS customers FROM orders GROUP BY ALL
+UNION ALL SELECT 'later', o_orderpriority, count(*), sum(o_custkey)::BIGINT FROM orders WHERE o_orderkey % 3 = 0 GROUP BY ALL""",
+)
+def b2c_reader_during_publish(spark, sf):
+    """Orders published, resolved by a reader, and published again under the same version: the
+    reader that came first still reads all of its version, a later one the new."""
+    root = scratch_path(spark, "b2c")
+    orders = table(spark, sf, "orders")
+    medallion.publish(orders, root, "silver", "tpch", "orders", "version", "v1")
+    held = files.read_latest(spark, root, "silver", "tpch", "orders")
+    medallion.publish(orders.where("o_orderkey % 3 = 0"), root, "silver", "tpch", "orders", "version", "v1")
+    later = files.read_latest(spark, root, "silver", "tpch", "orders")
+    both = held.withColumn("reader", F.lit("held")).unionByName(later.withColumn("reader", F.lit("later")))
+    return both.groupBy("reader", "o_orderpriority").agg(F.count("*").alias("n"), F.sum("o_custkey").alias("customers"))
+
+
 @exercise(
     "B3_land_raw",
     "SELECT NULLIF(regexp_extract(url, '([^/]*)/*$', 1), '') AS filename, CAST(octet_length(encode(html)) AS BIGINT) AS size_bytes FROM pages",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,15 +51,31 @@ def layer_path(root: str, layer: str, dataset: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), "data", layer, dataset, *parts])
 
 
+def _read_folders(spark: SparkSession, root: str, layer: str, dataset: str, table: str, folders: Sequence[str]) -> DataFrame:
+    """Data folders below ``historical/<table>``, the version key as a partition column."""
+    base = layer_path(root, layer, dataset, "historical", table)
+    return _read(lambda: spark.read.option("basePath", base).parquet(*[f"{base}/{f}" for f in folders]), "parquet table", base)
+
+
 def read_latest(spark: SparkSession, root: str, layer: str, dataset: str, table: str) -> DataFrame:
-    """A4 the latest published copy of a table: ``<root>/data/<layer>/<dataset>/latest/<table>``."""
-    return read_table(spark, layer_path(root, layer, dataset, "latest", table))
+    """A4 the latest published copy of a table, as its commit records name it.  What is resolved
+    here stays readable while others publish."""
+    from sheetmill.sources import commits
+
+    records = commits.commits_path(root, layer, dataset, table)
+    folders = commits.latest_folders(spark, records)
+    return _read_folders(spark, root, layer, dataset, table, folders).drop(folders[0].split("=", 1)[0])
 
 
 def read_historical(spark: SparkSession, root: str, layer: str, dataset: str, table: str) -> DataFrame:
-    """All historical versions of a table, the version key as a partition column
-    (filters on it prune directories)."""
-    return read_table(spark, layer_path(root, layer, dataset, "historical", table))
+    """All published versions of a table, the version key as a partition column (filters on it
+    prune directories)."""
+    from sheetmill.sources import commits
+
+    found = commits.version_folders(spark, commits.commits_path(root, layer, dataset, table))
+    if not found:
+        raise SourceNotFound(f"nothing published: {layer_path(root, layer, dataset, 'historical', table)}")
+    return _read_folders(spark, root, layer, dataset, table, [c.folder for c in found.values()])
 
 
 def read_metadata(spark: SparkSession, path: str, schema: StructType | str | None = None, multiline: bool = True) -> DataFrame:

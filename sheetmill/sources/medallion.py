@@ -2,17 +2,16 @@
 
 Layout under a shared ``root`` (object store or HDFS in production):
 
-    data/<layer>/<dataset>/historical/<table>/<key>=<value>/part-*.parquet
-    data/<layer>/<dataset>/latest/<table>/part-*.parquet
-    data/<layer>/<dataset>/_staging/<table>/<run-id>/          (ignored by readers)
+    data/<layer>/<dataset>/historical/<table>/<key>=<value>/run-<id>/part-*.parquet
+    data/<layer>/<dataset>/_commits/<table>/<number>.json
 
 The version key sits below the table name so Spark's partition discovery turns it
-into a column and filters on it prune directories.  ``publish`` computes the
-upstream plan exactly once: it writes a staged copy while a contract's rule counts
-are collected by ``observe`` in the same pass, validates, and only then copies the
-staged parquet to the historical partition (dynamic partition overwrite: other
-versions untouched) and to ``latest`` (overwrite).  Copies re-read parquet, they do
-not recompute the plan, and a failed validation leaves published data untouched.
+into a column and filters on it prune directories.  ``publish`` computes the upstream plan
+exactly once and writes it once: into a run folder that no reader looks at, while a
+contract's rule counts are collected by ``observe`` in the same pass.  A failed contract
+removes the folder; else one commit record (``sources.commits``) makes the version visible
+and, with it, ``latest``.  Nothing published is ever changed in place: a reader sees the old
+version or the new one, and a writer that dies at any step changes nothing.
 """
 
 from __future__ import annotations
@@ -22,9 +21,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetmill.operators.contracts import Contract, observe_contract, raise_observed
+from sheetmill.operators.contracts import Contract, ContractError, observe_contract, raise_observed
 from sheetmill.session import remove_path
-from sheetmill.sources.files import layer_path, read_table
+from sheetmill.sources import commits
+from sheetmill.sources.files import layer_path, read_historical
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
@@ -35,18 +35,6 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     w.parquet(path)
 
 
-def stage(df: DataFrame, root: str, layer: str, dataset: str, table: str, contract: Contract | None = None) -> str:
-    """Write ``df`` once to a unique staging folder, validating ``contract`` in the same pass."""
-    staged = layer_path(root, layer, dataset, "_staging", table, uuid.uuid4().hex)
-    if contract is None:
-        write_table(df, staged)
-        return staged
-    observed, obs, rules = observe_contract(df, contract)
-    write_table(observed, staged)
-    raise_observed(df.sparkSession.read.parquet(staged), contract, obs, rules)
-    return staged
-
-
 def publish(
     df: DataFrame,
     root: str,
@@ -58,32 +46,37 @@ def publish(
     contract: Contract | None = None,
     set_latest: bool = True,
 ) -> dict[str, str]:
-    """B2 publish a table: historical partition ``<version_key>=<version>`` + latest copy
+    """B2 publish a table as version ``<version_key>=<version>`` and as ``latest``
     (``set_latest=False`` leaves ``latest`` alone: a run of several versions sets it once at its
-    end).  The staged copy is removed once both are written."""
+    end).  Publishing a version again replaces it for readers that come later."""
     spark: SparkSession = df.sparkSession
-    staged = stage(df, root, layer, dataset, table, contract)
-    data = spark.read.parquet(staged)
-    hist = layer_path(root, layer, dataset, "historical", table)
-    latest = layer_path(root, layer, dataset, "latest", table)
-    (
-        data.withColumn(version_key, F.lit(version))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(version_key)
-        .parquet(hist)
-    )
-    if set_latest:
-        data.write.mode("overwrite").parquet(latest)
-    remove_path(spark, staged)
-    return {"historical": hist, "latest": latest}
+    base = layer_path(root, layer, dataset, "historical", table)
+    folder = f"{partition_name(spark, version_key, version)}/run-{uuid.uuid4().hex}"
+    if contract is None:
+        write_table(df, f"{base}/{folder}")
+    else:
+        observed, obs, rules = observe_contract(df, contract)
+        write_table(observed, f"{base}/{folder}")
+        try:
+            raise_observed(spark.read.parquet(f"{base}/{folder}"), contract, obs, rules)
+        except ContractError:
+            remove_path(spark, f"{base}/{folder}")
+            raise
+    records = commits.commits_path(root, layer, dataset, table)
+    commits.commit(spark, records, commits.Commit(version_key, version, folder, (folder,) if set_latest else None))
+    return {"historical": base, "commits": records, "folder": f"{base}/{folder}"}
+
+
+def partition_name(spark: SparkSession, key: str, value: str) -> str:
+    """``key=value`` with the characters escaped that partition folders escape."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(key, value)
 
 
 def set_latest_versions(spark: SparkSession, root: str, layer: str, dataset: str, table: str, version_key: str, versions: list[str]) -> None:
-    """Replace ``latest`` once by the rows of several historical versions together."""
-    hist = read_table(spark, layer_path(root, layer, dataset, "historical", table))
-    rows = hist.where(F.col(version_key).isin(versions)).drop(version_key)
-    write_table(rows, layer_path(root, layer, dataset, "latest", table))
+    """Make the rows of several published versions together ``latest``, by one record."""
+    records = commits.commits_path(root, layer, dataset, table)
+    found = commits.version_folders(spark, records)
+    commits.commit(spark, records, commits.Commit(version_key, None, None, tuple(found[v].folder for v in versions)))
 
 
 def land_raw(files: DataFrame, root: str, dataset: str, version_key: str, version: str, layer: str = "bronze", set_latest: bool = True) -> dict[str, str]:
@@ -100,5 +93,4 @@ def land_raw(files: DataFrame, root: str, dataset: str, version_key: str, versio
 
 def read_version(spark: SparkSession, root: str, layer: str, dataset: str, table: str, version_key: str, version: str) -> DataFrame:
     """B4 one historical version through partition pruning (keeps the key column)."""
-    hist = layer_path(root, layer, dataset, "historical", table)
-    return read_table(spark, hist).where(F.col(version_key) == F.lit(version))
+    return read_historical(spark, root, layer, dataset, table).where(F.col(version_key) == F.lit(version))

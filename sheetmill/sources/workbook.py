@@ -172,25 +172,28 @@ class Workbook:
         return [(at, min(at + size, total)) for at in range(0, max(1, total), size)]
 
     def cells(self, sheet: str, start: int, end: int) -> Iterator[tuple[int, int, str]]:
-        """(row_idx, col_idx, value) of the non-blank cells of the rows that begin in the range."""
-        found = []
+        """(row_idx, col_idx, value) of the non-blank cells of the rows that begin in the range.
+        Only where shared strings are not in memory are the range's cells held together."""
         with self.zf.open(self.parts[sheet]) as fh:
-            for row, col, value in _parsed_cells(_row_bytes(fh, start, end)):
-                found.append((row, col, *value))
-        texts = self.strings.texts({int(v) for _, _, kind, _, v in found if kind == "s"})
-        for row, col, kind, style, v in found:
-            if kind == "s":
-                value = texts[int(v)]
-            elif kind == "b":
-                value = "True" if v == "1" else "False"
-            elif kind in ("str", "e", "d", "inlineStr"):
-                value = _unescape(v)
-            elif style in self.dates:
-                value = _render_date(v, self.base)
+            found = _parsed_cells(_row_bytes(fh, start, end))
+            if self.strings.known is None and self.strings.there:
+                found = list(found)
+                texts = self.strings.texts({int(v) for _, _, (kind, _, v) in found if kind == "s"})
             else:
-                value = _render_number(v)
-            if value != "":
-                yield row, col, value
+                texts = self.strings.known or {}
+            for row, col, cell in found:
+                value = self._shown(*cell, texts)
+                if value != "":
+                    yield row, col, value
+
+    def _shown(self, kind: str, style: str, text: str, texts: dict[int, str]) -> str:
+        if kind == "s":
+            return texts[int(text)]
+        if kind == "b":
+            return "True" if text == "1" else "False"
+        if kind in ("str", "e", "d", "inlineStr"):
+            return _unescape(text)
+        return _render_date(text, self.base) if style in self.dates else _render_number(text)
 
 
 def _row_bytes(fh, start: int, end: int) -> Iterator[bytes]:

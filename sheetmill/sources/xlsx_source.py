@@ -22,6 +22,7 @@ or repeated task leaves nothing behind.
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import json
 import uuid
 import zipfile
@@ -126,9 +127,9 @@ class XlsxReader(DataSourceReader):
                     book = Workbook(fh)
                     ranges = [(unit.sheet, unit.start, unit.end)] if unit.sheet else [(s, a, b) for s in self._wanted(book) for a, b in book.ranges(s, self.size)]
                     for sheet, start, end in ranges:
-                        cells = list(book.cells(sheet, start, end))
-                        for at in range(0, len(cells), _BATCH):
-                            row, col, value = zip(*cells[at : at + _BATCH], strict=True)
+                        cells = book.cells(sheet, start, end)
+                        while some := list(itertools.islice(cells, _BATCH)):
+                            row, col, value = zip(*some, strict=True)
                             n = len(row)
                             yield pa.RecordBatch.from_arrays([pa.array([unit.path] * n), pa.array([sheet] * n), pa.array(row, pa.int32()), pa.array(col, pa.int32()), pa.array(value, pa.string())], names=_FIELDS)
             except Exception as e:  # one message naming the file and sheet

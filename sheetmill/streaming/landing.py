@@ -9,8 +9,9 @@ which is how a scheduled batch job uses it.  Each micro-batch is published as on
 historical version (``batch=<stream id>-<batch id>``) through the same publish operator as
 batch jobs.  The stream id lives beside the checkpoint: a replayed batch overwrites its own
 version, and a new or lost checkpoint cannot reuse the versions of an older one.  ``latest``
-is replaced once, at the end of the run, by all versions landed since it was last set (those
-of an earlier run that failed half-way included).
+is set once, at the end of the run, by one commit record that names all versions of the stream
+that no such record has named yet.  These are read from the table's commit records, so a run that
+died between landing and that record is made good by the next one, with or without new files.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetmill.session import checkpoint_root
-from sheetmill.sources import medallion
+from sheetmill.sources import commits, medallion
 
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -32,19 +33,30 @@ def _checkpoint(spark: SparkSession, name: str, location: str | None) -> str:
     return location or f"{checkpoint_root(spark)}/sheetmill-streams/{name}"
 
 
-def _read_state(spark: SparkSession, checkpoint: str) -> tuple[str, int]:
-    """(stream id, last batch that ``latest`` has) of a checkpoint; a new id if it has none."""
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id kept beside a checkpoint; a new one if it has none yet."""
     from pyspark.errors import AnalysisException
 
     try:
-        row = spark.read.schema("stream string, published long").json(f"{checkpoint}/_landing").orderBy(F.desc("published")).first()
+        row = spark.read.schema("stream string").json(f"{checkpoint}/_landing").first()
     except AnalysisException:  # a new checkpoint
         row = None
-    return (row["stream"], row["published"]) if row else (uuid.uuid4().hex[:12], -1)
+    if row:
+        return row["stream"]
+    stream = uuid.uuid4().hex[:12]
+    spark.range(1).select(F.lit(stream).alias("stream")).write.mode("overwrite").json(f"{checkpoint}/_landing")
+    return stream
 
 
-def _write_state(spark: SparkSession, checkpoint: str, stream: str, published: int) -> None:
-    spark.range(1).select(F.lit(stream).alias("stream"), F.lit(published).cast("long").alias("published")).write.mode("append").json(f"{checkpoint}/_landing")
+def landed_since_latest(spark: SparkSession, root: str, layer: str, dataset: str, table: str, stream_id: str) -> list[str]:
+    """Versions of the stream published after the last record that made versions of it ``latest``."""
+    pending: dict[str, None] = {}
+    for record in commits.history(spark, commits.commits_path(root, layer, dataset, table)):
+        if record.version is not None and record.version.startswith(f"{stream_id}-"):
+            pending[record.version] = None
+        elif record.version is None and any(f"={stream_id}-" in f for f in record.latest or ()):
+            pending.clear()
+    return sorted(pending)
 
 
 def land_new_files(
@@ -79,13 +91,9 @@ def land_new_files(
     )
 
     checkpoint = _checkpoint(spark, f"{dataset}-{layer}-{table}", checkpoint_location)
-    stream_id, published = _read_state(spark, checkpoint)
-    if published < 0:
-        _write_state(spark, checkpoint, stream_id, published)
-    last = published
+    stream_id = _stream_id(spark, checkpoint)
 
     def publish_batch(batch: DataFrame, batch_id: int) -> None:
-        nonlocal last
         if batch.isEmpty():
             return
         version = f"{stream_id}-{batch_id:08d}"
@@ -93,7 +101,6 @@ def land_new_files(
             medallion.land_raw(batch, root, dataset, "batch", version, layer=layer, set_latest=False)
         else:
             medallion.publish(transform(batch), root, layer, dataset, table, "batch", version, set_latest=False)
-        last = max(last, batch_id)
 
     query = (
         stream.writeStream.foreachBatch(publish_batch)
@@ -102,10 +109,10 @@ def land_new_files(
         .start()
     )
     query.awaitTermination()
-    if last > published:
-        versions = [f"{stream_id}-{b:08d}" for b in range(published + 1, last + 1)]  # one per micro-batch of the run
-        medallion.set_latest_versions(spark, root, layer, dataset, table if transform else "file", "batch", versions)
-        _write_state(spark, checkpoint, stream_id, last)
+    landed = table if transform else "file"
+    versions = landed_since_latest(spark, root, layer, dataset, landed, stream_id)
+    if versions:
+        medallion.set_latest_versions(spark, root, layer, dataset, landed, "batch", versions)
 
 
 def bank_holidays_from_payload(batch: DataFrame) -> DataFrame:
