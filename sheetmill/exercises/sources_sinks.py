@@ -142,6 +142,32 @@ def a6_extract_link(spark, sf):
     return pages.select("page_id", html.first_link_containing("html", "url", "an").alias("link"))
 
 
+@exercise(
+    "A6b_links_as_a_parser_sees_them",
+    """
+WITH u AS (
+  SELECT page_id, regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) AS origin,
+         regexp_replace(regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z]+://[^/?#]*', ''), '[^/]*$', '') AS folder
+  FROM pages)
+SELECT page_id, origin || coalesce(nullif(regexp_replace(folder, '[^/]+/$', ''), ''), '/') || 'p/' || page_id || '.html?x=../y' AS link, 'Section–' || page_id AS heading
+FROM u""",
+)
+def a6b_links_as_a_parser_sees_them(spark, sf):
+    """Every page with more in it: a link and a heading in a comment, in a script and in an attribute,
+    then real ones with quoted ``>``, nested tags, entities and dot segments."""
+    pages = table(spark, sf, "pages")
+    hidden = "<a href='/hidden'>planted</a><h3>Section–0</h3>"
+    before = F.lit(f"<!-- {hidden} --><SCRIPT>var t = \"{hidden}\"; if (1 < 2) {{}}</SCRIPT><p title=\"{hidden}\">planted</p>")
+    link = F.concat(F.lit("<a title='x > y' HREF = \"../p/./q/../"), F.col("page_id").cast("string"), F.lit(".html?x=../y\">All <b>pl&#97;nt</b>ed links</a>"))
+    heading = F.concat(F.lit('<h3 class="a > b"> Sec<b>tion</b> &ndash; <i>'), F.col("page_id").cast("string"), F.lit("</i></h3>"))
+    more = pages.withColumn("html", F.concat(before, "html", link, heading))
+    return more.select(
+        "page_id",
+        html.first_link_containing("html", "url", "planted").alias("link"),
+        html.first_heading_match("html", "Section–[0-9]+").alias("heading"),
+    )
+
+
 A7_SQL = r"""
 WITH h AS (
   SELECT page_id,
