@@ -10,6 +10,7 @@ from sheetmill.functions.text import citation
 from sheetmill.operators import aggregate as A
 from sheetmill.operators import columns as E
 from sheetmill.operators import joins as J
+from sheetmill.operators import ranges
 from sheetmill.operators import reshape as D
 from sheetmill.sources.manifest import file_name, nested_get
 
@@ -387,6 +388,50 @@ def f3_lookup_join(spark, sf):
     return out.select("c_custkey", "c_nationkey", F.col("n_name").alias("nation"), F.col("n_regionkey").alias("region_key"))
 
 
+_PERIODS_SQL = """
+WITH period AS (
+  SELECT o_orderkey, o_orderpriority,
+         TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 1 MINUTE * (o_custkey * 7919 % 43200) AS lo,
+         TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 1 MINUTE * (o_custkey * 7919 % 43200 + 1 + o_orderkey % 90) AS hi
+  FROM orders)"""
+
+
+def _order_periods(spark, sf):
+    """Every order as a period of 1 to 90 minutes in the month of the events."""
+    start = F.col("o_custkey") * 7919 % 43200
+    at = lambda m: F.timestamp_add("MINUTE", m.cast("int"), F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'"))
+    orders = table(spark, sf, "orders")
+    return orders.select("o_orderkey", "o_orderpriority", at(start).alias("lo"), at(start + 1 + F.col("o_orderkey") % 90).alias("hi"))
+
+
+@exercise(
+    "F4b_range_join_without_key",
+    _PERIODS_SQL
+    + """
+SELECT o_orderpriority, event_type, count(*) AS n, sum(event_id)::BIGINT AS events, sum(o_orderkey)::BIGINT AS orders
+FROM events JOIN period ON ts >= lo AND ts < hi GROUP BY ALL""",
+)
+def f4b_range_join_without_key(spark, sf):
+    """All events within the overlapping periods of all orders: bins at quantiles of the event times."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    pairs = ranges.range_join(events, _order_periods(spark, sf), "ts", "lo", "hi", hi_inclusive=False)
+    return pairs.groupBy("o_orderpriority", "event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("events"), F.sum("o_orderkey").alias("orders"))
+
+
+@exercise(
+    "F4c_overlap_join",
+    _PERIODS_SQL
+    + """
+SELECT event_type, o_orderpriority, count(*) AS n, sum(o_orderkey)::BIGINT AS orders
+FROM events JOIN period ON ts <= hi AND lo <= ts + INTERVAL 10 MINUTE GROUP BY ALL""",
+)
+def f4c_overlap_join(spark, sf):
+    """The ten minutes after every event against the periods of all orders."""
+    windows = table(spark, sf, "events").select("event_type", F.col("ts").alias("begins"), (F.col("ts") + F.expr("INTERVAL 10 MINUTES")).alias("ends"))
+    pairs = ranges.overlap_join(windows, _order_periods(spark, sf), ("begins", "ends"), ("lo", "hi"))
+    return pairs.groupBy("event_type", "o_orderpriority").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("orders"))
+
+
 @exercise(
     "F4_between_join",
     """SELECT l_orderkey, l_linenumber, l_partkey,
