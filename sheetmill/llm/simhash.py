@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheetmill.llm.common import let, quoted, text_of, words_of
+from sheetmill.llm.common import let, quoted, text_of, whole_row, words_of
 from sheetmill.session import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -79,13 +79,15 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         offsets = np.asarray(lists.offsets, dtype=np.int64)
         values = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
         fp = majority_bits(values.astype(np.int64, copy=False), offsets - offsets[0]).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fp)], names=["id", "fp"])
+        more = batch.schema.names[2:]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fp), *(batch.column(c) for c in more)], names=["id", "fp", *more])
 
 
-def fingerprints(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): one row per input row."""
-    hashed = docs.select(F.col(quoted(id_col)).cast("long").alias("id"), shingle_hashes(text_of(text_col), k).alias("h"))
-    return hashed.mapInArrow(_fingerprint_batches, "id long, fp long")
+def fingerprints(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
+    """(id, fp): one row per input row; with ``digest`` also a hash of the text."""
+    more = [F.xxhash64(text_of(text_col)).alias("digest")] if digest else []
+    hashed = docs.select(F.col(quoted(id_col)).cast("long").alias("id"), shingle_hashes(text_of(text_col), k).alias("h"), *more)
+    return hashed.mapInArrow(_fingerprint_batches, "id long, fp long" + (", digest long" if digest else ""))
 
 
 # -- layout -------------------------------------------------------------------------------------
@@ -310,13 +312,18 @@ def connected(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, k: int = 3, tau: int = 3, id_col: str = "doc_id", text_col: str = "text", bucket: int = 4096, depth: int = 3) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``."""
-    by_doc = materialize(fingerprints(docs, k, id_col, text_col), "simhash-docs")
+    by_doc, named = _components(fingerprints(docs, k, id_col, text_col), tau, bucket, depth)
+    return by_doc.join(named, "fp").select(F.col("id").alias("doc_id"), "fp", "component_id")
+
+
+def _components(printed: DataFrame, tau: int, bucket: int, depth: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``printed`` (id, fp, ...) written, and (fp, root, component_id) of every fp."""
+    by_doc = materialize(printed, "simhash-docs")
     fps = materialize(by_doc.groupBy("fp").agg(F.min("id").alias("rep")), "simhash-fps")
     roots = connected(near_links(fps, tau, bucket, depth))
     rooted = materialize(fps.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "rep", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
     names = materialize(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "simhash-names")
-    named = materialize(rooted.join(names, "root").select("fp", "component_id"), "simhash-named")
-    return by_doc.join(named, "fp").select(F.col("id").alias("doc_id"), "fp", "component_id")
+    return by_doc, materialize(rooted.join(names, "root").select("fp", "root", "component_id"), "simhash-named")
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:
@@ -324,14 +331,20 @@ def simhash_report(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, k: int = 3, tau: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component: the one with the smallest id.  Repeated rows of that id
-    shrink to the one of the smallest content hash; rows without an id are left in place."""
-    from pyspark.sql.window import Window
-
-    keep = near_duplicates(docs, k, tau, id_col, text_col).filter("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    keep = materialize(keep, "simhash-keep")
-    mine = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row")).withColumn("id", F.col("row")[id_col])
-    known = mine.join(keep, F.col("id") == F.col("__kept"), "left_semi").withColumn("h", F.xxhash64(F.col("row")[text_col]))
-    one = known.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy("h"))).filter("n = 1").select("row")
-    return one.unionByName(mine.filter("id is null").select("row")).select("row.*")
+def drop_near_duplicates(docs: DataFrame, k: int = 3, tau: int = 3, id_col: str = "doc_id", text_col: str = "text", bucket: int = 4096, depth: int = 3) -> DataFrame:
+    """One row of each component: of the smallest id (rows without one come last), then of the
+    smallest text hash; of rows that agree in both, one.  So a component keeps a row whatever else
+    its ids stand for, and rows without an id are near duplicates like any other."""
+    print_of = fingerprints(docs, k, id_col, text_col, digest=True)
+    by_doc, named = _components(print_of, tau, bucket, depth)
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest"))
+    keep = by_doc.join(named.select("fp", "root"), "fp").groupBy("root").agg(first.alias("k"))
+    # two components never share (id, digest): equal texts have one fingerprint
+    nullable = lambda c: [F.coalesce(c, F.lit(0)).alias("i"), c.isNull().alias("z")]
+    keep = materialize(keep.select(*nullable(F.col("k.id")), F.col("k.digest").alias("digest")), "simhash-keep")
+    id_ = F.col(quoted(id_col)).cast("long")
+    mine = docs.select(whole_row(docs).alias("row"), *nullable(id_), F.xxhash64(text_of(text_col)).alias("digest"))
+    other = F.xxhash64(*[F.col(f"row.{quoted(f.name)}") for f in docs.schema.fields if "map" not in f.dataType.simpleString()])
+    # one exchange serves the join and the choice among rows that agree in id and text
+    one = mine.join(keep, ["i", "z", "digest"], "left_semi").groupBy("i", "z", "digest").agg(F.min_by("row", other).alias("row"))
+    return one.select("row.*")
