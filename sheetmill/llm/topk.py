@@ -18,8 +18,9 @@ Bounds are rounded up by a margin above the floating-point error; scores are exa
 Each block returns at most k rows per query; a last window keeps the best k.
 
 Defined results: vectors that are NULL or hold a NULL or non-finite component, and rows with
-a NULL id, take no part; shorter vectors count as padded with zeros; rows that repeat an id
-count once, with the smallest vector; ties go to the smaller id; an empty table gives no rows.
+a NULL id, take no part; shorter vectors count as padded with zeros; rows that repeat an id are
+rows of their own, as queries too (each is a candidate of the others); ties go to the smaller
+id; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sheetmill.llm.common import quoted
+from sheetmill.llm.common import integer_components, quoted, takes_part
 from sheetmill.session import materialize
 
 QUERY_BLOCK = 2048
@@ -42,14 +43,11 @@ STEP = 512
 
 
 def integer_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(id, v, norm2): one row per id that takes part."""
-    v = F.col(quoted(vec_col))
-    x = lambda c: c.cast("double")
-    bad = F.exists(v, lambda c: c.isNull() | F.isnan(x(c)) | (F.abs(x(c)) == float("inf")))
-    fine = table.filter(v.isNotNull() & F.col(quoted(id_col)).isNotNull() & ~F.coalesce(bad, F.lit(False)))
-    whole = fine.select(F.col(quoted(id_col)).cast("long").alias("id"), F.transform(v, lambda c: F.floor(256 * x(c)).cast("long")).alias("v"))
-    one = whole.groupBy("id").agg(F.min("v").alias("v"))
-    return one.select("id", "v", F.aggregate("v", F.lit(0).cast("long"), lambda a, c: a + c * c).alias("norm2"))
+    """(key, id, v, norm2): every row that takes part; ``key`` tells rows of one id apart once the
+    table is written."""
+    fine = table.filter(takes_part(F.col(quoted(vec_col))) & F.col(quoted(id_col)).isNotNull())
+    whole = fine.select(F.monotonically_increasing_id().alias("key"), F.col(quoted(id_col)).cast("long").alias("id"), integer_components(F.col(quoted(vec_col))).alias("v"))
+    return whole.select("key", "id", "v", F.aggregate("v", F.lit(0).cast("long"), lambda a, c: a + c * c).alias("norm2"))
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -92,10 +90,12 @@ def best_k(owner: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> np.
     return order[place < k]
 
 
-def search_block(q: np.ndarray, q_ids: np.ndarray, theta: np.ndarray, c: np.ndarray, c_ids: np.ndarray, rotation: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def search_block(q: np.ndarray, q_keys: np.ndarray, theta: np.ndarray, c: np.ndarray, c_ids: np.ndarray, rotation: np.ndarray, k: int, c_keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(query index, candidate id, score) of up to k candidates per query, and how many exact
-    products were needed.  ``theta``: scores that a candidate must reach."""
+    products were needed.  ``theta``: scores that a candidate must reach; ``c_keys``: row keys of the
+    candidates (their ids if not given), a query's own row is none of its candidates."""
     order = np.argsort(-(c * c).sum(axis=1), kind="stable")
+    c_keys = (c_ids if c_keys is None else c_keys)[order]
     c, c_ids = c[order], c_ids[order]
     head = max(1, rotation.shape[0] // 4)
     qr, cr = q @ rotation, c @ rotation
@@ -112,7 +112,7 @@ def search_block(q: np.ndarray, q_ids: np.ndarray, theta: np.ndarray, c: np.ndar
             break
         stop = at + STEP
         bound = qr[live, :head] @ cr[at:stop, :head].T + np.outer(q_rest[live], c_rest[at:stop]) + margin
-        i, j = np.nonzero((bound >= theta[live, None]) & (q_ids[live, None] != c_ids[at:stop]))
+        i, j = np.nonzero((bound >= theta[live, None]) & (q_keys[live, None] != c_keys[at:stop]))
         i, j = live[i], j + at
         exact += len(i)
         owner, found = np.r_[owner, i], np.r_[found, c_ids[j]]
@@ -136,37 +136,37 @@ def top_k(table: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
         return table.sparkSession.createDataFrame([], schema)
     dim = max(1, facts["dim"])
     rotation = np.linalg.eigh(gram(vectors, dim))[1][:, ::-1].copy()
-    seeds = vectors.orderBy(F.desc("norm2"), "id").limit(SEEDS).select("id", "v").toPandas()  # SEEDS rows
-    seed_ids = seeds["id"].to_numpy(dtype=np.int64)
+    seeds = vectors.orderBy(F.desc("norm2"), "id", "key").limit(SEEDS).select("key", "v").toPandas()  # SEEDS rows
+    seed_keys = seeds["key"].to_numpy(dtype=np.int64)
     seed_vectors = np.zeros((len(seeds), dim), dtype=np.int64)
     for i, v in enumerate(seeds["v"]):
         seed_vectors[i, : len(v)] = v
 
     def thresholds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            q, ids = matrix(batch.column("v"), dim), batch.column("id").to_numpy()
+            q, keys = matrix(batch.column("v"), dim), batch.column("key").to_numpy()
             theta = np.full(len(q), np.iinfo(np.int64).min // 2)
             for at in range(0, len(q), 4096):
                 s = q[at : at + 4096] @ seed_vectors.T
-                s = np.where(ids[at : at + 4096, None] == seed_ids, np.iinfo(np.int64).min // 2, s)
+                s = np.where(keys[at : at + 4096, None] == seed_keys, np.iinfo(np.int64).min // 2, s)
                 if s.shape[1] >= k:
                     theta[at : at + 4096] = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(theta)], names=["id", "v", "theta"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "id", "v")), pa.array(theta)], names=["key", "id", "v", "theta"])
 
-    queries = vectors.filter(F.col("id") % every == 0).select("id", "v").mapInArrow(thresholds, "id long, v array<bigint>, theta long")
+    queries = vectors.filter(F.col("id") % every == 0).select("key", "id", "v").mapInArrow(thresholds, "key long, id long, v array<bigint>, theta long")
     n_q, n_c = -(-facts["queries"] // QUERY_BLOCK), -(-facts["n"] // CANDIDATE_BLOCK)
-    dealt = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    left = queries.select(dealt(n_q).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("cb"), "id", "v", "theta")
-    right = vectors.select(F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("qb"), dealt(n_c).alias("cb"), "id", "v")
+    dealt = lambda n: F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")
+    left = queries.select(dealt(n_q).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("cb"), "key", "id", "v", "theta")
+    right = vectors.select(F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("qb"), dealt(n_c).alias("cb"), "key", "id", "v")
 
     def search(a: pa.Table, b: pa.Table) -> pa.Table:
-        names = ["query_id", "vec_id", "score"]
+        names = ["key", "query_id", "vec_id", "score"]
         if not a.num_rows or not b.num_rows:
-            return pa.table([pa.array([], pa.int64())] * 3, names=names)
-        ids = a.column("id").to_numpy()
-        owner, found, score, _ = search_block(matrix(a.column("v"), dim), ids, a.column("theta").to_numpy(), matrix(b.column("v"), dim), b.column("id").to_numpy(), rotation, k)
-        return pa.table([pa.array(ids[owner], pa.int64()), pa.array(found, pa.int64()), pa.array(score, pa.int64())], names=names)
+            return pa.table([pa.array([], pa.int64())] * 4, names=names)
+        ids, keys = a.column("id").to_numpy(), a.column("key").to_numpy()
+        owner, found, score, _ = search_block(matrix(a.column("v"), dim), keys, a.column("theta").to_numpy(), matrix(b.column("v"), dim), b.column("id").to_numpy(), rotation, k, b.column("key").to_numpy())
+        return pa.table([pa.array(x, pa.int64()) for x in (keys[owner], ids[owner], found, score)], names=names)
 
-    found = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(search, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(search, "key long, query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
