@@ -15,7 +15,7 @@ w AS (SELECT *, [x FOR x IN regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+') IF x
 tri AS (SELECT doc_id, i, ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3] AS g FROM (SELECT doc_id, ws, unnest(range(len(ws) - 2)) AS i FROM w)),
 dup AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c > 1),
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM dup) GROUP BY doc_id),
-base AS (SELECT w.doc_id, w.stratum, len(ws)::BIGINT AS n_words,
+base AS (SELECT w.doc_id, w.t, w.stratum, len(ws)::BIGINT AS n_words,
     (length(t) - length(regexp_replace(t, '[^\\x20\\x09-\\x0D]+', '', 'g')))::BIGINT AS word_chars,
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')))::BIGINT AS n_symbols,
     (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, len(ls) AS n_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
@@ -23,7 +23,7 @@ base AS (SELECT w.doc_id, w.stratum, len(ws)::BIGINT AS n_words,
     (length(t) - length(regexp_replace(t, '\\p{{Lu}}+', '', 'g')))::BIGINT AS n_upper,
     (length(t) - length(regexp_replace(t, '[0-9]+', '', 'g')))::BIGINT AS n_digits
     FROM w LEFT JOIN rep ON rep.doc_id = w.doc_id),
-m AS (SELECT doc_id, stratum, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+m AS (SELECT doc_id, t, stratum, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
     CASE WHEN n_words > 0 THEN n_symbols::DOUBLE / n_words ELSE 0 END AS symbol_rate,
     CASE WHEN n_words > 0 THEN n_shouts::DOUBLE / n_words ELSE 0 END AS shout_rate,
@@ -31,7 +31,8 @@ m AS (SELECT doc_id, stratum, n_words, word_chars, n_symbols, n_dup_lines, n_rep
     CASE WHEN word_chars > 0 THEN n_digits::DOUBLE / word_chars ELSE 0 END AS digit_share,
     CASE WHEN n_lines > 0 THEN n_dup_lines::DOUBLE / n_lines ELSE 0 END AS dup_line_share,
     CASE WHEN n_words > 0 THEN n_repeat_words::DOUBLE / n_words ELSE 0 END AS repeat_share FROM base),
-lab AS (SELECT m.*, l.quality FROM m JOIN labels l ON l.doc_id = m.doc_id WHERE NOT base_failed AND l.quality IN (0, 1)),
+lab AS (SELECT stratum, t, max(l.quality) AS quality, {", ".join(f"max({r}) AS {r}" for r in RULES)} FROM m JOIN labels l ON l.doc_id = m.doc_id
+        WHERE NOT base_failed AND l.quality IN (0, 1) GROUP BY stratum, t),
 long AS ({" UNION ALL ".join(f"SELECT stratum, '{r}' AS rule, quality, ceil({r} / {_C.step}::DOUBLE) AS bin FROM lab" for r in RULES)}),
 counts AS (SELECT stratum, rule, c, count(*) FILTER (quality = 1) AS n_good, count(*) FILTER (quality = 0) AS n_bad,
     count(*) FILTER (quality = 1 AND bin > c) AS k, count(*) FILTER (quality = 0 AND bin > c) AS b
@@ -81,11 +82,11 @@ n AS (SELECT s.anchor_id, p.positive_id, (row_number() OVER (PARTITION BY anchor
 SELECT * FROM n WHERE rank <= 3""",
     "op2_quality_rules": f"WITH {QUALITY_CTES} SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, stratum, {', '.join(RULES)} FROM verdict",
     "op10_exact_topk": """
-WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+WITH v AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS k, vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)])::BIGINT AS score
-      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
-SELECT query_id, rank, vec_id, score FROM (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s) WHERE rank <= 5""",
+s AS (SELECT q.k, q.vec_id AS query_id, c.vec_id, list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)])::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.k <> q.k)
+SELECT query_id, rank, vec_id, score FROM (SELECT *, (row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s) WHERE rank <= 5""",
     "op1_chat_formatting": """
 WITH t AS (SELECT DISTINCT conv_id, coalesce(turn, -1) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 c AS (SELECT conv_id, list([turn::VARCHAR, role, text] ORDER BY turn, role, text) AS l FROM t GROUP BY conv_id),

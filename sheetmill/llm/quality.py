@@ -21,8 +21,9 @@ The strata are a parameter, so the table of cutoffs is bounded by strata x rules
 
 Defined results: NULL text has no words (so ``base_failed``); a NULL or unlisted stratum
 belongs to the stratum "other"; NULL labels do not count; every repeated row is judged by
-itself; a labelled id that occurs in several rows counts once per row; without labels nothing
-is certified and only the base rules reject.
+itself; a text counts once per stratum in the calibration, however often it or its id repeats,
+and as good if any of its labels says so; without labels nothing is certified and only the
+base rules reject.
 """
 
 from __future__ import annotations
@@ -97,6 +98,7 @@ def measures(docs: DataFrame, text_col: str = "text", stratum_col: str = "lang",
     lines = F.filter(F.split("t", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     df = df.select(
         "row",
+        F.xxhash64("t").alias("digest"),
         F.when(F.col("s").isin(*control.strata), F.col("s")).otherwise(OTHER).alias("stratum"),
         let(words_of(F.col("t")), lambda ws: F.struct(F.size(ws).cast("long").alias("n"), repeated_words(ws).alias("r"))).alias("w"),
         _removed(F.col("t"), r"[^\x20\x09-\x0D]+").alias("word_chars"),
@@ -110,6 +112,7 @@ def measures(docs: DataFrame, text_col: str = "text", stratum_col: str = "lang",
     n, r = F.col("w.n"), F.col("w.r")
     return df.select(
         "row",
+        "digest",
         "stratum",
         n.alias("n_words"),
         "word_chars",
@@ -126,29 +129,47 @@ def measures(docs: DataFrame, text_col: str = "text", stratum_col: str = "lang",
     )
 
 
+def _log_gamma(x: Column) -> Column:
+    """log Gamma(x) for x >= 1, by Stirling's series at x + 8 (error below 1e-12)."""
+    import math
+
+    y = x + 8.0
+    series = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y)
+    shift = F.lit(0.0)
+    for i in range(8):
+        shift = shift + F.log(x + float(i))
+    return series - shift
+
+
 def log_binomial_tail(n: Column, k: Column, p: float) -> Column:
-    """log P(Bin(n, p) <= k), summed term by term in log space (exact, no underflow)."""
+    """log P(Bin(n, p) <= k) for k <= n p.  From the largest term, that of k, downwards; terms more
+    than 12 standard deviations below (under e^-70 of the sum) are not added, so the series grows
+    with the root of n only."""
     import math
 
-    step = math.log(p) - math.log1p(-p)
+    at, of = k.cast("double"), n.cast("double")
+    largest = _log_gamma(of + 1) - _log_gamma(at + 1) - _log_gamma(of - at + 1) + at * math.log(p) + (of - at) * math.log1p(-p)
+    odds = (1 - p) / p
 
     def add(acc: Column, i: Column) -> Column:
-        term = acc["term"] + F.log((n - i + 1) / i) + F.lit(step)
-        top = F.greatest(acc["total"], term)
-        return F.struct(term.alias("term"), (top + F.log1p(F.exp(F.least(acc["total"], term) - top))).alias("total"))
+        term = acc["term"] * (i / (n - i + 1)) * F.lit(odds)
+        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
 
-    first = n * F.lit(math.log1p(-p))
-    terms = F.when(k > 0, F.sequence(F.lit(1).cast("long"), k)).otherwise(F.array().cast("array<bigint>"))
-    return F.aggregate(terms, F.struct(first.alias("term"), first.alias("total")), add)["total"]
+    reach = F.ceil(12 * F.sqrt(of * p * (1 - p))).cast("long") + 40
+    terms = F.when(k > 0, F.sequence(k, F.greatest(F.lit(1).cast("long"), k - reach), F.lit(-1).cast("long"))).otherwise(F.array().cast("array<bigint>"))
+    return largest + F.log(F.aggregate(terms, F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total")), add)["total"])
 
 
 def calibration_table(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", control: RiskControl = RiskControl()) -> DataFrame:
     """One row per (stratum, rule, cutoff index): good/bad counts, rejections, certified, gain.
 
-    ``measured`` has ``id`` and the measures.  Counts come from a histogram over the grid
-    (partial aggregation), then a suffix sum over at most ``steps + 1`` bins."""
+    ``measured`` has ``id``, ``digest`` (of the text) and the measures.  A text is one draw of its
+    stratum, however many rows and labelled ids have it; it is good if any label says so.
+    Counts come from a histogram over the grid (partial aggregation), then a suffix sum over at
+    most ``steps + 1`` bins."""
     lab = labels.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(label_col)).alias("good")).filter(F.col("good").isin(0, 1))
-    rows = measured.filter(~F.col("base_failed")).select("id", "stratum", *control.rules).join(lab, "id")
+    known = measured.filter(~F.col("base_failed")).select("id", "digest", "stratum", *control.rules).join(lab, "id")
+    rows = known.groupBy("stratum", "digest").agg(F.max("good").alias("good"), *[F.max(r).alias(r) for r in control.rules])
     bins = F.array(*[F.struct(F.lit(r).alias("rule"), F.least(F.ceil(F.col(r) / F.lit(control.step)), F.lit(control.steps + 1)).cast("int").alias("bin")) for r in control.rules])
     hist = (
         rows.select("stratum", "good", F.explode(bins).alias("b"))
@@ -187,17 +208,15 @@ def kept_by(cutoffs: dict[tuple[str, str], int], control: RiskControl = RiskCont
     return kept
 
 
-def fit_cutoffs(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", control: RiskControl = RiskControl()) -> dict[tuple[str, str], int]:
-    """Cutoffs from the labelled rows of ``docs``."""
-    measured = measures(docs, control=control).withColumn("id", F.col("row")[id_col])
-    return choose_cutoffs(calibration_table(measured, labels, id_col, control=control))
-
+def reject_low_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", control: RiskControl = RiskControl()) -> DataFrame:
+    """The rows of ``docs`` that every rule keeps, with all their columns.  The rows are written
+    once with their measures, which both the calibration and the verdict read; texts are
+    measured once and never shuffled."""
+    from sheetmill.session import materialize
 
-def reject_low_quality(docs: DataFrame, labels: DataFrame, control: RiskControl = RiskControl()) -> DataFrame:
-    """The rows of ``docs`` that every rule keeps, with all their columns.  The verdict is
-    row-local once the cutoffs are known: texts are never shuffled."""
-    cutoffs = fit_cutoffs(docs, labels, control=control)
-    return measures(docs, control=control).filter(kept_by(cutoffs, control)).select("row.*")
+    measured = materialize(measures(docs, control=control).select("row", F.col("row")[id_col].alias("id"), *MEASURED), "quality-rows")
+    cutoffs = choose_cutoffs(calibration_table(measured, labels, id_col, control=control))
+    return measured.filter(kept_by(cutoffs, control)).select("row.*")
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, control: RiskControl = RiskControl()) -> DataFrame:
@@ -213,4 +232,4 @@ def quality_report(docs: DataFrame, labels: DataFrame, control: RiskControl = Ri
     )
 
 
-MEASURED = ("stratum", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *RULES)
+MEASURED = ("digest", "stratum", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *RULES)

@@ -83,8 +83,8 @@ def test_quality_counts(docs, labels, empty):
 def test_quality_cutoffs_follow_the_binomial_bound(spark):
     c = quality.RiskControl(alpha=0.6, strata=("en",))
     n_good, n_bad = 400, 60
-    rows = [(i, "en", False, *([0.0 if i % 100 else 0.42] + [0.0] * 5)) for i in range(n_good)] + [(n_good + i, "en", False, 1.0, *[0.0] * 5) for i in range(n_bad)]
-    measured = spark.createDataFrame(rows, "id long, stratum string, base_failed boolean, " + ", ".join(f"{r} double" for r in quality.RULES))
+    rows = [(i, i, "en", False, *([0.0 if i % 100 else 0.42] + [0.0] * 5)) for i in range(n_good)] + [(n_good + i, n_good + i, "en", False, 1.0, *[0.0] * 5) for i in range(n_bad)]
+    measured = spark.createDataFrame(rows, "id long, digest long, stratum string, base_failed boolean, " + ", ".join(f"{r} double" for r in quality.RULES))
     labels = spark.createDataFrame([(i, int(i < n_good)) for i in range(n_good + n_bad)], "doc_id long, quality int")
     table = quality.calibration_table(measured, labels, control=c)
     # every bad document is above every cutoff below 1.0; the loosest such cutoff spares all good ones
@@ -101,6 +101,33 @@ def test_quality_cutoffs_follow_the_binomial_bound(spark):
     assert quality.choose_cutoffs(quality.calibration_table(measured, labels, control=few)) == {}
 
 
+def test_quality_counts_a_text_once(spark):
+    """Copies of one text, as rows or under other ids, certify no more than the text itself."""
+    c = quality.RiskControl(alpha=0.6, strata=("en",))
+    good, bad = "word " * 60, "w### " * 60
+    docs = spark.createDataFrame([(i, good if i < 1500 else bad, "en") for i in range(1600)] + [(0, good, "en")] * 300, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i < 1500)) for i in range(1600)], "doc_id long, quality int")
+    measured = quality.measures(docs, control=c).withColumn("id", F.col("row.doc_id")).withColumn("base_failed", F.lit(False))
+    table = quality.calibration_table(measured, labels, control=c)
+    assert {(r["n_good"], r["n_bad"]) for r in table.collect()} == {(1, 1)}
+    assert quality.choose_cutoffs(table) == {}
+    both = spark.createDataFrame([(0, 0), (1, 1)], "doc_id long, quality int")  # one text, both labels: good
+    assert {(r["n_good"], r["n_bad"]) for r in quality.calibration_table(measured, both, control=c).collect()} == {(1, 0)}
+
+
+def test_binomial_tail_with_many_labels(spark):
+    from math import exp, lgamma, log, log1p
+
+    def exact(n, k, p):
+        logs = [lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * log(p) + (n - i) * log1p(-p) for i in range(k + 1)]
+        return max(logs) + log(sum(exp(x - max(logs)) for x in logs))
+
+    cases = [(n, k, p) for n, p in ((1, 0.3), (7, 0.5), (640, 0.01), (5000, 0.01), (200_000, 0.01)) for k in {0, 1, int(n * p) // 2, int(n * p * 0.9), int(n * p)} if k <= n * p]
+    df = spark.createDataFrame([(n, k) for n, k, _ in cases], "n long, k long")
+    for (n, k, p), r in zip(cases, [df.filter((F.col("n") == n) & (F.col("k") == k)).select(quality.log_binomial_tail(F.col("n"), F.col("k"), p).alias("x")).first() for n, k, p in cases], strict=True):
+        assert r["x"] == pytest.approx(exact(n, k, p), abs=1e-7)
+
+
 # -- licences -------------------------------------------------------------------------------------
 
 
@@ -496,6 +523,16 @@ def test_fingerprints(docs, empty):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [0, 3, 4, 5, 6, 7, 8, 10]
 
 
+def test_dedup_keeps_a_row_of_every_component(spark):
+    """One id with two texts, rows without an id, repeated rows: a row of each component stays."""
+    a, b, c = "first text " * 20, "second other text " * 20, "third and last one " * 20
+    rows = [(1, a, "x"), (1, b, "x"), (2, b, "x"), (None, c, "x"), (None, c, "y"), (None, a, "x"), (3, b, "x"), (1, a, "x"), (None, None, "x"), (7, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(3)
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == sorted([(0, c), (1, a), (1, b), (7, "")])
+
+
 @pytest.mark.parametrize("bucket", [4096, 8])
 def test_links_reach_the_same_components(spark, bucket):
     """Clusters around a few centres, with hot buckets split when ``bucket`` is small."""
@@ -539,9 +576,11 @@ def test_top_k_is_exact(spark):
     bad = [(None, [1.0] * 8, "x"), (450, None, "x"), (500, [1.0, float("nan")], "x"), (550, [None, 1.0], "x"), (600, [float("inf")], "x")]
     more = [(650, [2.0, -1.0], "x"), (700, [], "x"), (650, [2.0, -1.0], "x")]
     df = spark.createDataFrame([*vectors, *bad, *more], "vec_id long, embedding array<double>, score string").repartition(4)
-    dense = {i: np.array([int(np.floor(256 * x)) for x in v] + [0] * (8 - len(v))) for i, v, _ in [*vectors, *more]}
-    want = {(q, r + 1, i, s) for q in dense if q % 50 == 0 for r, (s, i) in enumerate([(-a, b) for a, b in sorted((-int(dense[q] @ dense[c]), c) for c in dense if c != q)][:5])}
-    assert {tuple(r) for r in topk.top_k(df).collect()} == want
+    rows = [(i, np.array([int(np.floor(256 * x)) for x in v] + [0] * (8 - len(v)))) for i, v, _ in [*vectors, *more]]
+    want = [(i, r + 1, j, -s) for a, (i, v) in enumerate(rows) if i % 50 == 0 for r, (s, j) in enumerate(sorted((-int(v @ w), j) for b, (j, w) in enumerate(rows) if a != b)[:5])]
+    assert sorted(tuple(r) for r in topk.top_k(df).collect()) == sorted(want)
+    twice = spark.createDataFrame([(0, [1.0], "x"), (1, [2.0], "x"), (1, [2.0], "x"), (2, [0.5], "x")], df.schema)
+    assert [tuple(r) for r in topk.top_k(twice).orderBy("rank").collect()] == [(0, 1, 1, 131072), (0, 2, 1, 131072), (0, 3, 2, 32768)]  # every row counts
     assert topk.top_k(df.limit(0)).count() == 0
 
 
