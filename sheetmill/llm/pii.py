@@ -12,12 +12,13 @@ the usual prefix, spelled-out addresses and the like.
 * Viterbi over (position, segment length, type) chooses boundaries and types together; the
   bound on the length keeps it linear in the region.
 * Weights maximise the likelihood of segmentations (forward-backward over segments, AdaGrad).
-  They are trained on a bounded sample (``SAMPLE`` regions, smallest hashes) whose base
-  findings are the labels, and on rewritten copies of these (another separator, no prefix,
-  "(at)") with failing look-alikes as negatives.
+  They are trained on a bounded sample (``PER_KIND`` regions of every kind and as many without
+  a finding, smallest hashes) whose base findings are the labels, and on rewritten copies of
+  these (another separator, no prefix, "(at)") with failing look-alikes as negatives.
+* Base findings are fixed segments of every segmentation: the path chooses among the segments
+  that touch none of them, so what is found beside a base finding is the best there is.
 
-Findings that overlap a base finding are dropped.  All of it is row-local: documents are never
-shuffled.  Offsets are code points.
+All of it is row-local: documents are never shuffled.  Offsets are code points.
 
 Defined results: NULL text counts as empty; NULL ids and repeated rows are scanned like any
 other; without any labelled region the CRF adds nothing; an empty table gives no rows.
@@ -26,19 +27,24 @@ other; without any labelled region the CRF adds nothing; an empty table gives no
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sheetmill.llm.common import quoted, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 16
 MAX_CHARS = 80
-SAMPLE = 160
+#: Regions trained on: of each kind, and without any finding.
+PER_KIND = 40
+#: Longest region trained on; of a longer one, the surroundings of each finding are.
+LONGEST = 240
 EPOCHS = 6
 #: Characters to either side of a digit, and of the regions trained on.
 MARGIN = 24
@@ -174,13 +180,13 @@ def span_features(span: str, left: str, right: str, cue: str) -> list[str]:
     return out
 
 
-def segments(tokens: list[str], before: str, after: str) -> list[tuple[int, int, list[str]]]:
-    """Candidate segments (first token, token after the last, features)."""
+def segments(tokens: list[str], before: str, after: str, fixed: list[bool] | None = None) -> list[tuple[int, int, list[str]]]:
+    """Candidate segments (first token, token after the last, features) without ``fixed`` tokens."""
     n = len(tokens)
     out = []
     words = [t.lower() if t[0].isalpha() else "" for t in tokens]
     for i in range(n):
-        if tokens[i].isspace() or not (tokens[i][0].isalnum() or tokens[i] in "+("):
+        if tokens[i].isspace() or not (tokens[i][0].isalnum() or tokens[i] in "+(") or (fixed and fixed[i]):
             continue
         cue = next((w for w in reversed(words[max(0, i - 4) : i]) if w), "")
         span, some, count, at = "", False, 0, False
@@ -188,7 +194,7 @@ def segments(tokens: list[str], before: str, after: str) -> list[tuple[int, int,
             token = tokens[j]
             span += token
             count += token[0].isalnum()
-            if len(span) > MAX_CHARS or count > MAX_TOKENS or "\n" in token:
+            if len(span) > MAX_CHARS or count > MAX_TOKENS or "\n" in token or (fixed and fixed[j]):
                 break
             at = at or words[j] == "at"
             some = some or token[0].isdigit() or token == "@" or (words[j] == "at" and j > i and ("".join(tokens[max(i, j - 2) : j]).rstrip()[-1:] or " ") in "([{") or (at and words[j] == "dot")
@@ -262,14 +268,22 @@ def train(examples: list[tuple[str, list[Span]]]) -> tuple[dict[str, int], np.nd
     return names, w
 
 
-def decode(text: str, names: dict[str, int], w: np.ndarray, before: str = "", after: str = "") -> list[Span]:
-    """Best segmentation of a region (Viterbi); spans relative to it."""
+def decode(text: str, names: dict[str, int], w: np.ndarray, before: str = "", after: str = "", base: list[tuple[int, int]] | None = None) -> list[Span]:
+    """Best segmentation of a region (Viterbi) in which the stretches ``base`` (disjoint, sorted)
+    are fixed; the spans chosen beside them, relative to the region."""
     tokens = _TOKEN.findall(text)
     n = len(tokens)
+    edges = np.r_[0, np.cumsum([len(t) for t in tokens])].tolist()
+    fixed = None
+    if base:  # a fixed stretch adds the same score to every path: its tokens are in no other segment
+        fixed = [False] * n
+        for a, b in base:
+            for t in range(bisect_right(edges, a) - 1, min(n, bisect_left(edges, b))):
+                fixed[t] = True
     best = [0.0] * (n + 1)
     back: list[tuple[int, int]] = [(-1, -1)] * (n + 1)
     ending: list[list[tuple[int, float, int]]] = [[] for _ in range(n + 1)]
-    for i, j, f in indexed(segments(tokens, before, after), names):
+    for i, j, f in indexed(segments(tokens, before, after, fixed), names):
         scores = w[:, f].sum(axis=1)
         k = int(scores.argmax())
         if scores[k] > 0:  # a segment below "outside" is never on the best path
@@ -279,7 +293,6 @@ def decode(text: str, names: dict[str, int], w: np.ndarray, before: str = "", af
         for i, s, k in ending[j]:
             if best[i] + s > best[j]:
                 best[j], back[j] = best[i] + s, (i, k)
-    edges = np.r_[0, np.cumsum([len(t) for t in tokens])].tolist()
     out, j = [], n
     while j > 0:
         i, k = back[j]
@@ -290,20 +303,25 @@ def decode(text: str, names: dict[str, int], w: np.ndarray, before: str = "", af
 
 
 def all_spans(text: str, names: dict[str, int], w: np.ndarray) -> tuple[list[Span], list[Span]]:
-    """Base findings, and all findings (those of the CRF that touch no base finding added)."""
+    """Base findings, and all findings (those that the CRF adds beside the base ones)."""
     base = base_spans(text)
     added: list[Span] = []
     if w.size:
-        at = 0
-        taken = sorted((a, b) for a, _, b in base)
-        reach = np.maximum.accumulate([b for _, b in taken]) if taken else np.zeros(0, dtype=np.int64)
-        starts = np.array([a for a, _ in taken], dtype=np.int64)
+        taken: list[list[int]] = []  # what base findings cover
+        for a, _, b in base:
+            if taken and a <= taken[-1][1]:
+                taken[-1][1] = max(b, taken[-1][1])
+            else:
+                taken.append([a, b])
+        first = 0
         for lo, hi in regions(text):
-            at = lo
-            for a, k, b in decode(text[lo:hi], names, w, text[lo - 1 : lo], text[hi : hi + 1]):
-                before = int(np.searchsorted(starts, at + b))  # base findings that start before this one ends
-                if not before or reach[before - 1] <= at + a:
-                    added.append((at + a, k, at + b))
+            while first < len(taken) and taken[first][1] <= lo:
+                first += 1
+            last = first
+            while last < len(taken) and taken[last][0] < hi:
+                last += 1
+            inside = [(max(a - lo, 0), min(b, hi) - lo) for a, b in taken[first:last]]
+            added += [(lo + a, k, lo + b) for a, k, b in decode(text[lo:hi], names, w, text[lo - 1 : lo], text[hi : hi + 1], inside)]
     return base, sorted([*base, *added])
 
 
@@ -356,29 +374,50 @@ def rewritten(text: str, spans: list[Span], seed: int) -> list[tuple[str, list[S
 
 
 def _sample_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Regions with the kinds found in them (``len(KINDS)`` stands for none)."""
     for batch in batches:
-        found = []
+        found, kinds = [], []
         for text in batch.column("t").to_pylist():
             spans = base_spans(text)
-            if spans:
-                found += [text[a:b] for a, b in regions(text, MARGIN) if b - a <= 240]
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["region"])
+            if not spans:
+                continue
+            bounds = list(regions(text, MARGIN))
+            starts = [a for a, _ in bounds]
+            short = [(a, b) for a, b in bounds if b - a <= LONGEST]
+            for a, _, b in spans:
+                at = bisect_right(starts, a) - 1
+                if b - a <= MAX_CHARS and at >= 0 and bounds[at][1] - bounds[at][0] > LONGEST:
+                    short.append((max(0, a - MARGIN), b + MARGIN))
+            for a, b in short:
+                region = text[a:b]
+                mine = {k for _, k, _ in base_spans(region)} or {len(KINDS)}
+                found += [region] * len(mine)
+                kinds += sorted(mine)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(kinds, pa.int32())], names=["region", "kind"])
+
+
+def sample_regions(docs: DataFrame, text_col: str = "text", per_kind: int = PER_KIND) -> list[str]:
+    """At most ``per_kind`` distinct regions of each kind and as many without a finding, so that
+    no kind is crowded out by another; every task ranks its own before the rows meet."""
+    t = text_of(text_col)
+    found = docs.select(t.alias("t")).filter(F.col("t").rlike(TRIGGER)).mapInArrow(_sample_regions, "region string, kind int")
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("region"), "region"))
+    rows = found.distinct().withColumn("n", rank).filter(F.col("n") <= per_kind)
+    return [r["region"] for r in rows.select("region").distinct().orderBy(F.xxhash64("region"), "region").collect()]
 
 
-def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> tuple[dict[str, int], np.ndarray]:
-    """Train on at most ``sample`` regions of at most 240 characters each."""
-    t = text_of(text_col)
-    found = docs.select(t.alias("t")).filter(F.col("t").rlike(TRIGGER)).mapInArrow(_sample_regions, "region string")
-    rows = found.distinct().orderBy(F.xxhash64("region"), "region").limit(sample).collect()
+def fit(docs: DataFrame, text_col: str = "text", per_kind: int = PER_KIND) -> tuple[dict[str, int], np.ndarray]:
+    """Train on at most ``per_kind`` regions of each kind (and of none) of at most LONGEST characters."""
+    rows = sample_regions(docs, text_col, per_kind)
     examples = []
-    for n, r in enumerate(rows):
+    for n, region in enumerate(rows):
         spans, at = [], 0
-        for s in base_spans(r["region"]):
+        for s in base_spans(region):
             if s[0] >= at:
                 spans.append(s)
                 at = s[2]
-        examples.append((r["region"], spans))
-        examples += rewritten(r["region"], spans, n)
+        examples.append((region, spans))
+        examples += rewritten(region, spans, n)
     if not any(spans for _, spans in examples):
         return {}, np.zeros((len(KINDS), 0))
     return train(examples)

@@ -2,16 +2,19 @@
 
 Strong findings stand alone (kinds ``assign``, ``access``, ``hex``).  Weak candidates
 (``ident``: account or client identifiers, ``key``: loosely labelled or bare keys,
-``endpoint``: addresses) are reported only when their complementary parts occur nearby:
+``endpoint``: addresses) are reported only when their complementary parts occur with them:
 
 * a key next to an identifier (``access`` or ``ident``) or an endpoint,
 * an identifier next to a secret (``assign``, ``hex`` or ``key``),
 * an endpoint next to both.
 
-"Nearby" is an interval join: same scope (text block between blank lines) and a gap of at
-most ``window`` code points.  It runs over the found parts only: one row per part, keyed by
-the document, with running maxima from either side (the nearest end before, the nearest start
-after).  So no pairs are ever formed and the cost is n log n in a document's parts.
+Parts belong together when they lie in the same scope, the interval between two blank lines,
+however long it is (a caller may ask for a gap of at most ``window`` code points besides).
+This interval join runs over the found parts only: one row per part, keyed by the document,
+with running maxima from either side (the nearest end before, the nearest start after).  So no
+pairs are ever formed and the cost is n log n in a document's parts.  Rows are told apart by
+partition and position: input whose order may change when it is computed again (behind a
+shuffle) must be written first, as the pipeline does.
 
 Positions come from splitting at the matches: the gap before match i plus its own length,
 summed up by a window.  Offsets are code points.
@@ -41,7 +44,6 @@ BLANK_LINES = r"\n[\x20\t\r]*\n\s*"
 
 #: Kinds in listing order; the first three are the base kinds.
 KINDS = ("assign", "access", "hex", "ident", "key", "endpoint")
-WINDOW = 400
 PART = "array<struct<kind:int,i:int,gap:bigint,len:bigint,ok:boolean>>"
 
 
@@ -59,7 +61,7 @@ def _parts(text: Column, kind: int, pattern: str, found: Column, ok: Column | No
     return F.when(F.size(found) > 0, some).otherwise(F.array().cast(PART))
 
 
-def secret_spans(docs: DataFrame, text_col: str = "text", window: int = WINDOW, carry: tuple[str, ...] | None = None) -> DataFrame:
+def secret_spans(docs: DataFrame, text_col: str = "text", window: int | None = None, carry: tuple[str, ...] | None = None) -> DataFrame:
     """One row per input row: ``row`` (struct of the ``carry`` columns, all by default) and
     ``spans`` (array of (start, rank, kind, stop, base), sorted)."""
     names = docs.columns if carry is None else list(carry)
@@ -91,7 +93,10 @@ def secret_spans(docs: DataFrame, text_col: str = "text", window: int = WINDOW,
     for role, has in roles.items():
         scoped = scoped.withColumn(f"{role}_a", F.min(F.when(has, F.col("start"))).over(after))
     scoped = scoped.withColumn("base_a", F.min(F.when(base, F.col("start"))).over(after))
-    near = lambda r: F.coalesce(F.col("start") - F.col(f"{r}_b") <= window, F.lit(False)) | F.coalesce(F.col(f"{r}_a") - F.col("stop") <= window, F.lit(False))
+    if window is None:
+        near = lambda r: F.col(f"{r}_b").isNotNull() | F.col(f"{r}_a").isNotNull()
+    else:
+        near = lambda r: F.coalesce(F.col("start") - F.col(f"{r}_b") <= window, F.lit(False)) | F.coalesce(F.col(f"{r}_a") - F.col("stop") <= window, F.lit(False))
     overlaps = F.coalesce(F.col("base_b") > F.col("start"), F.lit(False)) | F.coalesce(F.col("base_a") < F.col("stop"), F.lit(False))
     linked = F.when(kind == 3, near("secret")).when(kind == 4, near("id") | near("place")).when(kind == 5, near("id") & near("secret")).otherwise(False)
     reported = F.coalesce(base, F.lit(False)) | (F.coalesce(linked, F.lit(False)) & ~overlaps)
@@ -112,7 +117,7 @@ def secret_report(docs: DataFrame) -> DataFrame:
     return df.select(F.col("row.doc_id").alias("doc_id"), count("assign"), count("access"), count("hex"), F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 
-def redact_secrets(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", window: int = WINDOW) -> DataFrame:
+def redact_secrets(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", window: int | None = None) -> DataFrame:
     """``docs`` with every reported span replaced by ``[SECRET]`` (overlapping spans by one) and
     the character count brought up to date where the column exists."""
     found = secret_spans(docs, text_col, window)

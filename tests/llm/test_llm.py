@@ -300,27 +300,54 @@ def test_pii_finds_long_and_spelled_addresses(spark):
     assert list(pii.regions(text)) == [(30, 95)]
 
 
+def test_pii_keeps_rare_kinds_and_fixes_base_spans(spark):
+    """A kind in few regions is learnt beside thousands of another, and what touches a base
+    finding leaves the segments beside it to the path."""
+    mails = [f"Please write to person{i}@example{i % 7}.com about the order today." for i in range(4000)]
+    phones = [f"Please call +1 (269) 555-3{i:03d} about the order today." for i in range(12)]
+    plain = [f"Please call (269) 555-4{i:03d} about the order today." for i in range(8)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*mails, *phones, *plain])], "doc_id long, text string").repartition(4)
+    regions = pii.sample_regions(df)
+    assert sum("@" in r for r in regions) == pii.PER_KIND and sum("+1 (269)" in r for r in regions) == 12
+    found = {r["id"]: [x["kind"] for x in r["spans"] if not x["base"]] for r in pii.find_pii(df).filter("id >= 4012").collect()}
+    assert sum(k == ["phone"] for k in found.values()) >= 7, found
+    rng = np.random.default_rng(2)
+    for text in ("call 555-12 99 or a@b.c now", "a@b.c 555 12 99 x@y.z", "1 2 3 10.0.0.1 4 5 6"):
+        tokens = pii._TOKEN.findall(text)
+        names: dict = {}
+        cands = pii.indexed(pii.segments(tokens, "", ""), names, grow=True)
+        w = rng.normal(size=(4, len(names)))
+        base = [(a, b) for a, _, b in pii.base_spans(text)]
+        edges = np.r_[0, np.cumsum([len(x) for x in tokens])].tolist()
+        free = [c for c in cands if not any(edges[c[0]] < b and edges[c[1]] > a for a, b in base)]
+        scores = {(edges[i], k, edges[j]): w[k, f].sum() for i, j, f in free for k in range(4)}
+        assert sum(scores[s] for s in pii.decode(text, names, w, base=base)) == pytest.approx(brute_segmentation(len(tokens), free, w))
+
+
 def test_secret_linking(spark, docs, empty):
     got = secrets.secret_report(docs).collect()
     assert collections.Counter(r["base_sha256"] for r in got) == collections.Counter(hashlib.sha256(secret_base(t or "").encode()).hexdigest() for t in TEXTS)
-    far = " " * 500
+    far = " " * 6000
     texts = [
         "client_id: abc123 and key=Zx81kkQpw0 here",  # identifier and key: both
         "key=Zx81kkQpw0 alone",
-        "client_id: abc123" + far + "key=Zx81kkQpw0",  # too far apart
+        "client_id: abc123" + far + "key=Zx81kkQpw0",  # one scope, however long
         "client_id: abc123\n\nkey=Zx81kkQpw0",  # other scope
         "https://db.example.org client_id: abc123 key=Zx81kkQpw0",
         "password: token: abcdefgh token=é password=abcdef",
     ]
     got = {r["doc_id"]: r["spans"] for r in secrets.secret_report(frame(spark, texts)).collect()}
     assert got[0] == "ident:0:17,key:22:36"
-    assert got[1] == got[2] == got[3] == ""
+    assert got[1] == got[3] == ""
+    assert got[2] == "ident:0:17,key:6017:6031"
     assert got[4] == "endpoint:0:22,ident:23:40,key:41:55"
     assert got[5] == secret_base(texts[5])
     assert secrets.secret_report(empty).count() == 0
     clean = secrets.redact_secrets(frame(spark, texts))
     assert clean.columns == SCHEMA.replace(",", "").split()[::2]
     assert {r["doc_id"]: r["text"] for r in clean.collect()}[0] == "[SECRET] and [SECRET] here"
+    near = secrets.secret_spans(frame(spark, texts), window=400, carry=("doc_id",)).collect()
+    assert {r["row"]["doc_id"]: len(r["spans"]) for r in near} == {0: 2, 1: 0, 2: 0, 3: 0, 4: 3, 5: len(got[5].split(","))}
 
 
 # -- BPE ------------------------------------------------------------------------------------------
