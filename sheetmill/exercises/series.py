@@ -150,6 +150,20 @@ def i5_components_sum_to_total(spark, sf):
     return out.select("o_orderkey", F.round("components", 2).alias("components"), F.round("total", 2).alias("total"), "ok")
 
 
+@exercise(
+    "I5b_components_sum_exact",
+    """SELECT l_orderkey, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) AS components,
+              CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) AS total, true AS ok FROM lineitem GROUP BY l_orderkey""",
+)
+def i5b_components_sum_exact(spark, sf):
+    """Prices in cents per order, each beside 1e18 and -1e18 as further components, against the
+    sum of whole numbers: only exact sums let the large ones cancel and the cents stay."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", F.round(F.col("l_extendedprice") * 100).alias("cents"))
+    parts = li.select("l_orderkey", F.lit("part").alias("component"), F.explode(F.array(F.lit(1e18), F.col("cents"), F.lit(-1e18))).alias("value"))
+    total = li.groupBy("l_orderkey").agg(F.sum(F.col("cents").cast("long")).cast("double").alias("value")).select("l_orderkey", F.lit(C.TOTAL).alias("component"), "value")
+    return I.components_sum_to_total(union_all([parts, total]), ["l_orderkey"], component_col="component", exact=True)
+
+
 def _long_month_periods(spark, sf):
     o = table(spark, sf, "orders")
     start = F.date_trunc("month", "o_orderdate")

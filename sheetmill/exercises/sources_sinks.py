@@ -8,7 +8,7 @@ from sheetmill.exercises._registry import exercise, table
 from sheetmill.functions.dates import date_stamp
 from sheetmill.operators.grid import grid_from_lines
 from sheetmill.session import scratch_path
-from sheetmill.sources import files, html, manifest, medallion, workbook, xlsx_source
+from sheetmill.sources import files, html, manifest, medallion, profiles, workbook, xlsx_source
 
 # Shared SQL fragments for the oracle side (DuckDB dialect).
 ANCHOR_RE = r"""'(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>'"""
@@ -323,3 +323,29 @@ def b4_partition_pruned_read(spark, sf):
 @exercise("B5_date_stamp", "SELECT event_id, 'ingested=' || strftime(ts, '%Y-%m-%dT%H-%M-%SZ') AS stamp FROM events")
 def b5_date_stamp(spark, sf):
     return table(spark, sf, "events").select("event_id", date_stamp("ts", key="ingested").alias("stamp"))
+
+
+@exercise(
+    "G10b_profiles_of_versions",
+    """
+SELECT 'o_custkey' AS "column", count(*) AS rows, count(*) FILTER (WHERE o_custkey IS NULL) AS nulls, min(o_custkey)::DOUBLE AS low, max(o_custkey)::DOUBLE AS high, NULL::VARCHAR AS smallest, NULL::VARCHAR AS largest, count(DISTINCT o_custkey) AS exact_distinct, true AS distinct_close, true AS median_close FROM orders
+UNION ALL SELECT 'o_totalprice', count(*), count(*) FILTER (WHERE o_totalprice IS NULL), min(o_totalprice), max(o_totalprice), NULL, NULL, count(DISTINCT o_totalprice), true, true FROM orders
+UNION ALL SELECT 'o_orderpriority', count(*), count(*) FILTER (WHERE o_orderpriority IS NULL), NULL, NULL, min(o_orderpriority), max(o_orderpriority), count(DISTINCT o_orderpriority), true, NULL FROM orders""",
+)
+def g10b_profiles_of_versions(spark, sf):
+    """Orders published as three versions with profiles; the profile of all of them comes from
+    the kept sketches alone and is held against exact counts and ranks of the whole table."""
+    root = scratch_path(spark, "g10b")
+    names = ["o_custkey", "o_totalprice", "o_orderpriority"]
+    orders = table(spark, sf, "orders")
+    for part in range(3):
+        medallion.publish(orders.where(F.col("o_orderkey") % 3 == part), root, "silver", "tpch", "orders", "version", f"v{part}", profile=names)
+    kept = profiles.estimates(profiles.merged(profiles.read_profiles(spark, root, "silver", "tpch", "orders")))
+    medians = {r["column"]: r["q50"] for r in kept.select("column", "q50").collect()}  # one row per column named
+    exact = orders.agg(*[F.count_distinct(n).alias(f"d_{n}") for n in names], *[(F.count_if(F.col(n) <= medians[n]) / F.count(n)).alias(f"r_{n}") for n in names if medians[n] is not None])
+    rows = exact.select(F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"d_{n}").alias("exact_distinct"), (F.col(f"r_{n}") if medians[n] is not None else F.lit(None).cast("double")).alias("rank")) for n in names])))
+    return kept.join(rows, F.col("column") == F.col("name")).select(
+        "column", "rows", "nulls", "low", "high", "smallest", "largest", "exact_distinct",
+        (F.abs(F.col("distinct") - F.col("exact_distinct")) <= profiles.DISTINCT_ERROR * F.col("exact_distinct")).alias("distinct_close"),
+        (F.abs(F.col("rank") - 0.5) <= profiles.RANK_ERROR).alias("median_close"),
+    )

@@ -12,6 +12,7 @@ from sheetmill.operators import columns as E
 from sheetmill.operators import joins as J
 from sheetmill.operators import ranges
 from sheetmill.operators import reshape as D
+from sheetmill.operators import value_sets as V
 from sheetmill.sources.manifest import file_name, nested_get
 
 EVENT_TYPES = ["view", "signup", "purchase", "click", "error", "refund"]
@@ -258,9 +259,57 @@ def f7_unexpected_values(spark, sf):
     return J.unexpected_values(table(spark, sf, "orders"), "o_orderpriority", allowed=["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"])
 
 
+@exercise(
+    "F6b_missing_from_table",
+    """SELECT o_orderkey * 10 + n AS value FROM orders, range(1, 8) t(n)
+       EXCEPT SELECT l_orderkey * 10 + l_linenumber FROM lineitem""",
+)
+def f6b_missing_from_table(spark, sf):
+    """Line numbers 1 to 7 of every order that no order line has."""
+    numbers = F.explode(F.array(*[F.lit(n) for n in range(1, 8)]))
+    lines = table(spark, sf, "orders").select("o_orderkey", numbers.alias("n")).select((F.col("o_orderkey") * 10 + F.col("n")).cast("long").alias("line"))
+    seen = table(spark, sf, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("line"))
+    return V.missing_from_table(seen, "line", lines, "line")
+
+
+@exercise(
+    "F7b_unexpected_in_table",
+    "SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderkey IS NOT NULL)",
+)
+def f7b_unexpected_in_table(spark, sf):
+    """Orders with order lines that are not among the finished ones."""
+    finished = table(spark, sf, "orders").where("o_orderstatus = 'F'")
+    return V.unexpected_in_table(table(spark, sf, "lineitem"), "l_orderkey", finished, "o_orderkey")
+
+
+@exercise(
+    "I7b_rows_outside_calendar",
+    """SELECT o_orderkey, o_orderdate FROM orders
+       WHERE o_orderdate NOT IN (SELECT l_shipdate FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 50 AND l_shipdate IS NOT NULL)""",
+)
+def i7b_rows_outside_calendar(spark, sf):
+    """Orders placed on days that are none of a calendar's (ship days of large returned lines)."""
+    days = table(spark, sf, "lineitem").where("l_returnflag = 'R' AND l_quantity >= 50")
+    return V.rows_outside_table(table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", days, "l_shipdate")
+
+
 # ------------------------------------------------------------------ G
 
 
+@exercise(
+    "G1b_group_sum_exact",
+    """SELECT l_suppkey, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) AS cents, CAST(0 AS DOUBLE) AS cancelled FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY ALL""",
+)
+def g1b_group_sum_exact(spark, sf):
+    """Sum of prices in cents per supplier, and of all values with their negatives and
+    magnitudes far apart, which is zero to the last bit."""
+    cents = F.round(F.col("l_extendedprice") * 100)
+    far = F.explode(F.array(F.col("l_extendedprice"), F.col("l_extendedprice") * 1e12, -F.col("l_extendedprice"), -(F.col("l_extendedprice") * 1e12)))
+    sums = A.group_sum_exact(table(spark, sf, "lineitem").select("l_suppkey", cents.alias("c")), ["l_suppkey"], "c", "cents")
+    none = A.group_sum_exact(table(spark, sf, "lineitem").select("l_suppkey", far.alias("x")), ["l_suppkey"], "x", "cancelled")
+    return sums.join(none, "l_suppkey")
+
+
 @exercise(
     "G1_group_sum",
     "SELECT l_returnflag, l_linestatus, round(COALESCE(sum(l_quantity), 0), 2) AS sum_qty FROM lineitem WHERE l_returnflag IS NOT NULL AND l_linestatus IS NOT NULL GROUP BY ALL",

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetmill.operators.contracts import _sql_string
+from sheetmill.operators.exact import exact_sums
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], value: str, out: str = "value", drop_null_keys: bool = True) -> DataFrame:
@@ -24,6 +25,15 @@ def group_sum(df: DataFrame, keys: Sequence[str], value: str, out: str = "value"
     return src.groupBy(*keys).agg(F.coalesce(F.sum(value), F.lit(0)).alias(out))
 
 
+def group_sum_exact(df: DataFrame, keys: Sequence[str], value: str, out: str = "value") -> DataFrame:
+    """G1 as ``group_sum``, with the sum rounded once from its exact value: the same bits in any
+    order of the rows and from any partitioning."""
+    src = df
+    for k in keys:
+        src = src.where(F.col(k).isNotNull())
+    return exact_sums(src, keys, {out: F.col(value)}).withColumn(out, F.coalesce(out, F.lit(0.0)))
+
+
 def value_counts(df: DataFrame, col: str, out: str = "count") -> DataFrame:
     """G3 counts per value, NULL kept as a value, most frequent first."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias(out)).orderBy(F.desc(out), F.asc_nulls_first(col))

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sheetmill.operators.exact import exact_sums
+
 
 class ContractError(ValueError):
     """Raised when a DataFrame breaks its contract; lists every failing rule."""
@@ -216,27 +218,28 @@ def components_sum_to_total(
     component_col: str = "Tariff component",
     total_label: str = "Total_GB average",
     decimals: int = 6,
+    exact: bool = False,
 ) -> DataFrame:
     """I5 per group: sum of non-total components vs the total, both rounded.
 
     Missing side counts as 0 and an all-NULL sum is 0 (spreadsheet-tool sum).  A row with a
-    NULL component is a component; several totals of a group are summed; halves round to even.  A
-    single aggregation with conditional sums does the work of the sum + outer join
-    + fill: one shuffle on the group keys, partial aggregation map-side.
+    NULL component is a component; several totals of a group are summed; halves round to even.
+    With ``exact`` the sums are rounded once from their exact values (``operators.exact``), so
+    the verdict depends neither on the order of the rows nor on their partitioning; else a
+    single aggregation with conditional sums does it: one shuffle, partial sums map-side.
     Returns (group_cols, components, total, ok).
     """
     is_total = F.coalesce(F.col(f"`{component_col}`") == F.lit(total_label), F.lit(False))
     v = F.col(f"`{value_col}`")
-    grouped = df.groupBy(*[F.col(f"`{g}`") for g in group_cols]).agg(
-        F.coalesce(F.sum(F.when(~is_total, v)), F.lit(0.0)).alias("components"),
-        F.coalesce(F.sum(F.when(is_total, v)), F.lit(0.0)).alias("total"),
-    )
+    parts = {"components": F.when(~is_total, v), "total": F.when(is_total, v)}
+    sums = exact_sums(df, group_cols, parts) if exact else df.groupBy(*[F.col(f"`{g}`") for g in group_cols]).agg(*[F.sum(c).alias(n) for n, c in parts.items()])
+    grouped = sums.select(*[F.col(f"`{g}`") for g in group_cols], *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("components", "total")])
     return grouped.withColumn("ok", F.bround("components", decimals) == F.bround("total", decimals))
 
 
 def require_components_sum(df: DataFrame, group_cols: Sequence[str], **kw) -> None:
-    """Raise when any group's components do not sum to its total."""
-    bad = components_sum_to_total(df, group_cols, **kw).where(~F.col("ok"))
+    """Raise when any group's components do not sum to its total (exact sums)."""
+    bad = components_sum_to_total(df, group_cols, **{"exact": True, **kw}).where(~F.col("ok"))
     examples = bad.limit(5).collect()
     if examples:
         raise ContractError("components_sum_to_total", {"groups": [r.asDict() for r in examples]})

@@ -17,13 +17,14 @@ version or the new one, and a writer that dies at any step changes nothing.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetmill.operators.contracts import Contract, ContractError, observe_contract, raise_observed
 from sheetmill.session import remove_path
-from sheetmill.sources import commits
+from sheetmill.sources import commits, profiles
 from sheetmill.sources.files import layer_path, read_historical
 
 
@@ -45,10 +46,12 @@ def publish(
     version: str,
     contract: Contract | None = None,
     set_latest: bool = True,
+    profile: bool | Sequence[str] = False,
 ) -> dict[str, str]:
     """B2 publish a table as version ``<version_key>=<version>`` and as ``latest``
     (``set_latest=False`` leaves ``latest`` alone: a run of several versions sets it once at its
-    end).  Publishing a version again replaces it for readers that come later."""
+    end).  Publishing a version again replaces it for readers that come later.  ``profile``
+    keeps a profile of its columns (all, or those named) beside it (``sources.profiles``)."""
     spark: SparkSession = df.sparkSession
     base = layer_path(root, layer, dataset, "historical", table)
     folder = f"{partition_name(spark, version_key, version)}/run-{uuid.uuid4().hex}"
@@ -62,6 +65,8 @@ def publish(
         except ContractError:
             remove_path(spark, f"{base}/{folder}")
             raise
+    if profile:
+        profiles.write_profile(spark.read.schema(df.schema).parquet(f"{base}/{folder}"), root, layer, dataset, table, folder, None if profile is True else list(profile))
     records = commits.commits_path(root, layer, dataset, table)
     commits.commit(spark, records, commits.Commit(version_key, version, folder, (folder,) if set_latest else None))
     return {"historical": base, "commits": records, "folder": f"{base}/{folder}"}
