@@ -192,29 +192,59 @@ def registry(spark, texts: dict[str, tuple[str, ...]] | DataFrame) -> DataFrame:
     return rows.select(F.sha2("c", 256).alias("digest"), "name").groupBy("digest").agg(F.min("name").alias("name"))
 
 
-def _digest_map(spark, texts: dict[str, tuple[str, ...]] | DataFrame) -> Column:
-    """Literal map from digest to name."""
+Texts = dict[str, tuple[str, ...]] | DataFrame
+
+
+def _digest_map(spark, texts: dict[str, tuple[str, ...]]) -> Column:
+    """Literal map from digest to name, of a fixed list of texts."""
     rows = registry(spark, texts).orderBy("digest").collect()
     return F.str_to_map(F.lit("\x02".join(f"{r['digest']}\x01{r['name']}" for r in rows)), F.lit("\x02"), F.lit("\x01")) if rows else F.create_map().cast("map<string,string>")
 
 
-def scan_licenses(docs: DataFrame, licenses: dict[str, tuple[str, ...]] | DataFrame | None = None, notices: dict[str, tuple[str, ...]] | DataFrame | None = None, named: dict[str, tuple[str, ...]] | DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _title(line: Column) -> Column:
+    """Digest of what follows an opening in a canonical line (NULL without one)."""
+    return F.when(line.rlike(OPENING), F.sha2(F.regexp_replace(F.regexp_replace(line, OPENING, ""), ENDING, ""), 256))
+
+
+def _joined_notices(df: DataFrame, lines: DataFrame, titles: DataFrame) -> DataFrame:
+    """``df`` with the names found on its lines, by joins with registries of any size: one row
+    per line, two joins by digest, and the lines of a row gathered again."""
+    rows = df.withColumn("rid", F.monotonically_increasing_id())
+    spread = rows.select("rid", "doc_id", "digest", "license", F.explode_outer("about").alias("line"))
+    # rows without a line, and lines without an opening, get keys of their own that match nothing: no hot NULL key
+    spread = spread.select("rid", "doc_id", "digest", "license", F.coalesce(F.sha2("line", 256), F.concat(F.lit("-"), F.col("rid"))).alias("at_line"), _title(F.col("line")).alias("title"))
+    spread = spread.select("rid", "doc_id", "digest", "license", "at_line", F.coalesce("title", F.concat(F.lit("-"), F.col("at_line"))).alias("at_title"))
+    found = spread.join(lines.select(F.col("digest").alias("at_line"), F.col("name").alias("by_line")), "at_line", "left")
+    found = found.join(titles.select(F.col("digest").alias("at_title"), F.col("name").alias("by_title")), "at_title", "left")
+    names = F.collect_set(F.coalesce("by_line", "by_title"))  # at most the names on a row's lines
+    first = lambda c: F.first(c, ignorenulls=True).alias(c)
+    return found.groupBy("rid").agg(first("doc_id"), first("digest"), first("license"), names.alias("found"))
+
+
+def scan_licenses(docs: DataFrame, licenses: Texts | None = None, notices: Texts | None = None, named: Texts | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, digest, license, notices): the digest of the canonical form, the licence that
     the entire text is (NULL if none), and the notices on its lines (sorted, comma-joined).
     Registries are dicts or tables (name, text): entire licences, entire lines, and what follows
-    ``OPENING`` in a line; by default the known ones (no names beside other notices)."""
+    ``OPENING`` in a line; by default the known ones (no names beside other notices).  Dicts are
+    fixed lists and travel as literals or by broadcast; tables may be of any size and are joined
+    by digest, without a hint, in tasks."""
     spark = docs.sparkSession
-    known = F.broadcast(registry(spark, default_licenses() if licenses is None else licenses).select(F.col("digest").alias("known"), F.col("name").alias("license")))
-    lines = _digest_map(spark, default_notices() if notices is None else notices)
-    titles = _digest_map(spark, named if named is not None else {**NAMED, **_commons()} if notices is None else {})
+    known = registry(spark, default_licenses() if licenses is None else licenses).select(F.col("digest").alias("known"), F.col("name").alias("license"))
+    if not isinstance(licenses, DataFrame):
+        known = F.broadcast(known)  # as many rows as the list has texts
+    named = named if named is not None else {**NAMED, **_commons()} if notices is None else {}
+    notices = default_notices() if notices is None else notices
     t = text_of(text_col)
     about = F.filter(F.split(t, "\n"), lambda line: line.rlike("(?i)licen[sc]e"))
-    title = lambda c: F.when(c.rlike(OPENING), F.sha2(F.regexp_replace(F.regexp_replace(c, OPENING, ""), ENDING, ""), 256))
-    looked_up = lambda c: F.coalesce(F.element_at(lines, F.sha2(c, 256)), F.element_at(titles, title(c)))
     df = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.sha2(canonical(t), 256).alias("digest"), F.array_distinct(F.transform(about, canonical)).alias("about"))
-    df = df.join(known, F.col("digest") == F.col("known"), "left")  # the registry's size does not depend on the documents
-    found = F.filter(F.transform("about", looked_up), lambda n: n.isNotNull())
-    return df.select("doc_id", "digest", "license", F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("notices"))
+    df = df.join(known, F.col("digest") == F.col("known"), "left")
+    if isinstance(notices, DataFrame) or isinstance(named, DataFrame):
+        df = _joined_notices(df, registry(spark, notices), registry(spark, named))
+    else:
+        lines, titles = _digest_map(spark, notices), _digest_map(spark, named)
+        looked_up = lambda c: F.coalesce(F.element_at(lines, F.sha2(c, 256)), F.element_at(titles, _title(c)))
+        df = df.select("doc_id", "digest", "license", F.filter(F.transform("about", looked_up), lambda n: n.isNotNull()).alias("found"))
+    return df.select("doc_id", "digest", "license", F.array_join(F.array_sort(F.array_distinct("found")), ",").alias("notices"))
 
 
 def license_sql() -> str:

@@ -163,6 +163,10 @@ def test_license_registry_covers_common_texts(spark):
     mine = spark.createDataFrame([("Own", "Our own\nlicense text")], "name string, text string")
     one = licenses.scan_licenses(spark.createDataFrame([(1, "our OWN licence text")], "doc_id long, text string"), mine, mine).first()
     assert (one["license"], one["notices"]) == ("Own", "Own")
+    as_table = lambda texts: spark.createDataFrame([(n, t) for n, variants in texts.items() for t in variants], "name string, text string")
+    twice = df.select("doc_id", "text").unionByName(df.select("doc_id", "text")).unionByName(spark.createDataFrame([(None, None), (None, "x\nMIT license")], "doc_id long, text string"))
+    tables = licenses.scan_licenses(twice, as_table(licenses.default_licenses()), as_table(licenses.default_notices()), as_table({**licenses.NAMED, **licenses._commons()}))
+    assert sorted(map(str, tables.collect())) == sorted(map(str, licenses.scan_licenses(twice).collect()))
 
 
 # -- chat -----------------------------------------------------------------------------------------
