@@ -14,7 +14,9 @@ from sheetmill.operators.joins import union_all
 from sheetmill.operators.timeseries import carry_forward, diff, pct_change, period_over_period
 from sheetmill.plans import config as C
 from sheetmill.plans import price_cap as K
-from sheetmill.session import materialize
+from sheetmill.session import materialize, scratch_path
+from sheetmill.sources import files
+from sheetmill.streaming.series import publish_changes
 
 ASOF = "1998-08-02 00:00:00"
 
@@ -672,3 +674,37 @@ def h3_carry_forward(spark, sf):
 def j11_slugify(spark, sf):
     """Table-name slug rule applied to every page URL."""
     return table(spark, sf, "pages").select("page_id", slugify_col("url").alias("slug"))
+
+
+_LANDED_SQL = """
+WITH m AS (
+  SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS month,
+         CASE WHEN month(o_orderdate) = 7 THEN NULL ELSE round(sum(o_totalprice), 2) END AS value
+  FROM orders GROUP BY o_custkey, date_trunc('month', o_orderdate), month(o_orderdate)),
+f AS (SELECT *, last_value(value IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled,
+             lag(value) OVER (PARTITION BY o_custkey ORDER BY month) AS prev FROM m),
+p AS (SELECT *, lag(filled) OVER (PARTITION BY o_custkey ORDER BY month) AS pf FROM f)
+SELECT o_custkey, month, value, filled, round(value - prev, 2) AS change,
+       CASE WHEN pf > 0 THEN round_even((filled / pf - 1) * 100, 2) END AS pct, false AS late FROM p
+UNION ALL
+SELECT o_custkey, month, value, NULL, NULL, NULL, true FROM m WHERE year(month) = 1993 AND month(month) <= 2
+"""
+
+
+@exercise("H1b_changes_as_periods_land", _LANDED_SQL)
+def h1b_changes_as_periods_land(spark, sf):
+    """Monthly order value per customer (Julys without a value), landed in three steps and each
+    compared by a run of the stream that resumes after the one before; months landed a second time
+    come back as late rows.  All of it equals the comparison of the whole history."""
+    landing, root, ckpt = (scratch_path(spark, n) for n in ("h1b-landing", "h1b", "h1b-stream"))
+    o = table(spark, sf, "orders")
+    m = o.groupBy("o_custkey", F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("month")).agg(F.round(F.sum("o_totalprice"), 2).alias("value"))
+    m = materialize(m.withColumn("value", F.when(F.month("month") != 7, F.col("value"))), "h1b-months")
+    year = F.year("month")
+    again = (year == 1993) & (F.month("month") <= 2)
+    for part in (year <= 1993, (year > 1993) & (year <= 1996), (year > 1996) | again):
+        m.where(part).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(m.schema).parquet(landing)
+        publish_changes(stream, root, "orders", "monthly", ["o_custkey"], ["month"], "value", checkpoint_location=ckpt, pct_col="pct", split_by=year)
+    out = files.read_latest(spark, root, "gold", "orders", "monthly")
+    return out.select("o_custkey", "month", "value", "filled", F.round("change", 2).alias("change"), "pct", "late")

@@ -8,7 +8,7 @@ from sheetmill.exercises._registry import exercise, table
 from sheetmill.functions.dates import date_stamp
 from sheetmill.operators.grid import grid_from_lines
 from sheetmill.session import scratch_path
-from sheetmill.sources import files, html, manifest, medallion, profiles, workbook, xlsx_source
+from sheetmill.sources import content, evolution, files, html, manifest, medallion, profiles, workbook, xlsx_source
 
 # Shared SQL fragments for the oracle side (DuckDB dialect).
 ANCHOR_RE = r"""'(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>'"""
@@ -349,3 +349,56 @@ def g10b_profiles_of_versions(spark, sf):
         (F.abs(F.col("distinct") - F.col("exact_distinct")) <= profiles.DISTINCT_ERROR * F.col("exact_distinct")).alias("distinct_close"),
         (F.abs(F.col("rank") - 0.5) <= profiles.RANK_ERROR).alias("median_close"),
     )
+
+
+@exercise(
+    "A4b_versions_of_different_schemas",
+    """
+SELECT o_orderkey, o_custkey::DECIMAL(21, 2) AS o_custkey, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate, o_orderpriority, NULL::DOUBLE AS o_totalprice, '1' AS version FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL SELECT o_orderkey, (o_custkey / 4.0)::DECIMAL(21, 2), CAST(o_orderdate AS TIMESTAMP), NULL, o_totalprice, '2' FROM orders WHERE o_orderkey % 3 = 1
+UNION ALL SELECT o_orderkey, o_custkey::DECIMAL(21, 2), CAST(o_orderdate AS TIMESTAMP) + INTERVAL 5 HOUR, o_orderpriority, floor(o_totalprice), '3' FROM orders WHERE o_orderkey % 3 = 2""",
+)
+def a4b_versions_of_different_schemas(spark, sf):
+    """Orders published as three versions, with columns added, dropped and widened in between,
+    read as one table."""
+    root = scratch_path(spark, "a4b")
+    orders = table(spark, sf, "orders")
+    day, priority = F.col("o_orderdate").cast("date").alias("o_orderdate"), F.col("o_orderpriority")
+    shapes = [
+        ["o_orderkey", F.col("o_custkey").cast("bigint").alias("o_custkey"), day, priority],
+        ["o_orderkey", (F.col("o_custkey") / 4).cast("decimal(14,2)").alias("o_custkey"), day, F.col("o_totalprice").cast("double").alias("o_totalprice")],
+        [
+            priority,
+            F.floor("o_totalprice").cast("int").alias("o_totalprice"),
+            (F.col("o_orderdate").cast("timestamp_ntz") + F.expr("INTERVAL 5 HOURS")).alias("o_orderdate"),
+            F.col("o_custkey").cast("int").alias("o_custkey"),
+            "o_orderkey",
+        ],
+    ]
+    for n, shape in enumerate(shapes):
+        medallion.publish(orders.where(F.col("o_orderkey") % 3 == n).select(*shape), root, "silver", "tpch", "orders", "version", str(n + 1))
+    return evolution.read_evolved(spark, root, "silver", "tpch", "orders")
+
+
+@exercise(
+    "B3b_land_by_content",
+    """
+WITH first AS (SELECT url, html FROM pages),
+second AS (SELECT url, CASE WHEN page_id % 10 = 0 THEN html || '<!-- changed -->' ELSE html END AS html FROM pages),
+both_landings AS (SELECT '1' AS landed, * FROM first UNION ALL SELECT '2', * FROM second)
+SELECT landed, url AS path, sha256(html) AS digest, octet_length(encode(html))::BIGINT AS size_bytes, sha256(html) AS stored_digest,
+       (SELECT count(DISTINCT html) FROM both_landings) AS payloads
+FROM both_landings""",
+)
+def b3b_land_by_content(spark, sf):
+    """Page bodies landed twice, every tenth one changed in between: both manifests stay whole, only
+    bodies not stored yet are written, and each manifest row finds its bytes again."""
+    root = scratch_path(spark, "b3b")
+    pages = table(spark, sf, "pages")
+    changed = F.when(F.col("page_id") % 10 == 0, F.concat("html", F.lit("<!-- changed -->"))).otherwise(F.col("html"))
+    for version, body in (("1", F.col("html")), ("2", changed)):
+        content.land_by_content(pages.select(F.col("url").alias("path"), F.encode(body, "UTF-8").alias("content")), root, "pages", "landed", version)
+    rows = content.with_payload(files.read_historical(spark, root, "bronze", "pages", content.MANIFEST), root, "pages")
+    stored = content.known_payloads(spark, root, "bronze", "pages").agg(F.count(F.lit(1)).alias("payloads"))
+    out = rows.select(F.col("landed").cast("string").alias("landed"), "path", "digest", "size_bytes", F.sha2("content", 256).alias("stored_digest"))
+    return out.withColumn("payloads", F.lit(stored.first()["payloads"]))

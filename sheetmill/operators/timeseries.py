@@ -102,6 +102,7 @@ def period_over_period(
     scale: float = 100.0,
     decimals: int | None = 2,
     split_by: Column | None = None,
+    filled_col: str | None = None,
 ) -> DataFrame:
     """K7 = H1 + H2.  Per group, ordered by ``order`` (give all keys as tie-breaks):
 
@@ -110,8 +111,11 @@ def period_over_period(
       padded forward over NULLs inside the group when ``pad`` (the long-standing default
       of the percent-change routine of spreadsheet-style tools).  A previous value of 0
       gives +-infinity (NULL when ``inf_as_null``), 0/0 gives NULL;
-    * rows with a NULL group key get NULL change values (such keys form no group).
+    * rows with a NULL group key get NULL change values (such keys form no group);
+    * ``filled_col`` (H3, with ``pad`` only) keeps f; for a NULL key that is the value itself.
     """
+    if filled_col and not pad:
+        raise ValueError("filled_col needs pad=True")
     v = F.col(value)
     tmp = with_previous(
         df,
@@ -133,6 +137,8 @@ def period_over_period(
         if decimals is not None:
             pct = F.bround(pct, decimals)
         cols[pct_col] = F.when(bad_key | pf.isNull() | f.isNull(), F.lit(None)).otherwise(pct).cast("double")
+    if filled_col:
+        cols[filled_col] = F.when(bad_key, v).otherwise(f)
     return tmp.withColumns(cols).drop("__prev", "__f", "__pf")
 
 

@@ -68,7 +68,7 @@ def publish(
     if profile:
         profiles.write_profile(spark.read.schema(df.schema).parquet(f"{base}/{folder}"), root, layer, dataset, table, folder, None if profile is True else list(profile))
     records = commits.commits_path(root, layer, dataset, table)
-    commits.commit(spark, records, commits.Commit(version_key, version, folder, (folder,) if set_latest else None))
+    commits.commit(spark, records, commits.Commit(version_key, version, folder, (folder,) if set_latest else None, schema=df.schema.json()))
     return {"historical": base, "commits": records, "folder": f"{base}/{folder}"}
 
 
