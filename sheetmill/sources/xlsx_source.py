@@ -30,12 +30,14 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from xml.sax.saxutils import escape
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 
-from sheetmill.sources.workbook import _BATCH, CELL_SCHEMA, RANGE, Workbook, WorkbookError
+from sheetmill.sources.workbook import CELL_SCHEMA, RANGE, Workbook, WorkbookError
 
 PACKED = 4 << 20
 #: Distinct strings that a written workbook shares; more are written in place.
@@ -127,11 +129,8 @@ class XlsxReader(DataSourceReader):
                     book = Workbook(fh)
                     ranges = [(unit.sheet, unit.start, unit.end)] if unit.sheet else [(s, a, b) for s in self._wanted(book) for a, b in book.ranges(s, self.size)]
                     for sheet, start, end in ranges:
-                        cells = book.cells(sheet, start, end)
-                        while some := list(itertools.islice(cells, _BATCH)):
-                            row, col, value = zip(*some, strict=True)
-                            n = len(row)
-                            yield pa.RecordBatch.from_arrays([pa.array([unit.path] * n), pa.array([sheet] * n), pa.array(row, pa.int32()), pa.array(col, pa.int32()), pa.array(value, pa.string())], names=_FIELDS)
+                        for row, col, value in book.batches(sheet, start, end):
+                            yield pa.RecordBatch.from_arrays([pa.repeat(unit.path, len(row)), pa.repeat(sheet, len(row)), row, col, value], names=_FIELDS)
             except Exception as e:  # one message naming the file and sheet
                 raise WorkbookError(f"could not load sheet(s) {unit.sheet or self.required or 'all'} from {unit.path}: {e}") from e
 
@@ -150,6 +149,14 @@ def _text(value: str) -> str:
     return "".join(f"_x{ord(c):04X}_" if c < " " and c not in "\t\n" else c for c in escape(value))
 
 
+def _runs(batch: pa.RecordBatch, col: str) -> Iterator[tuple[str | None, pa.RecordBatch]]:
+    """Each value of a text column with the rows, one after the other, that have it."""
+    codes = batch[col].dictionary_encode(null_encoding="encode")
+    edges = [0, *(np.flatnonzero(np.diff(codes.indices.to_numpy())) + 1).tolist(), batch.num_rows] if batch.num_rows else [0]
+    for a, b in itertools.pairwise(edges):
+        yield batch[col][a].as_py(), batch.slice(a, b - a)
+
+
 class WorkbookWriter:
     """Writes one workbook, cell by cell in order, to a binary stream."""
 
@@ -182,28 +189,44 @@ class WorkbookWriter:
         self.pending.clear()
 
     def add(self, sheet: str, row: int, col: int, value: str, kind: str | None) -> None:
+        self.add_many(sheet, *(pa.array([x], t) for x, t in ((row, pa.int32()), (col, pa.int32()), (value, pa.string()), (kind, pa.string()))))
+
+    def add_many(self, sheet: str, row: pa.Array, col: pa.Array, value: pa.Array, kind: pa.Array) -> None:
+        """Cells of one sheet, in order."""
         if not self.sheets or sheet != self.sheets[-1]:
             self._open(sheet)
-        if row != self.row:
-            if row < self.row:
-                raise WorkbookError(f"rows of sheet '{sheet}' are not sorted")
-            self.pending.append(("</row>" if self.row >= 0 else "") + f'<row r="{row + 1}">')
-            self.row = row
-        at = f'<c r="{column_letters(col)}{row + 1}"'
-        if kind == "n":
-            cell = f"{at}><v>{value}</v></c>"
-        elif kind == "d":
-            cell = f'{at} s="1"><v>{(dt.date.fromisoformat(value) - dt.date(1899, 12, 30)).days}</v></c>'
-        elif kind == "b":
-            cell = f'{at} t="b"><v>{int(value.lower() in ("1", "true"))}</v></c>'
-        elif value in self.strings or len(self.strings) < SHARED:
-            cell = f'{at} t="s"><v>{self.strings.setdefault(value, len(self.strings))}</v></c>'
-        else:
-            cell = f'{at} t="inlineStr"><is><t xml:space="preserve">{_text(value)}</t></is></c>'
-        self.pending.append(cell)
+        rows = row.to_numpy()
+        before = np.concatenate(([self.row], rows[:-1]))
+        if (rows < before).any():
+            raise WorkbookError(f"rows of sheet '{sheet}' are not sorted")
+        self.row = int(rows[-1])
+        number = pc.add(row.cast(pa.int64()), 1).cast(pa.string())
+        ends = pc.if_else(pa.array(before >= 0), "</row>", "")
+        begins = pc.if_else(pa.array(rows != before), pc.binary_join_element_wise(ends, '<row r="', number, '">', ""), "")
+        letters = col.dictionary_encode()
+        column = pa.array([column_letters(i) for i in letters.dictionary.to_pylist()], pa.string()).take(letters.indices)
+        cells = pc.binary_join_element_wise(begins, '<c r="', column, number, '"', self._bodies(value, kind), "")
+        self.pending.extend(cells.to_pylist())
         if len(self.pending) > 4096:
             self._flush()
 
+    def _bodies(self, value: pa.Array, kind: pa.Array) -> pa.Array:
+        """What follows a cell's reference: numbers as they are, the rest once for each distinct value."""
+        other = pc.invert(pc.equal(kind, "n")).fill_null(True)
+        kinds = pc.if_else(pc.is_in(kind, pa.array(["d", "b"])), kind, "s")
+        keys = pc.binary_join_element_wise(kinds, value, "").filter(other).dictionary_encode()
+        bodies = pa.array([self._body(k[1:], k[0]) for k in keys.dictionary.to_pylist()], pa.string())
+        return pc.replace_with_mask(pc.binary_join_element_wise("><v>", value, "</v></c>", ""), other, bodies.take(keys.indices))
+
+    def _body(self, value: str, kind: str) -> str:
+        if kind == "d":
+            return f' s="1"><v>{(dt.date.fromisoformat(value) - dt.date(1899, 12, 30)).days}</v></c>'
+        if kind == "b":
+            return f' t="b"><v>{int(value.lower() in ("1", "true"))}</v></c>'
+        if value in self.strings or len(self.strings) < SHARED:
+            return f' t="s"><v>{self.strings.setdefault(value, len(self.strings))}</v></c>'
+        return f' t="inlineStr"><is><t xml:space="preserve">{_text(value)}</t></is></c>'
+
     def close(self) -> None:
         self._close()
         put = lambda name, body: self.zf.writestr(name, self.HEAD + body)
@@ -244,8 +267,9 @@ class XlsxWriter(DataSourceArrowWriter):
                 stream.close()
 
         for batch in iterator:
-            column = lambda c: batch.column(c).to_pylist() if c in batch.schema.names else [None] * batch.num_rows  # noqa: B023, E731
-            for path, sheet, row, col, value, kind in zip(*(column(c) for c in (*_FIELDS, "kind")), strict=True):
+            if "kind" not in batch.schema.names:
+                batch = batch.append_column("kind", pa.nulls(batch.num_rows, pa.string()))
+            for path, run in _runs(batch, "path"):
                 if path != name:
                     finish()
                     name = path
@@ -257,8 +281,8 @@ class XlsxWriter(DataSourceArrowWriter):
                     moves[path] = f"{temporary}/{path}"
                     stream = store.open_output_stream(moves[path])
                     book = WorkbookWriter(stream)
-                if value is not None:
-                    book.add(sheet, row, col, value, kind)
+                for sheet, cells in _runs(run.filter(pc.is_valid(run["value"])), "sheet_name"):
+                    book.add_many(sheet, *(cells[c] for c in ("row_idx", "col_idx", "value", "kind")))
         finish()
         return Written(tuple(moves.items()))
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import io
+import itertools
+import tempfile
 import zipfile
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -135,3 +138,60 @@ def test_shared_strings_of_a_written_workbook_are_bounded(monkeypatch):
     book.close()
     assert len(book.strings) == 5
     assert [v for _, _, _, v in W.iter_cells(out.getvalue())] == [f"v{r % 10}" for r in range(20)]
+
+
+def _sheet(rows, head="", tail="", main='xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'):
+    return f'<?xml version="1.0" encoding="UTF-8"?>\n<worksheet {main}>{head}<sheetData>{rows}</sheetData>{tail}</worksheet>'
+
+
+def _read_both(xml, monkeypatch, block):
+    """Cells by whatever way the reader takes, and by the XML parser alone."""
+    monkeypatch.setattr(W, "_BLOCK", block)
+    book = W.Workbook.__new__(W.Workbook)
+    book.dates, book.base = {"1"}, W.dt.datetime(1899, 12, 30)
+    texts = {i: f"shared {i}" for i in range(9)}
+    ways = []
+    for batches in (W._raw_batches, lambda pieces: W._raw_batches(itertools.chain([b"<!-- -->"], pieces))):
+        raw = list(batches(W._row_bytes(io.BytesIO(xml.encode()), 0, len(xml))) if batches is W._raw_batches else batches(iter([xml.split("?>\n")[1].encode()])))
+        ways.append([c for r in raw for c in zip(r["row"].to_pylist(), r["col"].to_pylist(), book._values(r, texts).to_pylist(), strict=True) if c[2] != ""])
+    return ways
+
+
+@pytest.mark.parametrize("block", [1, 200, 1 << 18])
+def test_plain_blocks_and_the_parser_agree(monkeypatch, block):
+    """Numbers in many forms, dates, booleans, shared strings, and all that is not a plain cell."""
+    numbers = ["0", "-0", "0.5", "-12.50", "45.0", "45.", "1e3", "1E-7", "0.00001", "123456789012345678", "999999999999999.0", "12345678901234.0", "1234567.1234567", "0012", "n/a", " 7 ", "nan", "-1.0", "3.10"]
+    plain = "".join(f'<row r="{i + 1}" spans="1:9"><c r="A{i + 1}"><v>{x}</v></c><c r="AB{i + 1}" s="1"><v>{45000 + i / 2}</v></c><c r="AC{i + 1}" s="3" t="s"><v>{i % 9}</v></c><c r="AD{i + 1}" t="b"><v>{i % 2}</v></c><c r="AE{i + 1}" s="2"/><c r="AF{i + 1}"><v></v></c></row>\n' for i, x in enumerate(numbers))
+    plain += '<row r="40"/><row r="41"></row><row r="42"><c r="A42"><v>9</v></c></row>'
+    odd = [
+        '<row r="50"><c r="A50"><f>A1+1</f><v>2.0</v></c></row>', '<row r="50"><c r="A50" t="inlineStr"><is><t>a&lt;b</t></is></c></row>', '<row r="50"><!-- <c r="A1"><v>1</v></c> --><c r="A50"><v>5</v></c></row>',
+        '<row r="50"><c t="n" r="A50"><v>5</v></c></row>', '<row r="50"><c><v>5</v></c></row>', '<row r="50"><c r="A50" t="str"><v>x&amp;y</v></c></row>', '<row r="50" xmlns="urn:other"><c r="A50"><v>5</v></c></row>',
+    ]
+    for rows in (plain, *(f"{plain}{x}{plain}" for x in odd), ""):
+        got, parsed = _read_both(_sheet(rows, "<cols/>", "<mergeCells/>"), monkeypatch, block)
+        assert got == parsed and (len(got) > 60 or not rows)
+    other, parsed = _read_both(_sheet(plain, main='xmlns="urn:other"'), monkeypatch, block)
+    assert other == parsed == []
+
+
+def test_cells_are_not_handled_one_by_one(monkeypatch):
+    """Reading and writing plain cells calls Python per distinct column, not per cell."""
+    calls = {"read": 0, "write": 0}
+    number, letters = W.column_number, X.column_letters
+    monkeypatch.setattr(W, "column_number", lambda x: (calls.__setitem__("read", calls["read"] + 1), number(x))[1])
+    monkeypatch.setattr(X, "column_letters", lambda i: (calls.__setitem__("write", calls["write"] + 1), letters(i))[1])
+    rows = [("a.xlsx", s, r, c, f"{r}.25" if c else f"s{r % 5}", "n" if c else "s") for s in ("S", "T") for r in range(3000) for c in range(4)]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=["path", "sheet_name", "row_idx", "col_idx", "value", "kind"])
+    with tempfile.TemporaryDirectory() as folder:
+        writer = X.XlsxWriter({"path": folder}, False)
+        writer.commit([writer.write(iter([batch.slice(0, 7001), batch.slice(7001)]))])
+        content = open(f"{folder}/a.xlsx", "rb").read()
+    one = io.BytesIO()
+    book = X.WorkbookWriter(one)
+    for _, *cell in rows[:40]:
+        book.add(*cell)
+    book.close()
+    assert list(W.iter_cells(one.getvalue())) == [r[1:5] for r in rows[:40]]
+    calls["write"] -= 40
+    assert list(W.iter_cells(content)) == [r[1:5] for r in rows]
+    assert max(calls.values()) < len(rows) / 50
