@@ -2,8 +2,10 @@
 
 A double is cut into whole multiples of powers of 2**32 (three of them hold its 53 bits).
 Multiples of the same power are whole numbers, so their sums are exact in any order and from
-any partitioning; a group holds at most some sixty of them.  The exact total is then brought
-into its one normal form (digits in base 2**32 of one sign) and rounded once, half to even.
+any partitioning; a group holds at most some sixty of them.  They are added in two halves of
+64-bit numbers, which hold for 2**46 rows a group.  The exact total is then brought into its one
+normal form (digits in base 2**32 of one sign, from the group's lowest power to its highest) and
+rounded once, half to even.
 
 Bits below 2**-992 are not counted.  Infinite values and NaN give what plain addition gives.
 NULLs are skipped; without any value the sum is NULL.
@@ -18,8 +20,8 @@ from pyspark.sql import functions as F
 
 BITS = 32
 LOWEST, HIGHEST = -29, 31
-_BASE = 1 << BITS
-_WHOLE = "decimal(38,0)"
+_MASK = (1 << BITS) - 1
+_HALF = 16
 
 
 def _power(limb: Column) -> Column:
@@ -34,7 +36,7 @@ def _with_limbs(df: DataFrame, i: int) -> DataFrame:
     """Adds, for the value ``__v<i>``, the whole multiples ``__p<i>_0`` to ``__p<i>_2`` of
     2**(32 * limb) for the limbs ``__t<i>`` and the two below; together they are the value."""
     v, top = F.col(f"__v{i}"), F.col(f"__t{i}")
-    guess = F.floor(F.log2(F.abs(v)) / BITS).cast("int")  # one off does no harm: three limbs still hold all bits
+    guess = F.when(v == 0, 0).otherwise(F.floor(F.log2(F.abs(v)) / BITS).cast("int"))  # one off does no harm: three limbs still hold all bits
     out = df.withColumn(f"__t{i}", F.when(_finite(v), F.greatest(F.lit(LOWEST), F.least(F.lit(HIGHEST), guess))))
     rest = F.when(_finite(v), v)
     for step in range(3):
@@ -45,49 +47,53 @@ def _with_limbs(df: DataFrame, i: int) -> DataFrame:
     return out
 
 
+def _one(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _digits(sums: Column) -> Column:
-    """Struct(sign, digits): base-2**32 digits from 2**(32 * (LOWEST - 2)) upwards, of one sign."""
-    first, last = LOWEST - 2, HIGHEST + 3  # room for the carries
-    at = lambda i: F.coalesce(F.aggregate(F.filter(sums, lambda s: s["limb"] == i), F.lit(0).cast(_WHOLE), lambda a, s: (a + s["total"]).cast(_WHOLE)), F.lit(0).cast(_WHOLE))
-    dense = F.transform(F.sequence(F.lit(first), F.lit(last)), at)
-    base = F.lit(_BASE).cast(_WHOLE)
+    """Struct(sign, digits, low): base-2**32 digits from 2**(32 * low) upwards, of one sign, of
+    the entries ``t, d0, d1, d2, d3`` (each d<k> a multiple of 2**(32 * (t + 1 - k)))."""
+
+    def at(i: Column) -> Column:
+        return F.aggregate(sums, F.lit(0).cast("long"), lambda a, s: a + F.when(s["t"] + 1 == i, s["d0"]).when(s["t"] == i, s["d1"]).when(s["t"] - 1 == i, s["d2"]).when(s["t"] - 2 == i, s["d3"]).otherwise(F.lit(0).cast("long")))
 
     def carry(acc: Column, x: Column) -> Column:
-        total = (acc["carry"] + x).cast(_WHOLE)
-        digit = F.pmod(total, base).cast("long")
-        return F.struct(((total - digit.cast(_WHOLE)) / base).cast(_WHOLE).alias("carry"), F.concat(acc["out"], F.array(digit)).alias("out"))
+        total = acc["carry"] + x
+        return F.struct(F.shiftright(total, BITS).alias("carry"), F.concat(acc["out"], F.array(total.bitwiseAND(F.lit(_MASK)))).alias("out"))
 
-    start = F.struct(F.lit(0).cast(_WHOLE).alias("carry"), F.array().cast("array<bigint>").alias("out"))
+    start = F.struct(F.lit(0).cast("long").alias("carry"), F.array().cast("array<bigint>").alias("out"))
     walk = lambda xs: F.aggregate(xs, start, carry)
-    one = lambda value, body: F.element_at(F.transform(F.array(value), body), 1)
-    return one(walk(dense), lambda up: F.when(up["carry"] >= 0, F.struct(F.lit(1).alias("sign"), up["out"].alias("digits"))).otherwise(
-        F.struct(F.lit(-1).alias("sign"), walk(F.transform(up["out"], lambda d: (-d).cast(_WHOLE)))["out"].alias("digits"))))
+    low, high = F.array_min(F.transform(sums, lambda s: s["t"])) - 2, F.array_max(F.transform(sums, lambda s: s["t"])) + 3  # room for the carries
+    signed = lambda up: F.when(up["carry"] >= 0, F.struct(F.lit(1).alias("sign"), up["out"].alias("digits"))).otherwise(
+        F.struct(F.lit(-1).alias("sign"), walk(F.transform(up["out"], lambda d: -d))["out"].alias("digits")))
+    return _one(low, lambda first: _one(walk(F.transform(F.sequence(first, high), at)), lambda up: signed(up).withField("low", first)))
 
 
 def _rounded(number: Column) -> Column:
     """The double nearest to the digits: 62 leading bits, the last of them set if any bit below
     is, so that the conversion rounds once and rightly."""
-    one = lambda value, body: F.element_at(F.transform(F.array(value), body), 1)  # noqa: E731  (evaluated once)
-    return one(number, lambda bound: _convert(bound, one))
+    return _one(number, _convert)
 
 
-def _convert(number: Column, one) -> Column:
+def _convert(number: Column) -> Column:
     shift = lambda name, x, n: F.call_function(name, x, n.cast("int"))
     digits, size = number["digits"], F.size(number["digits"])
     top = F.aggregate(F.sequence(F.lit(1), size), F.lit(0), lambda a, i: F.when(F.element_at(digits, i) != 0, i).otherwise(a))
 
     def convert(n: Column) -> Column:
         digit = lambda back: F.coalesce(F.try_element_at(digits, F.greatest(n - back, F.lit(1))), F.lit(0).cast("long")) * F.when(n > back, 1).otherwise(0)
-        return one(F.length(F.bin(digit(0))), lambda bits: one(
+        return _one(F.length(F.bin(digit(0))), lambda bits: _one(
             F.struct(
                 (shift("shiftleft", digit(0), 62 - bits) + F.when(bits <= 30, shift("shiftleft", digit(1), F.greatest(30 - bits, F.lit(0)))).otherwise(shift("shiftright", digit(1), F.greatest(bits - 30, F.lit(0))))
                  + F.when(bits <= 30, shift("shiftright", digit(2), bits + 2)).otherwise(0)).alias("lead"),
                 (F.when(bits > 30, (F.pmod(digit(1), shift("shiftleft", F.lit(1).cast("long"), F.greatest(bits - 30, F.lit(0)))) != 0) | (digit(2) != 0)).otherwise(F.pmod(digit(2), shift("shiftleft", F.lit(1).cast("long"), F.least(bits + 2, F.lit(32)))) != 0)
                  | F.exists(F.slice(digits, F.lit(1), F.greatest(n - 3, F.lit(0))), lambda d: d != 0)).alias("below"),
             ),
-            lambda w: (w["lead"].bitwiseOR(F.when(w["below"], 1).otherwise(0).cast("long"))).cast("double") * F.pow(F.lit(2.0), (n - 1 + LOWEST - 2) * BITS / 2.0) * F.pow(F.lit(2.0), (n - 1 + LOWEST - 2) * BITS / 2.0 + bits - 62)))
+            lambda w: (w["lead"].bitwiseOR(F.when(w["below"], 1).otherwise(0).cast("long"))).cast("double") * F.pow(F.lit(2.0), (n - 1 + number["low"]) * BITS / 2.0) * F.pow(F.lit(2.0), (n - 1 + number["low"]) * BITS / 2.0 + bits - 62)))
 
-    return number["sign"] * one(top, lambda n: F.when(n == 0, F.lit(0.0)).otherwise(convert(n)))
+    return number["sign"] * _one(top, lambda n: F.when(n == 0, F.lit(0.0)).otherwise(convert(n)))
 
 
 def exact_sums(df: DataFrame, keys: Sequence[str], sums: dict[str, Column]) -> DataFrame:
@@ -101,18 +107,21 @@ def exact_sums(df: DataFrame, keys: Sequence[str], sums: dict[str, Column]) -> D
     source = df.select(*cols, *[v.alias(f"__v{i}") for i, v in enumerate(values.values())])
     for i in range(len(values)):
         source = _with_limbs(source, i)
-    entries = [F.struct(F.lit(i).alias("m"), (F.col(f"__t{i}") - step).alias("limb"), F.col(f"__p{i}_{step}").cast("decimal(12,0)").alias("part")) for i in range(len(values)) for step in range(3)]
-    odd = [F.when(~_finite(F.col(f"__v{i}")), F.col(f"__v{i}")).alias(f"__odd{i}") for i in range(len(values))]
-    # the first entry of a row carries its values that are not finite, so that each counts once
-    spread = source.select(*cols, F.posexplode(F.array(*entries)).alias("__pos", "__e"), *odd)
-    partial = spread.groupBy(*cols, F.col("__e.m").alias("__m"), F.col("__e.limb").alias("__limb")).agg(
-        F.sum("__e.part").cast(_WHOLE).alias("__total"), *[F.sum(F.when(F.col("__pos") == 0, F.col(f"__odd{i}"))).alias(f"__odd{i}") for i in range(len(values))])
-    whole = partial.groupBy(*cols).agg(
-        F.collect_list(F.when(F.col("__limb").isNotNull(), F.struct(F.col("__m").alias("m"), F.col("__limb").alias("limb"), F.col("__total").alias("total")))).alias("__sums"),
-        *[F.sum(f"__odd{i}").alias(f"__odd{i}") for i in range(len(values))])
+    entry = lambda i: F.struct(F.lit(i).alias("__m"), F.col(f"__t{i}").alias("__t"), *[F.col(f"__p{i}_{step}").alias(f"__p{step}") for step in range(3)], F.when(~_finite(F.col(f"__v{i}")), F.col(f"__v{i}")).alias("__odd"))
+    there = F.filter(F.array(*[entry(i) for i in range(len(values))]), lambda e: e["__t"].isNotNull() | e["__odd"].isNotNull())
+    spread = source.select(*cols, F.explode_outer(there).alias("__e")).select(*cols, "__e.*")  # a row without values keeps its group
+    halves = [F.sum(F.shiftright(f"__p{step}", _HALF)).alias(f"__h{step}") for step in range(3)] + [F.sum(F.col(f"__p{step}").bitwiseAND(F.lit((1 << _HALF) - 1))).alias(f"__l{step}") for step in range(3)]
+    partial = spread.groupBy(*cols, "__m", "__t").agg(*halves, F.sum("__odd").alias("__odd"))
+    # what a limb's halves hold above 32 bits goes to the limb above
+    above = [F.shiftright(f"__h{step}", BITS - _HALF) for step in range(3)]
+    own = [F.shiftleft(F.col(f"__h{step}").bitwiseAND(F.lit((1 << (BITS - _HALF)) - 1)), _HALF) + F.col(f"__l{step}") for step in range(3)]
+    digits = {"d0": above[0], "d1": own[0] + above[1], "d2": own[1] + above[2], "d3": own[2]}
+    entries = partial.select(*cols, "__m", "__odd", F.when(F.col("__t").isNotNull(), F.struct(F.col("__t").alias("t"), *[d.alias(n) for n, d in digits.items()])).alias("__s"))
+    whole = entries.groupBy(*cols).agg(
+        *[F.collect_list(F.when(F.col("__m") == i, F.col("__s"))).alias(f"__sums{i}") for i in range(len(values))],
+        *[F.sum(F.when(F.col("__m") == i, F.col("__odd"))).alias(f"__odd{i}") for i in range(len(values))])
 
     def total(i: int) -> Column:
-        mine = F.filter("__sums", lambda s: s["m"] == i)
-        return F.when(F.col(f"__odd{i}").isNotNull(), F.col(f"__odd{i}")).when(F.size(mine) > 0, _rounded(_digits(mine)))
+        return F.when(F.col(f"__odd{i}").isNotNull(), F.col(f"__odd{i}")).when(F.size(f"__sums{i}") > 0, _rounded(_digits(F.col(f"__sums{i}"))))
 
     return whole.select(*cols, *[total(i).alias(name) for i, name in enumerate(values)])

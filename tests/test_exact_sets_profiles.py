@@ -43,6 +43,24 @@ def test_exact_sums_equal_fsum_in_any_order(spark):
     assert exact_sums(df.where("false"), ["g"], {"x": F.col("v")}).count() == 0
 
 
+def test_exact_sums_of_a_group_cost_little(spark):
+    """The digits of a group span its own limbs only, and whole numbers are added as 64-bit numbers."""
+    df = spark.range(40_000).select(F.expr("id div 2").alias("m"), F.expr("IF(id % 2 = 0, id, -id) * 0.01D").alias("t"))
+    sums = exact_sums(df, ["m"], {"x": F.col("t")})
+    plan = sums._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal" not in plan
+    assert {r["m"]: r["x"] for r in sums.where("m % 997 = 3").collect()} == {m: math.fsum([2 * m * 0.01, -(2 * m + 1) * 0.01]) for m in range(3, 20_000, 997)}
+
+
+def test_exact_sums_of_many_rows_carry(spark):
+    """Parts of one sign whose sums pass 32 bits by far, beside parts of the other sign."""
+    big, small = float(2**53 - 1) * 2.0**20, -float(2**53 - 1)
+    df = spark.range(0, 300_000, 1, 5).select(F.expr(f"IF(id % 3 = 0, {small!r}D, {big!r}D)").alias("v"))
+    exact = 200_000 * int(big) + 100_000 * int(small)
+    got = exact_sums(df, [], {"x": F.col("v"), "y": -F.col("v")}).first()
+    assert (got["x"], got["y"]) == (float(exact), -float(exact))
+
+
 def test_components_sum_cancels_exactly(spark):
     rows = [("a", "x", 1e17), ("a", "y", 0.25), ("a", "z", -1e17), ("a", "Total_GB average", 0.25), ("b", "x", None), ("b", None, 1.0), ("b", "Total_GB average", 2.0)]
     df = spark.createDataFrame(rows, "g string, `Tariff component` string, value double").repartition(3)
