@@ -178,20 +178,26 @@ def drop_empty(grid: DataFrame, keys: Sequence[str] = ("sheet_id",), bucket: int
     """C6 drop blank rows and columns and renumber both from 0 (dense ranks of the
     surviving row and column numbers per key).  Blank = absent or NULL.
 
-    Only the distinct (key, row) values are ranked (``dense_renumber``: partial
-    aggregation, then bucketed windows, so a sheet with a huge number of rows is spread
-    over many tasks); the distinct columns of a key are bounded by the sheet width and
-    ranked in one aggregate (``width_renumber``).  Both rank tables are joined back to the
-    cells on equi-keys.  When a
-    rank table is small, AQE broadcasts it on its measured size and the cells are not
-    shuffled at all; otherwise both joins are sort-merge joins, skew-split by AQE.
+    The cells are shuffled once, by (keys, bucket of ``bucket`` consecutive rows), so a sheet with
+    a huge number of rows is spread over many tasks; a dense rank within the bucket and the
+    number of rows in the buckets before give the new row.  A table of one row per (keys, bucket)
+    holds that number and the sorted distinct columns of the key (bounded by the sheet width), in
+    which a column's place is its new number.  Its join finds the cells already dealt out by
+    its keys.
     """
     ks = _k(keys)
-    cells = grid.where(F.col(VAL).isNotNull())
-    rows = dense_renumber(cells, ks, ROW, bucket).withColumnRenamed("__new", "__row")
-    cols = width_renumber(cells, ks, COL).withColumnRenamed("__new", "__col")
-    out = cells.join(rows, on=[*ks, ROW]).join(cols, on=[*ks, COL])
-    return out.select(*[c for c in grid.columns if c not in (ROW, COL)], F.col("__row").alias(ROW), F.col("__col").alias(COL)).select(*grid.columns)
+    cells = grid.where(F.col(VAL).isNotNull()).withColumn("__b", F.floor(F.col(ROW) / bucket))
+    counts = cells.where(F.col(ROW).isNotNull()).select(*ks, "__b", ROW).distinct().groupBy(*ks, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*ks).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*ks, "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    cols = cells.where(F.col(COL).isNotNull()).groupBy(*ks).agg(F.sort_array(F.collect_set(COL)).alias("__cols"))
+    ranked = cells.withColumn("__row", F.dense_rank().over(Window.partitionBy(*ks, "__b").orderBy(ROW)) - 1)
+    placed = ranked.where(F.col(COL).isNotNull()).join(offsets.join(cols, on=ks) if ks else offsets.crossJoin(cols), on=[*ks, "__b"])
+    # where no column before is missing, a column is at its own place
+    there = F.when(F.col(COL) >= 0, F.try_element_at("__cols", F.col(COL) + 1)) == F.col(COL)
+    place = F.when(there & (F.element_at("__cols", 1) >= 0), F.col(COL)).otherwise(F.array_position("__cols", F.col(COL)) - 1)
+    out = placed.select(*grid.columns, (F.col("__off") + F.col("__row")).cast("int").alias("__row"), place.cast("int").alias("__col"))
+    return out.withColumns({ROW: F.col("__row"), COL: F.col("__col")}).select(*grid.columns)
 
 
 def ffill_right(grid: DataFrame, keys: Sequence[str] = ("sheet_id",)) -> DataFrame:

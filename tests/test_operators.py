@@ -200,3 +200,22 @@ def test_between_join_bounds(spark):
     assert sorted((r["k"], r["x"]) for r in inc.collect()) == [(1, 5), (1, 10), (2, 100)]
     half = J.between_join(df, b, [("k", "bk")], "x", "lo", "hi", hi_inclusive=False)
     assert sorted((r["k"], r["x"]) for r in half.collect()) == [(1, 5), (2, 100)]
+
+
+def test_drop_empty_shuffles_a_cell_once(spark):
+    """Missing and negative columns, repeated cells and NULL keys, rows and columns; one exchange holds values."""
+    import random
+
+    rng = random.Random(4)
+    pick = lambda *xs: rng.choice([None, *xs, *xs])
+    rows = [(pick("s", "t", "u"), pick(*range(-3, 40, 3)), pick(*(range(-2, 9, 3) if n % 2 else range(6))), pick("v", ""), n) for n in range(900)]
+    rows += [("full", r, c, f"{r}.{c}", 0) for r in range(5) for c in range(4)]
+    grid = spark.createDataFrame(rows, "sheet_id string, row_idx int, col_idx int, value string, more int").repartition(5)
+    cells = [r for r in rows if r[3] is not None]
+    place = lambda s, k, x: sorted({r[k] for r in cells if r[0] == s and r[k] is not None}).index(x)
+    want = [(s, place(s, 1, r), place(s, 2, c), v, n) for s, r, c, v, n in cells if None not in (s, r, c)]
+    out = G.drop_empty(grid, bucket=4)
+    assert sorted(map(tuple, out.collect())) == sorted(want) and out.schema["row_idx"].dataType == out.schema["col_idx"].dataType == grid.schema["row_idx"].dataType
+    plan = spark._jvm.PythonSQLUtils.explainString(G.drop_empty(grid)._jdf.queryExecution(), "formatted")
+    held = [b for b in plan.split("\n\n") if ") Exchange\n" in b and "hashpartitioning" in b and "value#" in b.split("Input", 1)[1].split("\n")[0]]
+    assert len(held) == 1
