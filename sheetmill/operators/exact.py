@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 BITS = 32
 LOWEST, HIGHEST = -29, 31
-_MASK = (1 << BITS) - 1
+_BASE = 1 << BITS
+_MASK = _BASE - 1
 _HALF = 16
 
 
@@ -96,6 +97,23 @@ def _convert(number: Column) -> Column:
     return number["sign"] * _one(top, lambda n: F.when(n == 0, F.lit(0.0)).otherwise(convert(n)))
 
 
+def _high(s: Column) -> Column:
+    """The upper digits of a group's only entry as one number, where they fit."""
+    fits = (s["t"] >= -20) & (s["t"] <= 20) & (s["d0"] >= -1) & (s["d0"] <= 0)
+    top = s["d0"] * F.lit(_BASE) + s["d1"]
+    return F.when(fits & (F.abs(top) < 1 << 29), top * F.lit(_BASE) + s["d2"])
+
+
+def _short(s: Column, high: Column, bits: Column) -> Column:
+    """The double nearest to ``high`` * 2**32 + d3: as many bits of d3 as a 64-bit number has room
+    for are moved up, and the last bit is set if a bit below is, so that it rounds once."""
+    shift = lambda name, x, n: F.call_function(name, x, n.cast("int"))
+    room = F.least(F.lit(62) - bits, F.lit(BITS))
+    lead = shift("shiftleft", high, room) + shift("shiftright", s["d3"], F.lit(BITS) - room)
+    below = F.pmod(s["d3"], shift("shiftleft", F.lit(1).cast("long"), F.lit(BITS) - room)) != 0
+    return lead.bitwiseOR(F.when(below, 1).otherwise(0).cast("long")).cast("double") * F.pow(F.lit(2.0), (s["t"] - 1) * BITS - room)
+
+
 def exact_sums(df: DataFrame, keys: Sequence[str], sums: dict[str, Column]) -> DataFrame:
     """G1 one row per group of ``keys`` with the exactly rounded sum of each expression.
 
@@ -116,12 +134,22 @@ def exact_sums(df: DataFrame, keys: Sequence[str], sums: dict[str, Column]) -> D
     above = [F.shiftright(f"__h{step}", BITS - _HALF) for step in range(3)]
     own = [F.shiftleft(F.col(f"__h{step}").bitwiseAND(F.lit((1 << (BITS - _HALF)) - 1)), _HALF) + F.col(f"__l{step}") for step in range(3)]
     digits = {"d0": above[0], "d1": own[0] + above[1], "d2": own[1] + above[2], "d3": own[2]}
-    entries = partial.select(*cols, "__m", "__odd", F.when(F.col("__t").isNotNull(), F.struct(F.col("__t").alias("t"), *[d.alias(n) for n, d in digits.items()])).alias("__s"))
+    entries = partial.select(*cols, "__m", "__t", "__odd", *[d.alias(f"__{n}") for n, d in digits.items()])
+    for n, up in (("3", "2"), ("2", "1"), ("1", "0")):  # every digit but the first in 0 to 2**32 - 1
+        entries = entries.withColumn(f"__d{up}", F.col(f"__d{up}") + F.shiftright(f"__d{n}", BITS)).withColumn(f"__d{n}", F.col(f"__d{n}").bitwiseAND(F.lit(_MASK)))
+    nothing = (F.col("__d0") == 0) & (F.col("__d1") == 0) & (F.col("__d2") == 0) & (F.col("__d3") == 0)
+    entry = F.when(F.col("__t").isNotNull() & ~nothing, F.struct(F.col("__t").alias("t"), *[F.col(f"__{n}").alias(n) for n in digits]))
+    entries = entries.select(*cols, "__m", "__t", "__odd", entry.alias("__s"))
     whole = entries.groupBy(*cols).agg(
         *[F.collect_list(F.when(F.col("__m") == i, F.col("__s"))).alias(f"__sums{i}") for i in range(len(values))],
+        *[F.count(F.when(F.col("__m") == i, F.col("__t"))).alias(f"__of{i}") for i in range(len(values))],
         *[F.sum(F.when(F.col("__m") == i, F.col("__odd"))).alias(f"__odd{i}") for i in range(len(values))])
+    for i in range(len(values)):
+        whole = whole.withColumn(f"__first{i}", F.when(F.size(f"__sums{i}") == 1, F.try_element_at(f"__sums{i}", F.lit(1))))
+        whole = whole.withColumn(f"__high{i}", _high(F.col(f"__first{i}"))).withColumn(f"__bits{i}", F.length(F.bin(F.abs(F.col(f"__high{i}")))))
 
     def total(i: int) -> Column:
-        return F.when(F.col(f"__odd{i}").isNotNull(), F.col(f"__odd{i}")).when(F.size(f"__sums{i}") > 0, _rounded(_digits(F.col(f"__sums{i}"))))
+        short = _short(F.col(f"__first{i}"), F.col(f"__high{i}"), F.col(f"__bits{i}"))
+        return F.when(F.col(f"__odd{i}").isNotNull(), F.col(f"__odd{i}")).when(F.col(f"__of{i}") == 0, F.lit(None)).when(F.size(f"__sums{i}") == 0, F.lit(0.0)).when(F.col(f"__high{i}").isNotNull(), short).otherwise(_rounded(_digits(F.col(f"__sums{i}"))))
 
     return whole.select(*cols, *[total(i).alias(name) for i, name in enumerate(values)])

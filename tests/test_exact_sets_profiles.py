@@ -61,6 +61,16 @@ def test_exact_sums_of_many_rows_carry(spark):
     assert (got["x"], got["y"]) == (float(exact), -float(exact))
 
 
+def test_exact_sums_of_one_power_round_once(spark):
+    """Groups whose multiples lie side by side, ties and bits just below and above them, of either sign."""
+    rng = random.Random(8)
+    groups = {g: [rng.choice((-1, 1)) * rng.random() * 2.0 ** (32 * rng.choice((k, k)) + rng.randint(0, 31)) for _ in range(rng.randint(1, 4))] for g, k in enumerate(rng.randint(-19, 19) for _ in range(500))}
+    for g, (a, b) in enumerate([(2.0**31, 2.0**-22), (2.0**31, 2.0**-23), (2.0**31 + 2.0**-21, 2.0**-22), (2.0**20, -(2.0**-34)), (1.0, -1.0), (2.0**31, 2.0**31)], 1000):
+        groups[g], groups[-g] = [a, b, 0.0], [-a, -b]
+    df = spark.createDataFrame([(g, v) for g, values in groups.items() for v in values], "g int, v double")
+    assert {r["g"]: r["x"] for r in exact_sums(df, ["g"], {"x": F.col("v")}).collect()} == {g: math.fsum(values) for g, values in groups.items()}
+
+
 def test_components_sum_cancels_exactly(spark):
     rows = [("a", "x", 1e17), ("a", "y", 0.25), ("a", "z", -1e17), ("a", "Total_GB average", 0.25), ("b", "x", None), ("b", None, 1.0), ("b", "Total_GB average", 2.0)]
     df = spark.createDataFrame(rows, "g string, `Tariff component` string, value double").repartition(3)
