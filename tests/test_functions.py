@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from sheetmill.functions import dates as J
 from sheetmill.functions.numeric import ratio, to_number
-from sheetmill.functions.text import clean_header, standardise_name
+from sheetmill.functions.text import basename, clean_header, standardise_name
 
 
 def one(spark, col):
@@ -90,3 +92,20 @@ def test_ratio_and_to_number(spark):
     ).first()
     assert row["a"] == float("inf") and row["b"] == float("-inf") and row["c"] is None and row["d"] is None
     assert row["e"] == 12.5 and row["f"] is None
+
+
+def test_basename_of_odd_paths(spark):
+    """The same as the plain pattern gives, also around line ends, and NULL for NULL."""
+    texts = ["".join(x) for n in range(5) for x in itertools.product("a/é\n\r\u2028", repeat=n)] + [None, "s3://b/c d//", "/x/y.xlsx", "a/\x85", "b/c/\r\n"]
+    paths = spark.createDataFrame([(t,) for t in texts], "path string")
+    pattern = F.regexp_extract("path", r"([^/]*)/*$", 1)
+    assert paths.where(~basename("path").eqNullSafe(pattern)).collect() == []
+
+
+def test_basename_takes_time_by_length_only(spark):
+    """No new try at every character of a long segment (the plain pattern takes steps by its square)."""
+    paths = spark.range(1).select(F.concat(F.lit("/"), F.repeat(F.lit("a"), 50_000), F.lit("/b.xlsx/"), F.col("id").cast("string")).alias("path"))
+    one(spark, F.lit(0))
+    began = time.monotonic()
+    ends = paths.select(basename("path").alias("x"), basename(F.concat("path", F.lit("/\n"))).alias("y")).first()
+    assert tuple(ends) == ("0", "0") and time.monotonic() - began < 10
