@@ -53,20 +53,18 @@ FROM c WHERE value IS NOT NULL
 
 def _order_books(spark, sf):
     """Cells of one workbook per block of 16,384 order keys: a sheet of order lines (numbers, shared
-    strings, date cells) and a sheet of line states."""
+    strings, date cells) and a sheet of line states.  Lines are shuffled once, by workbook: grouped,
+    made cells and written there."""
     best = [F.max(c).alias(c) for c in ("l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate", "l_linestatus")]
-    lines = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(*best)
-    cell = lambda sheet, col, kind, value: F.struct(F.lit(sheet).alias("sheet_name"), F.lit(col).alias("col_idx"), F.lit(kind).alias("kind"), value.cast("string").alias("value"))
-    cells = F.array(
-        cell("Lines", 0, "n", F.col("l_quantity")),
-        cell("Lines", 1, "n", F.col("l_extendedprice")),
-        cell("Lines", 2, "s", F.col("l_returnflag")),
-        cell("Lines", 3, "d", F.date_format("l_shipdate", "yyyy-MM-dd")),
-        cell("State", 0, "s", F.col("l_linestatus")),
-    )
     book = F.format_string("lines-%06d.xlsx", F.floor(F.col("l_orderkey") / 16384))
+    lines = table(spark, sf, "lineitem").withColumn("path", book).repartition("path").groupBy("l_orderkey", "l_linenumber", "path").agg(*best)
+    sheet = lambda name, kinds, *values: F.struct(F.lit(name).alias("sheet_name"), F.lit(kinds).alias("kinds"), F.array(*(v.cast("string") for v in values)).alias("values"))
+    sheets = F.array(
+        sheet("Lines", "nnsd", F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_returnflag"), F.date_format("l_shipdate", "yyyy-MM-dd")),
+        sheet("State", "s", F.col("l_linestatus")),
+    )
     row = (F.col("l_orderkey") % 16384 * 8 + F.col("l_linenumber")).cast("int")
-    return lines.select(book.alias("path"), row.alias("row_idx"), F.inline(cells)).select("path", "sheet_name", "row_idx", "col_idx", "value", "kind")
+    return lines.select("path", row.alias("row_idx"), F.inline(sheets))
 
 
 @exercise("A1_workbook_cells", _BOOK_SQL)
@@ -74,7 +72,7 @@ def a1_workbook_cells(spark, sf):
     """All order lines written as .xlsx files by tasks, then one sheet of every workbook decoded, a
     large sheet by several tasks."""
     folder = scratch_path(spark, "a1-books")
-    xlsx_source.write_workbooks(_order_books(spark, sf), folder)
+    xlsx_source.write_workbooks(_order_books(spark, sf), folder, dealt=True)
     cells = workbook.read_workbook_cells(spark, folder, range_bytes=4 << 20).where(F.col("sheet_name") == "Lines")
     return cells.select(manifest.file_name("path").alias("workbook"), "row_idx", "col_idx", "value")
 

@@ -68,18 +68,18 @@ def ends_with_ci(c: Column | str, suffix: str) -> Column:
     return F.endswith(F.lower(_col(c)), F.lit(suffix.lower()))
 
 
-#: What a pattern's ``$`` lets stand after it at the end of a text.
-_LINE_ENDS = ("\n", "\r", "\x85", "\u2028", "\u2029")
+#: Last segments to look at again: none, or one that a pattern's ``$`` lets stand after it.
+_NO_SEGMENT = ("", "\n", "\r", "\r\n", "\x85", "\u2028", "\u2029")
 
 
 def basename(c: Column | str) -> Column:
     """A11 last path segment of a URL or path, ignoring trailing slashes ('' when none).
 
-    Cut out by byte functions; only a text that ends a line goes through the pattern, which is
-    tried at the beginnings of segments alone and does not step back."""
+    Cut out behind the last slash; only where no name stands there the path goes through the
+    pattern, which is tried at the beginnings of segments alone and does not step back."""
     path = _col(c)
-    by_pattern = F.regexp_extract(path, r"(?<![^/])([^/]*+)/*+$", 1)
-    return F.when(F.right(path, F.lit(1)).isin(*_LINE_ENDS), by_pattern).otherwise(F.substring_index(F.rtrim(path, F.lit("/")), "/", -1))
+    last = F.substring_index(path, "/", -1)
+    return F.when(last.isin(*_NO_SEGMENT), F.regexp_extract(path, r"(?<![^/])([^/]*+)/*+$", 1)).otherwise(last)
 
 
 def citation(*parts: Column | str) -> Column:

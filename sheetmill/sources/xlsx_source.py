@@ -14,7 +14,9 @@ one on ``path`` prunes files.  The option ``sheets`` (a JSON list) names sheets
 
 Writing takes rows ``path, sheet_name, row_idx, col_idx, value`` and optionally ``kind`` (``n``
 number, ``d`` ISO date, ``b`` true or false, anything else text), each workbook within one task
-and sorted by sheet, row and column; it streams sheet after sheet into the zip.  Tasks
+and sorted by sheet, row and column; it streams sheet after sheet into the zip.  A whole row of a
+sheet may come as one: ``path, sheet_name, row_idx, values, kinds``, an array of the texts from the
+first column on (null: no cell) and a text with the kind of each.  Tasks
 write under a temporary folder; the commit moves finished workbooks to their names, so a failed
 or repeated task leaves nothing behind.
 """
@@ -43,6 +45,10 @@ PACKED = 4 << 20
 #: Distinct strings that a written workbook shares; more are written in place.
 SHARED = 1 << 16
 _FIELDS = ["path", "sheet_name", "row_idx", "col_idx", "value"]
+#: Dates whose text Arrow reads as Python does.
+_PLAIN_DATE = "^[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}$"
+#: Day 0 of a workbook's dates, in days from 1970-01-01.
+_DAY_0 = (dt.date(1899, 12, 30) - dt.date(1970, 1, 1)).days
 
 
 def open_store(path: str) -> tuple[pafs.FileSystem, str]:
@@ -157,6 +163,37 @@ def _runs(batch: pa.RecordBatch, col: str) -> Iterator[tuple[str | None, pa.Reco
         yield batch[col][a].as_py(), batch.slice(a, b - a)
 
 
+def _with_values(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Whole rows, without those that hold no value at all."""
+    of = pc.list_parent_indices(batch["values"]).filter(pc.is_valid(batch["values"].flatten()))
+    kept = pc.unique(of)
+    return batch if len(kept) == batch.num_rows else batch.take(kept)
+
+
+def _cells(run: pa.RecordBatch) -> list[pa.Array]:
+    """Row, column, value and kind of the cells with a value."""
+    if "values" not in run.schema.names:
+        columns = [run[c] for c in ("row_idx", "col_idx", "value", "kind")]
+    else:
+        value, of = run["values"].flatten(), pc.list_parent_indices(run["values"])
+        sizes = pc.list_value_length(run["values"]).fill_null(0).to_numpy()
+        wide = int(sizes.max(initial=0))
+        col = np.arange(len(value)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        kinds = run["kinds"].fill_null("").dictionary_encode()
+        letters = np.array([[ord(x) for x in k.ljust(wide)[:wide]] for k in kinds.dictionary.to_pylist()], np.int32)
+        told = letters[kinds.indices.take(of).to_numpy(), col]
+        kind = pa.array([chr(i) for i in range(128)]).take(pa.array(np.where(told < 128, told, 0)))
+        columns = [run["row_idx"].take(of), pa.array(col, pa.int32()), value, kind]
+    there = pc.is_valid(columns[2])
+    return columns if columns[2].null_count == 0 else [c.filter(there) for c in columns]
+
+
+def _joined(texts: pa.Array) -> bytes:
+    """The texts one after the other, as they lie in memory."""
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    return texts.buffers()[2].slice(ends[0], ends[-1] - ends[0]).to_pybytes() if ends[-1] > ends[0] else b""
+
+
 class WorkbookWriter:
     """Writes one workbook, cell by cell in order, to a binary stream."""
 
@@ -168,7 +205,7 @@ class WorkbookWriter:
         self.zf = zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED, allowZip64=True)
         self.sheets: list[str] = []
         self.strings: dict[str, int] = {}
-        self.part, self.row, self.pending = None, -1, []
+        self.part, self.row, self.pending, self.size = None, -1, [], 0
 
     def _open(self, sheet: str) -> None:
         self._close()
@@ -176,17 +213,18 @@ class WorkbookWriter:
             raise WorkbookError(f"cells of sheet '{sheet}' are not sorted")
         self.sheets.append(sheet)
         self.part, self.row = self.zf.open(f"xl/worksheets/sheet{len(self.sheets)}.xml", "w", force_zip64=True), -1
-        self.pending.append(f"{self.HEAD}<worksheet {self.MAIN}><sheetData>")
+        self.pending.append(f"{self.HEAD}<worksheet {self.MAIN}><sheetData>".encode())
 
     def _close(self) -> None:
         if self.part is not None:
-            self.pending.append(("</row>" if self.row >= 0 else "") + "</sheetData></worksheet>")
+            self.pending.append((b"</row>" if self.row >= 0 else b"") + b"</sheetData></worksheet>")
             self._flush()
             self.part.close()
 
     def _flush(self) -> None:
-        self.part.write("".join(self.pending).encode())
+        self.part.write(b"".join(self.pending))
         self.pending.clear()
+        self.size = 0
 
     def add(self, sheet: str, row: int, col: int, value: str, kind: str | None) -> None:
         self.add_many(sheet, *(pa.array([x], t) for x, t in ((row, pa.int32()), (col, pa.int32()), (value, pa.string()), (kind, pa.string()))))
@@ -206,21 +244,34 @@ class WorkbookWriter:
         letters = col.dictionary_encode()
         column = pa.array([column_letters(i) for i in letters.dictionary.to_pylist()], pa.string()).take(letters.indices)
         cells = pc.binary_join_element_wise(begins, '<c r="', column, number, '"', self._bodies(value, kind), "")
-        self.pending.extend(cells.to_pylist())
-        if len(self.pending) > 4096:
+        if cells.null_count:
+            raise WorkbookError(f"a cell of sheet '{sheet}' has no column")
+        self.pending.append(_joined(cells))
+        self.size += len(self.pending[-1])
+        if self.size > 1 << 18:
             self._flush()
 
     def _bodies(self, value: pa.Array, kind: pa.Array) -> pa.Array:
-        """What follows a cell's reference: numbers as they are, the rest once for each distinct value."""
+        """What follows a cell's reference: numbers as they are, dates by Arrow, the rest once for
+        each distinct value."""
         other = pc.invert(pc.equal(kind, "n")).fill_null(True)
+        dated = pc.and_(pc.equal(kind, "d").fill_null(False), pc.match_substring_regex(value, _PLAIN_DATE))
+        try:
+            days = pc.subtract(value.filter(dated).cast(pa.date32()).cast(pa.int32()), _DAY_0)
+        except pa.ArrowInvalid:  # a day that no month has: as all others, for the message
+            dated = pc.and_(dated, False)
+            days = pa.array([], pa.int32())
+        other = pc.and_not(other, dated)
         kinds = pc.if_else(pc.is_in(kind, pa.array(["d", "b"])), kind, "s")
         keys = pc.binary_join_element_wise(kinds, value, "").filter(other).dictionary_encode()
         bodies = pa.array([self._body(k[1:], k[0]) for k in keys.dictionary.to_pylist()], pa.string())
-        return pc.replace_with_mask(pc.binary_join_element_wise("><v>", value, "</v></c>", ""), other, bodies.take(keys.indices))
+        plain = pc.replace_with_mask(value, dated, days.cast(pa.string()))
+        begins = pc.if_else(dated, ' s="1"><v>', "><v>")
+        return pc.replace_with_mask(pc.binary_join_element_wise(begins, plain, "</v></c>", ""), other, bodies.take(keys.indices))
 
     def _body(self, value: str, kind: str) -> str:
         if kind == "d":
-            return f' s="1"><v>{(dt.date.fromisoformat(value) - dt.date(1899, 12, 30)).days}</v></c>'
+            return f' s="1"><v>{(dt.date.fromisoformat(value) - dt.date(1970, 1, 1)).days - _DAY_0}</v></c>'
         if kind == "b":
             return f' t="b"><v>{int(value.lower() in ("1", "true"))}</v></c>'
         if value in self.strings or len(self.strings) < SHARED:
@@ -267,7 +318,9 @@ class XlsxWriter(DataSourceArrowWriter):
                 stream.close()
 
         for batch in iterator:
-            if "kind" not in batch.schema.names:
+            if "values" in batch.schema.names:
+                batch = _with_values(batch)
+            elif "kind" not in batch.schema.names:
                 batch = batch.append_column("kind", pa.nulls(batch.num_rows, pa.string()))
             for path, run in _runs(batch, "path"):
                 if path != name:
@@ -281,8 +334,8 @@ class XlsxWriter(DataSourceArrowWriter):
                     moves[path] = f"{temporary}/{path}"
                     stream = store.open_output_stream(moves[path])
                     book = WorkbookWriter(stream)
-                for sheet, cells in _runs(run.filter(pc.is_valid(run["value"])), "sheet_name"):
-                    book.add_many(sheet, *(cells[c] for c in ("row_idx", "col_idx", "value", "kind")))
+                for sheet, rows in _runs(run if "values" in run.schema.names else run.filter(pc.is_valid(run["value"])), "sheet_name"):
+                    book.add_many(sheet, *_cells(rows))
         finish()
         return Written(tuple(moves.items()))
 
@@ -328,11 +381,16 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(XlsxCells)
 
 
-def write_workbooks(cells: DataFrame, path: str, mode: str = "append") -> None:
-    """Cells (``path`` a file name, ``sheet_name, row_idx, col_idx, value`` and perhaps ``kind``) as
-    .xlsx files in a folder, one task per workbook."""
+def write_workbooks(cells: DataFrame, path: str, mode: str = "append", dealt: bool = False) -> None:
+    """Cells (``path`` a file name, ``sheet_name, row_idx, col_idx, value`` and perhaps ``kind``, or
+    whole rows) as .xlsx files in a folder, one task per workbook.  ``dealt``: each workbook's rows
+    are in one partition already, and are not shuffled again."""
     register(cells.sparkSession)
-    order = ["path", "sheet_name", "row_idx", "col_idx"]
-    kind = ["kind"] if "kind" in cells.columns else []
-    rows = cells.select(*_FIELDS, *kind).where("value is not null").repartition("path").sortWithinPartitions(*order)
-    rows.write.format("xlsx_cells").mode(mode).save(path)
+    rows = cells if dealt else cells.repartition("path")
+    order = ["path", "sheet_name", "row_idx"]
+    if "values" in cells.columns:
+        rows = rows.select(*order, "values", "kinds")
+    else:
+        rows = rows.select(*_FIELDS, *(["kind"] if "kind" in cells.columns else [])).where("value is not null")
+        order.append("col_idx")
+    rows.sortWithinPartitions(*order).write.format("xlsx_cells").mode(mode).save(path)

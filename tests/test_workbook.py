@@ -195,3 +195,59 @@ def test_cells_are_not_handled_one_by_one(monkeypatch):
     calls["write"] -= 40
     assert list(W.iter_cells(content)) == [r[1:5] for r in rows]
     assert max(calls.values()) < len(rows) / 50
+
+
+def test_whole_rows_give_the_same_workbooks(spark, tmp_path):
+    """Rows of unequal lengths and kinds, blanks, rows and workbooks without any value."""
+    rows = [("a.xlsx", "S", r, [f"{r}.5", None if r % 3 else "2031-05-06", "x" * (r % 4), "true"][: 1 + r % 4], ["ndsb", "sdz", "nd"][r % 3]) for r in range(60)]
+    rows += [("a.xlsx", "T", 3, [None, "2031-5", None], "nsn"), ("a.xlsx", "U", 0, [None, None], "nn"), ("b.xlsx", "S", 0, [None], "n"), ("b.xlsx", "S", 1, [], ""), ("b.xlsx", "S", 2, None, None), ("c.xlsx", "S", 9, ["1", "2"], None)]
+    packed = spark.createDataFrame(rows, "path string, sheet_name string, row_idx int, values array<string>, kinds string")
+    flat = [(p, s, r, c, v, (k or "").ljust(9)[c]) for p, s, r, vs, k in rows for c, v in enumerate(vs or [])]
+    X.write_workbooks(packed.repartition(5), str(tmp_path / "packed"))
+    X.write_workbooks(packed.repartition(3, "path"), str(tmp_path / "dealt"), dealt=True)
+    X.write_workbooks(spark.createDataFrame(flat, SCHEMA), str(tmp_path / "flat"))
+    cells = {x: {p.name: sorted(W.iter_cells(p.read_bytes())) for p in (tmp_path / x).iterdir()} for x in ("flat", "packed", "dealt")}
+    assert set(cells["flat"]) == {"a.xlsx", "c.xlsx"} and len(cells["flat"]["a.xlsx"]) > 90
+    assert cells["packed"] == cells["dealt"] == cells["flat"]
+    assert ("T", 3, 1, "2031-5") in cells["flat"]["a.xlsx"] and [v for *_, v in cells["flat"]["c.xlsx"]] == ["1", "2"]
+
+
+@pytest.mark.parametrize("value", ["2031-02-30", "0000-01-01", "not a date", "2031-13-01"])
+def test_a_value_that_is_no_date_is_named(value):
+    book = X.WorkbookWriter(io.BytesIO())
+    with pytest.raises(ValueError):
+        book.add("S", 0, 0, value, "d")
+    columns = [pa.array([0, 1, 2], pa.int32()), pa.array([0, 0, 0], pa.int32()), pa.array(["2031-05-06", value, "20310507"]), pa.array(["d", "s", "d"])]
+    out = io.BytesIO()
+    book = X.WorkbookWriter(out)
+    book.add_many("S", *columns)
+    book.close()
+    assert [v for *_, v in W.iter_cells(out.getvalue())] == ["2031-05-06", value, "2031-05-07"]
+
+
+def test_days_and_numbers_as_shown(monkeypatch):
+    """Columns of day serials and numbers, against the functions for one cell, in both date systems."""
+    texts = ["0", "1", "59", "45000", "99999", "2958465", "2958466", "-3", "45000.5", "045", "n/a", "1e3", "0.50", "12.0", "7."]
+    raw = pa.RecordBatch.from_arrays([pa.array(range(2 * len(texts)), pa.int32()), pa.array([0] * 2 * len(texts), pa.int32()), pa.array(["n"] * 2 * len(texts)), pa.array(["1", "0"] * len(texts)), pa.array([t for t in texts for _ in range(2)])], schema=W._RAW)
+    for base in (W.dt.datetime(1899, 12, 30), W.dt.datetime(1904, 1, 1)):
+        book = W.Workbook.__new__(W.Workbook)
+        book.dates, book.base = {"1"}, base
+        assert book._values(raw, {}).to_pylist() == [f for t in texts for f in (W._render_date(t, base), W._render_number(t))]
+
+
+def test_order_lines_are_shuffled_once(spark, tmp_path):
+    """Lines go to their workbook's task once, two rows of text each, not as a row for every cell."""
+    from sheetmill.exercises import sources_sinks as S
+
+    day = W.dt.datetime(2031, 5, 6)
+    lines = [(k, n, float(n), k / 4, "N", day, "O") for k in (1, 2, 16383, 16384, 40000) for n in range(1, 4)] + [(2, 1, 9.0, 0.0, "R", day + W.dt.timedelta(1), None), (7, 1, None, 5.0, None, None, None)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp, l_linestatus string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    books = S._order_books(spark, str(tmp_path))
+    assert books._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert books.count() == 2 * 16
+    got = sorted(tuple(r) for r in S.a1_workbook_cells(spark, str(tmp_path)).collect())
+    best = {}
+    for k, n, *v in lines:
+        best[k, n] = [max((x for x in (a, b) if x is not None), default=None) for a, b in zip(v, best.get((k, n), [None] * 5), strict=True)]
+    text = lambda q, p, f, d, _: [None if q is None else W._render_number(str(q)), W._render_number(str(p)), f, None if d is None else str(d.date())]
+    assert got == sorted((f"lines-{k // 16384:06d}.xlsx", k % 16384 * 8 + n, c, v) for (k, n), x in best.items() for c, v in enumerate(text(*x)) if v is not None)
